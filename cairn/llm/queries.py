@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, simhash, warc
+from . import decontaminate, mixing, quality_rules, simhash, substring_dedup, warc
 from .common import table
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.result(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,12 +35,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_simhash": op3_simhash,
     "op5_warc": op5_warc,
+    "op6_decontaminate": op6_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {
     "op5_warc": warc.ORACLE,
+    "op6_decontaminate": decontaminate.ORACLE,
     "op9_quality_rules": quality_rules.oracle(),
 }

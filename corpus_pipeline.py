@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairn.llm import quality_rules
+from cairn.llm import decontaminate, mixing, quality_rules, simhash, substring_dedup
 from cairn.llm.common import stored, table
 
 
@@ -13,8 +13,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    return simhash.keep_one(docs, **simhash.STAGE)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut from the text."""
+    return substring_dedup.apply(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, numbered by mix_copy."""
+    return mixing.take(docs)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("substring dedup", substrings),
+    ("decontamination", benchmark),
+    ("mixing", weights),
 ]
 
 #: Some stages have no SQL form; tests/llm holds run() against a brute-force version.
