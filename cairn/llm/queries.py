@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality_rules, simhash, substring_dedup, warc
+from . import decontaminate, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
@@ -22,10 +26,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.result(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -36,9 +48,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_mil": op2_quality_mil,
     "op3_simhash": op3_simhash,
+    "op4_langid": op4_langid,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
+    "op8_lm_ctw": op8_lm_ctw,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
 }
