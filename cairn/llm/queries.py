@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
+from . import chat, decontaminate, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.result(table(spark, sf_dir, "conversations"))
+
+
 def op8_lm_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_ctw.score(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": op4_langid,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
+    "op7_chat": op7_chat,
     "op8_lm_ctw": op8_lm_ctw,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
@@ -60,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op5_warc": warc.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op7_chat": chat.ORACLE,
     "op9_quality_rules": quality_rules.oracle(),
 }
