@@ -6,21 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def crawl(rows: DataFrame, keys: list[str], min_html: int = 1, min_chars: int = 500) -> DataFrame:
-    """Quality of a crawl per key: counts, text characters, reasons in order, status.
+def crawl(rows: DataFrame, keys: list[str], min_chars: int, has_product: Column, has_about: Column, calls: Column | None = None, call_budget: int | None = None) -> DataFrame:
+    """Quality of a crawl per key, in one aggregation: counts, text characters, reasons in order, status.
 
-    Rows have status, kind, text_chars and reason.
+    Rows have status, kind and text_chars, and calls (paid calls of the key so far) if there is a call budget.
+    ``has_product`` and ``has_about`` tell of a row whether its URL shows such a page. Six reasons in fixed order;
+    status is failed without HTML pages, complete without reasons, else partial or, with too little text, review_required.
     """
-    got = F.col("status") == "fetched"
+    got, html = F.col("status") == "fetched", F.col("kind") == "html"
     g = rows.groupBy(*keys).agg(
-        F.count_if(got & (F.col("kind") == "html")).alias("html"), F.count_if(got & (F.col("kind") == "document")).alias("documents"),
-        F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status").startswith("skipped")).alias("skipped"),
-        F.coalesce(F.sum(F.when(got, F.col("text_chars"))), F.lit(0)).alias("text_chars"), F.coalesce(F.bool_or(F.col("status") == "skipped_budget"), F.lit(False)).alias("out_of_budget"),
+        F.count_if(got & html).alias("fetched_pages"), F.count_if((F.col("status") == "failed") & html).alias("failed_pages"), F.count_if(got & (F.col("kind") == "document")).alias("fetched_documents"),
+        F.count("*").alias("discovered_urls"), F.count_if(F.col("status").startswith("skipped")).alias("skipped_urls"), F.coalesce(F.sum("text_chars"), F.lit(0)).alias("total_text_chars"),
+        F.coalesce(F.bool_or(got & has_product), F.lit(False)).alias("_product"), F.coalesce(F.bool_or(got & has_about), F.lit(False)).alias("_about"),
+        F.coalesce(F.max(calls) if calls is not None else F.lit(0), F.lit(0)).alias("_calls"),
     )
-    rules = [("no_html", F.col("html") == 0), ("few_pages", F.col("html") < min_html), ("little_text", F.col("text_chars") < min_chars), ("failures", F.col("failed") > 0), ("budget_exhausted", F.col("out_of_budget"))]
+    spent = F.lit(False) if call_budget is None else F.col("_calls") >= call_budget
+    rules = [
+        ("no_html", F.col("fetched_pages") == 0), ("little_text", F.col("total_text_chars") < min_chars), ("no_product", ~F.col("_product")),
+        ("no_about", ~F.col("_about")), ("failed_pages", F.col("failed_pages") > 0), ("budget_exhausted", spent),
+    ]
     reasons = F.array_compact(F.array(*[F.when(test, name) for name, test in rules]))
-    status = F.when(F.col("html") == 0, "failed").when((F.col("failed") > 0) | (F.col("text_chars") < min_chars), "partial").when(F.col("out_of_budget"), "truncated").otherwise("complete")
-    return g.withColumn("reasons", F.array_join(reasons, ",")).withColumn("quality", status)
+    g = g.withColumn("reasons", F.array_join(reasons, ","))
+    status = F.when(F.col("fetched_pages") == 0, "failed").when(F.col("reasons") == "", "complete").when(F.col("total_text_chars") >= min_chars, "partial").otherwise("review_required")
+    return g.withColumn("quality", status).drop("_product", "_about", "_calls")
 
 
 def canonical(rows: DataFrame, keys: list[str]) -> DataFrame:
