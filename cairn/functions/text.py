@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .trims import rstrip, strip
+
 
 def slugify(text: Column, limit: int = 80, default: str = "item") -> Column:
     """Runs of anything but ASCII letters and digits become one hyphen; lower case, at most ``limit`` characters."""
-    bare = F.lower(F.trim(F.lit("-"), F.regexp_replace(text, r"[^A-Za-z0-9]+", "-")))
+    bare = F.lower(strip("-", F.regexp_replace(text, r"[^A-Za-z0-9]+", "-")))
     return F.coalesce(F.nullif(F.left(bare, F.lit(limit)), F.lit("")), F.lit(default))
 
 
@@ -32,7 +34,7 @@ def word_count(text: Column) -> Column:
 def truncate_words(text: Column, n: int = 100) -> Column:
     """At most ``n`` words; a cut text loses trailing punctuation and gains an ellipsis."""
     w = words(text)
-    cut = F.concat(F.rtrim(F.lit(",.;:"), F.array_join(F.slice(w, 1, n), " ")), F.lit("…"))
+    cut = F.concat(rstrip(",.;:", F.array_join(F.slice(w, 1, n), " ")), F.lit("…"))
     return F.when(text.isNull(), text).when(F.size(w) > n, cut).otherwise(text)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab as v
+from .trims import lstrip, rstrip, strip
 
 _HEAD = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*"
 
@@ -36,17 +37,17 @@ def apex(h: Column) -> Column:
 def normalize(url: Column) -> Column:
     """Without fragment, and without trailing slashes unless the path is a lone slash."""
     bare = F.regexp_replace(url, r"#.*$", "")
-    return F.when(bare.endswith("/") & (path(bare) != "/"), F.rtrim(F.lit("/"), bare)).otherwise(bare)
+    return F.when(bare.endswith("/") & (path(bare) != "/"), rstrip("/", bare)).otherwise(bare)
 
 
 def slash_key(url: Column) -> Column:
     """Key under which URLs that differ in trailing slashes are one."""
-    return F.rtrim(F.lit("/"), url)
+    return rstrip("/", url)
 
 
 def extension(url: Column) -> Column:
     """Lower-case suffix of the last path segment; names that begin with the dot have none."""
-    return F.lower(F.regexp_extract(F.rtrim(F.lit("/"), path(url)), r"[^/.][^/]*(\.[^./]+)$", 1))
+    return F.lower(F.regexp_extract(rstrip("/", path(url)), r"[^/.][^/]*(\.[^./]+)$", 1))
 
 
 def resource_kind(url: Column, content_type: Column | None = None) -> Column:
@@ -79,7 +80,7 @@ def fetchable(url: Column, home: Column, hosts: Column, subdomains: bool = False
 
 def terms(url: Column) -> Column:
     """Lower-case path segments with hyphens for underscores."""
-    return F.filter(F.split(F.replace(F.lower(F.trim(F.lit("/"), path(url))), F.lit("_"), F.lit("-")), "/"), lambda x: x != "")
+    return F.filter(F.split(F.replace(F.lower(strip("/", path(url))), F.lit("_"), F.lit("-")), "/"), lambda x: x != "")
 
 
 def _any(value: Column, tokens: tuple[str, ...]) -> Column:
@@ -94,7 +95,7 @@ def _token(value: Column, tokens: tuple[str, ...]) -> Column:
 
 def classify_page(url: Column, home: Column) -> Column:
     """Class of a page by its URL: the first rule that applies, from documents down to other."""
-    p = F.lower(F.trim(F.lit("/"), path(url)))
+    p = F.lower(strip("/", path(url)))
     t = terms(url)
     leaf = F.coalesce(F.try_element_at(t, F.lit(-1)), F.lit(""))
     hyphens = F.length(F.substring_index(p, "/", -1)) - F.length(F.replace(F.substring_index(p, "/", -1), F.lit("-"), F.lit("")))
@@ -113,7 +114,7 @@ def page_score(url: Column, categories: tuple[str, ...] = ()) -> Column:
     """Additive score of a URL: shallow, telling paths first."""
     low, p = F.lower(url), path(url)
     depth = F.size(F.filter(F.split(p, "/"), lambda x: x != ""))
-    leaf = F.substring_index(F.trim(F.lit("/"), p), "/", -1)
+    leaf = F.substring_index(strip("/", p), "/", -1)
     hyphens = F.length(leaf) - F.length(F.replace(leaf, F.lit("-"), F.lit("")))
     points = [
         (depth <= 1, 20), (hyphens >= 5, -35), (_any(low, v.PRODUCT_TOKENS), 70), (_any(low, v.COMPLIANCE_TOKENS), 55), (_any(low, v.ABOUT_TOKENS), 35),
@@ -129,7 +130,7 @@ def page_score(url: Column, categories: tuple[str, ...] = ()) -> Column:
 def normalize_homepage(url: Column) -> Column:
     """Lower-case scheme and host, no trailing slash; https where no scheme is given."""
     full = F.when(url.rlike("^[A-Za-z][A-Za-z0-9+.\\-]*://"), url).otherwise(F.concat(F.lit("https://"), url))
-    return F.rtrim(F.lit("/"), F.concat(scheme(full), F.lit("://"), F.lower(netloc(full)), path(full)))
+    return rstrip("/", F.concat(scheme(full), F.lit("://"), F.lower(netloc(full)), path(full)))
 
 
 def rejected_path(p: Column) -> Column:
@@ -177,7 +178,7 @@ def is_item_of(item: Column, source: Column) -> Column:
     """The item lies below the source's path on the same host, and is neither the index nor an archive page."""
     family, p = family_prefix(source), path(item)
     first = F.split_part(F.substr(p, F.length(family) + 1), F.lit("/"), F.lit(1))
-    return (netloc(item) == netloc(source)) & p.startswith(family) & (F.rtrim(F.lit("/"), p) != F.rtrim(F.lit("/"), family)) & ~first.isin(*v.ARCHIVE_SEGMENTS)
+    return (netloc(item) == netloc(source)) & p.startswith(family) & (rstrip("/", p) != rstrip("/", family)) & ~first.isin(*v.ARCHIVE_SEGMENTS)
 
 
 def resolve(href: Column, base: Column) -> Column:
@@ -198,10 +199,10 @@ def resolve(href: Column, base: Column) -> Column:
 
 def join_homepage(home: Column, p: Column) -> Column:
     s, n = scheme(home), netloc(home)
-    authority = F.when(n == "", F.rtrim(F.lit("/"), F.regexp_replace(home, "^https?://", ""))).otherwise(n)
+    authority = F.when(n == "", rstrip("/", F.regexp_replace(home, "^https?://", ""))).otherwise(n)
     return F.concat(F.when(s.isin("http", "https"), s).otherwise("https"), F.lit("://"), authority, F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)))
 
 
 def split_store_uri(uri: Column) -> Column:
     """(bucket, key) of a store URI such as s3://bucket/key."""
-    return F.struct(netloc(uri).alias("bucket"), F.ltrim(F.lit("/"), path(uri)).alias("key"))
+    return F.struct(netloc(uri).alias("bucket"), lstrip("/", path(uri)).alias("key"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .trims import rstrip
+
 # File extensions by kind of resource.
 DOCUMENT_EXTENSIONS = (".pdf", ".doc", ".docx", ".ppt", ".pptx", ".xls", ".xlsx", ".csv")
 STATIC_EXTENSIONS = (".css", ".js", ".png", ".jpg", ".jpeg", ".gif", ".svg", ".webp", ".ico", ".mp4", ".mov")
@@ -186,13 +188,13 @@ def first_match(value: Column, rules: tuple[tuple[str, str], ...], default: Colu
 
 def normalize_country(raw: Column) -> Column:
     """English name of a country written freely; unknown values pass through, stripped. Null stays null."""
-    bare = F.regexp_replace(F.lower(F.rtrim(F.lit("."), F.trim(raw))), r"\s+", " ")
+    bare = F.regexp_replace(F.lower(rstrip(".", F.trim(raw))), r"\s+", " ")
     return F.when(raw.isNull() | (raw == ""), raw).otherwise(first_match(bare, COUNTRIES, F.trim(raw)))
 
 
 def normalize_us_state(raw: Column) -> Column:
     """Full name of a US state given by name or abbreviation; anything else passes through, stripped."""
-    bare = F.rtrim(F.lit("."), F.trim(raw))
+    bare = rstrip(".", F.trim(raw))
     table = US_STATES | {v.upper(): v for v in US_STATES.values()}
     return F.when(raw.isNull() | (raw == ""), raw).otherwise(lookup(F.upper(bare), table, bare))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as d
 from ..functions import url as u
+from ..functions.trims import rstrip, strip
 
 PRIMARY_MIN = 3
 
@@ -42,7 +43,7 @@ def rank_families(g: DataFrame, key: list[str], items: str = "items", rank: str
 
 def common_prefix(paths: Column) -> Column:
     """Aggregate: the longest common prefix of whole segments, from the least and greatest path alone."""
-    a, b = (F.split(F.trim(F.lit("/"), f(paths)), "/") for f in (F.min, F.max))
+    a, b = (F.split(strip("/", f(paths)), "/") for f in (F.min, F.max))
     return common_segments(a, b)
 
 

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import urls
+
+_PLANS = (urls,)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for _plan in _PLANS:
+    QUERIES |= _plan.QUERIES
+    ORACLES |= _plan.ORACLES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The query that ``entry`` runs."""
-    raise NotImplementedError
+    """Pages kept of each site and the quality of what is kept."""
+    return urls.site_quality(spark, sf_dir)
