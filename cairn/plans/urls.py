@@ -185,6 +185,13 @@ r2 AS (SELECT *, rk <= budget AS fits, row_number() OVER (PARTITION BY site ORDE
 sel AS (SELECT page_id, site, url, page_class, score, fits AND place <= {vocab.PROFILE_LIMITS['serious_vendor'][0] - 1} AS selected,
   CASE WHEN fits AND place <= {vocab.PROFILE_LIMITS['serious_vendor'][0] - 1} THEN 'selected' WHEN budget <= 0 THEN 'skipped_class_budget' ELSE 'skipped_budget' END AS status FROM r2)"""
 
+_TAGS_SQL = "html"
+for _t in ("script", "style", "noscript", "svg"):
+    _TAGS_SQL = rf"regexp_replace({_TAGS_SQL}, '(?is)<{_t}\b[^>]*>.*?</{_t}\s*>', chr(10), 'g')"
+_ENTITY_SQL = "t"
+for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    _ENTITY_SQL = f"replace({_ENTITY_SQL}, '{_e}', '{_c}')"
+
 QUERIES = {
     "url_normalize": url_normalize, "url_canonical_dedupe": url_canonical_dedupe, "site_scope": site_scope, "page_classify": page_classify, "path_family": path_family, "selected_pages": selected_pages,
     "site_quality": site_quality, "budgeted_selection": budgeted_selection, "document_topk": document_topk, "html_links": html_links, "html_text": html_text, "html_text_parsed": html_text_parsed,
@@ -229,6 +236,9 @@ c AS (SELECT page_id, n, regexp_replace(CASE WHEN regexp_matches(h, '^[A-Za-z][A
   FROM b WHERE h <> '' AND NOT regexp_matches(h, '^(javascript:|mailto:|tel:|#)')),
 d AS (SELECT *, lower(regexp_extract(target_url, '^https?://([^/?#:]*)', 1)) AS th, lower(regexp_replace(n, ':.*$', '')) AS nh FROM c WHERE regexp_matches(target_url, '^https?:'))
 SELECT page_id, target_url, count(*) AS n, bool_or(th = nh OR th = 'www.' || nh OR nh = 'www.' || th) AS in_scope FROM d GROUP BY page_id, target_url""",
+    "html_text": rf"""WITH a AS (SELECT page_id, {_TAGS_SQL} AS b FROM pages), c AS (SELECT page_id, regexp_replace(regexp_replace(b, '(?s)<!--.*?-->', chr(10), 'g'), '(?s)<[^>]*>', chr(10), 'g') AS t FROM a),
+d AS (SELECT page_id, {_ENTITY_SQL} AS t FROM c)
+SELECT page_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10)) AS text FROM d""",
     "common_prefix": f"""WITH {CRAWL_SQL}, a AS (SELECT site, {_path_sql('url')} AS path FROM crawl),
 g AS (SELECT site, count(*) AS n, string_split(trim(min(path), '/'), '/') AS x, string_split(trim(max(path), '/'), '/') AS y FROM a GROUP BY site),
 k AS (SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(x), len(y)) + 1), lambda i: x[i] IS DISTINCT FROM y[i])), len(x) + 1) - 1 AS m FROM g)
