@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, free_prefix, stored
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -109,10 +109,10 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
     return stored(joined.select(F.col("source").alias("mix_source"), "source_size", "target", "base", "edge"), "mix-plan")
 
 
-def times(h: Column, repeats: int = MAX_REPEATS) -> Column:
+def times(h: Column, base: Column, edge: Column, repeats: int = MAX_REPEATS) -> Column:
     """How often the mix takes a document, from its hash and its source's plan."""
-    below = F.shiftrightunsigned(h, 64 - LEVEL_BITS * LEVELS) < F.col("edge")
-    return F.least(F.col("base") + below.cast("long"), F.lit(repeats).cast("long"))
+    below = F.shiftrightunsigned(h, 64 - LEVEL_BITS * LEVELS) < edge
+    return F.least(base + below.cast("long"), F.lit(repeats).cast("long"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, repeats: int = MAX_REPEATS) -> DataFrame:
@@ -124,13 +124,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     """
     rows = measured(docs)
     joined = rows.join(plan(rows, weights, budget, repeats), F.col("source").eqNullSafe(F.col("mix_source")))
-    return joined.select("doc_id", "size", "source_size", "target", (times(F.col("h"), repeats) * F.col("size")).alias("taken"), "source")
+    return joined.select("doc_id", "size", "source_size", "target", (times(F.col("h"), F.col("base"), F.col("edge"), repeats) * F.col("size")).alias("taken"), "source")
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, repeats: int = MAX_REPEATS) -> DataFrame:
     """The mixed corpus itself: each row of ``docs`` as often as the mix takes it, numbered by mix_copy from 1; texts are not shuffled."""
+    t = free_prefix(docs, "_m_")
     decided = plan(measured(docs), weights, budget, repeats)
-    joined = docs.join(decided, docs["source"].eqNullSafe(decided["mix_source"]))
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("mix_copy")
-    kept = joined.withColumn("_times", times(_hash(docs["doc_id"], docs["text"]), repeats)).where(F.col("_times") > 0)
-    return kept.select(*[docs[c] for c in docs.columns], copies)
+    decided = decided.select(*[F.col(c).alias(f"{t}{c}") for c in ("mix_source", "base", "edge")])
+    joined = docs.join(decided, docs["source"].eqNullSafe(decided[f"{t}mix_source"]))
+    n = times(_hash(docs["doc_id"], docs["text"]), F.col(f"{t}base"), F.col(f"{t}edge"), repeats)
+    kept = joined.withColumn(f"{t}times", n).where(F.col(f"{t}times") > 0)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{t}times"))).alias(free_prefix(docs, "mix_copy"))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], copies)

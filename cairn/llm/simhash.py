@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stored
+from .common import free_prefix, row_key, stored
 
 SEED = 42
 LEAF = 64
@@ -317,13 +317,15 @@ def keep_one(docs: DataFrame, width: int = 5, bits: int = 256, radius: int = 48,
     member = grouped(prints, sampled_masks(bits, keys, key_bits), bits, radius)
     # One key per group: its smallest doc_id; among rows that share it, the smallest key.
     unit = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
+    k = free_prefix(docs, "_n_") + "key"
     best = member.groupBy(unit.alias("unit")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
-    chosen = stored(best.select(F.col("best.key").alias("_key")).distinct(), "sim-chosen")
-    repeated = stored(prints.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key")), "sim-repeated")
-    columns = [docs[c] for c in docs.columns]
+    chosen = stored(best.select(F.col("best.key").alias(k)).distinct(), "sim-chosen")
+    repeated = stored(prints.groupBy("key").count().where("count > 1").select(F.col("key").alias(k)), "sim-repeated")
     own = row_key(docs["doc_id"], docs["text"])
     if repeated.isEmpty():
-        return docs.join(chosen, own == chosen["_key"], "left_semi")
-    single = docs.join(chosen.join(repeated, "_key", "left_anti"), own == F.col("_key"), "left_semi")
-    again = docs.join(chosen.join(repeated, "_key"), own == F.col("_key")).dropDuplicates(["_key"]).select(*columns)
-    return single.unionByName(again)
+        return docs.join(chosen, own == chosen[k], "left_semi")
+    # Rows equal in doc_id and text share a key: where that key is chosen, one of them stays.
+    once, again = chosen.join(repeated, k, "left_anti"), chosen.join(repeated, k)
+    single = docs.join(once, own == once[k], "left_semi")
+    first = docs.join(again, own == again[k]).dropDuplicates([k]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.unionByName(first)

@@ -104,8 +104,8 @@ def _cut_batches(text_at: int, repeated_at: int, kind: str, least_words: int, na
     return run
 
 
-def clean(docs: DataFrame, kind: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with repeats cut from text, plus dedup_removed (spans of the original text) and dedup_units.
+def clean(docs: DataFrame, kind: str = "sentence", least_words: int = LEAST_WORDS, prefix: str = "dedup_") -> DataFrame:
+    """``docs`` with repeats cut from text, plus dedup_removed (spans of the original text) and dedup_units, or the like with another prefix.
 
     Earlier means a smaller doc_id; rows without one come after all others. Rows that share a doc_id rank alike: a unit
     first seen there stays in each. A null text stays null; an empty table gives an empty result. Documents without
@@ -121,7 +121,7 @@ def clean(docs: DataFrame, kind: str = "sentence", least_words: int = LEAST_WORD
     of = late.groupBy(F.col("rank").alias(f"{t}rank")).agg(F.collect_list("digest").alias(f"{t}repeated"))
     columns = [docs[c] for c in docs.columns]
     joined = docs.join(of, rank == of[f"{t}rank"], "left").select(*columns, of[f"{t}repeated"])
-    schema = T.StructType([*docs.schema.fields, T.StructField("dedup_removed", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))), T.StructField("dedup_units", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(f"{prefix}removed", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))), T.StructField(f"{prefix}units", T.IntegerType())])
     return joined.mapInArrow(_cut_batches(docs.columns.index("text"), len(docs.columns), kind, least_words, schema.names), schema)
 
 
@@ -134,10 +134,11 @@ def result(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """The stage: texts without their repeats, n_chars brought up to date, documents that lose all their words left out."""
-    out = clean(docs)
-    whole = (F.size("dedup_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
-    out = out.where(F.col("text").isNull() | whole)
+    p = free_prefix(docs, "dedup_")
+    out = clean(docs, prefix=p)
+    removed = F.size(F.col(f"{p}removed"))
+    out = out.where(F.col("text").isNull() | (removed == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     if "n_chars" in docs.columns:
-        cut_length = F.when(F.size("dedup_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        cut_length = F.when(removed > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", cut_length)
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
