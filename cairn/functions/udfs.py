@@ -11,6 +11,7 @@ from urllib.parse import urldefrag, urljoin, urlparse
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 SKIPPED = {"script", "style", "noscript", "svg"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -44,7 +45,7 @@ def text_of(html: str | None) -> str | None:
     return "\n".join(x for x in p.out if x)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text nodes of a page, one a line, without script, style, noscript and svg."""
     for html in batches:
@@ -61,7 +62,7 @@ def resolve_one(href: str | None, base: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def urljoin_column(href: pd.Series, base: pd.Series) -> pd.Series:
     """Absolute URL of a reference, without fragment; null where it leads to no page."""
     return pd.Series([resolve_one(h, b) for h, b in zip(href, base, strict=True)], dtype=object)
@@ -75,13 +76,13 @@ def slug_of(name: str | None) -> str:
     return slug[:60].strip("-") or "unnamed"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ascii_slug(names: pd.Series) -> pd.Series:
     """Slug of a name: no trailing parenthesis, accents folded, one corporate suffix dropped."""
     return names.map(slug_of)
 
 
-@F.pandas_udf("date")
+@F.pandas_udf(DateType())
 def fuzzy_date(texts: pd.Series) -> pd.Series:
     """A date anywhere in free text, where the strict forms found none; null where nothing reads as one."""
     from dateutil import parser
@@ -211,7 +212,7 @@ def items_of(html: str | None, source: str, max_repeats: int = 3) -> list[dict]:
     return [{"url": u, "title": titles.get(u, ""), "date_text": timed.get(u)} for u in kept]
 
 
-@F.udtf(returnType="url string, title string, date_text string")
+@F.udtf(returnType=StructType([StructField(c, StringType()) for c in ("url", "title", "date_text")]))
 class NewsItems:
     """Lateral table function: the items of one index page."""
 
