@@ -82,9 +82,9 @@ def vendor_rows(profiles: DataFrame, catalogs: DataFrame) -> DataFrame:
     profiles: display_name, homepage_url, headquarters.value(city, state_or_province, country), drone_supply_chain_role,
     ndaa, blue_uas, readiness (answers), tagline, products_categories.items. catalogs: products.
     """
-    j = profiles.join(catalogs.select("target_id", "products"), "target_id")
+    j = profiles.join(catalogs.select("target_id", F.col("products").alias("_products")), "target_id")
     hq = F.col("headquarters.value")
-    items = F.transform(F.coalesce("products", F.array().cast(catalogs.schema["products"].dataType)), product)
+    items = F.transform(F.coalesce("_products", F.array().cast(catalogs.schema["products"].dataType)), product)
     j = j.withColumn("_items", items).withColumn("compliance", v.compliance(F.col("ndaa.value"), F.col("blue_uas.value")))
     j = j.withColumn("readiness_level", readiness(F.col("readiness.value"), F.transform("_items", lambda x: x["readiness"])))
     name = v.country_name(hq["country"])
