@@ -50,6 +50,12 @@ def _measures(text: Column) -> dict[str, Column]:
     }
 
 
+def _joined(hashes: Column, by: int) -> Column:
+    """Hash of each element with the one ``by`` places on; ``by`` elements fewer."""
+    n = F.greatest(F.size(hashes) - by, F.lit(0))
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(by + 1), n), lambda a, b: F.xxhash64(a, b))
+
+
 def _twins(windows: Column) -> Column:
     """The windows as (hash, place), sorted, where any hash repeats; else an empty array, so most texts sort nothing."""
     pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
@@ -77,7 +83,7 @@ def _repeat_words(ordered: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """Append the integer measures that the rules read, each name with ``prefix``; columns of ``docs`` stay.
 
-    A null text counts as empty. A window is compared by the chained 64-bit hash of its eight words.
+    A null text counts as empty. A window is compared by a 64-bit hash of its eight words.
     Working columns are named apart from those of ``docs`` and dropped; nothing is shuffled.
     """
     m = _measures(F.col(f"`{text}`"))
@@ -85,16 +91,18 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     first = docs.withColumns({f"{t}words": m["_words"], f"{t}lines": m["_lines"], f"{prefix}word_chars": m["word_chars"], f"{prefix}n_symbols": m["n_symbols"]})
     w, lines = F.col(f"{t}words"), F.col(f"{t}lines")
     n = F.size(w)
-    windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
     second = first.withColumns(
         {
             f"{prefix}n_words": n.cast("long"),
             f"{prefix}n_lines": F.size(lines).cast("long"),
             f"{prefix}n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             f"{prefix}n_stop_words": F.size(F.filter(w, lambda x: fold_case(x).isin(*sorted(set(STOP_WORDS))))).cast("long"),
-            f"{t}windows": windows,
+            f"{t}windows": _joined(w, 1),
         }
     )
+    # Windows of two words, then of four, then of eight, each from two of the size before.
+    for by in (2, 4):
+        second = second.withColumn(f"{t}windows", _joined(F.col(f"{t}windows"), by))
     third = second.withColumn(f"{t}ordered", _twins(F.col(f"{t}windows")))
     fourth = third.withColumn(f"{prefix}n_repeat_words", _repeat_words(F.col(f"{t}ordered")).cast("long"))
     return fourth.drop(f"{t}words", f"{t}lines", f"{t}windows", f"{t}ordered")
