@@ -25,19 +25,20 @@ def class_order(cls: Column) -> Column:
     return F.array_position(F.array(*[F.lit(c) for c in v.PAGE_CLASSES]), cls)
 
 
-def budgeted(candidates: DataFrame, group: list[str], cls: str, order: list[Column], budget: Column, class_rank: Column, max_total: int, seeds_in_class: Column | None = None, seeds: int = 0) -> DataFrame:
+def budgeted(candidates: DataFrame, key: list[str], group: list[str], cls: str, order: list[Column], budget: Column, class_rank: Column, max_total: int, seeds_in_class: Column | None = None, seeds: int = 0) -> DataFrame:
     """``candidates`` with selected and status: the best of each class within its budget, then of all within ``max_total``.
 
     Seeds are chosen beforehand and count against both limits. Left-over rows are skipped_class_budget where their
-    class has no budget at all, else skipped_budget. Both ranks run inside ``group``, so groups spread over tasks.
+    class has no budget at all, else skipped_budget. No row beyond ``max_total`` in its class can be selected, so each
+    task keeps that many of a class before the shuffle, and a group of any size is ranked from a bounded rest; the
+    choice comes back by ``key``, which is unique and not null.
     """
     own = Window.partitionBy(*group, cls).orderBy(*order)
-    ranked = candidates.withColumn("_budget", budget - (F.lit(0) if seeds_in_class is None else seeds_in_class)).withColumn("_rn", F.row_number().over(own))
-    ranked = ranked.withColumn("_in", F.col("_rn") <= F.col("_budget"))
-    overall = Window.partitionBy(*group).orderBy(F.col("_in").desc(), class_rank, "_rn", *order)
-    picked = ranked.withColumn("_place", F.row_number().over(overall)).withColumn("selected", F.col("_in") & (F.col("_place") <= max_total - seeds))
-    status = F.when(F.col("selected"), "selected").when(budget <= 0, "skipped_class_budget").otherwise("skipped_budget")
-    return picked.withColumn("status", status).drop("_budget", "_rn", "_in", "_place")
+    best = candidates.withColumn("_budget", budget - (F.lit(0) if seeds_in_class is None else seeds_in_class)).withColumn("_rn", F.row_number().over(own)).where(F.col("_rn") <= max_total)
+    overall = Window.partitionBy(*group).orderBy(class_rank, "_rn", *order)
+    picked = best.where(F.col("_rn") <= F.col("_budget")).withColumn("_place", F.row_number().over(overall)).where(F.col("_place") <= max_total - seeds)
+    marked = candidates.join(picked.select(*key, F.lit(True).alias("selected")), key, "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    return marked.withColumn("status", F.when(F.col("selected"), "selected").when(budget <= 0, "skipped_class_budget").otherwise("skipped_budget"))
 
 
 def top_k(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
@@ -59,4 +60,4 @@ def pages_of_site(pages: DataFrame, profile: str, url: str = "url", site: str =
     c = pages.withColumn("page_class", u.classify_page(F.col(url), F.col(home))).withColumn("score", u.page_score(F.col(url))).withColumn("kind", u.resource_kind(F.col(url)))
     fit = c.where(u.in_scope(F.col(url), F.col(home)) & (F.col("kind") == "html") & (F.col("page_class") != "homepage"))
     order = [F.col("score").desc(), F.length(u.path(F.col(url))), F.col(url)]
-    return budgeted(fit, [site], "page_class", order, class_budget(F.col("page_class"), profile), class_order(F.col("page_class")), v.PROFILE_LIMITS[profile][0] - 1)
+    return budgeted(fit, [url], [site], "page_class", order, class_budget(F.col("page_class"), profile), class_order(F.col("page_class")), v.PROFILE_LIMITS[profile][0] - 1)

@@ -105,7 +105,7 @@ def site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def budgeted_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     n = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
-    out = select.budgeted(p, ["p_size"], "p_brand", [F.col("p_retailprice").desc(), F.length("p_name"), F.col("p_partkey")], (n % 4).cast("int"), F.col("p_brand"), 12)
+    out = select.budgeted(p, ["p_partkey"], ["p_size"], "p_brand", [F.col("p_retailprice").desc(), F.length("p_name"), F.col("p_partkey")], (n % 4).cast("int"), F.col("p_brand"), 12)
     return out.select("p_partkey", "p_size", "p_brand", "selected", "status")
 
 

@@ -88,7 +88,7 @@ def test_budgets_equal_the_greedy_loop(spark, rows, caps, total):
     budget = dict(zip("abc", caps, strict=True))
     df = spark.createDataFrame(cands, "cls string, score int, k int").withColumn("g", F.lit(1))
     b = F.when(F.col("cls") == "a", budget["a"]).when(F.col("cls") == "b", budget["b"]).otherwise(budget["c"])
-    out = select.budgeted(df, ["g"], "cls", [F.col("score").desc(), F.col("k")], b, F.col("cls"), total).collect()
+    out = select.budgeted(df, ["k"], ["g"], "cls", [F.col("score").desc(), F.col("k")], b, F.col("cls"), total).collect()
     assert {r.k for r in out if r.selected} == greedy(cands, budget, total)
     assert {r.k for r in out if r.status == "skipped_class_budget"} == {k for c, _, k in cands if budget[c] == 0}
 
