@@ -8,8 +8,9 @@ Only a spanning set of a shard's links leaves the task, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate
+import math
+from collections.abc import Callable, Iterator
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from .common import free_prefix, row_key, stored
 SEED = 42
 LEAF = 64
 SMALL = 64
-#: Odd constants that turn one shingle hash into further ones, for fingerprints of more than 64 bits.
-MIXERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: Odd multipliers that turn one shingle hash into further ones, for fingerprints of more than 64 bits.
+MIXERS = tuple(np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1)) for k in range(16))
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -152,9 +153,18 @@ def connect(fps: np.ndarray, radius: int) -> np.ndarray:
     return first[back]
 
 
-def block_masks(bits: int, radius: int) -> list[np.ndarray]:
-    """Bit positions of radius + 1 blocks; agreement in one is necessary for a distance within the radius."""
-    return np.array_split(np.arange(bits), radius + 1)
+def block_masks(bits: int, radius: int, n: int = 0) -> list[np.ndarray]:
+    """Bit positions of the keys by which fingerprints meet; two within the radius agree in one key at least.
+
+    With m blocks, radius differing bits leave m - radius of them equal, so the keys are all sets of that many blocks.
+    m is the least for which ``n`` fingerprints fill shards with some 4,096 each: 5 keys of 13 bits up to 30 million at
+    radius 4 and 64 bits, 15 of 21 bits up to 10 billion, 35 of 27 bits up to 500 billion. Every choice is exact.
+    """
+    for m in range(radius + 1, min(radius + 4, 48 * bits // (bits + 1)) + 1):
+        blocks = np.array_split(np.arange(bits), m)
+        if (1 << (bits * (m - radius) // m)) * 4096 >= n:
+            break
+    return [np.concatenate(c) for c in combinations(blocks, m - radius)]
 
 
 def sampled_masks(bits: int, n: int, width: int) -> list[np.ndarray]:
@@ -163,6 +173,15 @@ def sampled_masks(bits: int, n: int, width: int) -> list[np.ndarray]:
     return [np.sort(rng.choice(bits, width, replace=False)) for _ in range(n)]
 
 
+def sampled_size(n: int, differ: float, found: float = 0.95) -> tuple[int, int]:
+    """(keys, bits a key) for ``n`` fingerprints, such that pairs which differ in the share ``differ`` of all bits meet with chance ``found``.
+
+    Keys have 16 bits up to 4 million fingerprints and then grow with their logarithm, so that shards do not grow.
+    """
+    width = max(16, math.ceil(math.log2(max(n, 2))) - 6)
+    return math.ceil(math.log(1 - found) / math.log(1 - (1 - differ) ** width)), width
+
+
 def _print_batches(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -267,10 +286,11 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # The minima are written first: a join of two plain tables can be split where a hub's links meet.
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
         large = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = stored(large, "cc")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
         moved = large.join(least, "a")
         small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         e = stored(small.where("a <> b").distinct(), "cc")
@@ -280,12 +300,12 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def grouped(prints: DataFrame, masks: list[np.ndarray], bits: int, radius: int) -> DataFrame:
-    """``prints`` with component_id: the smallest doc_id that its fingerprint reaches (null if no member has one)."""
+def grouped(prints: DataFrame, masks: Callable[[int], list[np.ndarray]], bits: int, radius: int) -> DataFrame:
+    """``prints`` with component_id: the smallest doc_id that its fingerprint reaches (null if no member has one). ``masks`` gives the keys for a number of fingerprints."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "sim-nodes")
-    found = components(edges(nodes, masks, bits, radius))
+    found = components(edges(nodes, masks(nodes.count()), bits, radius))
     named = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    least = named.join(nodes, named["node"] == nodes["fp"]).groupBy("root").agg(F.min("least").alias("component_id"))
+    least = stored(named.join(nodes, named["node"] == nodes["fp"]).groupBy("root").agg(F.min("least").alias("component_id")), "sim-least")
     member = stored(named.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "sim-members")
     alone = nodes.join(member, "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
     return prints.join(member.unionByName(alone), "fp")
@@ -298,23 +318,23 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 64, radius: int
     doc_ids never name a group unless it has no other; an empty table gives an empty result.
     """
     prints = stored(fingerprints(docs, width, bits), "sim-prints")
-    return grouped(prints, block_masks(bits, radius), bits, radius).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    return grouped(prints, lambda n: block_masks(bits, radius, n), bits, radius).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 #: The pipeline's similarity: shingles of five words and a similarity of 0.8 or more. Two texts of Jaccard similarity J
-#: differ in about acos(2J / (1 + J)) / pi of all bits, 39 of 256 at 0.8 with a deviation of 6; the radius adds 1.5 of these.
-STAGE = {"width": 5, "bits": 256, "radius": 48, "keys": 40, "key_bits": 16}
+#: differ in about acos(2J / (1 + J)) / pi of all bits, 78 of 512 at 0.8 with a deviation of 8; the radius adds 1.9 of these.
+STAGE = {"width": 5, "bits": 512, "radius": 93, "differ": 78 / 512}
 
 
-def keep_one(docs: DataFrame, width: int = 5, bits: int = 256, radius: int = 48, keys: int = 40, key_bits: int = 16) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 5, bits: int = 512, radius: int = 93, differ: float = 78 / 512) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest doc_id stays, whole and unchanged.
 
-    A radius this wide has no selective exact blocks, so shards are ``keys`` random sets of ``key_bits`` bits: at 0.8
-    (39 bits apart) a pair meets in one with chance 0.95, at 0.85 with 0.99, and links of third texts add to that.
+    A radius this wide has no selective exact blocks, so keys are random sets of bits, as many as let a pair at 0.8
+    (the share ``differ`` of all bits apart) meet with chance 0.95, at 0.85 with 0.99; links of third texts add to that.
     Fingerprints of groups without any doc_id are kept once each. Columns are those of ``docs``.
     """
     prints = stored(fingerprints(docs, width, bits), "sim-prints")
-    member = grouped(prints, sampled_masks(bits, keys, key_bits), bits, radius)
+    member = grouped(prints, lambda n: sampled_masks(bits, *sampled_size(n, differ)), bits, radius)
     # One key per group: its smallest doc_id; among rows that share it, the smallest key.
     unit = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
     k = free_prefix(docs, "_n_") + "key"

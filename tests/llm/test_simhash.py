@@ -66,16 +66,24 @@ def test_tree_finds_all_within_the_radius(seed):
     assert s.connect(fps, 4).tolist() == roots(values, 4)
 
 
-def test_blocks_lose_no_link(spark):
+@pytest.mark.parametrize("n", [0, 10**8, 10**11])
+def test_blocks_lose_no_link(spark, n):
     rng = random.Random(7)
     values = near_set(rng, 600, [rng.getrandbits(64) for _ in range(12)], 12)
     nodes = spark.createDataFrame([(bytearray(x.to_bytes(8, "big")),) for x in values], "fp binary")
-    found = s.components(s.edges(nodes, s.block_masks(64, 4), 64, 4)).collect()
+    found = s.components(s.edges(nodes, s.block_masks(64, 4, n), 64, 4)).collect()
     root = {bytes(r.node): bytes(r.root) for r in found}
     got = [root.get(x.to_bytes(8, "big"), x.to_bytes(8, "big")) for x in values]
     assert got == [values[k].to_bytes(8, "big") for k in roots(values, 4)]
 
 
+def test_keys_grow_with_the_fingerprints():
+    assert [len(s.block_masks(64, 4, n)) for n in (0, 10**7, 10**9, 10**11, 10**12)] == [5, 5, 15, 35, 70]
+    assert s.sampled_size(10**5, 78 / 512) == (41, 16)
+    keys, width = s.sampled_size(10**9, 78 / 512)
+    assert width == 24 and (1 - (1 - 78 / 512) ** width) ** keys < 0.05
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     assert {r.node: r.root for r in s.components(links).collect()} == {**{k: 0 for k in range(1, 61)}, 101: 100}
