@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalog, evidence, extras, folds, news, runs, urls
+from . import catalog, evidence, extras, folds, news, runs, streams, urls
 
-_PLANS = (urls, folds, evidence, catalog, news, runs, extras)
+_PLANS = (urls, folds, evidence, catalog, news, runs, streams, extras)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

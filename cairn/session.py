@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -28,3 +30,17 @@ def build_session(app: str = "cairn", cores: str = "*", shuffle_partitions: int
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables under ``sf_dir``; the path may be on any store Spark reads."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that driver and executors share, deleted when the driver's JVM ends; where spark.checkpoint.dir is unset, as in tests, a folder of our own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        import tempfile
+
+        base = f"file://{tempfile.gettempdir()}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/cairn-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
