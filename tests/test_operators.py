@@ -222,3 +222,43 @@ def test_vendor_row(spark):
 def test_budget_tables(spark, profile):
     got = spark.range(1).select(*[select.class_budget(F.lit(c), profile).alias(c) for c in vocab.PAGE_CLASSES]).first()
     assert tuple(got) == vocab.PROFILE_BUDGETS[profile]
+
+
+def url_loop(rows):
+    """One URL's rows, oldest first, as rules: a fetch with its resource wins; before any fetch the newest row speaks."""
+    s = dict(rows[0], resource=rows[0]["resource"] if rows[0]["status"] == "fetched" else None)
+    for r in rows[1:]:
+        if r["status"] == "fetched" and r["resource"]:
+            s.update(status="fetched", resource=r["resource"], **{c: r[c] or s[c] for c in ("final_url", "page_class", "kind")})
+        elif s["status"] != "fetched":
+            s.update(status=r["status"], skip_reason=r["skip_reason"])
+        s["depth"], s["in_scope"] = min(s["depth"], r["depth"]), s["in_scope"] or r["in_scope"]
+    return s
+
+
+def test_url_fold_equals_the_loop(spark):
+    rng = random.Random(11)
+    cols = ["status", "resource", "skip_reason", "final_url", "page_class", "kind", "depth", "in_scope"]
+    groups = {}
+    for g in range(600):
+        groups[g] = []
+        for k in range(rng.randrange(1, 6)):
+            status = rng.choice(["fetched", "failed", "skipped_budget"])
+            some = lambda x: rng.choice([None, f"{x}{k}"])  # noqa: E731, B023
+            groups[g].append(dict(zip(cols, [status, some("r") if status == "fetched" else None, some("s"), some("f"), some("p"), some("k"), rng.randrange(4), rng.random() < 0.2], strict=True)))
+    flat = [(g, k, *[r[c] for c in cols]) for g, rows in groups.items() for k, r in enumerate(rows)]
+    df = spark.createDataFrame(flat, "url int, seq int, status string, resource string, skip_reason string, final_url string, page_class string, kind string, depth int, in_scope boolean")
+    got = {r.url: {c: r[c] for c in cols} for r in fold.urls(df, ["url"]).collect()}
+    assert got == {g: {c: url_loop(rows)[c] for c in cols} for g, rows in groups.items()}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4), min_size=1, max_size=6))
+def test_common_prefix_equals_the_loop(spark, paths):
+    rows = [("/" + "/".join(p),) for p in paths]
+    want, k = [], 0
+    while all(len(p) > k for p in paths) and len({p[k] for p in paths}) == 1:
+        want.append(paths[0][k])
+        k += 1
+    got = spark.createDataFrame(rows, "p string").agg(news.common_prefix(F.col("p"))).first()[0]
+    assert got == ("/" + "/".join(want) if want else "")
