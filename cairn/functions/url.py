@@ -184,7 +184,7 @@ def is_item_of(item: Column, source: Column) -> Column:
 def resolve(href: Column, base: Column) -> Column:
     """Absolute form of plain references: full URLs, //host, /path and relative paths without dots; null for script, mail, phone and fragment links.
 
-    References with dot segments need full resolution, which ``cairn.functions.udfs.urljoin`` gives.
+    References with dot segments need full resolution, which ``cairn.functions.udfs.urljoin_column`` gives.
     """
     h = F.trim(href)
     root = F.concat(scheme(base), F.lit("://"), netloc(base))

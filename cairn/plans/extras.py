@@ -1,4 +1,4 @@
-"""Engine extras: what the planner gives beyond the reference, over the star schema and events."""
+"""Engine extras: general SQL operators over the star schema and events."""
 
 from __future__ import annotations
 
