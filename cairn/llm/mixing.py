@@ -15,7 +15,7 @@ from .common import WORD, free_prefix, stored
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_REPEATS = 2
-LEVELS, LEVEL_BITS = 3, 12
+LEVELS, LEVEL_BITS, HASH_BITS = 3, 12, 60
 
 
 def size_of(text: Column) -> Column:
@@ -47,12 +47,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
 
 def _bucket(h: Column, level: int) -> Column:
     """The ``level``-th group of bits of the hash, from the top."""
-    return F.shiftrightunsigned(h, 64 - LEVEL_BITS * (level + 1)).bitwiseAND((1 << LEVEL_BITS) - 1)
+    return F.shiftright(h, HASH_BITS - LEVEL_BITS * (level + 1)).bitwiseAND((1 << LEVEL_BITS) - 1)
 
 
 def _prefix(h: Column, level: int) -> Column:
     """All bits of the hash above those of ``level``."""
-    return F.shiftrightunsigned(h, 64 - LEVEL_BITS * level) if level else F.lit(0).cast("long")
+    return F.shiftright(h, HASH_BITS - LEVEL_BITS * level) if level else F.lit(0).cast("long")
 
 
 def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -90,7 +90,9 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _hash(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("\x00")), F.coalesce(text, F.lit("")))
+    """60 bits of the MD5 of identifier and text."""
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit("|"), F.coalesce(text, F.lit(""))).cast("binary"))
+    return F.conv(F.left(digest, F.lit(HASH_BITS // 4)), 16, 10).cast("long")
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
 
 def times(h: Column, base: Column, edge: Column, repeats: int = MAX_REPEATS) -> Column:
     """How often the mix takes a document, from its hash and its source's plan."""
-    below = F.shiftrightunsigned(h, 64 - LEVEL_BITS * LEVELS) < edge
+    below = F.shiftright(h, HASH_BITS - LEVEL_BITS * LEVELS) < edge
     return F.least(base + below.cast("long"), F.lit(repeats).cast("long"))
 
 
@@ -137,3 +139,21 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
     kept = joined.withColumn(f"{t}times", n).where(F.col(f"{t}times") > 0)
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{t}times"))).alias(free_prefix(docs, "mix_copy"))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns], copies)
+
+
+_WS = ", ".join(map(str, WEIGHTS))
+#: The same mix in DuckDB: prefixes of 36 bits are nine hexadecimal digits of the MD5, and one is taken if its middle lies within what is wanted.
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+  left(md5(coalesce(doc_id::VARCHAR, '-') || '|' || coalesce(text, '')), {LEVELS * LEVEL_BITS // 4}) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ([{_WS}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS w, source_size * {float(MAX_REPEATS)}::DOUBLE AS cap FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k FROM w),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * {BUDGET}::DOUBLE - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM o),
+f AS (SELECT *, (SELECT arg_min(level, k) FROM l WHERE cap / w >= level) AS line FROM l),
+t AS (SELECT source, source_size, least(cap, line * w) AS target FROM f),
+b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS base FROM t),
+g AS (SELECT source, h, sum(size) AS n FROM d GROUP BY source, h),
+c AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY h) - n / 2 AS middle FROM g)
+SELECT d.doc_id, d.size, b.source_size, b.target, (least(b.base + CASE WHEN c.middle <= b.target - b.base * b.source_size THEN 1 ELSE 0 END, {MAX_REPEATS}) * d.size)::BIGINT AS taken, d.source
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN c ON c.h = d.h AND c.source IS NOT DISTINCT FROM d.source"""

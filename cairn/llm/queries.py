@@ -67,4 +67,5 @@ ORACLES: dict[str, str] = {
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_chat": chat.ORACLE,
     "op9_quality_rules": quality_rules.oracle(),
+    "op10_mixing": mixing.ORACLE,
 }
