@@ -110,9 +110,11 @@ def fit(bags: list[np.ndarray], y: np.ndarray) -> Model:
         model = Model(np.zeros(FEATURES), np.ones(FEATURES))
         model.p["c"][:] = 0
         return model
-    x = np.concatenate(bags).astype(np.float64)
+    x = np.concatenate(bags)
     starts = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]]).astype(np.int64)
-    model = Model(x.mean(axis=0), x.std(axis=0) + 1e-3)
+    model = Model(x.mean(axis=0), x.std(axis=0) + np.float32(1e-3))
+    model.p = {k: w.astype(np.float32) for k, w in model.p.items()}
+    y = y.astype(np.float32)
     share = np.clip(y.mean(), 0.01, 0.99)
     model.p["b"][0] = np.log(share / (1 - share))
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
@@ -161,7 +163,7 @@ def _score_batches(model):
                     bags, held = [], 0
             if bags:
                 scores.append(m.score(bags))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(np.concatenate(scores), pa.float64())], ["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(np.concatenate(scores).astype(np.float64), pa.float64())], ["doc_id", "held_out", "score"])
 
     return run
 
