@@ -3,10 +3,10 @@
 A byte is eight binary decisions. For each decision there is a tree of contexts of 0 to ``DEPTH`` preceding bytes;
 every node has a Krichevsky-Trofimov estimate, and the weighted probability of a node is half its own estimate plus
 half the product of its children's. Counts come from all training texts; nodes are built by grouped sums, level by
-level, over all of them. Scoring looks nodes up in a table of fixed size, which is broadcast: the ``KEEP_NODES``
-nodes with the highest counts are kept, of nodes that meet in a slot the fuller one, and a tag tells a node from
-another that has its slot. A node that is not found counts as never seen. The base counts all words: frequent ones,
-of bounded number, are looked up in a broadcast dictionary, the rest by a join.
+level, over all of them, and all are kept. Texts are scored by their grams (a context and the byte after it):
+frequent grams, of bounded number, are looked up in a broadcast array of their exact values, the rest by joins to the
+stored nodes, with the same values. The base counts all words: frequent ones, of bounded number, are looked up in a
+broadcast dictionary, the rest by a join.
 """
 
 from __future__ import annotations
@@ -23,12 +23,7 @@ from pyspark.sql import functions as F
 from .common import remainder, stored
 
 DEPTH = 5
-SLOTS_LOG2 = 24
-SLOTS = 1 << SLOTS_LOG2  # four bytes each
-KEEP_NODES = 6_000_000
-#: A slot packs a tag of 8 bits and two log odds of 12 bits, which run from -SPAN to SPAN.
-SPAN, STEPS = 16.0, 4095
-KNOWN_GRAMS = 2_000_000  # a task remembers the results of so many grams
+FREQUENT_GRAMS = 6_000_000  # 16 bytes each
 END = 0xFF  # no byte of UTF-8; ends each text
 PIECE = 1 << 21
 FREQUENT_WORDS = 200_000
@@ -124,24 +119,6 @@ def _kt(a: Column, b: Column) -> Column:
     return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - _LOG_PI
 
 
-def slot(depth: int, context: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of a node in the table, and its tag (1 to 255); the context holds the last ``depth`` bytes."""
-    h = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + prefix.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64((depth * 0x165667B19E3779F9) & (2**64 - 1))
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64), ((h >> np.uint64(24)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-
-
-def _slot_batches(depth: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, tag = slot(depth, b.column("context").to_numpy(), b.column("prefix").to_numpy())
-            cell = (tag.astype(np.int64) << 24 | b.column("p").to_numpy().astype(np.int64) << 12 | b.column("w").to_numpy()).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), b.column("n"), pa.array(cell)], ["slot", "n", "cell"])
-
-    return run
-
-
 def nodes(gram_counts: DataFrame) -> list[DataFrame]:
     """Nodes of each depth, deepest first: context, prefix, n0, n1, log_pw (weighted) and gap (log odds of the own estimate against the children's)."""
     code, context = F.col("gram").bitwiseAND(255), F.shiftright("gram", 8)
@@ -176,84 +153,92 @@ def _cut(histogram: list, most: int) -> int:
     return least
 
 
-def table(levels: list[DataFrame]) -> np.ndarray:
-    """Tag, P(1) and weight of each slot, packed: SLOTS cells, whatever the corpus."""
-    rows = None
-    packed = lambda x: F.round((F.least(F.greatest(x, F.lit(-SPAN)), F.lit(SPAN)) + SPAN) * (STEPS / (2 * SPAN))).cast("int")
-    for k, level in enumerate(levels):
-        part = level.select("context", "prefix", (F.col("n0") + F.col("n1")).alias("n"), packed(F.log((F.col("n1") + 0.5) / (F.col("n0") + 0.5))).alias("p"), packed(F.col("gap")).alias("w"), F.lit(DEPTH - k).alias("depth"))
-        rows = part if rows is None else rows.unionByName(part)
-    least = _cut(rows.groupBy(_bucket(F.col("n")).alias("b")).agg(F.count("*").alias("v")).orderBy(F.desc("b")).collect(), KEEP_NODES)
-    slots = None
-    for depth in range(DEPTH + 1):
-        part = rows.where((F.col("depth") == depth) & (_bucket(F.col("n")) >= least)).drop("depth").mapInArrow(_slot_batches(depth), "slot int, n long, cell int")
-        slots = part if slots is None else slots.unionByName(part)
-    cells = stored(slots.groupBy("slot").agg(F.max_by("cell", F.struct("n", "cell")).alias("cell")), "ctw-table")
-    out = np.zeros(SLOTS, np.uint32)
-    for b in cells.toArrow().to_batches():
-        out[b.column("slot").to_numpy()] = b.column("cell").to_numpy().view(np.uint32)
-    return out
-
+def table(levels: list[DataFrame]) -> list[DataFrame]:
+    """All nodes of each depth, deepest first: context, prefix, and s and r, by which the path to the node mixes.
 
-def log10_of(unique: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    With t the chance of a one below a node, the mix of all depths is s + r * t. Below the deepest node of a path
+    nothing was seen and t is one half.
+    """
+    out: list[DataFrame] = []
+    for depth, level in enumerate(reversed(levels)):
+        own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
+        share = 1 / (1 + F.exp(-F.col("gap"))) if depth < DEPTH else F.lit(1.0)
+        if out:
+            above = out[-1].select(F.col("context").alias("up"), F.col("prefix").alias("at"), F.col("s").alias("s0"), F.col("r").alias("r0"))
+            level = level.join(above, (F.col("context").bitwiseAND((1 << 8 * (depth - 1)) - 1) == F.col("up")) & (F.col("prefix") == F.col("at")))
+        else:
+            level = level.select("*", F.lit(0.0).alias("s0"), F.lit(1.0).alias("r0"))
+        mixed = level.select("context", "prefix", (F.col("s0") + F.col("r0") * share * own).alias("s"), (F.col("r0") * (1 - share)).alias("r"))
+        out.append(stored(mixed, f"ctw-mixed-{depth}"))
+    return out[::-1]
+
+
+def _bit_log(p: Column, j: Column | int) -> Column:
+    bit = F.expr(f"shiftright(gram & 255, 7 - {j}) & 1")
+    return F.log10(F.when(bit == 1, p).otherwise(1 - p))
+
+
+def trained(gram_counts: DataFrame, cells: list[DataFrame]) -> DataFrame:
+    """gram, n, s (log10 probability) of every gram of the training texts: all its nodes exist down to the last depth."""
+    leaves = cells[0].groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("prefix", F.col("s").alias("p")))).alias("ps"))
+    rows = gram_counts.join(leaves, F.shiftright("gram", 8) == F.col("context"))
+    prefix = [F.expr(f"shiftleft(1L, {j}) | shiftright(gram & 255, 8 - {j})") for j in range(8)]
+    return stored(rows.select("gram", "n", sum((_bit_log(F.col("ps")[prefix[j]], j) for j in range(8)), F.lit(0.0)).alias("s")), "lm-grams")
+
+
+def untrained(found: DataFrame, cells: list[DataFrame]) -> DataFrame:
+    """gram, s of any grams: for each bit the deepest node of its path is looked up, depth by depth."""
+    step = found.select("gram", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j"))
+    rest = step.select("gram", "j", F.expr("shiftleft(1L, j) | shiftright(gram & 255, 8 - j)").alias("way"))
+    done = None
+    for k, level in enumerate(cells):
+        here = F.shiftright("gram", 8).bitwiseAND((1 << 8 * (DEPTH - k)) - 1)
+        joined = stored(rest.join(level, (here == F.col("context")) & (F.col("way") == F.col("prefix")), "left").select("gram", "j", "way", (F.col("s") + F.col("r") / 2).alias("p")), "lm-unseen")
+        met = joined.where("p IS NOT NULL").select("gram", "j", "p")
+        done = met if done is None else done.unionByName(met)
+        rest = joined.where("p IS NULL").select("gram", "j", "way")
+    done = done.unionByName(rest.select("gram", "j", F.lit(0.5).alias("p")))
+    return done.groupBy("gram").agg(F.sum(_bit_log(F.col("p"), "j")).alias("s"))
+
+
+def log10_of(unique: np.ndarray, cells: list[DataFrame]) -> np.ndarray:
     """log10 probability of each gram's byte after its context, all depths mixed for each of its eight bits."""
-    code, context = unique & 255, unique >> 8
-    chance = (1 / (1 + np.exp(SPAN - np.arange(STEPS + 1) * (2 * SPAN / STEPS)))).astype(np.float32)
-    half = np.uint32((STEPS + 1) // 2 << 12 | (STEPS + 1) // 2)
-    total = np.zeros(len(unique))
-    for j in range(8):
-        prefix, one = (1 << j) | (code >> (8 - j)), ((code >> (7 - j)) & 1).astype(bool)
-        mixed = None
-        for depth in range(DEPTH, -1, -1):
-            at, tag = slot(depth, context & ((1 << 8 * depth) - 1), prefix)
-            cell = cells[at]
-            cell[(cell >> np.uint32(24)) != tag] = half
-            own = chance[(cell >> np.uint32(12)) & np.uint32(STEPS)]
-            if mixed is not None:
-                share = chance[cell & np.uint32(STEPS)]
-                own = mixed + share * (own - mixed)
-            mixed = own
-        total += np.log10(np.where(one, mixed, 1 - mixed))
-    return total
-
-
-class Memo:
-    """Results of grams that the task has met, in order of their keys."""
-
-    def __init__(self, cells: np.ndarray) -> None:
-        self.cells, self.keys, self.values = cells, np.empty(0, np.int64), np.empty(0)
-
-    def __call__(self, unique: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.keys, unique), max(0, len(self.keys) - 1))
-        met = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
-        out = np.empty(len(unique))
-        out[met] = self.values[at[met]]
-        fresh = unique[~met]
-        out[~met] = new = log10_of(fresh, self.cells)
-        if len(self.keys) + len(fresh) > KNOWN_GRAMS:
-            self.keys, self.values = np.empty(0, np.int64), np.empty(0)
-        keys, values = np.concatenate([self.keys, fresh]), np.concatenate([self.values, new])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], values[order]
-        return out
+    found = cells[0].sparkSession.createDataFrame([(int(g),) for g in unique], "gram long")
+    by = {r.gram: r.s for r in untrained(found, cells).collect()}
+    return np.array([by[int(g)] for g in unique])
+
+
+def cached(unique: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the grams among the sorted ``keys`` (zero for others), and which those are."""
+    if not len(keys):
+        return np.zeros(len(unique)), np.zeros(len(unique), bool)
+    at = np.minimum(np.searchsorted(keys, unique), len(keys) - 1)
+    met = keys[at] == unique
+    return np.where(met, values[at], 0.0), met
 
 
 def _score_batches(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, frequent = model.value
-        get, memo = frequent.get, Memo(cells)
+        keys, values, frequent = model.value
+        get = frequent.get
         for b in batches:
             n = len(b)
             score, base = np.zeros(n), np.zeros(n)
             tokens, known, rare = np.zeros(n, np.int64), np.zeros(n, np.int64), []
             held: list[np.ndarray] = []
             owner: list[int] = []
+            seldom: list[list[np.ndarray]] = [[] for _ in range(n)]
 
-            def flush(held=held, owner=owner, score=score) -> None:
+            def flush(held=held, owner=owner, score=score, seldom=seldom) -> None:
                 codes, unique = pd.factorize(np.concatenate(held))
-                each = memo(unique)[codes]
+                each, met = cached(unique, keys, values)
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in held])[:-1]])
-                np.add.at(score, owner, np.add.reduceat(each, starts))
+                np.add.at(score, owner, np.add.reduceat(each[codes], starts))
+                if not met.all():
+                    missed = np.split(~met[codes], starts[1:])
+                    for k, x, m in zip(owner, held, missed, strict=True):
+                        if m.any():
+                            seldom[k].append(x[m])
                 held.clear()
                 owner.clear()
 
@@ -271,8 +256,8 @@ def _score_batches(model):
                         flush()
             if held:
                 flush()
-            cols = [b.column("id"), b.column("doc_id"), b.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+            cols = [b.column("id"), b.column("doc_id"), b.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.binary())), pa.array([np.concatenate(x) if x else np.empty(0, np.int64) for x in seldom], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "seldom"])
 
     return run
 
@@ -294,18 +279,29 @@ def score(docs: DataFrame) -> DataFrame:
     known = words.where(bucket >= least).select("word", logs.alias("s")).toArrow()
     frequent = dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist(), strict=True))
     del known
-    model = spark.sparkContext.broadcast((table(nodes(gram_counts)), frequent))
+    cells = table(nodes(gram_counts))
+    seen = trained(gram_counts, cells)
+    bound = _cut(seen.groupBy(bucket.alias("b")).agg(F.count("*").alias("v")).orderBy(F.desc("b")).collect(), FREQUENT_GRAMS)
+    often = seen.where(bucket >= bound).select("gram", "s").toArrow()
+    keys = often.column(0).to_numpy()
+    order = np.argsort(keys)
+    model = spark.sparkContext.broadcast((keys[order], often.column(1).to_numpy()[order], frequent))
+    del often, keys, order
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", (remainder(F.col("doc_id"), MODULUS) == HELD_OUT).alias("held_out"), "text")
-    schema = f"id long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>"
+    schema = f"id long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, seldom array<long>"
     scored = stored(rows.mapInArrow(_score_batches(model), schema), "lm-scored")
     rest = words.where(bucket < least)
     loose = scored.select("id", F.explode("rare").alias("word")).join(rest, "word", "left")
     unseen = F.lit(float(np.log10(1 / share)))
     per = loose.groupBy("id").agg(F.sum(F.coalesce(logs, unseen)).alias("rare_base"), F.count("n").alias("rare_known"))
     end = float(np.log10((ends + 1) / share))
-    return scored.drop("rare").join(per, "id", "left").select(
+    grams_of = scored.select("id", F.explode("seldom").alias("gram"))
+    sought = stored(grams_of.select("gram").distinct().join(seen.where(bucket < bound).select("gram", "s"), "gram", "left"), "lm-sought")
+    logs_of = sought.where("s IS NOT NULL").unionByName(untrained(sought.where("s IS NULL").select("gram"), cells))
+    per_gram = grams_of.join(stored(logs_of, "lm-seldom"), "gram").groupBy("id").agg(F.sum("s").alias("seldom_score"))
+    return scored.drop("rare", "seldom").join(per, "id", "left").join(per_gram, "id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(end)).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(end)).alias("base_score"), (F.col("score") + F.coalesce("seldom_score", F.lit(0.0))).alias("score"),
     )

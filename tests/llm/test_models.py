@@ -152,6 +152,18 @@ def test_rare_words_go_through_the_join(spark, monkeypatch):
     assert all(math.isclose(whole[k][0], part[k][0]) and whole[k][1] == part[k][1] for k in whole)
 
 
+@pytest.mark.parametrize("most", [0, 40, 10**6])
+def test_all_nodes_count_whatever_is_broadcast(spark, monkeypatch, most):
+    """Grams beyond the broadcast ones score by the whole tree, with the same values."""
+    texts = ["the cat sat on the mat", "the dog sat on the cat", "ein Hund saß da", "zzz", "the mat sat", "quite another text", "the cats"]
+    rows = [(k, t) for k, t in enumerate(texts * 2)]
+    monkeypatch.setattr(lm_ctw, "FREQUENT_GRAMS", most, raising=False)
+    monkeypatch.setattr(lm_ctw, "KEEP_NODES", most, raising=False)
+    got = {r.doc_id: r.score for r in lm_ctw.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    train = [t for k, t in rows if not held(k, 7, 2)]
+    assert all(math.isclose(got[k], ctw(t, train), rel_tol=1e-7) for k, t in rows)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(lm_ctw, "PIECE", 7)
     raw = bytes(range(97, 120))
