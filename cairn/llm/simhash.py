@@ -22,6 +22,7 @@ from .common import free_prefix, row_key, stored
 
 SEED = 42
 LEAF = 64
+COMMON = 200_000
 SMALL = 64
 #: Odd multipliers that turn one shingle hash into further ones, for fingerprints of more than 64 bits.
 MIXERS = tuple(np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1)) for k in range(16))
@@ -303,7 +304,12 @@ def components(links: DataFrame) -> DataFrame:
 def grouped(prints: DataFrame, masks: Callable[[int], list[np.ndarray]], bits: int, radius: int) -> DataFrame:
     """``prints`` with component_id: the smallest doc_id that its fingerprint reaches (null if no member has one). ``masks`` gives the keys for a number of fingerprints."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "sim-nodes")
-    found = components(edges(nodes, masks(nodes.count()), bits, radius))
+    return joined(prints, nodes, edges(nodes, masks(nodes.count()), bits, radius))
+
+
+def joined(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``prints`` with component_id, by links between its fingerprints ``nodes``."""
+    found = components(links)
     named = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     least = stored(named.join(nodes, named["node"] == nodes["fp"]).groupBy("root").agg(F.min("least").alias("component_id")), "sim-least")
     member = stored(named.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "sim-members")
@@ -311,6 +317,200 @@ def grouped(prints: DataFrame, masks: Callable[[int], list[np.ndarray]], bits: i
     return prints.join(member.unionByName(alone), "fp")
 
 
+def _least_common(n: int) -> int:
+    """Shingles that a set of ``n`` shares at least with any set of Jaccard similarity 0.8 to it."""
+    return (4 * n + 4) // 5
+
+
+def _sketch(h: np.ndarray) -> bytes:
+    """512 bits, each the parity of the elements that fall on it: two sketches differ in no more bits than the sets in elements."""
+    return np.packbits((np.bincount(((h * MIXERS[1]) >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)).tobytes()
+
+
+def _shingle_batches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes(t.as_py(), width)).view(np.int64))], ["shingle"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles, sorted, and their counts, by a sixteenth of the documents. They only set an order, in which they come last; any order finds all pairs."""
+    some = docs.where(F.pmod(row_key(docs["doc_id"], docs["text"]), F.lit(16)) == 0).select("text")
+    counted = some.mapInArrow(_shingle_batches(width), "shingle long").groupBy("shingle").count().where("count > 2")
+    top = counted.orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()
+    h, n = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def _rare_first(h: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    keys, counts = common
+    if not len(keys):
+        return h
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return h[np.lexsort((h, np.where(keys[at] == h, counts[at], 0)))]
+
+
+def _set_batches(width: int, common):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), width)) for t in b.column("text")]
+            prints = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
+            heads = [_rare_first(h, common.value)[: len(h) - _least_common(len(h)) + 1].tobytes() for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(prints, pa.binary()), pa.array([len(h) for h in sets], pa.int32()), pa.array(heads, pa.binary()), pa.array(map(_sketch, sets), pa.binary())], ["doc_id", "key", "fp", "size", "head", "sketch"])
+
+    return run
+
+
+def _head_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, len(b), 500):
+            part = b.slice(at, 500)
+            heads = [np.frombuffer(h, np.int64) for h in part.column("head").to_pylist()]
+            lengths = [len(h) for h in heads]
+            which = np.repeat(np.arange(len(heads)), lengths)
+            if not len(which):
+                continue
+            place = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads)), part.column("fp").take(pa.array(which)), part.column("size").take(pa.array(which)), pa.array(place)], ["shard", "fp", "size", "place"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by shard, put together such that no shard is cut."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        if not len(b):
+            continue
+        held.append(b)
+        rows += len(b)
+        if rows < 200_000 or held[0].column("shard")[0] == b.column("shard")[-1]:
+            continue
+        whole = pa.Table.from_batches(held)
+        shard = whole.column("shard").to_numpy()
+        cut = int(np.searchsorted(shard, shard[-1]))
+        yield whole.slice(0, cut)
+        held = whole.slice(cut).combine_chunks().to_batches()
+        rows = len(shard) - cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _ends(shard: np.ndarray) -> np.ndarray:
+    cuts = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard))
+    return np.repeat(cuts, np.diff(cuts, prepend=0))
+
+
+def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose shard has another row."""
+    for t in _whole(batches):
+        shard = t.column("shard").to_numpy()
+        same = shard[1:] == shard[:-1]
+        yield from t.filter(pa.array(np.append(same, False) | np.append(False, same))).to_batches()
+
+
+def _may_reach(size: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets that share the shingle at these places can have a similarity of 0.8; no true pair fails where its first common shingle is."""
+    most = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
+    return (5 * np.minimum(size[a], size[b]) >= 4 * np.maximum(size[a], size[b])) & (9 * most >= 4 * (size[a] + size[b]))
+
+
+def _pair_batches(cross: bool):
+    """Candidates (a, b): of each shard its neighbours and all with the first, or all that are not yet of one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches):
+            fp = t.column("fp").combine_chunks()
+            size, place = t.column("size").to_numpy().astype(np.int64), t.column("place").to_numpy().astype(np.int64)
+            ends = _ends(t.column("shard").to_numpy())
+            at = np.arange(len(ends))
+            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(at), 8)
+
+            def close_enough(a: np.ndarray, b: np.ndarray, size=size, place=place, sketch=sketch) -> np.ndarray:
+                ok = _may_reach(size, place, a, b)
+                ok[ok] = 9 * distances(sketch[a[ok]], sketch[b[ok]]) <= size[a[ok]] + size[b[ok]]
+                return ok
+
+            def out(a: np.ndarray, b: np.ndarray, fp=fp) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([fp.take(pa.array(a)), fp.take(pa.array(b))], ["a", "b"])
+
+            if not cross:
+                first = np.append(0, ends[:-1])
+                first[1:][ends[1:] == ends[:-1]] = 0
+                first = np.maximum.accumulate(first)
+                for other in (first, np.maximum(at - 1, first)):
+                    ok = (other < at) & close_enough(other, at)
+                    yield out(other[ok], at[ok])
+                continue
+            codes = np.unique(t.column("root").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            # From the last row on: the next place at which the group changes; rows before it need no comparison.
+            change = np.append(np.where((codes[1:] != codes[:-1]) | (ends[1:] != ends[:-1]), at[1:], len(at) + 1), len(at) + 1)
+            nxt = np.minimum.accumulate(change[::-1])[::-1]
+            here, there = at, nxt
+            while True:
+                go = there < ends[here]
+                here, there = here[go], there[go]
+                close = 5 * size[here] >= 4 * size[there]  # sizes ascend within a shard
+                here, there = here[close], there[close]
+                if not len(here):
+                    break
+                ok = (codes[here] != codes[there]) & close_enough(here, there)
+                if ok.any():
+                    yield out(here[ok], there[ok])
+                there = np.where(codes[here] == codes[there], nxt[there], there + 1)
+
+    return run
+
+
+def _text_set_batches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("fp"), pa.array([np.unique(shingle_hashes(t.as_py(), width)).tobytes() for t in b.column("text")], pa.binary())], ["fp", "hashes"])
+
+    return run
+
+
+def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keep = []
+        for x, y in zip(b.column("x"), b.column("y"), strict=True):
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
+        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more, by the texts themselves."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "sim-pairs")
+    named = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(nodes.select("fp", "key"), "fp")
+    texts = docs.select(row_key(docs["doc_id"], docs["text"]).alias("key"), "text").join(named, "key").select("fp", "text")
+    sets = stored(texts.mapInArrow(_text_set_batches(width), "fp binary, hashes binary").dropDuplicates(["fp"]), "sim-sets")
+    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b")
+    return stored(both.select("a", "b", "x", "y").mapInArrow(_verify_batches, "a binary, b binary"), "sim-links")
+
+
+def similar(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """a, b: links that connect all sets of Jaccard similarity 0.8 or more, and none below it.
+
+    Of two such sets, ordered alike, the first fifth (and one) of each share a shingle, so shards by these shingles
+    lose no pair. Pairs that sizes, places or sketches show to be below 0.8 are not compared. Links to the first and next of a shard are verified and grouped; then all pairs of a shard that lie
+    in different groups are, so that a large group of near copies is not compared pair by pair.
+    """
+    heads = nodes.select("fp", "size", "head").mapInArrow(_head_batches, "shard long, fp binary, size int, place int")
+    order = ["shard", "size", "fp"]
+    kept = heads.repartition("shard").sortWithinPartitions(*order).mapInArrow(_shared_batches, heads.schema)
+    shared = stored(kept.join(nodes.select("fp", "sketch"), "fp").select("shard", "fp", "size", "place", "sketch"), "sim-shared")
+    dealt = shared.repartition("shard").sortWithinPartitions(*order)
+    near = verified(dealt.mapInArrow(_pair_batches(False), "a binary, b binary"), nodes, docs, width)
+    group = components(near).select(F.col("node").alias("fp"), "root")
+    rooted = shared.join(stored(group, "sim-roots"), "fp", "left").select("shard", "fp", "size", "place", "sketch", F.coalesce("root", "fp").alias("root"))
+    far = rooted.repartition("shard").sortWithinPartitions("shard", "size", "fp")
+    return near.unionByName(verified(far.mapInArrow(_pair_batches(True), "a binary, b binary"), nodes, docs, width))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 64, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (hex), component_id for every row of ``docs``; links are exact for the radius.
 
@@ -329,12 +529,16 @@ STAGE = {"width": 5, "bits": 512, "radius": 93, "differ": 78 / 512}
 def keep_one(docs: DataFrame, width: int = 5, bits: int = 512, radius: int = 93, differ: float = 78 / 512) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest doc_id stays, whole and unchanged.
 
-    A radius this wide has no selective exact blocks, so keys are random sets of bits, as many as let a pair at 0.8
-    (the share ``differ`` of all bits apart) meet with chance 0.95, at 0.85 with 0.99; links of third texts add to that.
-    Fingerprints of groups without any doc_id are kept once each. Columns are those of ``docs``.
+    Groups are connected by pairs of Jaccard similarity 0.8 or more of their shingle sets: all such pairs, whatever
+    SimHash says of them, and no others. Groups without any doc_id are kept once each. Columns are those of ``docs``.
     """
-    prints = stored(fingerprints(docs, width, bits), "sim-prints")
-    member = grouped(prints, lambda n: sampled_masks(bits, *sampled_size(n, differ)), bits, radius)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    picked = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
+    prints = stored(picked.mapInArrow(_set_batches(width, common), f"doc_id {kind}, key long, fp binary, size int, head binary, sketch binary"), "sim-prints")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("size").alias("size"), F.first("head").alias("head"), F.first("sketch").alias("sketch")), "sim-nodes")
+    prints = prints.select("doc_id", "key", "fp")
+    member = joined(prints, nodes, similar(nodes, docs, width))
     # One key per group: its smallest doc_id; among rows that share it, the smallest key.
     unit = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
     k = free_prefix(docs, "_n_") + "key"

@@ -120,3 +120,18 @@ def test_stage_finds_near_copies(spark):
             groups[len(rows) - 1] = g
     kept = [r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert len({groups[k] for k in kept}) == 40 and len(kept) <= 44
+
+
+def test_stage_links_by_exact_similarity_only(spark):
+    """Isolated pairs on both sides of 0.8: each one above goes, none below."""
+    rng = random.Random(5)
+    rows, above = [], set()
+    for g in range(400):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        copy = text[: rng.randrange(140, 190)] + [f"v{rng.randrange(10**6)}" for _ in range(10)]
+        sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (text, copy)]
+        if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
+            above.add(2 * g + 1)
+        rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join(copy))]
+    kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert above and len(above) < 400 and kept == set(range(800)) - above
