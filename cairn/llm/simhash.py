@@ -521,8 +521,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 64, radius: int
     return grouped(prints, lambda n: block_masks(bits, radius, n), bits, radius).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline's similarity: shingles of five words and a similarity of 0.8 or more. Two texts of Jaccard similarity J
-#: differ in about acos(2J / (1 + J)) / pi of all bits, 78 of 512 at 0.8 with a deviation of 8; the radius adds 1.9 of these.
+#: The pipeline's shingles have five words. Bits, radius and differ belong to the search by sampled keys, which keep_one no longer uses.
 STAGE = {"width": 5, "bits": 512, "radius": 93, "differ": 78 / 512}
 
 

@@ -135,3 +135,14 @@ def test_stage_links_by_exact_similarity_only(spark):
         rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join(copy))]
     kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert above and len(above) < 400 and kept == set(range(800)) - above
+
+
+def test_stage_loses_no_isolated_pair_at_the_threshold(spark):
+    rng = random.Random(9)
+    rows = []
+    for g in range(300):
+        text = [f"w{rng.randrange(10**7)}" for _ in range(204)]
+        copy = text[:182] + [f"v{rng.randrange(10**7)}" for _ in range(22)]  # 178 of 222 shingles are common
+        rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join(copy))]
+    kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(0, 600, 2))
