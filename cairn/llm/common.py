@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space and the controls 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
+#: Tables up to this size may be dealt anew before work on them starts.
+SMALL_BYTES = 128 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table under ``sf_dir``; where its files give fewer tasks than there are cores, as one small file does, its rows are dealt over all."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table under ``sf_dir``. One of a few small files is dealt over all cores, since a small file gives one task; a table beyond SMALL_BYTES is read as it lies."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.count("*").alias("n"), F.sum("length").alias("size")).first()
+    return df.repartition(cores) if files.n < cores and (files.size or 0) <= SMALL_BYTES else df
 
 
 def fold_case(text: Column) -> Column:
@@ -49,9 +56,12 @@ def row_key(doc_id: Column, text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local master gets a folder of its own, and a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         base = f"file://{tempfile.gettempdir()}/checkpoints"
@@ -59,12 +69,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cairn-{spark.sparkContext.applicationId}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path in the shared folder, deleted when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    target, files = _file_system(spark, path)
+    files.deleteOnExit(target)
     return path
 
 
@@ -76,4 +90,37 @@ def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete the files of frames from stored() that nothing reads any more."""
+    for df in frames:
+        target, files = _file_system(df.sparkSession, df.scratch_path)
+        files.delete(target, True)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """Batches sorted by ``key``, put together to some ``rows`` rows such that no group is cut."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        if not len(b):
+            continue
+        held.append(b)
+        n += len(b)
+        if n < rows or held[0].column(key)[0] == b.column(key)[-1]:
+            continue
+        whole = pa.Table.from_batches(held)
+        last = b.column(key)[-1]
+        at = b.column(key).index(last).as_py()
+        cut = n - len(b) + at
+        if not at:  # the last group may have begun in a batch before
+            keys = whole.column(key).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
+        yield whole.slice(0, cut)
+        held, n = whole.slice(cut).to_batches(), n - cut
+    if held:
+        yield pa.Table.from_batches(held)

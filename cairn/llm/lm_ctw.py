@@ -2,11 +2,15 @@
 
 A byte is eight binary decisions. For each decision there is a tree of contexts of 0 to ``DEPTH`` preceding bytes;
 every node has a Krichevsky-Trofimov estimate, and the weighted probability of a node is half its own estimate plus
-half the product of its children's. Counts come from all training texts; nodes are built by grouped sums, level by
-level, over all of them, and all are kept. Texts are scored by their grams (a context and the byte after it):
-frequent grams, of bounded number, are looked up in a broadcast array of their exact values, the rest by joins to the
-stored nodes, with the same values. The base counts all words: frequent ones, of bounded number, are looked up in a
-broadcast dictionary, the rest by a join.
+half the product of its children's. Counts come from all training texts, and all nodes count.
+
+The tree is never stored as nodes. Grams (a context and the byte after it) are counted over the corpus and dealt by the
+last ``SPLIT`` bytes of their context; the part of the tree below such a context is weighed at once in the task that
+has its grams, at most 2^24 of them. What leaves the task is eight mixed chances a gram, and the sums that the levels
+above need, which are few and are built by grouped sums. Grams of held-out texts are in the tables with a count of
+zero: they change no estimate and are scored as all others are. Texts are scored by their grams: frequent ones, of
+bounded number, are looked up in a broadcast array, the rest by a join to the same values.
+The base counts all words: frequent ones, of bounded number, are looked up in a broadcast dictionary, the rest by a join.
 """
 
 from __future__ import annotations
@@ -20,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, stored
+from .common import drop, remainder, stored, whole_groups
 
-DEPTH = 5
+DEPTH, SPLIT = 5, 3
 FREQUENT_GRAMS = 6_000_000  # 16 bytes each
 END = 0xFF  # no byte of UTF-8; ends each text
 PIECE = 1 << 21
@@ -55,10 +59,10 @@ def _tally(held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (word, n) and (gram, n), summed up over the task as far as memory allows, then again by Spark."""
+    """Rows (word, n) and (gram, n), summed up over the task as far as memory allows, then again by Spark. Held-out texts give grams with n = 0."""
     words: Counter[bytes] = Counter()
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    raw_keys: list[np.ndarray] = []
+    raw_keys: dict[bool, list[np.ndarray]] = {True: [], False: []}
     pending = docs = 0
 
     def rows(word: list[bytes] | None, gram: np.ndarray | None, n) -> pa.RecordBatch:
@@ -66,19 +70,26 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         cols = [pa.array(word, pa.binary()) if word is not None else pa.nulls(size, pa.binary()), pa.array(gram, pa.int64()) if gram is not None else pa.nulls(size, pa.int64()), pa.array(n, pa.int64())]
         return pa.RecordBatch.from_arrays(cols, ["word", "gram", "n"])
 
+    def tally_pending() -> None:
+        nonlocal pending
+        for counted, some in raw_keys.items():
+            if some:
+                codes, unique = pd.factorize(np.concatenate(some))
+                held.append((unique, np.bincount(codes, minlength=len(unique)) * counted))
+                some.clear()
+        pending = 0
+
     for b in batches:
-        for text in b.column(0):
+        for text, counted in zip(b.column("text"), b.column("counted").to_pylist(), strict=True):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            docs += 1
-            words.update(raw.lower().split())
+            if counted:
+                docs += 1
+                words.update(raw.lower().split())
             for piece in pieces(raw):
-                raw_keys.append(grams(piece))
-                pending += len(raw_keys[-1])
+                raw_keys[counted].append(grams(piece))
+                pending += len(raw_keys[counted][-1])
             if pending > PIECE:
-                keys = np.concatenate(raw_keys)
-                codes, unique = pd.factorize(keys)
-                held.append((unique, np.bincount(codes, minlength=len(unique))))
-                raw_keys, pending = [], 0
+                tally_pending()
                 if sum(len(k) for k, _ in held) > 3_000_000:
                     held = _tally(held)
                     if len(held[0][0]) > 1_500_000:
@@ -87,8 +98,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if len(words) > 400_000:
                 yield rows(list(words), None, list(words.values()))
                 words = Counter()
-    if raw_keys:
-        held += _tally([(k, np.ones(len(k))) for k in raw_keys])
+    tally_pending()
     if held:
         yield rows(None, *_tally(held)[0])
     if words:
@@ -99,18 +109,18 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def counts(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """word counts, gram counts, and the number of training texts, from all documents that are not held out."""
-    rows = docs.where(remainder(F.col("doc_id"), MODULUS) != HELD_OUT).select("text").mapInArrow(_count_batches, "word binary, gram long, n long")
-    sums = rows.groupBy("word", "gram").agg(F.sum("n").alias("n")).withColumn("kind", F.when(F.col("word").isNotNull(), "word").when(F.col("gram").isNotNull(), "gram").otherwise("end"))
-    sums = stored(sums, "lm-counts")
-    ends = sums.where("kind = 'end'").agg(F.sum("n")).first()[0] or 0
-    return sums.where("kind = 'word'").select("word", "n"), sums.where("kind = 'gram'").select("gram", "n"), ends
+    """word counts, gram counts (zero for grams of held-out texts alone), and the number of training texts."""
+    picked = docs.select("text", (remainder(F.col("doc_id"), MODULUS) != HELD_OUT).alias("counted"))
+    rows = picked.mapInArrow(_count_batches, "word binary, gram long, n long")
+    sums = stored(rows.groupBy("word", "gram").agg(F.sum("n").alias("n")), "lm-counts")
+    ends = sums.where("word IS NULL AND gram IS NULL").agg(F.sum("n")).first()[0] or 0
+    return sums.where("word IS NOT NULL").select("word", "n"), sums.where("gram IS NOT NULL").select("gram", "n"), ends
 
 
 def _lgamma(x: Column) -> Column:
     """log gamma for x >= 0.5: Stirling's series six places further on."""
     y = x + 6
-    series = (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y)
+    series = (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
     return series - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
 
 
@@ -119,21 +129,124 @@ def _kt(a: Column, b: Column) -> Column:
     return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - _LOG_PI
 
 
-def nodes(gram_counts: DataFrame) -> list[DataFrame]:
-    """Nodes of each depth, deepest first: context, prefix, n0, n1, log_pw (weighted) and gap (log odds of the own estimate against the children's)."""
-    code, context = F.col("gram").bitwiseAND(255), F.shiftright("gram", 8)
-    step = gram_counts.select(context.alias("context"), code.alias("code"), "n", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j"))
-    prefix = F.expr("shiftleft(1L, j) | shiftright(code, 8 - j)")
-    bit = F.expr("shiftright(code, 7 - j) & 1")
-    level = step.groupBy("context", prefix.alias("prefix")).agg(F.sum(F.col("n") * (1 - bit)).alias("n0"), F.sum(F.col("n") * bit).alias("n1"))
-    level = stored(level.withColumn("log_pw", _kt(F.col("n0"), F.col("n1"))).withColumn("gap", F.lit(0.0)), f"ctw-{DEPTH}")
-    out = [level]
-    for depth in range(DEPTH - 1, -1, -1):
+_TABLE = 1 << 10
+_LOG_GAMMA = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, _TABLE)))])  # of n + 1
+_LOG_GAMMA_HALF = np.concatenate([[_LOG_PI / 2], _LOG_PI / 2 + np.cumsum(np.log(np.arange(1, _TABLE) - 0.5))])  # of n + 1/2
+
+
+def _log_gamma(n: np.ndarray, table: np.ndarray, add: float) -> np.ndarray:
+    """log gamma of n + add: from the table, or by Stirling's series beyond it."""
+    y = np.maximum(n, _TABLE) + add
+    series = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3)
+    return np.where(n < _TABLE, table[np.minimum(n, _TABLE - 1).astype(np.int64)], series)
+
+
+def kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log of the KT estimate of a zeros and b ones in any order."""
+    return _log_gamma(a, _LOG_GAMMA_HALF, 0.5) + _log_gamma(b, _LOG_GAMMA_HALF, 0.5) - _log_gamma(a + b, _LOG_GAMMA, 1.0) - _LOG_PI
+
+
+def subtree(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+    """Of sorted, distinct grams, all that share their last SPLIT bytes of context: the chance of a one for each of the
+    eight bits, all depths from DEPTH to SPLIT mixed, and for each bit (context, prefix, n0, n1, log_pw) of the nodes at SPLIT.
+    """
+    mixed = np.empty((8, len(key)))
+    n = n.astype(np.float64)
+    at = np.arange(len(key))  # the row of each gram at the present depth
+    up, below, top = at, [], []
+    for depth in range(DEPTH, SPLIT - 1, -1):
+        if depth < DEPTH:
+            key, up = np.unique(key & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+            n, at = np.bincount(up, n), up[at]
+        here = []
+        for j in range(8):
+            part = key >> (8 - j)
+            begins = np.append(True, part[1:] != part[:-1])
+            starts, node = np.flatnonzero(begins), np.cumsum(begins) - 1
+            bit = key >> (7 - j) & 1
+            n0, n1 = np.add.reduceat(n * (1 - bit), starts), np.add.reduceat(n * bit, starts)
+            own, log_pe = (n1 + 0.5) / (n0 + n1 + 1), kt(n0, n1)
+            if depth == DEPTH:
+                log_pw, mixed[j] = log_pe, own[node]
+            else:
+                from_, weighted = below[j]
+                kids = np.bincount(node[up[from_]], weighted, len(starts))
+                share = 1 / (1 + np.exp(-np.clip(log_pe - kids, -700, 700)))
+                log_pw = np.logaddexp(log_pe, kids) - np.log(2)
+                mixed[j] = (share * own)[node[at]] + (1 - share)[node[at]] * mixed[j]
+            here.append((starts, log_pw))
+            if depth == SPLIT:
+                first = key[starts]
+                top.append((first >> 8, 1 << j | (first & 255) >> (8 - j), n0, n1, log_pw))
+        below = here
+    return mixed, top
+
+
+_BITS = [f"q{j}" for j in range(8)]
+
+
+def _tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of grams with their eight chances, and rows of nodes at SPLIT, with the columns of the others null."""
+    names = ["gram", "n", *_BITS, "context", "prefix", "n0", "n1", "log_pw"]
+    for t in whole_groups(batches, "part", 400_000):
+        key, n = t.column("gram").to_numpy(), t.column("n").to_numpy()
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        mixed, top = subtree(key, n)
+        size = len(key)
+        empty = [pa.nulls(size, k) for k in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), *map(pa.array, mixed), *empty], names)
+        context, prefix, n0, n1, log_pw = (np.concatenate(x) for x in zip(*top, strict=True))
+        size = len(context)
+        empty = [pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), *[pa.nulls(size, pa.float64())] * 8]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(context, pa.int32()), pa.array(prefix, pa.int32()), pa.array(n0.astype(np.int64)), pa.array(n1.astype(np.int64)), pa.array(log_pw)], names)
+
+
+def values(gram_counts: DataFrame) -> DataFrame:
+    """gram, n, s (log10 probability of the byte after its context, all depths mixed) for each of the distinct grams given."""
+    part = F.shiftright("gram", 8).bitwiseAND((1 << 8 * SPLIT) - 1).cast("int")
+    dealt = gram_counts.select("gram", "n", part.alias("part")).repartition("part").sortWithinPartitions("part")
+    schema = f"gram long, n long, {', '.join(f'{q} double' for q in _BITS)}, context int, prefix int, n0 long, n1 long, log_pw double"
+    low = stored(dealt.mapInArrow(_tree_batches, schema), "ctw-low")
+    cells = mixed_above(low.where("context IS NOT NULL").select("context", "prefix", "n0", "n1", "log_pw"))
+    pair = F.map_from_entries(F.collect_list(F.struct("prefix", F.struct("s", "r").alias("v"))))
+    slots = cells.groupBy(F.col("context").alias("c")).agg(pair.alias("m")).select("c", F.transform(F.sequence(F.lit(0), F.lit(255)), lambda k: F.col("m")[k]).alias("v"))
+    own = F.shiftright("gram", 8).bitwiseAND((1 << 8 * (SPLIT - 1)) - 1).cast("int")
+    rows = low.where("gram IS NOT NULL").select("gram", "n", *_BITS, own.alias("c")).join(slots, "c")
+
+    def log_of(j: int) -> Column:
+        v = F.col("v")[F.expr(f"cast(shiftleft(1L, {j}) | shiftright(gram & 255, {8 - j}) AS int)")]
+        p = v["s"] + v["r"] * F.col(f"q{j}")
+        return F.log10(F.when(F.expr(f"shiftright(gram & 255, {7 - j}) & 1") == 1, p).otherwise(1 - p))
+
+    out = stored(rows.select("gram", "n", sum((log_of(j) for j in range(8)), F.lit(0.0)).alias("s")), "lm-grams")
+    drop(low, cells)
+    return out
+
+
+def mixed_above(level: DataFrame) -> DataFrame:
+    """context, prefix, s and r of the nodes at SPLIT - 1, by their children: with t the chance of a one below such a
+    node, all depths mixed give s + r * t. At most 2^16 contexts of 255 nodes each, whatever the corpus.
+    """
+    levels: list[DataFrame] = []
+    for depth in range(SPLIT - 1, -1, -1):
         up = level.groupBy(F.col("context").bitwiseAND((1 << 8 * depth) - 1).alias("context"), "prefix").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("log_pw").alias("kids"))
         own = up.withColumn("log_pe", _kt(F.col("n0"), F.col("n1"))).withColumn("gap", F.least(F.greatest(F.col("log_pe") - F.col("kids"), F.lit(-700.0)), F.lit(700.0)))
         weighted = F.greatest("log_pe", "kids") + F.log1p(F.exp(-F.abs("gap"))) - float(np.log(2))
         level = stored(own.select("context", "prefix", "n0", "n1", weighted.alias("log_pw"), "gap"), f"ctw-{depth}")
-        out.append(level)
+        levels.append(level)
+    out = None
+    for depth, level in enumerate(reversed(levels)):
+        own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
+        share = 1 / (1 + F.exp(-F.col("gap")))
+        if out is not None:
+            above = out.select(F.col("context").alias("up"), F.col("prefix").alias("at"), F.col("s").alias("s0"), F.col("r").alias("r0"))
+            level = level.join(above, (F.col("context").bitwiseAND((1 << 8 * (depth - 1)) - 1) == F.col("up")) & (F.col("prefix") == F.col("at")))
+        else:
+            level = level.select("*", F.lit(0.0).alias("s0"), F.lit(1.0).alias("r0"))
+        out = level.select("context", "prefix", (F.col("s0") + F.col("r0") * share * own).alias("s"), (F.col("r0") * (1 - share)).alias("r"))
+    out = stored(out, "ctw-mixed")
+    drop(*levels)
     return out
 
 
@@ -153,61 +266,6 @@ def _cut(histogram: list, most: int) -> int:
     return least
 
 
-def table(levels: list[DataFrame]) -> list[DataFrame]:
-    """All nodes of each depth, deepest first: context, prefix, and s and r, by which the path to the node mixes.
-
-    With t the chance of a one below a node, the mix of all depths is s + r * t. Below the deepest node of a path
-    nothing was seen and t is one half.
-    """
-    out: list[DataFrame] = []
-    for depth, level in enumerate(reversed(levels)):
-        own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
-        share = 1 / (1 + F.exp(-F.col("gap"))) if depth < DEPTH else F.lit(1.0)
-        if out:
-            above = out[-1].select(F.col("context").alias("up"), F.col("prefix").alias("at"), F.col("s").alias("s0"), F.col("r").alias("r0"))
-            level = level.join(above, (F.col("context").bitwiseAND((1 << 8 * (depth - 1)) - 1) == F.col("up")) & (F.col("prefix") == F.col("at")))
-        else:
-            level = level.select("*", F.lit(0.0).alias("s0"), F.lit(1.0).alias("r0"))
-        mixed = level.select("context", "prefix", (F.col("s0") + F.col("r0") * share * own).alias("s"), (F.col("r0") * (1 - share)).alias("r"))
-        out.append(stored(mixed, f"ctw-mixed-{depth}"))
-    return out[::-1]
-
-
-def _bit_log(p: Column, j: Column | int) -> Column:
-    bit = F.expr(f"shiftright(gram & 255, 7 - {j}) & 1")
-    return F.log10(F.when(bit == 1, p).otherwise(1 - p))
-
-
-def trained(gram_counts: DataFrame, cells: list[DataFrame]) -> DataFrame:
-    """gram, n, s (log10 probability) of every gram of the training texts: all its nodes exist down to the last depth."""
-    leaves = cells[0].groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("prefix", F.col("s").alias("p")))).alias("ps"))
-    rows = gram_counts.join(leaves, F.shiftright("gram", 8) == F.col("context"))
-    prefix = [F.expr(f"shiftleft(1L, {j}) | shiftright(gram & 255, 8 - {j})") for j in range(8)]
-    return stored(rows.select("gram", "n", sum((_bit_log(F.col("ps")[prefix[j]], j) for j in range(8)), F.lit(0.0)).alias("s")), "lm-grams")
-
-
-def untrained(found: DataFrame, cells: list[DataFrame]) -> DataFrame:
-    """gram, s of any grams: for each bit the deepest node of its path is looked up, depth by depth."""
-    step = found.select("gram", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j"))
-    rest = step.select("gram", "j", F.expr("shiftleft(1L, j) | shiftright(gram & 255, 8 - j)").alias("way"))
-    done = None
-    for k, level in enumerate(cells):
-        here = F.shiftright("gram", 8).bitwiseAND((1 << 8 * (DEPTH - k)) - 1)
-        joined = stored(rest.join(level, (here == F.col("context")) & (F.col("way") == F.col("prefix")), "left").select("gram", "j", "way", (F.col("s") + F.col("r") / 2).alias("p")), "lm-unseen")
-        met = joined.where("p IS NOT NULL").select("gram", "j", "p")
-        done = met if done is None else done.unionByName(met)
-        rest = joined.where("p IS NULL").select("gram", "j", "way")
-    done = done.unionByName(rest.select("gram", "j", F.lit(0.5).alias("p")))
-    return done.groupBy("gram").agg(F.sum(_bit_log(F.col("p"), "j")).alias("s"))
-
-
-def log10_of(unique: np.ndarray, cells: list[DataFrame]) -> np.ndarray:
-    """log10 probability of each gram's byte after its context, all depths mixed for each of its eight bits."""
-    found = cells[0].sparkSession.createDataFrame([(int(g),) for g in unique], "gram long")
-    by = {r.gram: r.s for r in untrained(found, cells).collect()}
-    return np.array([by[int(g)] for g in unique])
-
-
 def cached(unique: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of the grams among the sorted ``keys`` (zero for others), and which those are."""
     if not len(keys):
@@ -279,10 +337,10 @@ def score(docs: DataFrame) -> DataFrame:
     known = words.where(bucket >= least).select("word", logs.alias("s")).toArrow()
     frequent = dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist(), strict=True))
     del known
-    cells = table(nodes(gram_counts))
-    seen = trained(gram_counts, cells)
-    bound = _cut(seen.groupBy(bucket.alias("b")).agg(F.count("*").alias("v")).orderBy(F.desc("b")).collect(), FREQUENT_GRAMS)
-    often = seen.where(bucket >= bound).select("gram", "s").toArrow()
+    seen = values(gram_counts)
+    some = seen.where("n > 0")
+    bound = _cut(some.groupBy(bucket.alias("b")).agg(F.count("*").alias("v")).orderBy(F.desc("b")).collect(), FREQUENT_GRAMS)
+    often = some.where(bucket >= bound).select("gram", "s").toArrow()
     keys = often.column(0).to_numpy()
     order = np.argsort(keys)
     model = spark.sparkContext.broadcast((keys[order], often.column(1).to_numpy()[order], frequent))
@@ -298,9 +356,8 @@ def score(docs: DataFrame) -> DataFrame:
     per = loose.groupBy("id").agg(F.sum(F.coalesce(logs, unseen)).alias("rare_base"), F.count("n").alias("rare_known"))
     end = float(np.log10((ends + 1) / share))
     grams_of = scored.select("id", F.explode("seldom").alias("gram"))
-    sought = stored(grams_of.select("gram").distinct().join(seen.where(bucket < bound).select("gram", "s"), "gram", "left"), "lm-sought")
-    logs_of = sought.where("s IS NOT NULL").unionByName(untrained(sought.where("s IS NULL").select("gram"), cells))
-    per_gram = grams_of.join(stored(logs_of, "lm-seldom"), "gram").groupBy("id").agg(F.sum("s").alias("seldom_score"))
+    rest_of = seen.where((F.col("n") == 0) | (bucket < bound)).select("gram", "s")
+    per_gram = grams_of.join(rest_of, "gram").groupBy("id").agg(F.sum("s").alias("seldom_score"))
     return scored.drop("rare", "seldom").join(per, "id", "left").join(per_gram, "id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(end)).alias("base_score"), (F.col("score") + F.coalesce("seldom_score", F.lit(0.0))).alias("score"),
