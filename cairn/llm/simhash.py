@@ -2,13 +2,13 @@
 
 Shards: a fingerprint is cut into radius + 1 blocks, and one shard holds the distinct fingerprints that agree in one
 block. Two fingerprints within the radius agree in a block at least, so a tree of each shard loses no link. Trees over
-all documents have no size bound, so they are not broadcast: each is built in the task to which its shard is dealt.
-Only a spanning set of a shard's links leaves the task, never all pairs.
+all documents have no size bound and would take every fingerprint through the driver, so they are not broadcast: each
+is built in the task to which its shard is dealt. A shard of more than LARGE members is cut into chunks, and any two of
+its chunks meet in a shard of their own. Only a spanning set of a shard's links leaves the task, never all pairs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
@@ -18,12 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_prefix, row_key, stored
+from .common import drop, free_prefix, row_key, stored, whole_groups
 
 SEED = 42
-LEAF = 64
 COMMON = 200_000
-SMALL = 64
+#: Members of a shard that one task compares; larger shards are cut.
+LARGE = 1 << 16
+SAMPLE = 16
+FRONTIER = 2_000_000
 #: Odd multipliers that turn one shingle hash into further ones, for fingerprints of more than 64 bits.
 MIXERS = tuple(np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1)) for k in range(16))
 
@@ -64,94 +66,122 @@ def distances(fps: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps ^ to).sum(axis=-1, dtype=np.int64)
 
 
-class Groups:
-    """Union of positions; find() for many at once."""
+def union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> bool:
+    """Join the groups of ``a[k]`` and ``b[k]``; ``label`` names each group by its smallest member. Whether anything changed."""
+    changed = False
+    while (apart := label[a] != label[b]).any():
+        x, y = label[a[apart]], label[b[apart]]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while ((up := label[label]) != label).any():
+            label[:] = up
+        changed = True
+    return changed
 
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
 
-    def find(self, at: np.ndarray) -> np.ndarray:
-        root = self.up[at]
-        while (above := self.up[root]).tobytes() != root.tobytes():
-            root = above
-        self.up[at] = root
-        return root
+class Forest:
+    """BK-trees of many shards in flat arrays. Every fingerprint is a node; a child hangs on its parent by their Hamming distance.
 
-    def join(self, at: np.ndarray) -> None:
-        roots = np.unique(self.find(at))
-        self.up[roots] = roots[0]
-
-
-class Node:
-    """A BK-tree node: a pivot, and children keyed by their integer Hamming distance to it; a leaf keeps a short list."""
-
-    __slots__ = ("children", "items", "pivot")
-
-    def __init__(self, items: np.ndarray) -> None:
-        self.items, self.pivot, self.children = items, None, {}
-
-
-def build(fps: np.ndarray, leaf: int = LEAF) -> Node:
-    root = Node(np.arange(len(fps)))
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        if len(node.items) <= leaf:
-            continue
-        node.pivot, rest = node.items[0], node.items[1:]
-        d = distances(fps[rest], fps[node.pivot])
-        order = np.argsort(d, kind="stable")
-        cuts = np.flatnonzero(np.diff(d[order])) + 1
-        for part in np.split(rest[order], cuts):
-            child = Node(part)
-            node.children[int(distances(fps[part[0]], fps[node.pivot]))] = child
-            todo.append(child)
-    return root
-
-
-def search(fps: np.ndarray, root: Node, query: np.ndarray, radius: int) -> np.ndarray:
-    """Positions within ``radius`` of one query: only children whose edge is within the radius of its distance are entered."""
-    found, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if node.pivot is None:
-            found.append(node.items[distances(fps[node.items], query) <= radius])
-            continue
-        d = int(distances(fps[node.pivot], query))
-        if d <= radius:
-            found.append(np.array([node.pivot]))
-        todo += [child for edge, child in node.children.items() if abs(edge - d) <= radius]
-    return np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
-
-
-def connect(fps: np.ndarray, radius: int) -> np.ndarray:
-    """The smallest position linked with each fingerprint, over all links within ``radius``.
+    Rows are sorted by shard. A subtree's smallest row is its root, so a row looks for smaller ones only and meets each pair once.
+    """
 
-    All fingerprints query the tree together. A query is dropped at a subtree whose members already belong to its
-    group, so a dense shard costs little more than its size.
+    def __init__(self, fps: np.ndarray, shard: np.ndarray) -> None:
+        self.fps, self.stride = fps, 64 * fps.shape[1] + 1
+        first = np.append(True, shard[1:] != shard[:-1])
+        rows, group = np.arange(len(fps)), np.cumsum(first) - 1
+        pivots = rows[first]
+        self.root, self.levels = pivots[group], [pivots]
+        keys, kids = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        while len(pivots) < len(rows):
+            rows, own = rows[~first], pivots[group[~first]]
+            edge = own * self.stride + distances(fps[rows], fps[own])
+            order = np.argsort(edge, kind="stable")
+            rows, edge = rows[order], edge[order]
+            first = np.append(True, edge[1:] != edge[:-1])
+            group, pivots = np.cumsum(first) - 1, rows[first]
+            keys.append(edge[first])
+            kids.append(pivots)
+            self.levels.append(pivots)
+        edges, kid = np.concatenate(keys), np.concatenate(kids)
+        order = np.argsort(edges)
+        self.edges, self.kids = edges[order], kid[order]
+        self.parent = np.full(len(fps), -1)
+        self.parent[self.kids] = self.edges // self.stride
+
+    def uniform(self, label: np.ndarray) -> np.ndarray:
+        """Whether a node's whole subtree is of one group."""
+        low, high = label.copy(), label.copy()
+        for rows in self.levels[:0:-1]:
+            np.minimum.at(low, self.parent[rows], low[rows])
+            np.maximum.at(high, self.parent[rows], high[rows])
+        return low == high
+
+    def links(self, radius: int, label: np.ndarray, merge: bool, accept: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, smaller row of its shard) within ``radius``: only edges within the radius of a row's distance to the node are followed.
+
+        A row does not enter a subtree that is all of its own group. With ``merge`` each link joins groups at once, so
+        links span the groups and a dense shard costs little more than its size; else all links between groups come.
+        """
+        todo = [(np.arange(len(self.fps)), self.root)]
+        one = self.uniform(label)
+        while todo:
+            q, node = todo.pop()
+            if len(q) > FRONTIER:
+                half = len(q) // 2
+                todo += [(q[half:], node[half:]), (q[:half], node[:half])]
+                continue
+            d = distances(self.fps[q], self.fps[node])
+            hit = np.flatnonzero((d <= radius) & (node < q))
+            hit = hit[label[q[hit]] != label[node[hit]]]
+            if accept is not None and len(hit):
+                hit = hit[accept(q[hit], node[hit])]
+            if len(hit):
+                yield q[hit], node[hit]
+                if merge and union(label, q[hit], node[hit]):
+                    one = self.uniform(label)
+            base = node * self.stride
+            low = np.searchsorted(self.edges, base + np.maximum(d - radius, 0))
+            n = np.searchsorted(self.edges, base + np.minimum(d + radius, self.stride - 1), "right") - low
+            q = np.repeat(q, n)
+            node = self.kids[np.repeat(low - np.cumsum(n) + n, n) + np.arange(len(q))]
+            go = (node < q) & ~(one[node] & (label[node] == label[q]))
+            if go.any():
+                todo.append((q[go], node[go]))
+
+
+def connect(fps: np.ndarray, shard: np.ndarray, radius: int) -> np.ndarray:
+    """The smallest row linked with each row of its shard, over all links within ``radius``."""
+    label = np.arange(len(fps))
+    for _ in Forest(fps, shard).links(radius, label, True):
+        pass
+    return label
+
+
+def shared(shard: np.ndarray) -> np.ndarray:
+    """Which of the sorted rows have another in their shard."""
+    same = shard[1:] == shard[:-1]
+    return np.append(same, False) | np.append(False, same)
+
+
+def cut_large(shard: np.ndarray, ident: np.ndarray, sizes: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shard): rows of a large shard go to one of its chunks, and there to a shard for each other chunk; all others stay.
+
+    ``sizes`` has the members of the large shards, about. Two rows of a shard meet in one of the new shards at least.
     """
-    groups = Groups(len(fps))
-    todo = [(build(fps), np.arange(len(fps)))]
-    while todo:
-        node, queries = todo.pop()
-        of = groups.find(node.items)
-        if (of == of[0]).all():
-            queries = queries[groups.find(queries) != of[0]]
-        if not len(queries):
-            continue
-        if node.pivot is None:
-            for q in np.array_split(queries, max(1, len(queries) >> 14)):
-                near = distances(fps[q][:, None], fps[node.items][None]) <= radius
-                for k in np.flatnonzero(near.any(axis=0)):
-                    groups.join(np.append(q[near[:, k]], node.items[k]))
-            continue
-        d = distances(fps[queries], fps[node.pivot])
-        groups.join(np.append(queries[d <= radius], node.pivot))
-        for edge, child in node.children.items():
-            if len(near := queries[np.abs(d - edge) <= radius]):
-                todo.append((child, near))
-    _, first, back = np.unique(groups.find(np.arange(len(fps))), return_index=True, return_inverse=True)
-    return first[back]
+    if not sizes:
+        return np.arange(len(shard)), shard
+    known = np.array(sorted(sizes))
+    at = np.minimum(np.searchsorted(known, shard), len(known) - 1)
+    large = known[at] == shard
+    chunks = np.where(large, np.array([-(-2 * sizes[k] // LARGE) for k in known.tolist()])[at], 1)
+    rows = np.repeat(np.arange(len(shard)), np.where(chunks > 1, chunks - 1, 1))
+    n = chunks[rows]
+    step = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    own = (ident[rows].view(np.uint64) * MIXERS[3] >> np.uint64(33)).astype(np.int64) % n
+    other = step + (step >= own)
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    with np.errstate(over="ignore"):
+        mixed = (shard[rows].view(np.uint64) ^ (low * (1 << 20) + high + 1).astype(np.uint64) * MIXERS[5]) * MIXERS[4]
+    return rows, np.where(n > 1, mixed.view(np.int64), shard[rows])
 
 
 def block_masks(bits: int, radius: int, n: int = 0) -> list[np.ndarray]:
@@ -168,21 +198,6 @@ def block_masks(bits: int, radius: int, n: int = 0) -> list[np.ndarray]:
     return [np.concatenate(c) for c in combinations(blocks, m - radius)]
 
 
-def sampled_masks(bits: int, n: int, width: int) -> list[np.ndarray]:
-    """``n`` random sets of ``width`` bit positions, for radii beyond exact blocks: a pair at d of b bits agrees in a set with chance (1 - d/b) ** width."""
-    rng = np.random.default_rng(20240101)
-    return [np.sort(rng.choice(bits, width, replace=False)) for _ in range(n)]
-
-
-def sampled_size(n: int, differ: float, found: float = 0.95) -> tuple[int, int]:
-    """(keys, bits a key) for ``n`` fingerprints, such that pairs which differ in the share ``differ`` of all bits meet with chance ``found``.
-
-    Keys have 16 bits up to 4 million fingerprints and then grow with their logarithm, so that shards do not grow.
-    """
-    width = max(16, math.ceil(math.log2(max(n, 2))) - 6)
-    return math.ceil(math.log(1 - found) / math.log(1 - (1 - differ) ** width)), width
-
-
 def _print_batches(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -199,7 +214,7 @@ def fingerprints(docs: DataFrame, width: int = 4, bits: int = 64) -> DataFrame:
     return picked.mapInArrow(_print_batches(width, bits), f"doc_id {kind}, key long, fp binary")
 
 
-def _shard_batches(masks: list[np.ndarray], bits: int):
+def _shard_batches(masks: list[np.ndarray], bits: int, large):
     masks = [np.asarray(m) for m in masks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,71 +224,44 @@ def _shard_batches(masks: list[np.ndarray], bits: int):
                 continue
             raw = np.frombuffer(b"".join(fps.to_pylist()), np.uint8).reshape(len(fps), bits // 8)
             flat = np.unpackbits(raw, axis=1)
+            ident = np.ascontiguousarray(raw[:, :8]).view(np.int64).ravel()
             for k, mask in enumerate(masks):
                 packed = np.zeros((len(fps), 8), np.uint8)
                 cut = np.packbits(flat[:, mask], axis=1)
                 packed[:, 8 - cut.shape[1] :] = cut
-                shard = packed.view(">u8").ravel().astype(np.int64) | (k << 48)
-                yield pa.RecordBatch.from_arrays([pa.array(shard), fps], ["shard", "fp"])
+                rows, shard = cut_large(packed.view(">u8").ravel().astype(np.int64) | (k << 48), ident, large.value if large else {})
+                yield pa.RecordBatch.from_arrays([pa.array(shard), fps.take(pa.array(rows))], ["shard", "fp"])
 
     return run
 
 
-def _neighbours(shard: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
-    """(position, smaller position in its group) for sorted, whole shards. Short shards are compared together, long ones by tree."""
-    cuts = np.flatnonzero(np.diff(shard)) + 1
-    starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(shard)]])
-    sizes = ends - starts
-    groups = Groups(len(shard))
-    end_of = np.repeat(ends, sizes)
-    short = np.repeat(sizes <= SMALL, sizes)
-    at = np.flatnonzero(short)
-    step = 1
-    while len(at := at[at + step < end_of[at]]):
-        near = at[distances(fps[at], fps[at + step]) <= radius]
-        for i in near:
-            groups.join(np.array([i, i + step]))
-        step += 1
-    for s, e in zip(starts[sizes > SMALL], ends[sizes > SMALL], strict=True):
-        first = connect(fps[s:e], radius)
-        groups.up[s:e] = s + first
-    roots = groups.find(np.arange(len(shard)))
-    low = np.full(len(shard), len(shard))
-    np.minimum.at(low, roots, np.arange(len(shard)))
-    for i in np.flatnonzero(low[roots] != np.arange(len(shard))):
-        yield int(i), int(low[roots[i]])
-
-
 def _edge_batches(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, list[bytes]]] = []
-
-        def links(shard: np.ndarray, raw: list[bytes]) -> pa.RecordBatch:
-            fps = np.frombuffer(b"".join(raw), ">u8").astype(np.uint64).reshape(len(raw), -1)
-            pairs = list(_neighbours(shard, fps, radius)) if len(raw) else []
-            return pa.RecordBatch.from_arrays([pa.array([raw[i] for i, _ in pairs], pa.binary()), pa.array([raw[j] for _, j in pairs], pa.binary())], ["a", "b"])
-
-        for b in batches:
-            if not len(b):
+        for t in whole_groups(batches, "shard", 200_000):
+            shard = t.column("shard").to_numpy()
+            some = shared(shard)
+            raw = t.column("fp").combine_chunks().filter(pa.array(some))
+            if not len(raw):
                 continue
-            held.append((b.column("shard").to_numpy(), b.column("fp").to_pylist()))
-            shard = np.concatenate([x for x, _ in held])
-            if len(shard) < 200_000 or shard[0] == shard[-1]:
-                continue
-            raw = [y for _, x in held for y in x]
-            cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on in the next batch
-            yield links(shard[:cut], raw[:cut])
-            held = [(shard[cut:], raw[cut:])]
-        if held:
-            yield links(np.concatenate([x for x, _ in held]), [y for _, x in held for y in x])
+            fps = np.frombuffer(b"".join(raw.to_pylist()), ">u8").astype(np.uint64).reshape(len(raw), -1)
+            label = connect(fps, shard[some], radius)
+            linked = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([raw.take(pa.array(linked)), raw.take(pa.array(label[linked]))], ["a", "b"])
 
     return run
 
 
-def edges(nodes: DataFrame, masks: list[np.ndarray], bits: int, radius: int) -> DataFrame:
-    """a, b: spanning links of all shards of the distinct fingerprints ``nodes`` (column fp)."""
-    sharded = nodes.select("fp").mapInArrow(_shard_batches(masks, bits), "shard long, fp binary")
-    dealt = sharded.repartition("shard").sortWithinPartitions("shard")
+def edges(nodes: DataFrame, masks: list[np.ndarray], bits: int, radius: int, n: int = 0) -> DataFrame:
+    """a, b: spanning links of all shards of the distinct fingerprints ``nodes`` (column fp), some ``n`` in number."""
+    spark, schema = nodes.sparkSession, "shard long, fp binary"
+    large = None
+    if n > LARGE:
+        # Large shards are known by a sample. It decides how they are cut, never what is found in them.
+        some = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0).select("fp").mapInArrow(_shard_batches(masks, bits, None), schema)
+        counted = some.groupBy("shard").count().where(F.col("count") * SAMPLE > LARGE).collect()
+        large = spark.sparkContext.broadcast({r["shard"]: r["count"] * SAMPLE for r in counted})
+    sharded = nodes.select("fp").mapInArrow(_shard_batches(masks, bits, large), schema)
+    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "fp")
     return dealt.mapInArrow(_edge_batches(radius), "a binary, b binary").distinct()
 
 
@@ -291,10 +279,12 @@ def components(links: DataFrame) -> DataFrame:
         low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
         large = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = stored(large, "cc")
+        drop(low)
         least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
         moved = large.join(least, "a")
         small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        e = stored(small.where("a <> b").distinct(), "cc")
+        old, e = e, stored(small.where("a <> b").distinct(), "cc")
+        drop(old, large, least)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -304,7 +294,8 @@ def components(links: DataFrame) -> DataFrame:
 def grouped(prints: DataFrame, masks: Callable[[int], list[np.ndarray]], bits: int, radius: int) -> DataFrame:
     """``prints`` with component_id: the smallest doc_id that its fingerprint reaches (null if no member has one). ``masks`` gives the keys for a number of fingerprints."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "sim-nodes")
-    return joined(prints, nodes, edges(nodes, masks(nodes.count()), bits, radius))
+    n = nodes.count()
+    return joined(prints, nodes, edges(nodes, masks(n), bits, radius, n))
 
 
 def joined(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -322,11 +313,6 @@ def _least_common(n: int) -> int:
     return (4 * n + 4) // 5
 
 
-def _sketch(h: np.ndarray) -> bytes:
-    """512 bits, each the parity of the elements that fall on it: two sketches differ in no more bits than the sets in elements."""
-    return np.packbits((np.bincount(((h * MIXERS[1]) >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)).tobytes()
-
-
 def _shingle_batches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -337,8 +323,8 @@ def _shingle_batches(width: int):
 
 
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles, sorted, and their counts, by a sixteenth of the documents. They only set an order, in which they come last; any order finds all pairs."""
-    some = docs.where(F.pmod(row_key(docs["doc_id"], docs["text"]), F.lit(16)) == 0).select("text")
+    """Common shingles, sorted, and their counts, by a sixteenth of the documents. They only set an order, in which they come last, and say what is cut; any order finds all pairs."""
+    some = docs.where(F.pmod(row_key(docs["doc_id"], docs["text"]), F.lit(SAMPLE)) == 0).select("text")
     counted = some.mapInArrow(_shingle_batches(width), "shingle long").groupBy("shingle").count().where("count > 2")
     top = counted.orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()
     h, n = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
@@ -360,155 +346,135 @@ def _set_batches(width: int, common):
             sets = [np.unique(shingle_hashes(t.as_py(), width)) for t in b.column("text")]
             prints = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
             heads = [_rare_first(h, common.value)[: len(h) - _least_common(len(h)) + 1].tobytes() for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(prints, pa.binary()), pa.array([len(h) for h in sets], pa.int32()), pa.array(heads, pa.binary()), pa.array(map(_sketch, sets), pa.binary())], ["doc_id", "key", "fp", "size", "head", "sketch"])
+            sims = np.array([fingerprint(h, BITS) for h in sets], np.uint64).reshape(-1, BITS // 64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(prints, pa.binary()), pa.array([len(h) for h in sets], pa.int32()), pa.array(sims[:, 0]), pa.array(sims[:, 1]), pa.array(heads, pa.binary())], ["doc_id", "key", "fp", "size", "s0", "s1", "head"])
 
     return run
 
 
-def _head_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, len(b), 500):
-            part = b.slice(at, 500)
-            heads = [np.frombuffer(h, np.int64) for h in part.column("head").to_pylist()]
-            lengths = [len(h) for h in heads]
-            which = np.repeat(np.arange(len(heads)), lengths)
-            if not len(which):
-                continue
-            place = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads)), part.column("fp").take(pa.array(which)), part.column("size").take(pa.array(which)), pa.array(place)], ["shard", "fp", "size", "place"])
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches sorted by shard, put together such that no shard is cut."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for b in batches:
-        if not len(b):
-            continue
-        held.append(b)
-        rows += len(b)
-        if rows < 200_000 or held[0].column("shard")[0] == b.column("shard")[-1]:
-            continue
-        whole = pa.Table.from_batches(held)
-        shard = whole.column("shard").to_numpy()
-        cut = int(np.searchsorted(shard, shard[-1]))
-        yield whole.slice(0, cut)
-        held = whole.slice(cut).combine_chunks().to_batches()
-        rows = len(shard) - cut
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _ends(shard: np.ndarray) -> np.ndarray:
-    cuts = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard))
-    return np.repeat(cuts, np.diff(cuts, prepend=0))
+def _head_batches(large):
+    """A row for each shingle in a set's head: its shard, and the place of the shingle in the set's order."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, len(b), 500):
+                part = b.slice(at, 500)
+                heads = [np.frombuffer(h, np.int64) for h in part.column("head").to_pylist()]
+                lengths = [len(h) for h in heads]
+                which = np.repeat(np.arange(len(heads)), lengths)
+                if not len(which):
+                    continue
+                place = np.concatenate([np.arange(n, dtype=np.int64) for n in lengths])
+                id_, size, s0, s1 = (part.column(c).to_numpy() for c in ("id", "size", "s0", "s1"))
+                rows, shard = cut_large(np.concatenate(heads), id_[which], large.value)
+                which, place = which[rows], place[rows]
+                yield pa.RecordBatch.from_arrays([pa.array(shard), *map(pa.array, (id_[which], size[which].astype(np.int64) << 32 | place, s0[which], s1[which]))], ["shard", "id", "at", "s0", "s1"])
 
-def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose shard has another row."""
-    for t in _whole(batches):
-        shard = t.column("shard").to_numpy()
-        same = shard[1:] == shard[:-1]
-        yield from t.filter(pa.array(np.append(same, False) | np.append(False, same))).to_batches()
+    return run
 
 
-def _may_reach(size: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _may_reach(at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether sets that share the shingle at these places can have a similarity of 0.8; no true pair fails where its first common shingle is."""
-    most = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
+    size, place = at >> 32, at & 0xFFFFFFFF
+    most = np.minimum(size[a] - place[a], size[b] - place[b])
     return (5 * np.minimum(size[a], size[b]) >= 4 * np.maximum(size[a], size[b])) & (9 * most >= 4 * (size[a] + size[b]))
 
 
-def _pair_batches(cross: bool):
-    """Candidates (a, b): of each shard its neighbours and all with the first, or all that are not yet of one group."""
+def _columns(t: pa.Table, some: np.ndarray) -> tuple[np.ndarray, ...]:
+    picked = t.filter(pa.array(some))
+    at = picked.column("at").to_numpy()
+    fps = np.stack([picked.column("s0").to_numpy(), picked.column("s1").to_numpy()], axis=1).view(np.uint64)
+    return picked.column("shard").to_numpy(), picked.column("id").to_numpy(), at, fps
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole(batches):
-            fp = t.column("fp").combine_chunks()
-            size, place = t.column("size").to_numpy().astype(np.int64), t.column("place").to_numpy().astype(np.int64)
-            ends = _ends(t.column("shard").to_numpy())
-            at = np.arange(len(ends))
-            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(at), 8)
-
-            def close_enough(a: np.ndarray, b: np.ndarray, size=size, place=place, sketch=sketch) -> np.ndarray:
-                ok = _may_reach(size, place, a, b)
-                ok[ok] = 9 * distances(sketch[a[ok]], sketch[b[ok]]) <= size[a[ok]] + size[b[ok]]
-                return ok
-
-            def out(a: np.ndarray, b: np.ndarray, fp=fp) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([fp.take(pa.array(a)), fp.take(pa.array(b))], ["a", "b"])
-
-            if not cross:
-                first = np.append(0, ends[:-1])
-                first[1:][ends[1:] == ends[:-1]] = 0
-                first = np.maximum.accumulate(first)
-                for other in (first, np.maximum(at - 1, first)):
-                    ok = (other < at) & close_enough(other, at)
-                    yield out(other[ok], at[ok])
-                continue
-            codes = np.unique(t.column("root").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-            # From the last row on: the next place at which the group changes; rows before it need no comparison.
-            change = np.append(np.where((codes[1:] != codes[:-1]) | (ends[1:] != ends[:-1]), at[1:], len(at) + 1), len(at) + 1)
-            nxt = np.minimum.accumulate(change[::-1])[::-1]
-            here, there = at, nxt
-            while True:
-                go = there < ends[here]
-                here, there = here[go], there[go]
-                close = 5 * size[here] >= 4 * size[there]  # sizes ascend within a shard
-                here, there = here[close], there[close]
-                if not len(here):
-                    break
-                ok = (codes[here] != codes[there]) & close_enough(here, there)
-                if ok.any():
-                    yield out(here[ok], there[ok])
-                there = np.where(codes[here] == codes[there], nxt[there], there + 1)
 
-    return run
+def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs, the smaller id first, each once."""
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])) if len(low) else np.empty(0, bool)
+    return low[new], high[new]
 
 
-def _text_set_batches(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("fp"), pa.array([np.unique(shingle_hashes(t.as_py(), width)).tobytes() for t in b.column("text")], pa.binary())], ["fp", "hashes"])
+def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) that span what the trees link, and the rows of shards (a, b null) that have any link there."""
+    names = ["shard", "id", "at", "s0", "s1", "a", "b"]
+    for t in whole_groups(batches, "shard", 200_000):
+        shard, id_, at, fps = _columns(t, shared(t.column("shard").to_numpy()))
+        if not len(id_):
+            continue
+        label = np.arange(len(id_))
+        found = list(Forest(fps, shard).links(RADIUS, label, True, lambda x, y, at=at: _may_reach(at, x, y)))
+        if not found:
+            continue
+        a, b = _once(id_[np.concatenate([x for x, _ in found])], id_[np.concatenate([y for _, y in found])])
+        linked = np.bincount(label, minlength=len(label))[label] > 1
+        none = pa.nulls(int(linked.sum()), pa.int64())
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (shard[linked], id_[linked], at[linked])), *map(pa.array, fps[linked].view(np.int64).T.copy()), none, none], names)
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(a), pa.array(b)], names)
+
+
+def _between_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs that the trees link between different groups (root)."""
+    for t in whole_groups(batches, "shard", 200_000):
+        some = shared(t.column("shard").to_numpy())
+        shard, id_, at, fps = _columns(t, some)
+        if not len(id_):
+            continue
+        _, first, back = np.unique(t.column("root").to_numpy()[some], return_index=True, return_inverse=True)
+        for x, y in Forest(fps, shard).links(RADIUS, first[back], False, lambda x, y, at=at: _may_reach(at, x, y)):
+            a, b = _once(id_[x], id_[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return run
 
+def _verify_batches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def shingles(id_: int, text) -> np.ndarray:
+            if id_ not in held:
+                if len(held) > 200:
+                    held.clear()
+                held[id_] = np.unique(shingle_hashes(text.as_py(), width))
+            return held[id_]
+
+        for rows in batches:
+            keep = []
+            for a, b, x, y in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist(), rows.column("x"), rows.column("y"), strict=True):
+                x, y = shingles(a, x), shingles(b, y)
+                keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
+            yield rows.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        keep = []
-        for x, y in zip(b.column("x"), b.column("y"), strict=True):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more, by the texts themselves."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "sim-pairs")
-    named = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(nodes.select("fp", "key"), "fp")
-    texts = docs.select(row_key(docs["doc_id"], docs["text"]).alias("key"), "text").join(named, "key").select("fp", "text")
-    sets = stored(texts.mapInArrow(_text_set_batches(width), "fp binary, hashes binary").dropDuplicates(["fp"]), "sim-sets")
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b")
-    return stored(both.select("a", "b", "x", "y").mapInArrow(_verify_batches, "a binary, b binary"), "sim-links")
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
+    return stored(both.select("a", "b", "x", "y").mapInArrow(_verify_batches(width), "a long, b long"), "sim-links")
 
 
-def similar(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """a, b: links that connect all sets of Jaccard similarity 0.8 or more, and none below it.
+def similar(nodes: DataFrame, docs: DataFrame, width: int, large: dict[int, int]) -> DataFrame:
+    """a, b: links that connect all sets of Jaccard similarity 0.8 or more (up to the radius), and none below it. ``nodes`` has id, size, s0, s1, head.
 
     Of two such sets, ordered alike, the first fifth (and one) of each share a shingle, so shards by these shingles
-    lose no pair. Pairs that sizes, places or sketches show to be below 0.8 are not compared. Links to the first and next of a shard are verified and grouped; then all pairs of a shard that lie
-    in different groups are, so that a large group of near copies is not compared pair by pair.
+    lose no pair. Each shard has a tree of the members' fingerprints. What spans its links is verified and grouped;
+    then all links between members of different groups are, so a large group of near copies is not compared pair by pair.
     """
-    heads = nodes.select("fp", "size", "head").mapInArrow(_head_batches, "shard long, fp binary, size int, place int")
-    order = ["shard", "size", "fp"]
-    kept = heads.repartition("shard").sortWithinPartitions(*order).mapInArrow(_shared_batches, heads.schema)
-    shared = stored(kept.join(nodes.select("fp", "sketch"), "fp").select("shard", "fp", "size", "place", "sketch"), "sim-shared")
-    dealt = shared.repartition("shard").sortWithinPartitions(*order)
-    near = verified(dealt.mapInArrow(_pair_batches(False), "a binary, b binary"), nodes, docs, width)
-    group = components(near).select(F.col("node").alias("fp"), "root")
-    rooted = shared.join(stored(group, "sim-roots"), "fp", "left").select("shard", "fp", "size", "place", "sketch", F.coalesce("root", "fp").alias("root"))
-    far = rooted.repartition("shard").sortWithinPartitions("shard", "size", "fp")
-    return near.unionByName(verified(far.mapInArrow(_pair_batches(True), "a binary, b binary"), nodes, docs, width))
+    cuts = nodes.sparkSession.sparkContext.broadcast(large)
+    heads = nodes.mapInArrow(_head_batches(cuts), "shard long, id long, at long, s0 long, s1 long")
+    dealt = heads.repartition("shard").sortWithinPartitions("shard", "id")
+    met = stored(dealt.mapInArrow(_candidate_batches, "shard long, id long, at long, s0 long, s1 long, a long, b long"), "sim-shards")
+    pairs = stored(met.where("a IS NOT NULL").select("a", "b").distinct(), "sim-pairs")
+    ids = stored(met.where("id IS NOT NULL").select("id").distinct(), "sim-ids")
+    texts = stored(docs.select(row_key(docs["doc_id"], docs["text"]).alias("id"), "text").join(ids, "id").dropDuplicates(["id"]), "sim-texts")
+    near = verified(pairs, texts, width)
+    group = stored(components(near).select(F.col("node").alias("id"), "root"), "sim-roots")
+    rooted = met.where("id IS NOT NULL").drop("a", "b").join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    between = rooted.repartition("shard").sortWithinPartitions("shard", "id").mapInArrow(_between_batches, "a long, b long").distinct()
+    between = stored(between.join(pairs, ["a", "b"], "left_anti"), "sim-between")
+    return near.unionByName(verified(between, texts, width))
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 64, radius: int = 4) -> DataFrame:
@@ -521,25 +487,32 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 64, radius: int
     return grouped(prints, lambda n: block_masks(bits, radius, n), bits, radius).select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline's shingles have five words. Bits, radius and differ belong to the search by sampled keys, which keep_one no longer uses.
-STAGE = {"width": 5, "bits": 512, "radius": 93, "differ": 78 / 512}
+#: The pipeline's fingerprints. At a similarity of 0.8 they differ in 19 of 128 bits, give or take 4, and at most in 24 where sets
+#: are tiny; the radius is more than four such deviations further on, and loses fewer than one such pair in 100,000.
+BITS, RADIUS = 128, 44
 
 
-def keep_one(docs: DataFrame, width: int = 5, bits: int = 512, radius: int = 93, differ: float = 78 / 512) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest doc_id stays, whole and unchanged.
 
-    Groups are connected by pairs of Jaccard similarity 0.8 or more of their shingle sets: all such pairs, whatever
-    SimHash says of them, and no others. Groups without any doc_id are kept once each. Columns are those of ``docs``.
+    Groups are connected by pairs of Jaccard similarity 0.8 or more of their shingle sets, and no others: pairs are found by
+    the BK-trees of the fingerprints and then compared exactly. Groups without any doc_id are kept once each. Columns are
+    those of ``docs``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     picked = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
-    prints = stored(picked.mapInArrow(_set_batches(width, common), f"doc_id {kind}, key long, fp binary, size int, head binary, sketch binary"), "sim-prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.first("size").alias("size"), F.first("head").alias("head"), F.first("sketch").alias("sketch")), "sim-nodes")
+    known = common_shingles(docs, width)
+    common = docs.sparkSession.sparkContext.broadcast(known)
+    prints = stored(picked.mapInArrow(_set_batches(width, common), f"doc_id {kind}, key long, fp binary, size int, s0 long, s1 long, head binary"), "sim-prints")
+    whole = prints.groupBy("fp").agg(F.min("key").alias("id"), *[F.first(c).alias(c) for c in ("size", "s0", "s1", "head")]).drop("fp")
+    large = {int(h): int(n) * SAMPLE for h, n in zip(known[0].view(np.int64), known[1], strict=True) if n * SAMPLE > LARGE}
+    links = similar(whole, docs, width, large)
     prints = prints.select("doc_id", "key", "fp")
-    member = joined(prints, nodes, similar(nodes, docs, width))
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("id")), "sim-nodes")
+    # joined() names nodes by what links name: here the row key of one row of each set.
+    member = joined(prints.join(nodes.select("fp", "id"), "fp").select("doc_id", "key", F.col("id").alias("fp")), nodes.select(F.col("id").alias("fp"), "least"), links)
     # One key per group: its smallest doc_id; among rows that share it, the smallest key.
-    unit = F.coalesce(F.col("component_id").cast("string"), F.hex("fp"))
+    unit = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("x"), F.hex("fp")))
     k = free_prefix(docs, "_n_") + "key"
     best = member.groupBy(unit.alias("unit")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("best"))
     chosen = stored(best.select(F.col("best.key").alias(k)).distinct(), "sim-chosen")

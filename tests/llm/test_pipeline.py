@@ -5,7 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline as cp
-from cairn.llm import decontaminate, quality_rules, simhash, substring_dedup
+from cairn.llm import decontaminate, quality_rules, substring_dedup
 from cairn.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
@@ -94,7 +94,3 @@ def test_mixing_stage(steps):
 def test_run_is_the_chain(spark, steps):
     key = lambda df: sorted((r.doc_id, r.mix_copy, r.text) for r in df.collect())
     assert key(cp.run(spark, SF)) == key(steps[-1])
-
-
-def test_stage_parameters():
-    assert simhash.STAGE["width"] == 5

@@ -55,15 +55,60 @@ def near_set(rng, n, centres, radius):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_tree_finds_all_within_the_radius(seed):
+def test_trees_find_all_within_the_radius(seed, monkeypatch):
     rng = random.Random(seed)
-    values = near_set(rng, 400, [rng.getrandbits(64) for _ in range(5)], 9)
-    fps = np.array(values, np.uint64).reshape(-1, 1)
-    tree = s.build(fps, leaf=3)
-    for q in rng.sample(values, 40):
-        got = s.search(fps, tree, np.array([q], np.uint64), 4).tolist()
-        assert got == [k for k, x in enumerate(values) if bin(x ^ q).count("1") <= 4]
-    assert s.connect(fps, 4).tolist() == roots(values, 4)
+    shards = [near_set(rng, n, [rng.getrandbits(64) for _ in range(5)], 9) for n in (400, 1, 2, 3, 60)]
+    values = [x for v in shards for x in v]
+    fps, shard = np.array(values, np.uint64).reshape(-1, 1), np.repeat(np.arange(5), [len(v) for v in shards])
+    monkeypatch.setattr(s, "FRONTIER", 100)
+    want = {(i, j) for i in range(len(values)) for j in range(i) if shard[i] == shard[j] and bin(values[i] ^ values[j]).count("1") <= 4}
+    forest = s.Forest(fps, shard)
+    assert len(forest.kids) == len(values) - 5 and all(forest.edges % forest.stride == s.distances(fps[forest.kids], fps[forest.parent[forest.kids]]))
+    assert {(int(i), int(j)) for x, y in forest.links(4, np.arange(len(values)), False) for i, j in zip(x, y, strict=True)} == want
+    label = roots(values[: len(shards[0])], 4)
+    assert s.connect(fps, shard, 4)[: len(shards[0])].tolist() == label
+    groups = np.array(label + list(range(len(label), len(values))))
+    between = {(int(i), int(j)) for x, y in forest.links(9, groups, False) for i, j in zip(x, y, strict=True)}
+    assert between == {(i, j) for i in range(len(values)) for j in range(i) if shard[i] == shard[j] and groups[i] != groups[j] and bin(values[i] ^ values[j]).count("1") <= 9}
+
+
+def test_tree_follows_only_edges_within_the_radius(monkeypatch):
+    rng = random.Random(2)
+    values = sorted({rng.getrandbits(64) & 0xFFFF for _ in range(3000)})
+    forest = s.Forest(np.array(values, np.uint64).reshape(-1, 1), np.zeros(len(values), np.int64))
+    seen, plain = [0], s.distances
+    monkeypatch.setattr(s, "distances", lambda a, b: (seen.append(len(a)), plain(a, b))[1])
+    list(forest.links(1, np.arange(len(values)), False))
+    assert sum(seen) < len(values) ** 2 / 4
+
+
+@pytest.mark.parametrize("least", [10, 100, 10**6])
+def test_large_shards_are_cut_without_loss(monkeypatch, least):
+    monkeypatch.setattr(s, "LARGE", least)
+    rng = np.random.default_rng(1)
+    shard, ident = np.repeat([5, 9, 11], [300, 3, 40]), rng.integers(-(2**60), 2**60, 343)
+    rows, new = s.cut_large(shard, ident, {k: n for k, n in ((5, 300), (11, 40)) if n > least})
+    meet = {}
+    for r, k in zip(rows.tolist(), new.tolist(), strict=True):
+        meet.setdefault(k, set()).add(r)
+    pairs = {(i, j) for v in meet.values() for i in v for j in v if i < j}
+    assert pairs == {(i, j) for i in range(343) for j in range(i + 1, 343) if shard[i] == shard[j]}
+    assert max(map(len, meet.values())) <= max(2 * least, 50)
+
+
+def test_a_shard_of_half_a_million_equal_blocks():
+    """One block value throughout: memory stays with the shard's rows, not with their pairs."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    fps = np.unique(rng.integers(0, 1 << 50, 500_000).astype(np.uint64))
+    rows, shard = s.cut_large(np.zeros(len(fps), np.int64), fps.view(np.int64), {0: len(fps)})
+    assert np.bincount(np.unique(shard, return_inverse=True)[1]).max() < 1.2 * s.LARGE
+    one = fps[rows[shard == shard[0]]][:20_000].reshape(-1, 1)
+    tracemalloc.start()
+    s.connect(one, np.zeros(len(one), np.int64), 4)
+    assert tracemalloc.get_traced_memory()[1] < 1 << 30
+    tracemalloc.stop()
 
 
 @pytest.mark.parametrize("n", [0, 10**8, 10**11])
@@ -79,9 +124,25 @@ def test_blocks_lose_no_link(spark, n):
 
 def test_keys_grow_with_the_fingerprints():
     assert [len(s.block_masks(64, 4, n)) for n in (0, 10**7, 10**9, 10**11, 10**12)] == [5, 5, 15, 35, 70]
-    assert s.sampled_size(10**5, 78 / 512) == (41, 16)
-    keys, width = s.sampled_size(10**9, 78 / 512)
-    assert width == 24 and (1 - (1 - 78 / 512) ** width) ** keys < 0.05
+
+
+def test_links_come_from_trees(small, monkeypatch):
+    """Without what the trees say no document has a link."""
+    assert any(r.component_id != r.doc_id for r in s.near_duplicates(small).collect())
+    rows = s.near_duplicates(small.dropDuplicates(["text"]))
+    distinct = {r.fingerprint: r.component_id for r in rows.collect()}
+    assert len(set(distinct.values())) < len(distinct)
+    monkeypatch.setattr(s, "connect", lambda fps, shard, radius: np.arange(len(fps)))
+    distinct = {r.fingerprint: r.component_id for r in s.near_duplicates(small.dropDuplicates(["text"])).collect()}
+    assert len(set(distinct.values())) == len(distinct)
+
+
+def test_cut_shards_give_the_same_groups(small, monkeypatch):
+    whole = sorted(map(tuple, s.near_duplicates(small).collect()))
+    kept = sorted(map(tuple, s.keep_one(small).collect()))
+    monkeypatch.setattr(s, "LARGE", 4)
+    assert sorted(map(tuple, s.near_duplicates(small).collect())) == whole
+    assert sorted(map(tuple, s.keep_one(small).collect())) == kept
 
 
 def test_long_chain_is_one_component(spark):
