@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import drop, remainder, stored, whole_groups
 
 DEPTH, SPLIT = 5, 3
-FREQUENT_GRAMS = 6_000_000  # 16 bytes each
+FREQUENT_GRAMS = 4_000_000  # 16 bytes each
 END = 0xFF  # no byte of UTF-8; ends each text
 PIECE = 1 << 21
 FREQUENT_WORDS = 200_000
@@ -90,9 +90,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 pending += len(raw_keys[counted][-1])
             if pending > PIECE:
                 tally_pending()
-                if sum(len(k) for k, _ in held) > 3_000_000:
+                if sum(len(k) for k, _ in held) > 2_000_000:
                     held = _tally(held)
-                    if len(held[0][0]) > 1_500_000:
+                    if len(held[0][0]) > 1_000_000:
                         yield rows(None, *held[0])
                         held = []
             if len(words) > 400_000:
