@@ -28,11 +28,11 @@ def brute(docs, items):
             hits = set()
             for i in range(len(w)):
                 for p in range(len(iw)):
-                    if len(iw) < 10:
+                    if len(iw) < 7:
                         if p == 0 and w[i : i + len(iw)] == iw:
                             hits.add(i)
                         continue
-                    for m in d.MASKS:
+                    for m in d.MASKS if len(iw) >= 60 else d.LIGHT:
                         if i + len(m) <= len(w) and p + len(m) <= len(iw) and all(c == "0" or w[i + k] == iw[p + k] for k, c in enumerate(m)):
                             hits.add(i - p)
             same = {k for at in hits for k in range(len(iw)) if 0 <= at + k < len(w) and w[at + k] == iw[k]}
@@ -68,3 +68,52 @@ def test_removes_only_rows_with_items(spark, bench):
 def test_no_python_in_the_plan(small, bench):
     plan = d.matches(small, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "Cartesian" not in plan
+
+
+def test_benchmark_in_parts(spark, bench, monkeypatch):
+    """A benchmark beyond what is broadcast at once goes by parts, with the same result; no array of words is shuffled."""
+    long_item = " ".join(f"long{k % 37}x{k}" for k in range(90))
+    more = bench.unionByName(spark.createDataFrame([(7, long_item)], "item_id long, text string"))
+    rows = spark.createDataFrame([(1, f"x {ITEM} y"), (2, long_item[:600] + " other"), (3, "clean")], "doc_id long, text string")
+    whole = sorted(map(tuple, d.matches(rows, more).collect()))
+    assert {(r[0], r[1]) for r in whole} == {(1, 1), (2, 7)}
+    monkeypatch.setattr(d, "BROADCAST_ROWS", 20)
+    out = d.matches(rows, more)
+    assert sorted(map(tuple, out.collect())) == whole
+    for line in out._jdf.queryExecution().executedPlan().toString().splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "_hw" not in line and "_iw" not in line
+
+
+def test_rows_are_judged_by_themselves(spark):
+    """Parts of an item in two rows of one id do not add up."""
+    rows = [(None, " ".join(ITEM.split()[:12])), (None, " ".join(ITEM.split()[12:])), (4, " ".join(ITEM.split()[:15])), (4, " ".join(ITEM.split()[15:])), (5, ITEM), (5, ITEM), (5, "x " + ITEM)]
+    got = d.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, ITEM), (1, "other " + ITEM)], "item_id long, text string"))
+    assert sorted((r.doc_id or 0, r.item_words, r.matched_words) for r in got.collect()) == [(0, 30, 18), (5, 30, 30), (5, 30, 30), (5, 31, 30), (5, 31, 30)]
+
+
+def test_repetitive_texts_end(spark):
+    import time
+
+    began = time.time()
+    words_ = [f"w{k % 7}" for k in range(3000)]
+    rows = spark.createDataFrame([(1, " ".join(words_)), (2, " ".join(["same"] * 3000)), (3, " ".join(f"n{k}" for k in range(3000)))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words_)), (2, " ".join(["same"] * 3000))], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.matched_words) for r in d.matches(rows, items).collect()} == {(1, 1, 3000), (2, 2, 3000)}
+    assert time.time() - began < 120
+
+
+def test_light_masks_find_short_items(spark):
+    """Items of 20 words with 12 left in random places."""
+    import random
+
+    rng = random.Random(4)
+    items, rows = [], []
+    for k in range(200):
+        words_ = [f"i{k}x{j}" for j in range(20)]
+        items.append((k, " ".join(words_)))
+        for j in rng.sample(range(20), 8):
+            words_[j] = f"c{k}x{j}"
+        rows.append((k, "before " + " ".join(words_) + " after"))
+    got = d.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(got) >= 194 and all(r.doc_id == r.item_id and r.matched_words == 12 for r in got)
