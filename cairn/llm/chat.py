@@ -2,57 +2,62 @@
 
 A conversation is rendered once for each participant: that speaker's turns become the assistant's, which alone are
 trained on; all others become turns of named users, and system turns stay system turns. Masks are character spans of
-the rendered text. A conversation of many turns is rendered in parts of bounded size, which concatenate to the whole.
+the rendered text. A conversation is rendered in parts by turn number, which concatenate to the whole, so no task holds
+a long one and a part depends on its turns alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
-
 PART_TURNS = 512
-PART_CHARS = 1 << 20
 SYSTEM = "system"
+_SYSTEM_HEAD, _OWN_HEAD = "<|system|>\n", "<|assistant|>\n"
+
+
+def _user_head(role: Column) -> Column:
+    return F.when(role.eqNullSafe(F.lit(SYSTEM)), F.lit(_SYSTEM_HEAD)).otherwise(F.concat(F.lit("<|user name="), F.coalesce(role, F.lit("unknown")), F.lit("|>\n")))
 
 
-def _segment(role: Column, text: Column, perspective: Column) -> tuple[Column, Column]:
-    """Head and body of one rendered turn; the head is never trained on."""
-    head = F.when(role.eqNullSafe(F.lit(SYSTEM)), F.lit("<|system|>\n")).when(role.eqNullSafe(perspective), F.lit("<|assistant|>\n"))
-    return head.otherwise(F.concat(F.lit("<|user name="), F.coalesce(role, F.lit("unknown")), F.lit("|>\n"))), F.concat(F.coalesce(text, F.lit("")), F.lit("<|end|>\n"))
+def _body(text: Column) -> Column:
+    return F.concat(F.coalesce(text, F.lit("")), F.lit("<|end|>\n"))
 
 
-def rotate(turns: DataFrame, part_turns: int = PART_TURNS, part_chars: int = PART_CHARS) -> DataFrame:
+def _views(t: DataFrame) -> DataFrame:
+    """_c, _t (conversation and part), perspective, char_offset: for each participant each part, and where it starts in the whole.
+
+    Lengths are summed by role first, so these are a few numbers a part; texts take no part.
+    """
+    sums = t.groupBy("conv_id", "part", "role").agg(F.count("*").alias("n"), F.sum(F.length(_body(F.col("text")))).alias("chars"))
+    head = F.length(_user_head(F.col("role")))
+    parts = sums.groupBy("conv_id", "part").agg(F.sum(F.col("chars") + F.col("n") * head).alias("chars"))
+    own = sums.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM)).select(F.col("conv_id").alias("_oc"), F.col("part").alias("_op"), F.col("role").alias("_or"), (F.col("n") * (F.lit(len(_OWN_HEAD)) - head)).alias("less"))
+    speakers = own.select(F.col("_oc").alias("_c"), F.col("_or").alias("perspective")).distinct()
+    each = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("_c")))
+    each = each.join(own, F.col("conv_id").eqNullSafe(F.col("_oc")) & F.col("part").eqNullSafe(F.col("_op")) & (F.col("perspective") == F.col("_or")), "left")
+    before = Window.partitionBy("conv_id", "perspective").orderBy(F.col("part").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum(F.col("chars") + F.coalesce("less", F.lit(0))).over(before), F.lit(0))
+    return each.select(F.col("conv_id").alias("_c"), F.col("part").alias("_t"), "perspective", offset.cast("long").alias("char_offset"))
+
+
+def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """conv_id, perspective, part, text, masks (array of start, end in the part), n_turns, n_masked, char_offset (of the part in the whole).
 
     Participants are the distinct roles but system; a null role speaks as ``unknown`` and is no participant, so a
     conversation without participants has no rows. Turns are ordered by turn (null last), then role and text; repeated
-    rows are repeated turns. A null text is empty, a null conv_id a conversation of its own; an empty table gives an
-    empty result. Conversations of up to ``part_turns`` turns and ``part_chars`` characters have one part, part 0.
+    rows are repeated turns. Turns 0 to ``part_turns`` - 1 are part 0, and so on; turns without a number are a part of
+    their own, null, the last. A null text is empty, a null conv_id a conversation of its own; an empty table gives an
+    empty result. However many turns there are, a part holds only those that share its numbers.
     """
-    t = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    size = t.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
-    large = stored(size.where((F.col("n") > part_turns) | (F.col("chars") > part_chars)).select(F.col("conv_id").alias("_c")), "chat-large")
-    speakers = stored(t.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM)).select(F.col("conv_id").alias("_p"), F.col("role").alias("perspective")).distinct(), "chat-speakers")
-    is_large = F.col("conv_id").eqNullSafe(F.col("_c"))
-    views = lambda df: df.join(speakers, F.col("conv_id").eqNullSafe(F.col("_p"))).drop("_p")
-    out = _small(views(t.join(large, is_large, "left_anti")))
-    return out if large.isEmpty() else out.unionByName(_large(views(t.join(large, is_large, "left_semi")), part_turns, part_chars))
-
-
-def _small(views: DataFrame) -> DataFrame:
-    """Whole conversations in one row each, by built-in functions; groups are bounded by the part size."""
+    t = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), F.floor(F.col("turn") / part_turns).cast("long").alias("part"))
+    views = t.join(_views(t), F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("part").eqNullSafe(F.col("_t")))
     order = F.struct(F.col("turn").isNull().alias("late"), "turn", F.col("role").isNull().alias("anon"), "role", F.col("text").isNull().alias("mute"), "text")
-    one = views.groupBy("conv_id", "perspective").agg(F.sort_array(F.collect_list(order)).alias("turns"))
+    one = views.groupBy("conv_id", "perspective", "part", "char_offset").agg(F.sort_array(F.collect_list(order)).alias("turns"))
 
     def line(x: Column) -> Column:
-        head, body = _segment(x["role"], x["text"], F.col("perspective"))
         own = x["role"].eqNullSafe(F.col("perspective"))
-        return F.struct(head.alias("head"), body.alias("body"), own.alias("own"))
+        return F.struct(F.when(own, F.lit(_OWN_HEAD)).otherwise(_user_head(x["role"])).alias("head"), _body(x["text"]).alias("body"), own.alias("own"))
 
     one = one.withColumn("lines", F.transform("turns", line))
     text = F.array_join(F.transform("lines", lambda x: F.concat(x["head"], x["body"])), "")
@@ -66,85 +71,25 @@ def _small(views: DataFrame) -> DataFrame:
         ),
         lambda a: a["m"],
     )
-    made = one.select("conv_id", "perspective", F.lit(0).alias("part"), text.alias("text"), masks.alias("masks"), F.size("turns").alias("n_turns"))
-    return made.select("*", F.size("masks").alias("n_masked"), F.lit(0).cast("long").alias("char_offset"))
-
-
-def _large(views: DataFrame, part_turns: int, part_chars: int) -> DataFrame:
-    """Ranges of sorted turns are dealt over all tasks, so no task holds a conversation; parts end at range ends, too."""
-    head, body = _segment(F.col("role"), F.col("text"), F.col("perspective"))
-    rows = views.select("conv_id", "perspective", "turn", "role", "text", head.alias("head"), body.alias("body"), F.col("role").eqNullSafe(F.col("perspective")).alias("own"), F.monotonically_increasing_id().alias("tie"))
-    keys = [F.col("conv_id").asc_nulls_first(), F.col("perspective").asc(), F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), F.col("text").asc_nulls_last(), F.col("tie").asc()]
-    dealt = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    kind = views.schema["conv_id"].dataType.simpleString()
-    picked = dealt.select(F.spark_partition_id().alias("pid"), "conv_id", "perspective", "head", "body", "own")
-    schema = f"conv_id {kind}, perspective string, pid int, seq int, text string, masks array<struct<start:bigint,end:bigint>>, n_turns int, n_chars long"
-    parts = stored(picked.mapInArrow(_part_batches(part_turns, part_chars), schema), "chat-parts")
-    order = Window.partitionBy("conv_id", "perspective").orderBy("pid", "seq")
-    place = parts.select(
-        F.col("conv_id").alias("_c"), F.col("perspective").alias("_v"), F.col("pid").alias("_pid"), F.col("seq").alias("_seq"), (F.row_number().over(order) - 1).alias("part"),
-        F.coalesce(F.sum("n_chars").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("char_offset"),
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("perspective") == F.col("_v")) & (F.col("pid") == F.col("_pid")) & (F.col("seq") == F.col("_seq"))
-    return parts.join(place, same).select("conv_id", "perspective", "part", "text", "masks", "n_turns", F.size("masks").alias("n_masked"), "char_offset")
-
-
-def _part_batches(part_turns: int, part_chars: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, seq, kind, made = None, 0, None, []
-        text: list[str] = []
-        masks: list[dict] = []
-        at = n = 0
-
-        def close() -> None:
-            nonlocal text, masks, at, n, seq
-            if n:
-                made.append((*key[1:], key[0], seq, "".join(text), masks, n, at))
-                seq += 1
-            text, masks, at, n = [], [], 0, 0
-
-        def rows() -> pa.RecordBatch:
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = (kind, pa.string(), pa.int32(), pa.int32(), pa.string(), span, pa.int32(), pa.int64())
-            names = ("conv_id", "perspective", "pid", "seq", "text", "masks", "n_turns", "n_chars")
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)], list(names))
-
-        for b in batches:
-            kind = b.schema.field("conv_id").type
-            for pid, conv, who, head, body, own in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
-                if key != (pid, conv, who):
-                    close()
-                    key, seq = (pid, conv, who), 0
-                elif n >= part_turns or at + len(head) + len(body) > part_chars:
-                    close()
-                if own:
-                    masks.append({"start": at + len(head), "end": at + len(head) + len(body)})
-                text += [head, body]
-                at, n = at + len(head) + len(body), n + 1
-            if made:
-                yield rows()
-                made = []
-        close()
-        if made:
-            yield rows()
-
-    return run
-
-
-ORACLE = """
-WITH t AS (SELECT conv_id, turn, role, text FROM conversations),
+    made = one.select("conv_id", "perspective", "part", text.alias("text"), masks.alias("masks"), F.size("turns").alias("n_turns"), "char_offset")
+    return made.select("conv_id", "perspective", "part", "text", "masks", "n_turns", F.size("masks").alias("n_masked"), "char_offset")
+
+
+ORACLE = f"""
+WITH t AS (SELECT conv_id, turn, role, text, floor(turn / {PART_TURNS}.0)::BIGINT AS part FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role IS NOT NULL AND role <> 'system'),
 l AS (
-  SELECT t.conv_id, perspective, turn, role, text,
+  SELECT t.conv_id, perspective, turn, role, text, part,
     CASE WHEN role = 'system' THEN '<|system|>' WHEN role = perspective THEN '<|assistant|>' ELSE '<|user name=' || coalesce(role, 'unknown') || '|>' END || chr(10) AS head,
     coalesce(text, '') || '<|end|>' || chr(10) AS body, coalesce(role = perspective, false) AS own
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ),
-o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l)
-SELECT conv_id, perspective, 0::INTEGER AS part, string_agg(head || body, '' ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS text,
-  string_agg((pos + length(head))::BIGINT || '-' || (pos + length(head) + length(body))::BIGINT, ',' ORDER BY pos) FILTER (own) AS masks,
-  count(*)::INTEGER AS n_turns, (count(*) FILTER (own))::INTEGER AS n_masked, 0::BIGINT AS char_offset
-FROM o GROUP BY conv_id, perspective"""
+w AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l),
+o AS (SELECT *, min(pos) OVER (PARTITION BY conv_id, perspective, part) AS base FROM w)
+SELECT conv_id, perspective, part, string_agg(head || body, '' ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS text,
+  coalesce(string_agg((pos - base + length(head))::BIGINT || '-' || (pos - base + length(head) + length(body))::BIGINT, ',' ORDER BY pos) FILTER (own), '') AS masks,
+  count(*)::INTEGER AS n_turns, (count(*) FILTER (own))::INTEGER AS n_masked, base::BIGINT AS char_offset
+FROM o GROUP BY conv_id, perspective, part, base"""
 
 
 def result(turns: DataFrame) -> DataFrame:

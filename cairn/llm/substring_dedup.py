@@ -65,8 +65,8 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _rank(doc_id: Column, text: Column) -> Column:
-    """Order of documents: doc_id; rows without one come last, in a fixed order of their own."""
-    return F.coalesce(doc_id.cast("long"), F.lit((1 << 63) - 1) - F.pmod(row_key(doc_id, text), F.lit(1 << 40)))
+    """Order of documents: doc_id; rows without a whole number for one come last, in a fixed order of their own."""
+    return F.coalesce(doc_id.try_cast("long"), F.lit((1 << 63) - 1) - F.pmod(row_key(doc_id, text), F.lit(1 << 40)))
 
 
 def _digest_batches(kind: str):

@@ -1,7 +1,9 @@
 """WARC (5): a chunked record table.
 
 A record is kept as rows (record_id, chunk_no, data) with the digest so far, never as one value. Chunks beyond the
-first are stored as ``continuation`` records of the WARC 1.1 standard, so the reader, too, holds one chunk at a time.
+first are stored as ``continuation`` records of the WARC 1.1 standard; the reader cuts records of any size, segmented or
+not, into chunks as they stream past, with a running digest. (Spark's text source hands it a line at a time, so what
+has no line end is as long as a line; parse() takes blocks of any size.)
 Archives are gzip files written and read by Spark's own text source, whose bytes are not altered; any store works.
 """
 
@@ -87,11 +89,12 @@ def write(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", chu
 
 
 class Parser:
-    """Reads a stream of byte blocks cut at any place and yields chunk rows; it holds one header or chunk at most."""
+    """Reads a stream of byte blocks cut at any place and yields chunk rows of ``chunk_bytes`` at most, whether or not the archive has segments; it holds one header or chunk and the block at hand."""
 
-    def __init__(self) -> None:
+    def __init__(self, chunk_bytes: int = CHUNK_BYTES) -> None:
+        self.chunk_bytes = chunk_bytes
         self.buffer = bytearray()
-        self.need = -1
+        self.need = -1  # bytes of the block still to come; below 0 outside a block
         self.head: dict[str, str] = {}
         self.open: dict = {}
 
@@ -110,30 +113,36 @@ class Parser:
                     raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
                 self.head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
                 self.need, at = int(self.head["content-length"]), end + 4
-            if len(self.buffer) - at < self.need:
+                self._begin()
+            size = min(self.need, self.chunk_bytes)
+            if len(self.buffer) - at < size:
                 break
-            data = bytes(self.buffer[at : at + self.need])
-            at, self.need = at + self.need, -1
-            yield self._chunk(data)
+            data = bytes(self.buffer[at : at + size])
+            at, self.need = at + size, self.need - size
+            yield self._chunk(data, not self.need)
+            if not self.need:
+                self.need = -1
         del self.buffer[:at]
 
-    def _chunk(self, data: bytes) -> dict:
+    def _begin(self) -> None:
+        """A header was read: of a new record, or of a segment of the one before."""
         h = self.head
         bare = lambda x: x.strip("<>").removeprefix(URN)
         if h["warc-type"] != "continuation":
             self.open = {
-                "record_id": bare(h["warc-record-id"]), "chunk_no": 0, "sha": hashlib.sha1(), "bytes": 0, "record_type": h["warc-type"], "target_uri": h.get("warc-target-uri"),
+                "record_id": bare(h["warc-record-id"]), "chunk_no": -1, "sha": hashlib.sha1(), "bytes": 0, "record_type": h["warc-type"], "target_uri": h.get("warc-target-uri"),
                 "refers_to": bare(h["warc-refers-to"]) if "warc-refers-to" in h else None, "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
                 "payload_bytes": int(h["warc-payload-length"]) if "warc-payload-length" in h else None,
             }
         elif bare(h["warc-segment-origin-id"]) != self.open.get("record_id"):
             raise ValueError(f"a segment of {h['warc-segment-origin-id']} without the one before it")
-        else:
-            self.open["chunk_no"] += 1
-        o = self.open
+
+    def _chunk(self, data: bytes, ends: bool) -> dict:
+        h, o = self.head, self.open
+        o["chunk_no"] += 1
         o["sha"].update(data)
         o["bytes"] += len(data)
-        last = "warc-segment-number" not in h or "warc-segment-total-length" in h
+        last = ends and ("warc-segment-number" not in h or "warc-segment-total-length" in h)
         return {
             "record_id": o["record_id"], "chunk_no": o["chunk_no"], "data": data, "digest_so_far": o["sha"].hexdigest(), "bytes_so_far": o["bytes"], "record_type": o["record_type"],
             "refers_to": o["refers_to"], "payload_digest": o["payload_digest"], "payload_bytes": o["payload_bytes"], "target_uri": o["target_uri"], "last": last,
@@ -144,9 +153,9 @@ class Parser:
             raise ValueError("the archive ends inside a record")
 
 
-def parse(blocks: Iterable[bytes]) -> Iterator[dict]:
+def parse(blocks: Iterable[bytes], chunk_bytes: int = CHUNK_BYTES) -> Iterator[dict]:
     """Chunk rows of one archive given as byte blocks, such as reads of an open file."""
-    parser = Parser()
+    parser = Parser(chunk_bytes)
     for block in blocks:
         yield from parser.feed(block)
     parser.close()

@@ -25,13 +25,40 @@ def brute(rows, conv, who):
 def test_rotation(turns, part_turns):
     rows = turns.collect()
     whole = {}
-    for r in sorted(chat.rotate(turns, part_turns).collect(), key=lambda r: r.part):
+    for r in sorted(chat.rotate(turns, part_turns).collect(), key=lambda r: (r.part is None, r.part)):
         text, masks = whole.get((r.conv_id, r.perspective), ("", []))
         assert r.char_offset == len(text) and r.n_masked == len(r.masks) and r.n_turns <= max(part_turns, 6)
         whole[(r.conv_id, r.perspective)] = (text + r.text, masks + [(m.start + r.char_offset, m.end + r.char_offset) for m in r.masks])
     assert whole == {(c, w): brute(rows, c, w) for c, w in {(r.conv_id, r.role) for r in rows if r.role not in (None, "system")}}
 
 
+def test_parts_depend_on_turns_alone(spark):
+    """3,000 turns and one very long one: the same rows however many partitions, and those of the oracle."""
+    import duckdb
+
+    rows = [(1, k, f"p{k % 3}", f"says {k}" * (1 + 50_000 * (k == 700))) for k in range(3000)] + [(2, k, "ann", f"t{k}") for k in range(3)] + [(1, None, "late", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = []
+    for n in ("1", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got.append(sorted(map(str, chat.result(df.repartition(int(n))).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got[0] == got[1] and len(got[0]) == 4 * 7 + 1
+    conversations = df.toPandas().astype({"turn": "Int64"})  # noqa: F841
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    names = chat.result(df).columns
+    key = lambda r: (r[0], r[1], r[2] is None, r[2])
+    assert sorted(con.execute(f"SELECT {', '.join(names)} FROM ({chat.ORACLE})").fetchall(), key=key) == sorted(map(tuple, chat.result(df).collect()), key=key)
+
+
+def test_clashing_columns(turns):
+    from pyspark.sql import functions as F
+
+    more = turns.select("*", *[F.lit(n).alias(n) for n in "part n chars less perspective char_offset turns lines _c _t".split()])
+    assert sorted(map(str, chat.rotate(more).collect())) == sorted(map(str, chat.rotate(turns).collect()))
+
+
 def test_no_turns(turns):
     assert chat.rotate(turns.limit(0)).collect() == []
 

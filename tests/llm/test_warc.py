@@ -77,3 +77,33 @@ def test_ties_are_all_responses(spark):
     big = "x" * 1000
     got = warc.round_trip(spark.createDataFrame([(1, "u", big), (2, "u", big), (2, "v", big)], "page_id long, url string, html string")).collect()
     assert sorted((r.page_id, r.record_type) for r in got) == [(1, "revisit"), (2, "response"), (2, "response")]
+
+
+def test_a_plain_record_is_chunked_as_it_streams():
+    """64 MiB in one record without segments, in blocks of 64 KiB: never over two chunks are held."""
+    size, step = 64 << 20, 1 << 16
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:record:1>\r\nContent-Length: {size}\r\n\r\n".encode()
+    parser, sha, n = warc.Parser(), hashlib.sha1(), 0
+    for block in [head, *[bytes([k % 251]) * step for k in range(size // step)], b"\r\n\r\n"]:
+        for row in parser.feed(block):
+            sha.update(row["data"])
+            assert len(row["data"]) == 1 << 20 and row["chunk_no"] == n and row["digest_so_far"] == sha.hexdigest() and row["last"] == (n == 63)
+            n += 1
+        assert len(parser.buffer) <= 2 << 20
+    parser.close()
+    assert n == 64
+
+
+def test_a_long_plain_record_through_spark(spark, tmp_path):
+    body = b"\n".join(b"line %d" % k for k in range(300_000))
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:record:9>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)))
+    rows = warc.read(spark, str(tmp_path)).orderBy("chunk_no").collect()
+    assert [r.last for r in rows] == [False] * (len(rows) - 1) + [True] and len(rows) == -(-len(body) // (1 << 20)) > 2
+    assert b"".join(bytes(r.data) for r in rows) == body and rows[-1].digest_so_far == hashlib.sha1(body).hexdigest()
+
+
+def test_clashing_columns(spark, pages):
+    from pyspark.sql import functions as F
+
+    more = pages.select("*", *[F.lit(k).alias(n) for k, n in enumerate("payload payload_bytes payload_digest winner n record_type refers_to block n_chunks k data".split())])
+    assert sorted(map(str, warc.round_trip(more).collect())) == sorted(map(str, warc.round_trip(pages).collect()))
