@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FLOOR = "2010-01-01"
@@ -55,9 +55,18 @@ def in_text(text: Column, as_of: Column) -> Column:
 
 
 def parse_value(text: Column, as_of: Column) -> Column:
-    """A single date value: ISO forms with or without time, else one of the strict forms."""
-    iso = F.regexp_extract(F.trim(text), r"^(20\d{2}-\d{2}-\d{2})(?:$|[T ])", 1)
-    return F.coalesce(plausible(F.try_to_date(F.nullif(iso, F.lit("")), "yyyy-MM-dd"), as_of), in_text(text, as_of))
+    """A single date value: year, month and day with or without time, else one of the strict forms."""
+    part = lambda k: F.regexp_extract(F.trim(text), r"^(20\d{2})([-/.]?)(\d{2})\2(\d{2})(?:$|[T ])", k)
+    return F.coalesce(plausible(_ymd(part(1), part(3), part(4)), as_of), in_text(text, as_of))
+
+
+def with_free_date(df: DataFrame, text: str, as_of: Column, out: str = "date") -> DataFrame:
+    """``df`` with a date of a value in any form: what the strict forms do not read goes through a parser of free text, and nothing else does."""
+    from .udfs import fuzzy_date
+
+    strict = df.withColumn(out, parse_value(F.col(text), as_of))
+    loose = strict.withColumn("_loose", fuzzy_date(F.when(F.col(out).isNull(), F.col(text))))
+    return loose.withColumn(out, F.coalesce(out, plausible(F.col("_loose"), as_of))).drop("_loose")
 
 
 def strip_leading(text: Column) -> Column:

@@ -96,6 +96,26 @@ def fuzzy_date(texts: pd.Series) -> pd.Series:
     return pd.Series([one(t) for t in texts], dtype=object)
 
 
+@F.pandas_udf(StringType())
+def pdf_text(contents: pd.Series) -> pd.Series:
+    """Text of PDF files by page; null where one cannot be read or the library is missing."""
+    import io
+
+    try:
+        from pypdf import PdfReader
+    except ModuleNotFoundError:
+        return pd.Series([None] * len(contents), dtype=object)
+
+    def one(raw) -> str | None:
+        try:
+            parts = [(page.extract_text() or "").strip() for page in PdfReader(io.BytesIO(raw)).pages]
+        except Exception:  # broken files are many and of all kinds
+            return None
+        return "\n\n".join(p for p in parts if p) or None
+
+    return pd.Series([one(c) for c in contents], dtype=object)
+
+
 class _Node:
     __slots__ = ("attrs", "children", "parent", "tag", "text")
 

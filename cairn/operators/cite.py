@@ -22,6 +22,20 @@ def remap(citations: DataFrame, id_to_url: DataFrame, url_to_id: DataFrame, run:
     return b.withColumn("new_id", F.when(F.col("canonical_id").isNotNull(), new)).withColumn("outcome", outcome)
 
 
+def remap_runs(citations: DataFrame, corpora: DataFrame, id_to_url: DataFrame, url_to_id: DataFrame, strict: bool = False) -> DataFrame:
+    """Citations of merged documents (target_id, run_id, resource_id, ...) to canonical ids, by way of one run's index.
+
+    The index is that of the target's oldest run, through which the reference resolves all its citations; with
+    ``strict`` it is that of the run which gave the citation. ``corpora`` has target_id, run_id, seq.
+    """
+    if strict:
+        by = citations.withColumn("_run", F.col("run_id"))
+    else:
+        by = citations.join(corpora.groupBy("target_id").agg(F.min_by("run_id", "seq").alias("_run")), "target_id", "left")
+    index = id_to_url.select("target_id", F.col("run_id").alias("_run"), "resource_id", "url")
+    return remap(by, index, url_to_id, ["target_id", "_run"], ["target_id"]).drop("_run")
+
+
 def hydrate(citations: DataFrame, texts: DataFrame, keys: list[str], max_words: int = MAX_WORDS) -> DataFrame:
     """``citations`` with snippet, words and problem: equality on the resource, then a slice of its lines; no range join.
 

@@ -51,3 +51,24 @@ def sectors(sectors_dim: DataFrame, vendors: DataFrame, key: str, reviewed: str)
 
 def readiness_facet(value: Column, facet: str | None) -> Column:
     return F.lit(True) if facet in (None, "all") else value == facet
+
+
+# The domains a vendor page may name.
+DOMAINS = ("uav", "ugv", "usv", "uuv")
+
+
+def valid_domains(domains: Column) -> Column:
+    """Known domains only, in their own order."""
+    return F.filter(domains, lambda x: x.isin(*DOMAINS))
+
+
+# The order of sectors on the front page.
+SECTOR_ORDER = (
+    "avionics", "propulsion-electronics", "propulsion-mechanical", "power-systems", "flight-vehicle-control", "sensors-navigation", "isr-payloads", "electronic-warfare", "munitions",
+    "communications", "mechanical-subsystems", "structures-materials", "airframes", "recovery-systems", "flight-termination", "ground-segment", "test-measurement",
+)
+
+
+def listed_order(value: Column, order: tuple[str, ...] = SECTOR_ORDER) -> Column:
+    """Place in a fixed list, to sort by; what the list lacks comes first, at -1."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in order]), value), F.lit(0)) - 1

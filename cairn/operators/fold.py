@@ -41,10 +41,15 @@ def best_status(status: Column) -> Column:
     return F.coalesce(F.max_by(status, v.status_rank(status)), F.lit("unknown"))
 
 
-def ordered_union(array: Column, seq: Column) -> Column:
-    """Distinct elements of all arrays, in order of first occurrence by ``seq``."""
-    ordered = F.array_sort(F.collect_list(F.struct(seq.alias("s"), array.alias("a"))))
-    return F.array_distinct(F.flatten(F.transform(ordered, lambda x: x["a"])))
+def ordered_union(rows: DataFrame, keys: list[str], array: str, seq: str = "seq") -> DataFrame:
+    """One row a key: the distinct elements of all its arrays, in order of first occurrence by ``seq``; no elements give an empty array.
+
+    Elements are brought down to one row each before a key's are gathered.
+    """
+    each = rows.select(*keys, seq, F.posexplode_outer(array).alias("_i", "_e"))
+    firsts = each.groupBy(*keys, "_e").agg(F.min(F.struct(seq, "_i")).alias("_f"))
+    ordered = F.sort_array(F.collect_list(F.when(F.col("_e").isNotNull(), F.struct("_f", "_e"))))
+    return firsts.groupBy(*keys).agg(F.transform(ordered, lambda x: x["_e"]).alias(array))
 
 
 def urls(entries: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
@@ -84,9 +89,8 @@ def products(rows: DataFrame, keys: list[str], name: str, content: list[str], se
 def requests(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Fetch requests, one per URL: first reason, evidence fields in order of first mention, first hint that is filled, and whether any run had the URL in its index."""
     s = F.col("seq")
-    return rows.groupBy(*keys).agg(
-        F.min_by("reason", s).alias("reason"), ordered_union(F.col("expected_evidence"), s).alias("expected_evidence"), first_filled(F.col("source_hint"), s).alias("source_hint"), F.bool_or("in_corpus_index").alias("in_corpus_index")
-    )
+    one = rows.groupBy(*keys).agg(F.min_by("reason", s).alias("reason"), first_filled(F.col("source_hint"), s).alias("source_hint"), F.bool_or("in_corpus_index").alias("in_corpus_index"))
+    return one.join(ordered_union(rows, keys, "expected_evidence"), keys).select(*keys, "reason", "expected_evidence", "source_hint", "in_corpus_index")
 
 
 def links(rows: DataFrame, key: list[str]) -> DataFrame:

@@ -54,6 +54,20 @@ def submission(rows: DataFrame, key: list[str]) -> DataFrame:
     return g.withColumn("status", F.when(F.col("_c"), "partial").otherwise(F.col("_s"))).drop("_s", "_c")
 
 
+def accumulated(events: DataFrame, key: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(items, documents) of sessions that hand in items one by one: valid items up to the first valid finalize event, and its status.
+
+    ``events`` has event (item or finalize), valid and status. A session that never finalizes has its items and the
+    status failed; what comes after the end does not count.
+    """
+    at = F.struct(*order)
+    ends = events.where("event = 'finalize' AND valid").groupBy(*key).agg(F.min(at).alias("_end"), F.min_by("status", at).alias("_status"))
+    marked = events.join(ends, key, "left")
+    counts = (F.col("event") == "item") & F.col("valid") & F.coalesce(at < F.col("_end"), F.lit(True))
+    documents = marked.groupBy(*key).agg(F.count_if(counts).alias("items"), F.coalesce(F.first("_status"), F.lit("failed")).alias("status"))
+    return marked.where(counts).drop("_end", "_status"), documents
+
+
 # Texts that tell an error after which retrying is futile.
 BALANCE_ERRORS = ("credit balance is too low", "credit balance too low", "insufficient credits", "insufficient_credits", "insufficient_funds", "your credit balance is below", "billing")
 AUTH_ERRORS = ("invalid x-api-key", "invalid api key", "authentication_error", "unauthorized", "401 unauthorized", "403 forbidden")

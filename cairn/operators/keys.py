@@ -21,15 +21,15 @@ def stable_ids(existing: DataFrame, current: DataFrame, group: list[str], key: s
 def gap_serials(used: DataFrame, new: DataFrame, group: str, order: list[Column]) -> DataFrame:
     """``new`` with serial: the n-th new row of a group gets its n-th smallest unused positive integer.
 
-    With u used serials in a group, its first n free ones lie below n + u + 1, so the candidates grow with the input.
+    Below the i-th used serial u lie u - i free ones, so the n-th free one is n and the number of used serials with
+    u - i < n: a running count over both in one order. No candidates are made.
     """
-    nth = new.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    need = nth.groupBy(group).agg(F.max("_n").alias("_need"))
-    taken = used.groupBy(group).agg(F.count_distinct("serial").alias("_used"))
-    cand = need.join(taken, group, "left").select(group, F.explode(F.sequence(F.lit(1), (F.col("_need") + F.coalesce("_used", F.lit(0))).cast("int"))).alias("serial"))
-    free = cand.join(used.select(group, F.col("serial").cast("int").alias("serial")), [group, "serial"], "left_anti")
-    free = free.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy("serial")))
-    return nth.join(free, [group, "_n"]).drop("_n")
+    once = used.select(group, F.col("serial").cast("long").alias("_u")).where("_u > 0").distinct()
+    taken = once.withColumn("_at", F.col("_u") - F.row_number().over(Window.partitionBy(group).orderBy("_u")))
+    nth = new.withColumn("_at", F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
+    both = nth.withColumn("_taken", F.lit(0)).unionByName(taken.select(group, "_at", F.lit(1).alias("_taken")), allowMissingColumns=True)
+    before = F.sum("_taken").over(Window.partitionBy(group).orderBy("_at", "_taken").rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("serial", F.col("_at") + before).where("_taken = 0").drop("_at", "_taken")
 
 
 def designation(letter: Column, serial: Column) -> Column:

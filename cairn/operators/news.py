@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as d
 from ..functions import url as u
-from ..functions.trims import rstrip, strip
+from ..functions.trims import strip
+from ..sources.readers import json_depth
 
 PRIMARY_MIN = 3
 
@@ -23,7 +27,7 @@ def families(entries: DataFrame, key: list[str], url: str = "url") -> DataFrame:
     e = e.withColumn("bare", u.bare_index(F.col("npath"), F.col("family")))
     g = e.groupBy(*key, "family").agg(
         F.count("*").alias("items"), F.min_by("npath", F.when(F.col("bare"), F.col("pos"))).alias("_bare"),
-        common_prefix(F.col("npath")).alias("_prefix"), F.min_by("npath", F.struct(F.size(F.split("npath", "/")), F.length("npath"), "npath")).alias("_short"),
+        common_prefix(F.col("npath")).alias("_prefix"), F.min_by("npath", F.struct(F.size(F.split("npath", "/")), F.length("npath"), "pos")).alias("_short"),
     )
     parent = F.regexp_replace("_short", "/[^/]*$", "")
     index = F.coalesce(
@@ -42,9 +46,13 @@ def rank_families(g: DataFrame, key: list[str], items: str = "items", rank: str
 
 
 def common_prefix(paths: Column) -> Column:
-    """Aggregate: the longest common prefix of whole segments, from the least and greatest path alone."""
-    a, b = (F.split(strip("/", f(paths)), "/") for f in (F.min, F.max))
-    return common_segments(a, b)
+    """Aggregate: the longest common prefix of whole segments; empty paths do not count.
+
+    It is that of the least and the greatest path, compared segment by segment: as texts they would not do, since
+    ``-`` and ``.`` sort before ``/``.
+    """
+    segments = F.when(strip("/", paths) != "", F.split(strip("/", paths), "/"))
+    return F.coalesce(common_segments(F.min(segments), F.max(segments)), F.lit(""))
 
 
 def common_segments(a: Column, b: Column) -> Column:
@@ -67,18 +75,29 @@ def with_dates(items: DataFrame, jsonld: DataFrame | None, as_of: Column, url: s
     return out.withColumn("date", F.coalesce(ld, d.from_url(u.path(F.col(url)), as_of), d.in_text(F.col(text), as_of))).drop("_ld")
 
 
-def jsonld_dates(pages: DataFrame, as_of: Column, html: str = "html") -> DataFrame:
-    """(url, date) of all JSON-LD entries: an object, a list or an @graph; the last of a URL wins; broken blocks are passed over."""
+def jsonld_dates(pages: DataFrame, as_of: Column, html: str = "html", key: list[str] | None = None, order: Column | None = None, free: bool = False) -> DataFrame:
+    """(key, url, date) of all JSON-LD entries: objects in lists and @graph lists, nested as they may be; broken blocks are passed over.
+
+    The last of a URL wins: in a page by place, across the pages of a ``key`` by ``order``, then by the greater date.
+    With ``free`` dates that no strict form reads are sought in free text.
+    """
+    key = key or []
     blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"), F.lit(1))
-    b = pages.select("*", F.posexplode(blocks).alias("_block", "_json")).withColumn("_v", F.expr("try_parse_json(_json)")).where("_v IS NOT NULL")
-    top = b.select("_block", F.expr("CASE WHEN schema_of_variant(_v) LIKE 'ARRAY%' THEN variant_get(_v, '$', 'array<variant>') ELSE array(_v) END").alias("_list"))
-    one = top.select("_block", F.posexplode("_list").alias("_i", "_e"))
-    graph = one.select("_block", "_i", F.posexplode(F.expr("try_variant_get(_e, '$[\"@graph\"]', 'array<variant>')")).alias("_j", "_e"))
-    every = one.select("_block", "_i", F.lit(-1).alias("_j"), "_e").unionByName(graph)
-    get = lambda p: F.expr(f"try_variant_get(_e, '{p}', 'string')")
-    url = F.coalesce(get("$.url"), get('$["@id"]'), get('$.mainEntityOfPage["@id"]'), get("$.mainEntityOfPage.url"), get("$.mainEntityOfPage"))
-    found = every.select("_block", "_i", "_j", url.alias("url"), d.parse_value(F.coalesce(get("$.datePublished"), get("$.dateCreated")), as_of).alias("date"))
-    return found.where("url IS NOT NULL AND date IS NOT NULL").groupBy("url").agg(F.max_by("date", F.struct("_block", "_i", "_j")).alias("date"))
+    b = pages.select(*key, (F.lit(0) if order is None else order).alias("_page"), F.posexplode(blocks).alias("_block", "_json")).withColumn("_v", F.expr("try_parse_json(_json)")).where("_v IS NOT NULL")
+    rows = b.select(*key, "_page", F.array("_block").alias("_at"), "_v", F.lit(True).alias("_open"))
+    for _ in range(json_depth(b, "_json")):
+        items = "coalesce(try_variant_get(_v, '$', 'array<variant>'), try_variant_get(_v, '$[\"@graph\"]', 'array<variant>'))"
+        kids = f"CASE WHEN _open THEN transform({items}, (x, i) -> struct(concat(_at, array(i)) AS at, x AS v, true AS open)) END"
+        rows = rows.select(*key, "_page", F.explode(F.expr(f"concat(array(struct(_at AS at, _v AS v, false AS open)), coalesce({kids}, array()))")).alias("_x")).select(*key, "_page", F.col("_x.at").alias("_at"), F.col("_x.v").alias("_v"), F.col("_x.open").alias("_open"))
+    kind = lambda p: F.expr(f"schema_of_variant(try_variant_get(_v, '{p}', 'variant'))")
+    text = lambda p: F.when(kind(p) == "STRING", F.nullif(F.expr(f"try_variant_get(_v, '{p}', 'string')"), F.lit("")))
+    odd = F.coalesce(~kind("$.url").isin("STRING", "VOID"), F.lit(False))
+    url = F.when(~odd, F.coalesce(text("$.url"), text('$["@id"]'), text('$.mainEntityOfPage["@id"]'), text("$.mainEntityOfPage.url"), text("$.mainEntityOfPage")))
+    published = F.coalesce(text("$.datePublished"), text("$.dateCreated"))
+    entries = rows.where("schema_of_variant(_v) LIKE 'OBJECT%'").select(*key, "_page", "_at", url.alias("url"), published.alias("_said"))
+    dated = d.with_free_date(entries, "_said", as_of) if free else entries.withColumn("date", d.parse_value(F.col("_said"), as_of))
+    found = dated.where("url IS NOT NULL AND date IS NOT NULL")
+    return found.groupBy(*key, "url").agg(F.max_by("date", F.struct("_page", "_at", "date")).alias("date"))
 
 
 def delta(items: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
@@ -91,6 +110,58 @@ def first_seen(items: DataFrame, key: list[str], order: list[Column]) -> DataFra
     return items.withColumn("is_new", F.row_number().over(Window.partitionBy(*key).orderBy(*order)) == 1)
 
 
+def merge_state(state: DataFrame, items: DataFrame, now: Column, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(state, rendered): the newsletter state after a poll, and its items, newest first (place), with is_new and first_seen_at.
+
+    ``state`` has slug, seen_urls, last_polled_at, polls_completed and, if ``strict``, first_seen (url to time);
+    ``items`` has slug, url, date, one row a URL. Every item is stamped with the time of this poll, as the
+    reference does; with ``strict`` one seen before keeps the time at which it was first seen. A vendor without a
+    state starts from an empty one; one without items in this poll keeps its own.
+    """
+    j = items.join(state.select("slug", "seen_urls", *(["first_seen"] if strict else [])), "slug", "left")
+    new = ~F.coalesce(F.array_contains("seen_urls", F.col("url")), F.lit(False))
+    first = F.coalesce(F.when(~new, F.col("first_seen")[F.col("url")]), now) if strict else now
+    place = F.row_number().over(Window.partitionBy("slug").orderBy(F.desc("date"), F.desc("url")))
+    rendered = j.withColumns({"is_new": new, "first_seen_at": first, "place": place}).drop("seen_urls", "first_seen")
+    polled = rendered.groupBy("slug").agg(F.collect_set("url").alias("_urls"), F.map_from_entries(F.collect_list(F.struct("url", "first_seen_at"))).alias("_first"))
+    m = state.join(polled, "slug", "full_outer")
+    none = F.array().cast("array<string>")
+    met = F.col("_urls").isNotNull()
+    columns = {
+        "seen_urls": F.sort_array(F.array_union(F.coalesce("seen_urls", none), F.coalesce("_urls", none))),
+        "last_polled_at": F.when(met, now).otherwise(F.col("last_polled_at")), "polls_completed": F.coalesce("polls_completed", F.lit(0)) + met.cast("int"),
+    }
+    if strict:
+        columns["first_seen"] = F.when(F.col("first_seen").isNull(), F.col("_first")).when(met, F.map_concat("first_seen", F.map_filter("_first", lambda k, _: ~F.map_contains_key("first_seen", k)))).otherwise(F.col("first_seen"))
+    return m.withColumns(columns).drop("_urls", "_first"), rendered
+
+
+def poll(pages: DataFrame, parse: Callable[[str, str], list[tuple[str, str]]], key: str = "slug") -> tuple[DataFrame, DataFrame]:
+    """(items, errors) of a poll. ``pages`` has ``key``, source_url, source_pos, ok, message and content; ``parse`` gives (url, title) pairs of a page.
+
+    A source that failed to load, is empty, or makes ``parse`` raise leaves an error and no other trace: all other
+    sources go on. Of a URL that several sources of a vendor list the first source's item stays.
+    """
+    kind = pages.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, source, pos, ok, message, content in zip(*(pdf[c] for c in (key, "source_url", "source_pos", "ok", "message", "content")), strict=True):
+                if not ok or not content:
+                    rows.append((k, source, pos, 0, None, None, message or "no content"))
+                    continue
+                try:
+                    rows += [(k, source, pos, n, url, title, None) for n, (url, title) in enumerate(parse(content, source))]
+                except Exception as e:  # one source must not end the poll
+                    rows.append((k, source, pos, 0, None, None, f"parse error: {type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=[key, "source_url", "source_pos", "n", "url", "title", "error"])
+
+    out = pages.select(key, "source_url", "source_pos", "ok", "message", "content").mapInPandas(run, f"{key} {kind}, source_url string, source_pos long, n long, url string, title string, error string")
+    good = out.where("error IS NULL").groupBy(key, "url").agg(F.min_by(F.struct("source_url", "title"), F.struct("source_pos", "n")).alias("_f")).select(key, "url", "_f.*")
+    return good, out.where("error IS NOT NULL").select(key, "source_url", "error")
+
+
 def recent(items: DataFrame, as_of: Column, days: int, date: str = "date") -> DataFrame:
     """Undated items and those older than ``days`` are dropped."""
     return items.where(F.col(date) >= F.date_sub(as_of, days))

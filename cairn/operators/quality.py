@@ -70,3 +70,9 @@ def fetched(index: DataFrame) -> DataFrame:
 
 def not_fetched(index: DataFrame) -> DataFrame:
     return index.where(~F.coalesce((F.col("status") == "fetched") & F.col("resource_id").isNotNull(), F.lit(False)))
+
+
+def url_totals(rows: DataFrame, urls: str, *keys: str) -> DataFrame:
+    """The most URLs that one row has, and all of theirs together; by ``keys``, or over the whole table."""
+    n = F.coalesce(F.size(urls), F.lit(0))
+    return rows.groupBy(*keys).agg(F.max(n).alias("most"), F.sum(n).alias("total"))

@@ -26,6 +26,20 @@ def disposition(targets: DataFrame, covered: DataFrame, key: list[str], force: b
     return j.withColumn("disposition", F.when(F.lit(force) | F.col("_c").isNull(), "mirror").otherwise("reuse" if reuse else "skip")).drop("_c")
 
 
+def mirrored(requested: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
+    """Requested targets that were mirrored; what else was mirrored does not count."""
+    return requested.join(done.select(*key), key, "left_semi")
+
+
+def manifest_entry(corpora: DataFrame) -> DataFrame:
+    """The run manifest's row of each corpus; ``corpora`` has a resources array, a quality struct, disposition and covered_by_run_id."""
+    q = lambda c: F.col(f"quality.{c}")
+    return corpora.select(
+        "target_id", "display_name", q("status").alias("quality_status"), "manifest_path", "quality_report_path", F.coalesce(F.size("resources"), F.lit(0)).alias("resource_count"), "disposition",
+        q("browserless_calls_used").alias("browserless_calls_used"), q("browserless_call_budget").alias("browserless_call_budget"), q("budget_exhausted").alias("budget_exhausted"), "covered_by_run_id",
+    )
+
+
 def policy_hash(*settings: Column) -> Column:
     """sha256 of the canonical JSON of a policy: its settings by name."""
     return F.sha2(F.to_json(F.struct(*settings)), 256)

@@ -61,3 +61,8 @@ def pages_of_site(pages: DataFrame, profile: str, url: str = "url", site: str =
     fit = c.where(u.in_scope(F.col(url), F.col(home)) & (F.col("kind") == "html") & (F.col("page_class") != "homepage"))
     order = [F.col("score").desc(), F.length(u.path(F.col(url))), F.col(url)]
     return budgeted(fit, [url], [site], "page_class", order, class_budget(F.col("page_class"), profile), class_order(F.col("page_class")), v.PROFILE_LIMITS[profile][0] - 1)
+
+
+def index_order(index: DataFrame) -> DataFrame:
+    """A crawl index as it is written: by depth, then URL."""
+    return index.orderBy("depth", "url")

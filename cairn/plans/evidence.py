@@ -62,8 +62,8 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     x = F.col("text")
     return c.select(
-        "conv_id", "turn", t.markdown_to_text(x).alias("plain"), t.truncate_words(x, 12).alias("short"), t.word_count(x).alias("words"), t.slugify(F.left(x, F.lit(40)), 20).alias("slug"), t.title_label(F.concat_ws("_", "role", F.lit("turn-name"))).alias("label"),
-        t.collapse(x).alias("flat"), t.search_string(F.col("role"), F.lit(""), F.left(x, F.lit(9))).alias("search"),
+        "conv_id", "turn", t.markdown_to_text(x).alias("plain"), t.truncate_words(x, 12).alias("short"), t.word_count(x).alias("words"), t.slugify(x, 20).alias("slug"), t.title_label(F.concat_ws("_", "role", F.lit("turn-name"))).alias("label"),
+        t.collapse(x).alias("flat"), t.search_string(F.col("role"), F.lit(""), x).alias("search"),
     )
 
 
@@ -98,7 +98,7 @@ SELECT doc_id, f IS DISTINCT FROM recorded AS drifted, f IS NOT DISTINCT FROM re
     "list_constraints": "SELECT l_orderkey, 'one_primary' AS violation FROM lineitem GROUP BY l_orderkey HAVING min(CASE WHEN l_linestatus = 'O' THEN 'answered' ELSE 'unknown' END) = 'answered' AND count(*) FILTER (l_returnflag = 'R') <> 1",
     "text_functions": rf"""SELECT conv_id, turn, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '\s+$', '')), lambda x: trim(x) <> ''), chr(10)) AS plain,
   CASE WHEN len({_WS.replace('@', 'text')}) > 12 THEN rtrim(array_to_string(({_WS.replace('@', 'text')})[1:12], ' '), ',.;:') || '…' ELSE text END AS short, len({_WS.replace('@', 'text')})::INTEGER AS words,
-  coalesce(nullif(left(lower(trim(regexp_replace(left(text, 40), '[^A-Za-z0-9]+', '-', 'g'), '-')), 20), ''), 'item') AS slug, upper(left(role, 1)) || substring(role, 2) || ' Turn Name' AS label,
-  trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat, lower(role || ' ' || left(text, 9)) AS search FROM conversations""",
+  coalesce(nullif(left(lower(trim(regexp_replace(text, '[^A-Za-z0-9]+', '-', 'g'), '-')), 20), ''), 'item') AS slug, upper(left(role, 1)) || substring(role, 2) || ' Turn Name' AS label,
+  trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat, lower(role || ' ' || text) AS search FROM conversations""",
     "hashes": "SELECT page_id, sha1(url) AS cache_key, sha256(html) AS sha256, sha256(page_id || '|' || url) AS policy_hash FROM pages",
 }

@@ -61,7 +61,7 @@ def request_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def provenance_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir).select("l_orderkey", F.array("l_returnflag", "l_linestatus").alias("found"), "pos")
-    return rows.groupBy("l_orderkey").agg(F.array_join(fold.ordered_union(F.col("found"), F.col("pos")), ",").alias("found"))
+    return fold.ordered_union(rows, ["l_orderkey"], "found", "pos").select("l_orderkey", F.array_join("found", ",").alias("found"))
 
 
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +74,8 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gap_serials(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     letter = F.left("c_mktsegment", F.lit(1))
-    used = c.where("c_custkey % 4 = 0").select(letter.alias("letter"), (F.col("c_custkey") / 4).cast("int").alias("serial")).where("serial % 3 <> 0")
-    new = c.where("c_custkey % 4 = 1").select(letter.alias("letter"), "c_custkey")
+    used = c.select(letter.alias("letter"), (F.col("c_custkey") * 2).alias("serial"))
+    new = c.select(letter.alias("letter"), "c_custkey")
     out = keys.gap_serials(used, new, "letter", [F.col("c_custkey")])
     return out.select("c_custkey", keys.designation(F.col("letter"), F.col("serial")).alias("designation"))
 
@@ -122,9 +122,9 @@ SELECT l_orderkey, string_agg(x, ',' ORDER BY o) AS found FROM a GROUP BY l_orde
     "stable_ids": """WITH o AS (SELECT c_nationkey, c_custkey, (c_custkey / 3)::INTEGER AS id FROM customer WHERE c_custkey % 3 = 0),
 n AS (SELECT c.c_nationkey, c.c_custkey, c_acctbal, id, max(id) OVER (PARTITION BY c.c_nationkey) AS top FROM customer c LEFT JOIN o ON o.c_custkey = c.c_custkey WHERE c.c_custkey % 5 <> 0)
 SELECT c_nationkey, c_custkey, coalesce(id, coalesce(top, 0) + row_number() OVER (PARTITION BY c_nationkey, id IS NULL ORDER BY c_acctbal DESC, c_custkey))::INTEGER AS id FROM n""",
-    "gap_serials": """WITH u AS (SELECT left(c_mktsegment, 1) AS l, (c_custkey / 4)::INTEGER AS s FROM customer WHERE c_custkey % 4 = 0 AND (c_custkey / 4)::INTEGER % 3 <> 0),
-n AS (SELECT left(c_mktsegment, 1) AS l, c_custkey, row_number() OVER (PARTITION BY left(c_mktsegment, 1) ORDER BY c_custkey) AS k FROM customer WHERE c_custkey % 4 = 1),
-f AS (SELECT l, s, row_number() OVER (PARTITION BY l ORDER BY s) AS k FROM (SELECT DISTINCT n.l, g.s FROM (SELECT DISTINCT l FROM n) n, (SELECT unnest(range(1, (SELECT count(*) FROM customer) + 2))::INTEGER AS s) g) c WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.l = c.l AND u.s = c.s))
+    "gap_serials": """WITH u AS (SELECT left(c_mktsegment, 1) AS l, c_custkey * 2 AS s FROM customer),
+n AS (SELECT left(c_mktsegment, 1) AS l, c_custkey, row_number() OVER (PARTITION BY left(c_mktsegment, 1) ORDER BY c_custkey) AS k FROM customer),
+f AS (SELECT l, s, row_number() OVER (PARTITION BY l ORDER BY s) AS k FROM (SELECT DISTINCT n.l, g.s FROM (SELECT DISTINCT l FROM n) n, (SELECT unnest(range(1, (SELECT 2 * count(*) FROM customer) + 2)) AS s) g) c WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.l = c.l AND u.s = c.s))
 SELECT c_custkey, n.l || '.' || lpad(s::VARCHAR, greatest(4, len(s::VARCHAR))::INTEGER, '0') AS designation FROM n JOIN f USING (l, k)""",
     "slug_collisions": """SELECT p_partkey, CASE WHEN rn > 1 THEN slug || '-' || lower(p_type) ELSE slug END AS slug FROM (
   SELECT p_partkey, p_type, lower(p_brand || '-' || p_size) AS slug, row_number() OVER (PARTITION BY lower(p_brand || '-' || p_size) ORDER BY p_partkey) AS rn FROM part)""",

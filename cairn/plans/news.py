@@ -43,14 +43,15 @@ def news_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    items = o.where("o_orderkey % 4 = 0").select("o_orderkey", F.concat(F.lit("https://n/"), F.col("o_custkey").cast("string"), F.lit("/")).alias("url"))
-    res = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("seq"), F.concat(F.lit("https://n/"), F.col("o_custkey").cast("string")).alias("url"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://n/"), (F.col("o_custkey") + 1).cast("string"), F.lit("/"))).alias("final_url"), F.col("o_orderpriority").alias("text"))
+    items = o.select("o_orderkey", F.concat(F.lit("https://n/"), F.col("o_custkey").cast("string"), F.lit("/")).alias("url"))
+    third = F.col("o_custkey") - F.col("o_custkey") % 3  # resources lie at every third customer, and at the next where they were redirected
+    res = o.select(F.col("o_orderkey").alias("seq"), F.concat(F.lit("https://n/"), third.cast("string")).alias("url"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://n/"), (third + 1).cast("string"), F.lit("/"))).alias("final_url"), F.col("o_orderpriority").alias("text"))
     return news.bundle(items, res)
 
 
 def news_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    items = o.where("o_orderkey % 4 = 0").select("o_orderkey", F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("/")).alias("url"))
+    items = o.select("o_orderkey", F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("/")).alias("url"))
     res = o.select(F.when(F.col("o_orderkey") % 9 == 0, "fetched").otherwise("failed").alias("status"), F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("url"), F.lit(None).cast("string").alias("final_url"))
     return news.not_mirrored(items, res)
 
@@ -105,10 +106,10 @@ SELECT event_id, date, title FROM events JOIN u ON k = event_id % {len(TEXTS)}""
     "news_delta": "SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1 AS is_new FROM events",
     "seen_set": "SELECT event_id, NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = e.user_id AND s.event_type = e.event_type AND s.ts < TIMESTAMP '2024-01-03') AS is_new FROM events e WHERE ts >= TIMESTAMP '2024-01-03'",
     "news_digest": f"SELECT ts::DATE AS date, event_type, count(*) AS items, count(DISTINCT user_id) AS users, max(event_id) AS last FROM events WHERE event_type <> 'view' AND event_id % 13 <> 0 AND ts::DATE >= DATE '{AS_OF}' - 10 GROUP BY 1, 2",
-    "news_bundle": """WITH r AS (SELECT u, arg_max(o_orderpriority, o_orderkey) AS x FROM (SELECT 'https://n/' || o_custkey AS u, o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
-  UNION ALL SELECT 'https://n/' || (o_custkey + 1), o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 6 = 0) GROUP BY u)
-SELECT o_orderkey, 'https://n/' || o_custkey || '/' AS url, '==== https://n/' || o_custkey || '/ ====' || chr(10) || coalesce(x, 'NOT MIRRORED') AS section FROM orders LEFT JOIN r ON u = 'https://n/' || o_custkey WHERE o_orderkey % 4 = 0""",
-    "news_backlog": "SELECT o_orderkey, 'u' || o_custkey || '/' AS url FROM orders o WHERE o_orderkey % 4 = 0 AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_custkey = o.o_custkey AND s.o_orderkey % 9 = 0)",
+    "news_bundle": """WITH r AS (SELECT u, arg_max(o_orderpriority, o_orderkey) AS x FROM (SELECT 'https://n/' || (o_custkey - o_custkey % 3) AS u, o_orderkey, o_orderpriority FROM orders
+  UNION ALL SELECT 'https://n/' || (o_custkey - o_custkey % 3 + 1), o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0) GROUP BY u)
+SELECT o_orderkey, 'https://n/' || o_custkey || '/' AS url, '==== https://n/' || o_custkey || '/ ====' || chr(10) || coalesce(x, 'NOT MIRRORED') AS section FROM orders LEFT JOIN r ON u = 'https://n/' || o_custkey""",
+    "news_backlog": "SELECT o_orderkey, 'u' || o_custkey || '/' AS url FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_custkey = o.o_custkey AND s.o_orderkey % 9 = 0)",
     "repeat_filter": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) WHERE n <= 3",
     "family_rank": """WITH g AS (SELECT source, lang, count(*) AS items, CASE lang WHEN 'es' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 ELSE 4 END AS r FROM documents GROUP BY source, lang),
 h AS (SELECT *, coalesce(min(r) FILTER (items >= 3) OVER (PARTITION BY source), min(r) OVER (PARTITION BY source)) AS b FROM g)

@@ -73,8 +73,8 @@ def registry_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    old = c.where("c_custkey % 2 = 0").select("c_custkey", F.lit("complete").alias("quality_status"), F.lit(1).alias("version"))
-    new = c.where("c_custkey % 3 = 0").select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "partial").otherwise("complete").alias("quality_status"), F.lit(2).alias("version"))
+    old = c.select("c_custkey", F.lit("complete").alias("quality_status"), F.lit(1).alias("version"))
+    new = c.select((F.col("c_custkey") + 50).alias("c_custkey")).select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "partial").otherwise("complete").alias("quality_status"), F.lit(2).alias("version"))
     return registry.upsert(old, new, ["c_custkey"])
 
 
@@ -86,12 +86,12 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requested_mirrored(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, o = table(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey"), table(spark, sf_dir, "orders").where("o_totalprice > 100000")
-    return c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    return registry.mirrored(c, o.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
 
 
 def profile_products_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.lit("profile").alias("origin"))
-    c = table(spark, sf_dir, "lineitem").where("l_partkey % 3 = 0").groupBy(F.col("l_partkey").alias("k")).agg(F.concat(F.lit("part "), F.max("l_suppkey").cast("string")).alias("name")).withColumn("origin", F.lit("catalog"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.lit("profile").alias("origin"))
+    c = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") + 50).alias("k")).agg(F.concat(F.lit("part "), F.max("l_suppkey").cast("string")).alias("name")).withColumn("origin", F.lit("catalog"))
     return registry.merge_documents(p, c, ["k"], ["name", "origin"])
 
 
@@ -122,11 +122,11 @@ ORACLES = {
 g AS (SELECT o_custkey, count(*) FILTER (s = 'fetched' AND h) AS html, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'skipped_budget') AS skipped FROM r GROUP BY 1)
 SELECT *, CASE WHEN html = 0 THEN 'failed' WHEN failed > 0 OR skipped > 0 THEN 'partial' ELSE 'complete' END AS quality FROM g""",
     "registry_latest": f"WITH {_LATEST} SELECT * FROM l",
-    "registry_upsert": """SELECT c_custkey, 'complete' AS quality_status, 1 AS version FROM customer WHERE c_custkey % 2 = 0 AND NOT (c_custkey % 3 = 0 AND c_custkey % 5 <> 0)
-UNION ALL SELECT c_custkey, 'complete', 2 FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 5 <> 0""",
+    "registry_upsert": """SELECT c_custkey, 'complete' AS quality_status, 1 AS version FROM customer WHERE c_custkey % 5 = 0 OR c_custkey - 50 NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT c_custkey + 50, 'complete', 2 FROM customer WHERE c_custkey % 5 <> 0""",
     "coverage": f"WITH {_LATEST} SELECT c_custkey, CASE WHEN o_custkey IS NULL THEN 'mirror' ELSE 'reuse' END AS disposition FROM customer LEFT JOIN l ON o_custkey = c_custkey",
     "requested_mirrored": "SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)",
-    "profile_products_full": """WITH p AS (SELECT p_partkey AS k, p_name AS name FROM part WHERE p_partkey % 2 = 0), c AS (SELECT l_partkey AS k, 'part ' || max(l_suppkey) AS name FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1)
+    "profile_products_full": """WITH p AS (SELECT p_partkey AS k, p_name AS name FROM part), c AS (SELECT l_partkey + 50 AS k, 'part ' || max(l_suppkey) AS name FROM lineitem GROUP BY 1)
 SELECT coalesce(p.k, c.k) AS k, coalesce(p.name, c.name) AS name, CASE WHEN p.k IS NOT NULL THEN 'profile' ELSE 'catalog' END AS origin FROM p FULL JOIN c ON p.k = c.k""",
     "dates_shown": """SELECT o_orderkey, upper(strftime(o_orderdate, '%d %b')) AS short, CASE WHEN date_diff('day', o_orderdate::DATE, DATE '1996-06-01') > 30 THEN 'stale' ELSE 'fresh' END AS freshness,
   CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2026-05-03' END AS reviewed_at FROM orders""",

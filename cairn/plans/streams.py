@@ -9,6 +9,7 @@ from ..session import scratch_path, table
 from ..streaming import delta
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+LATENESS = "10 days"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,25 +45,31 @@ def stream_first_sight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(_events(spark, sf_dir).select("user_id", "event_type").dropDuplicates(), "distinct")
+    return _drain(delta.distinct_within(_events(spark, sf_dir).select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts").select("user_id", "event_type"), "distinct")
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _events(spark, sf_dir).groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    return _drain(g.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), "tumbling", "complete")
+    g = delta.tumbling(_events(spark, sf_dir), "ts", "1 day", LATENESS, ["event_type"])
+    return _drain(g.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), "tumbling", "complete")
+
+
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = delta.sliding(_events(spark, sf_dir), "ts", "1 day", "12 hours", LATENESS, ["event_type"])
+    return _drain(g.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n"), "sliding", "complete")
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _events(spark, sf_dir).groupBy(F.session_window("ts", "4 hours").alias("w"), "user_id").agg(F.count("*").alias("n"))
-    return _drain(g.select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n"), "sessions", "complete")
+    g = delta.sessions(_events(spark, sf_dir), "ts", "4 hours", LATENESS, ["user_id"])
+    return _drain(g.select("user_id", F.date_format("session_window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n"), "sessions", "complete")
 
 
-QUERIES = {f.__name__: f for f in (stream_first_sight, stream_distinct, stream_tumbling, stream_sessions)}
+QUERIES = {f.__name__: f for f in (stream_first_sight, stream_distinct, stream_tumbling, stream_sliding, stream_sessions)}
 
 ORACLES = {
     "stream_first_sight": "SELECT user_id, event_type, count(*) AS events, 1::BIGINT AS new FROM events GROUP BY 1, 2",
     "stream_distinct": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_tumbling": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "stream_sliding": """SELECT strftime(time_bucket(INTERVAL 12 HOURS, ts, TIMESTAMP '2000-01-01') - k * INTERVAL 12 HOURS, '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events, (SELECT unnest([0, 1]) AS k) GROUP BY 1, 2""",
     "stream_sessions": """WITH a AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 4 HOURS THEN 0 ELSE 1 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM a)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM s GROUP BY user_id, g""",

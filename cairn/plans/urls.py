@@ -136,6 +136,11 @@ def url_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl(spark, sf_dir).select("page_id", dates.from_url(u.path(F.col("crawl_url")), F.lit("2026-05-01").cast("date")).alias("date"))
 
 
+def path_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = crawl(spark, sf_dir).select(F.expr(_PREFIX_GROUP).alias("g"), u.path(F.col("crawl_url")).alias("path"))
+    return c.groupBy("g").agg(news.common_prefix(F.col("path")).alias("prefix"), F.count("*").alias("n"))
+
+
 def news_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = crawl(spark, sf_dir).withColumn("slug", F.regexp_replace("site", r"^(www|m|blog)\.", "")).withColumn("pos", F.row_number().over(Window.partitionBy("slug").orderBy("page_id")))
     return news.families(c, ["slug"], "crawl_url").select("slug", "family", "items", "rank", "bare_index_seen", "index_path", "family_rank")
@@ -192,10 +197,20 @@ _ENTITY_SQL = "t"
 for _e, _c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
     _ENTITY_SQL = f"replace({_ENTITY_SQL}, '{_e}', '{_c}')"
 
+#: Longest common prefix by how many values each place has.
+_PREFIX_CTES = """p AS (SELECT {key}, list_filter(string_split(trim({col}, '/'), '/'), lambda x: true) AS segs FROM {src} WHERE trim({col}, '/') <> ''),
+pn AS (SELECT {key}, count(*) AS pn, min(len(segs)) AS shortest FROM p GROUP BY {key}),
+ps AS (SELECT {key}, i, segs[i] AS seg FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS i FROM p)),
+pc AS (SELECT {key}, i, count(DISTINCT seg) AS kinds, count(*) AS have, min(seg) AS seg FROM ps GROUP BY {key}, i),
+pb AS (SELECT {key}, coalesce(min(i) FILTER (kinds > 1 OR have < pn), shortest + 1) - 1 AS m FROM pc JOIN pn USING ({key}) GROUP BY {key}, shortest),
+pre AS (SELECT {key}, '/' || string_agg(seg, '/' ORDER BY i) AS prefix FROM pc JOIN pb USING ({key}) WHERE i <= m GROUP BY {key})"""
+#: Pages whose stand-in paths lie near each other form a group: some share segments, some only letters, some have none.
+_PREFIX_GROUP = "(page_id % 3) * 1000 + CASE WHEN contains(crawl_url, 'news') THEN 1 WHEN contains(crawl_url, 'blog') THEN 2 WHEN contains(crawl_url, 'en/') THEN 3 ELSE 4 END"
+
 QUERIES = {
     "url_normalize": url_normalize, "url_canonical_dedupe": url_canonical_dedupe, "site_scope": site_scope, "page_classify": page_classify, "path_family": path_family, "selected_pages": selected_pages,
     "site_quality": site_quality, "budgeted_selection": budgeted_selection, "document_topk": document_topk, "html_links": html_links, "html_text": html_text, "html_text_parsed": html_text_parsed,
-    "common_prefix": common_prefix, "url_dates": url_dates, "news_sources": news_sources,
+    "common_prefix": common_prefix, "path_prefix": path_prefix, "url_dates": url_dates, "news_sources": news_sources,
 }
 
 ORACLES = {
@@ -239,20 +254,22 @@ SELECT page_id, target_url, count(*) AS n, bool_or(th = nh OR th = 'www.' || nh
     "html_text": rf"""WITH a AS (SELECT page_id, {_TAGS_SQL} AS b FROM pages), c AS (SELECT page_id, regexp_replace(regexp_replace(b, '(?s)<!--.*?-->', chr(10), 'g'), '(?s)<[^>]*>', chr(10), 'g') AS t FROM a),
 d AS (SELECT page_id, {_ENTITY_SQL} AS t FROM c)
 SELECT page_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10)) AS text FROM d""",
-    "common_prefix": f"""WITH {CRAWL_SQL}, a AS (SELECT site, {_path_sql('url')} AS path FROM crawl),
-g AS (SELECT site, count(*) AS n, string_split(trim(min(path), '/'), '/') AS x, string_split(trim(max(path), '/'), '/') AS y FROM a GROUP BY site),
-k AS (SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(x), len(y)) + 1), lambda i: x[i] IS DISTINCT FROM y[i])), len(x) + 1) - 1 AS m FROM g)
-SELECT site, CASE WHEN m > 0 THEN '/' || array_to_string(x[1:m], '/') ELSE '' END AS prefix, n FROM k""",
+    "common_prefix": f"""WITH {CRAWL_SQL}, a AS (SELECT site, {_path_sql('url')} AS path FROM crawl), n AS (SELECT site, count(*) AS n FROM a GROUP BY site),
+{_PREFIX_CTES.format(key='site', col='path', src='a')}
+SELECT site, coalesce(prefix, '') AS prefix, n FROM n LEFT JOIN pre USING (site)""",
+    "path_prefix": f"""WITH {CRAWL_SQL}, a AS (SELECT {_PREFIX_GROUP} AS g, {_path_sql('crawl_url')} AS path FROM crawl), n AS (SELECT g, count(*) AS n FROM a GROUP BY g),
+{_PREFIX_CTES.format(key='g', col='path', src='a')}
+SELECT g, coalesce(prefix, '') AS prefix, n FROM n LEFT JOIN pre USING (g)""",
     "url_dates": rf"""WITH {CRAWL_SQL}, a AS (SELECT page_id, regexp_extract({_path_sql('crawl_url')}, '/(20\d\d)/(\d{{1,2}})(?:/(\d{{1,2}}))?(?:/|$)', ['y', 'm', 'd']) AS x FROM crawl),
 b AS (SELECT page_id, CASE WHEN x.y <> '' THEN try_cast(x.y || '-' || lpad(x.m, 2, '0') || '-' || lpad(CASE WHEN x.d = '' THEN '1' ELSE x.d END, 2, '0') AS DATE) END AS d FROM a)
 SELECT page_id, CASE WHEN d BETWEEN DATE '2010-01-01' AND DATE '2026-05-03' THEN d END AS date FROM b""",
     "news_sources": f"""WITH {_FAM_CTES},
 v AS (SELECT regexp_replace(site, '^(www|m|blog)\\.', '') AS slug, page_id, family, np, {_BARE_SQL.replace('@', 'np')} AS bare FROM f WHERE family IS NOT NULL),
-g AS (SELECT slug, family, count(*) AS items, arg_min(np, page_id) FILTER (bare) AS bp, string_split(trim(min(np), '/'), '/') AS x, string_split(trim(max(np), '/'), '/') AS y,
-  arg_min(np, (len(string_split(np, '/')), len(np), np)) AS short FROM v GROUP BY slug, family),
-h AS (SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(x), len(y)) + 1), lambda i: x[i] IS DISTINCT FROM y[i])), len(x) + 1) - 1 AS m, ({_RANK_SQL})::INTEGER AS family_rank FROM g),
-i AS (SELECT *, CASE WHEN m > 0 THEN '/' || array_to_string(x[1:m], '/') ELSE '' END AS pre, regexp_replace(short, '/[^/]*$', '') AS parent FROM h),
-j AS (SELECT slug, family, items, bp IS NOT NULL AS bare_index_seen, family_rank, CASE WHEN bp IS NOT NULL THEN bp WHEN {_BARE_SQL.replace('@', 'pre')} THEN pre WHEN {_BARE_SQL.replace('@', 'parent')} THEN parent ELSE '/' || family END AS index_path,
+{_PREFIX_CTES.format(key='slug, family', col='np', src='v')},
+g AS (SELECT slug, family, count(*) AS items, arg_min(np, page_id) FILTER (bare) AS bp, arg_min(np, (len(string_split(np, '/')), len(np), page_id)) AS short FROM v GROUP BY slug, family),
+h AS (SELECT *, ({_RANK_SQL})::INTEGER AS family_rank FROM g),
+i AS (SELECT h.*, coalesce(prefix, '') AS pre, regexp_replace(short, '/[^/]*$', '') AS parent FROM h LEFT JOIN pre USING (slug, family)),
+j AS (SELECT slug, family, items, bp IS NOT NULL AS bare_index_seen, family_rank, CASE WHEN bp IS NOT NULL THEN bp WHEN {_BARE_SQL.replace('@', 'i.pre')} THEN i.pre WHEN {_BARE_SQL.replace('@', 'parent')} THEN parent ELSE '/' || family END AS index_path,
   coalesce(min(family_rank) FILTER (items >= 3) OVER (PARTITION BY slug), min(family_rank) OVER (PARTITION BY slug)) AS best FROM i)
 SELECT slug, family, items, row_number() OVER (PARTITION BY slug ORDER BY (family_rank = best) DESC, family_rank)::INTEGER AS rank, bare_index_seen, index_path, family_rank FROM j""",
 }

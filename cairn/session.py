@@ -33,9 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share, deleted when the driver's JVM ends; where spark.checkpoint.dir is unset, as in tests, a folder of our own."""
+    """A new path in the folder that driver and executors share, deleted when the driver's JVM ends; where spark.checkpoint.dir is unset, a local master gets a folder of its own, and a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         base = f"file://{tempfile.gettempdir()}/checkpoints"

@@ -121,21 +121,63 @@ def link_edges(resources: DataFrame, key: list[str], links: str = "links") -> Da
     return resources.select(*key, F.explode(F.filter(links, lambda x: x.isNotNull())).alias("target_url"))
 
 
-def citations(df: DataFrame, raw: str, key: list[str], depth: int = 8) -> DataFrame:
-    """Citation-shaped objects anywhere in JSON documents, with their path: objects that have resource_id and line_start.
+def json_depth(df: DataFrame, raw: str) -> int:
+    """How deep brackets nest in JSON texts at most; texts aside. One pass, one number."""
+    brackets = F.regexp_replace(F.regexp_replace(raw, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
+    step = F.transform(F.filter(F.split(brackets, ""), lambda c: c != ""), lambda c: F.when(c.isin("[", "{"), 1).otherwise(-1))
+    deepest = F.aggregate(step, F.struct(F.lit(0).alias("n"), F.lit(0).alias("top")), lambda a, x: F.struct((a["n"] + x).alias("n"), F.greatest(a["top"], a["n"] + x).alias("top")), lambda a: a["top"])
+    return df.agg(F.max(deepest)).first()[0] or 0
 
-    The walk goes down one level of nesting at a time, ``depth`` levels at most, which the schemas do not exceed.
+
+def citations(df: DataFrame, raw: str, key: list[str], loose: bool = False) -> DataFrame:
+    """Citation-shaped objects anywhere in JSON documents, however deep, with their path: objects that have resource_id and line_start.
+
+    With ``loose`` the canonical merge's rule holds: a resource_id that begins with resource-, and line_start or snippet.
+    The walk goes down one level at a time, as many as the deepest document has.
     """
-    level = df.select(*key, F.lit("$").alias("at"), F.expr(f"try_parse_json({raw})").alias("v")).where("v IS NOT NULL")
-    found = None
-    for _ in range(depth):
-        here = level.where("try_variant_get(v, '$.resource_id', 'string') IS NOT NULL AND try_variant_get(v, '$.line_start', 'int') IS NOT NULL")
-        found = here if found is None else found.unionByName(here)
-        level.createOrReplaceTempView("_cairn_walk")
-        cols = ", ".join(f"w.{k}" for k in key)
-        level = df.sparkSession.sql(
-            f"SELECT {cols}, concat(w.at, CASE WHEN x.key IS NULL THEN concat('[', x.pos, ']') ELSE concat('.', x.key) END) AS at, x.value AS v "
-            "FROM _cairn_walk w, LATERAL variant_explode(w.v) x WHERE schema_of_variant(x.value) LIKE 'OBJECT%' OR schema_of_variant(x.value) LIKE 'ARRAY%'"
-        )
+    rows = df.select(*key, F.lit("$").alias("at"), F.expr(f"try_parse_json({raw})").alias("v"), F.lit(True).alias("open")).where("v IS NOT NULL")
+    for _ in range(json_depth(df, raw)):
+        listed = "transform(try_variant_get(v, '$', 'array<variant>'), (x, i) -> struct(concat(at, '[', i, ']') AS at, x AS v, true AS open))"
+        named = "transform(map_entries(try_variant_get(v, '$', 'map<string,variant>')), e -> struct(concat(at, '.', e.key) AS at, e.value AS v, true AS open))"
+        kids = f"filter(CASE WHEN open THEN coalesce({listed}, {named}) END, x -> schema_of_variant(x.v) LIKE 'OBJECT%' OR schema_of_variant(x.v) LIKE 'ARRAY%')"
+        rows = rows.select(*key, F.explode(F.expr(f"concat(array(struct(at, v, false AS open)), coalesce({kids}, array()))")).alias("_x")).select(*key, "_x.*")
     get = lambda p, t: F.expr(f"try_variant_get(v, '$.{p}', '{t}')").alias(p)
-    return found.select(*key, "at", get("resource_id", "string"), get("line_start", "int"), get("line_end", "int"), get("snippet", "string"))
+    found = rows.where("schema_of_variant(v) LIKE 'OBJECT%'").select(*key, "at", get("resource_id", "string"), get("line_start", "int"), get("line_end", "int"), get("snippet", "string"))
+    if loose:
+        return found.where("startswith(resource_id, 'resource-') AND (line_start IS NOT NULL OR snippet IS NOT NULL)")
+    return found.where("resource_id IS NOT NULL AND line_start IS NOT NULL")
+
+
+# Fixed value: the message of an answer that is no object.
+NO_OBJECT = "Browserless returned a non-object response"
+
+
+def scrapes(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Answers of a page renderer as ok, status_code, content, content_type, message, markdown, links; one that is no JSON object is not ok."""
+    v = df.withColumn("_v", F.expr(f"try_parse_json({raw})")).withColumn("_o", F.coalesce(F.expr("schema_of_variant(_v) LIKE 'OBJECT%'"), F.lit(False)))
+    get = lambda p, t: F.expr(f"try_variant_get(_v, '$.{p}', '{t}')")
+    message = F.when(F.col("_o"), get("message", "string")).otherwise(NO_OBJECT)
+    return v.select(
+        *df.columns, (F.col("_o") & F.coalesce(get("ok", "boolean"), F.lit(False))).alias("ok"), get("statusCode", "int").alias("status_code"), get("content", "string").alias("content"), get("contentType", "string").alias("content_type"),
+        message.alias("message"), get("markdown", "string").alias("markdown"), get("links", "array<string>").alias("links"),
+    )
+
+
+def site_map(df: DataFrame, raw: str = "raw", limit: int = 5000) -> DataFrame:
+    """Answers of a site map as urls: links are texts or objects with url; http and https only, first occurrence, at most 1 to 5000."""
+    links = F.expr(f"try_variant_get(try_parse_json({raw}), '$.links', 'array<variant>')")
+    url = lambda x: F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string")).otherwise(F.try_variant_get(x, "$.url", "string"))
+    return mapped_urls(df.withColumn("urls", F.coalesce(F.transform(links, url), F.array().cast("array<string>"))), "urls", limit)
+
+
+def preflights(targets_df: DataFrame, answers: DataFrame) -> DataFrame:
+    """Targets with final_url, status_code, content_type and error of their homepage's first request; without an answer the URL stands for itself."""
+    got = answers.select(F.col("url").alias("homepage_url"), F.col("final_url"), "status_code", "content_type", "error")
+    return targets_df.join(got, "homepage_url", "left").withColumn("final_url", F.coalesce("final_url", "homepage_url"))
+
+
+def pdf_texts(files: DataFrame) -> DataFrame:
+    """Binary files (path, content) with text: that of their pages, blank lines between; null where it cannot be read, or no PDF library is installed."""
+    from ..functions.udfs import pdf_text
+
+    return files.select("path", pdf_text(F.col("content")).alias("text"))

@@ -138,3 +138,35 @@ def test_news_items_as_table_function(spark):
     spark.udtf.register("news_items", udfs.NewsItems)
     got = spark.sql("""SELECT x.url FROM VALUES ('<a href="/news/a">First one</a>', 'https://a.com/news') t(h, s), LATERAL news_items(h, s) x""").collect()
     assert [r.url for r in got] == ["https://a.com/news/a"]
+
+
+def test_best_text_and_fetchable(spark):
+    rows = spark.createDataFrame([("# T\n\nbody", "<p>h</p>"), ("", "<p>h</p>"), (None, None)], "m string, h string")
+    got = [r[0] for r in rows.select(text.best_text(F.col("m"), F.col("h"))).collect()]
+    assert "body" in got[0] and got[1:] == ["h", ""]
+    urls = ["https://example.com/a", "https://files.example.net/x.pdf", "https://files.example.net/x", "https://elsewhere.org/x.pdf"]
+    hosts = F.array(F.lit("files.example.net"))
+    assert column(spark, urls, lambda c: u.fetchable(c, F.lit(HOME), hosts)) == column(spark, urls, lambda c: u.in_scope(c, F.lit(HOME)) | u.associated_document(c, hosts))
+    assert column(spark, urls, lambda c: u.fetchable(c, F.lit(HOME), hosts))[::3] == [True, False]
+
+
+def test_join_homepage_and_iso(spark):
+    assert column(spark, ["/news", "news"], lambda c: u.join_homepage(F.lit("https://a.com/x?y"), c)) == ["https://a.com/news", "https://a.com/news"]
+    assert column(spark, ["/n"], lambda c: u.join_homepage(F.lit("a.com/"), c)) == ["https://a.com/n"]
+    assert spark.range(1).select(dates.iso_seconds(F.lit("2024-01-02 03:04:05.678").cast("timestamp"))).first()[0] == "2024-01-02T03:04:05+00:00"
+
+
+def test_date_values(spark):
+    as_of = F.lit("2024-05-01").cast("date")
+    values = ["2023/04/15", "2023-04-15T10:00:00Z", "20230415", "2023-04/15", "2031-01-01", "April 15, 2023", "the 5th of May 2023", None, ""]
+    d = date(2023, 4, 15)
+    assert column(spark, values, lambda c: dates.parse_value(c, as_of)) == [d, d, d, None, None, d, None, None, None]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v string")
+    assert [r.date for r in dates.with_free_date(rows, "v", as_of).orderBy("k").collect()][6:] == [date(2023, 5, 5), None, None]
+
+
+def test_broken_pdfs_have_no_text(spark):
+    from cairn.sources import readers
+
+    files = spark.createDataFrame([("a", bytearray(b"no pdf")), ("b", None)], "path string, content binary")
+    assert [r.text for r in readers.pdf_texts(files).collect()] == [None, None]

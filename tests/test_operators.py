@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cairn.functions import vocab
-from cairn.operators import catalog, cite, facets, fold, journal, keys, news, quality, registry, select
+from cairn.operators import catalog, cite, documents, facets, fold, journal, keys, news, quality, registry, select
 
 
 def answer_loop(rows):
@@ -49,8 +49,9 @@ def test_answer_fold(spark):
 
 def test_best_status_tagline_and_union(spark):
     df = spark.createDataFrame([(1, 1, "partial", "", ["b", "a"]), (1, 2, "complete", "two", ["a", "c"]), (1, 3, "failed", "three", None), (2, 1, None, None, [])], "g int, seq int, status string, tagline string, xs array<string>")
-    rows = {r.g: r for r in df.groupBy("g").agg(fold.best_status(F.col("status")).alias("s"), fold.first_filled(F.col("tagline"), F.col("seq")).alias("t"), fold.ordered_union(F.coalesce("xs", F.array().cast("array<string>")), F.col("seq")).alias("u"), fold.forward_looking(F.col("tagline"), F.col("seq")).alias("f")).collect()}
-    assert tuple(rows[1])[1:] == ("complete", "two", ["b", "a", "c"], "three") and tuple(rows[2])[1:] == ("unknown", None, [], None)
+    rows = {r.g: r for r in df.groupBy("g").agg(fold.best_status(F.col("status")).alias("s"), fold.first_filled(F.col("tagline"), F.col("seq")).alias("t"), fold.forward_looking(F.col("tagline"), F.col("seq")).alias("f")).collect()}
+    assert tuple(rows[1])[1:] == ("complete", "two", "three") and tuple(rows[2])[1:] == ("unknown", None, None)
+    assert {r.g: r.xs for r in fold.ordered_union(df, ["g"], "xs").collect()} == {1: ["b", "a", "c"], 2: []}
 
 
 def test_url_fold(spark):
@@ -253,12 +254,94 @@ def test_url_fold_equals_the_loop(spark):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4), min_size=1, max_size=6))
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "a-b", "a.b", "a-", "", "c"]), min_size=0, max_size=4), min_size=1, max_size=6))
 def test_common_prefix_equals_the_loop(spark, paths):
     rows = [("/" + "/".join(p),) for p in paths]
+    split = [r[0].strip("/").split("/") for r in rows if r[0].strip("/")]
     want, k = [], 0
-    while all(len(p) > k for p in paths) and len({p[k] for p in paths}) == 1:
-        want.append(paths[0][k])
+    while split and all(len(p) > k for p in split) and len({p[k] for p in split}) == 1:
+        want.append(split[0][k])
         k += 1
     got = spark.createDataFrame(rows, "p string").agg(news.common_prefix(F.col("p"))).first()[0]
     assert got == ("/" + "/".join(want) if want else "")
+
+
+def test_common_prefix_of_near_names(spark):
+    got = lambda *paths: spark.createDataFrame([(p,) for p in paths], "p string").agg(news.common_prefix(F.col("p"))).first()[0]
+    assert got("/news", "/news-room", "/news/a") == "" and got("/en/news/a", "/en/news-b/c", "") == "/en" and got("", "/") == "" and got("/a/b") == "/a/b"
+
+
+def test_jsonld_nests_and_free_dates(spark):
+    html = """<script type="application/ld+json">[[{"@graph": [{"@graph": [[{"url": "deep", "datePublished": "the 5th of May, 2023"}]]}, {"url": "", "@id": "second", "dateCreated": "2023/04/15"}]}]]</script>
+    <script type="application/ld+json">{"url": 5, "datePublished": "2023-01-01"}</script>"""
+    pages = spark.createDataFrame([("a", 1, html), ("a", 2, html.replace("2023/04/15", "2023/04/16")), ("b", 1, html)], "slug string, n int, html string")
+    rows = news.jsonld_dates(pages, F.lit("2024-05-01").cast("date"), key=["slug"], order=F.col("n"), free=True).collect()
+    assert {(r.slug, r.url): r.date for r in rows} == {("a", "deep"): date(2023, 5, 5), ("a", "second"): date(2023, 4, 16), ("b", "deep"): date(2023, 5, 5), ("b", "second"): date(2023, 4, 15)}
+    strict = news.jsonld_dates(pages, F.lit("2024-05-01").cast("date"), key=["slug"], order=F.col("n"))
+    assert {r.url for r in strict.collect()} == {"second"}
+
+
+def test_newsletter_state(spark):
+    state = spark.createDataFrame([("a", ["u1"], "t0", 3, {"u1": "t0"}), ("b", ["x"], "t0", 1, {"x": "t0"})], "slug string, seen_urls array<string>, last_polled_at string, polls_completed int, first_seen map<string,string>")
+    items = spark.createDataFrame([("a", "u1", date(2024, 1, 1)), ("a", "u2", date(2024, 1, 2)), ("c", "z", date(2024, 1, 3))], "slug string, url string, date date")
+    after, rendered = news.merge_state(state.drop("first_seen"), items, F.lit("t1"))
+    assert {(r.url, r.is_new, r.first_seen_at, r.place) for r in rendered.collect()} == {("u1", False, "t1", 2), ("u2", True, "t1", 1), ("z", True, "t1", 1)}
+    assert {(r.slug, tuple(r.seen_urls), r.last_polled_at, r.polls_completed) for r in after.collect()} == {("a", ("u1", "u2"), "t1", 4), ("b", ("x",), "t0", 1), ("c", ("z",), "t1", 1)}
+    after, rendered = news.merge_state(state, items, F.lit("t1"), strict=True)
+    assert {(r.url, r.first_seen_at) for r in rendered.collect()} == {("u1", "t0"), ("u2", "t1"), ("z", "t1")}
+    assert {r.slug: r.first_seen for r in after.collect()} == {"a": {"u1": "t0", "u2": "t1"}, "b": {"x": "t0"}, "c": {"z": "t1"}}
+
+
+def test_gap_serials_equal_the_loop(spark):
+    import random
+
+    rng = random.Random(1)
+    used = [(g, rng.randrange(1, 30)) for g in "abc" for _ in range(rng.randrange(0, 20))]
+    new = [(rng.choice("abcd"), k) for k in range(60)]
+    want, taken = {}, {g: {s for h, s in used if h == g} for g in "abcd"}
+    for g, k in new:
+        n = 1
+        while n in taken[g]:
+            n += 1
+        taken[g].add(n)
+        want[k] = n
+    got = keys.gap_serials(spark.createDataFrame(used, "g string, serial int"), spark.createDataFrame(new, "g string, k int"), "g", [F.col("k")])
+    assert {r.k: r.serial for r in got.collect()} == want and set(got.columns) == {"g", "k", "serial"}
+
+
+def test_small_reports(spark):
+    rows = spark.createDataFrame([("s1", "home", True, None), ("s1", "news", False, "late"), ("s2", "news", True, "x")], "slug string, page_class string, ok boolean, reason string")
+    assert [(r.page_class, r.n) for r in quality.page_class_counts(rows).collect()] == [("home", 1), ("news", 2)]
+    assert [(r.outcome, r.reason) for r in quality.split_outcomes(rows, F.col("ok")).orderBy("slug", "page_class").collect()] == [("succeeded", None), ("failed", "late"), ("succeeded", None)]
+    files = spark.createDataFrame([("/w/vendors/a/x.json", 3), ("/w/vendors/a/y.json", 4), ("/w/vendors/b/x.json", 5)], "path string, length long")
+    assert quality.snapshot(files).first() == (3, 2, 12)
+    index = spark.createDataFrame([("u1", "fetched", "r", None, None), ("u2", "fetched", None, "a", 1), ("u3", None, "r", "a", 1)], "url string, status string, resource_id string, page_class string, depth int")
+    assert [(r.url, r.page_class, r.depth) for r in quality.fetched(index).collect()] == [("u1", "other", 0)] and sorted(r.url for r in quality.not_fetched(index).collect()) == ["u2", "u3"]
+    items = spark.createDataFrame([("a", "s", True, date(2024, 1, 1)), ("a", "s", False, None), ("b", "t", True, None)], "slug string, source_url string, is_new boolean, date date")
+    assert news.poll_counters(items, items.limit(1)).first() == (2, 2, 3, 2, 2, 1)
+    assert [r.url for r in select.index_order(spark.createDataFrame([("b", 1), ("a", 1), ("c", 0)], "url string, depth int")).collect()] == ["c", "a", "b"]
+
+
+def test_small_columns(spark):
+    one = spark.range(1)
+    get = lambda *c: one.select(*c).first()
+    assert get(keys.rewritten_name(F.lit("0003-a-b.txt"), F.lit(12)))[0] == "0012-a-b.txt"
+    assert get(select.ordered_distinct(F.array(*map(F.lit, "baba")), 1))[0] == ["b"] and get(select.ordered_distinct(F.array(*map(F.lit, "baba"))))[0] == ["b", "a"]
+    assert get(select.map_limit(F.lit(30), F.lit(5)), select.map_limit(F.lit(3000), F.lit(5)), select.map_limit(F.lit(7), F.lit(0)))[:] == (150, 5000, 7)
+    assert get(facets.member(F.array(F.lit("a"), F.lit("b")), "a"), facets.member(F.array(F.lit("a")), "z", ("b", "a")), facets.member(F.array(F.lit("a")), "z"))[:] == (True, True, False)
+    e = F.array(F.struct(F.lit("s").alias("snippet"), F.lit("u").alias("url"), F.lit("p").alias("page_class")))
+    assert get(catalog.first_evidence(e))[0] == ("SUPPORTING EVIDENCE", "s", "u", "p") and get(catalog.first_evidence(F.slice(e, 2, 1)))[0] is None
+    r = F.array(F.struct(F.array(F.lit("ndaa")).alias("expected_evidence")))
+    assert get(cite.requested(F.lit("needs_more_fetches"), "ndaa", r), cite.requested(F.lit("needs_more_fetches"), "role", r), cite.requested(F.lit("answered"), "role", r))[:] == (True, False, True)
+    assert get(registry.policy_hash(F.lit(1).alias("a"), F.lit("x").alias("b")))[0] == __import__("hashlib").sha256(b'{"a":1,"b":"x"}').hexdigest()
+
+
+def test_priorities_and_profiles(spark):
+    subs = spark.createDataFrame([("t", ["a", "b", "c"], "n")], "target_id string, products array<string>, notes string")
+    about = spark.createDataFrame([("t", "r", "d", "h", "c", "m", "extra")], "target_id string, run_id string, display_name string, homepage_url string, corpus_root string, meta string, other string")
+    row = documents.priorities(subs, about, 2).first()
+    assert (row.products, row.agent_listed, row.max_products, row.status, row.meta) == (["a", "b"], 3, 2, "complete", "m")
+    assert documents.priorities(subs, about, 0).first().products == ["a", "b", "c"]
+    full = subs.select("target_id", *[F.lit(x).alias(x) for x in documents.PROFILE_FIELDS])
+    assert documents.profiles(full, about).columns == ["target_id", "run_id", "display_name", "homepage_url", "corpus_root", *documents.PROFILE_FIELDS, "meta"]
+    assert documents.catalogs(full, about).first().status == "status"

@@ -97,3 +97,53 @@ def test_resource_row(spark):
     p = spark.createDataFrame([(3, "https://a/x", None, "A Title", "# md\n\ntext", "<p>h</p>", 200), (4, "https://a/y", None, None, None, None, 500)], "number int, url string, final_url string, title string, markdown string, html string, status_code int")
     got = writers.resource_row(p).collect()
     assert (got[0].resource_id, got[0].text_path, got[0].text_chars, got[0].status) == ("resource-0003", "text/0003-a-title.txt", 9, "fetched") and got[1].status == "failed"
+
+
+def test_citations_at_any_depth(spark):
+    deep = "1"
+    for k in range(30):
+        deep = '{"a":[' + deep + "]}"
+    doc = json.dumps({"x": "]]}}{{[", "e": [{"resource_id": "resource-0001", "line_start": 3}]})
+    nested = '{"k":' * 25 + '{"resource_id":"resource-0002","snippet":"s"}' + "}" * 25
+    df = spark.createDataFrame([(1, doc), (2, nested), (3, deep), (4, "{broken"), (5, None)], "k int, doc string")
+    assert readers.json_depth(df, "doc") == 60
+    assert [(r.k, r.at, r.resource_id) for r in readers.citations(df, "doc", ["k"]).collect()] == [(1, "$.e[0]", "resource-0001")]
+    assert sorted((r.k, r.resource_id, r.line_start) for r in readers.citations(df, "doc", ["k"], loose=True).collect()) == [(1, "resource-0001", 3), (2, "resource-0002", None)]
+    assert readers.citations(df.limit(0), "doc", ["k"]).collect() == []
+
+
+def test_documents_and_path_parts(spark, tmp_path):
+    (tmp_path / "vendors" / "acme").mkdir(parents=True)
+    (tmp_path / "vendors" / "acme" / "state.json").write_text('{"slug": "acme", "polls_completed": 2}')
+    row = readers.documents(spark, str(tmp_path / "vendors" / "*" / "state.json"), schemas.NEWS_STATE).select("slug", "polls_completed", readers.path_part(F.col("path"), "vendors").alias("v"), readers.path_part(F.col("path"), "none").alias("n")).first()
+    assert tuple(row) == ("acme", 2, "acme", None)
+
+
+def test_link_edges(spark):
+    df = spark.createDataFrame([("a", ["u", None, "v"]), ("b", None)], "k string, links array<string>")
+    assert [tuple(r) for r in readers.link_edges(df, ["k"]).collect()] == [("a", "u"), ("a", "v")]
+
+
+def test_text_forms(spark, tmp_path):
+    df = spark.createDataFrame([("b", None, 1)], "z string, a string, m int")
+    assert df.select(writers.sorted_json(df, pretty=False)).first()[0] == '{"m":1,"z":"b"}'
+    writers.text_files(spark.createDataFrame([("one", "x\ny"), ("two", "z")], "name string, body string"), str(tmp_path / "t"), "name", "body")
+    assert sorted(os.listdir(tmp_path / "t"))[-2:] == ["name=one", "name=two"]
+    (tmp_path / "f.bin").write_bytes(b"abc")
+    m = writers.snapshot_manifest(readers.binaries(spark, str(tmp_path / "f.bin"), with_content=True)).first()
+    assert m.length == 3 and m.sha256 == __import__("hashlib").sha256(b"abc").hexdigest()
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from cairn import session
+    from cairn.session import scratch_path
+
+    assert "/cairn-" in scratch_path(spark, "x")
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"), raising=False)
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        with pytest.raises(ValueError, match="share"):
+            session.scratch_path(spark, "x")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
