@@ -1,8 +1,10 @@
 """Substring dedup (1): units of text are normalised and hashed, digests are grouped globally, and the earliest occurrence stays.
 
-Units are lines, cut further where a sentence ends, as repeated passages need not fill whole lines. A unit repeats if
-an earlier document has it, or an earlier place of its own document. Repeating units are removed where they stand
-together for ``least_words`` words or more, so that short sentences which meet by chance stay.
+Units are pieces of lines: a line is cut where a sentence ends, and after each word whose hash is a multiple of CUT, so
+that a passage which begins and ends inside a line, or a sentence, has its own units but for some words at its ends.
+Whole lines and paragraphs can be taken instead. A unit repeats if an earlier document has it, or an earlier place of
+its own document. Repeating units are removed where they stand together for ``least_words`` words or more, so that
+short ones which meet by chance stay; with ``least_words`` 1 all go.
 """
 
 from __future__ import annotations
@@ -19,20 +21,51 @@ from pyspark.sql import types as T
 from .common import free_prefix, row_key, stored
 
 LEAST_WORDS = 30
+CUT = 8
 UNITS = {
     "sentence": re.compile(r"\S[^\n]*?(?:[.!?](?=\s)|(?=\n)|\Z)"),
     "line": re.compile(r"\S[^\n]*"),
     "paragraph": re.compile(r"\S(?:[^\n]|\n(?!\s*\n))*"),
 }
-
-
-def units(text: str | None, kind: str = "sentence") -> list[tuple[int, int, int, int]]:
+_WORD_OR_LINE_END = re.compile(r"\S+|\n")
+
+
+def _digest(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def pieces(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words in lower case) of the pieces of a text's lines."""
+    ends: dict[str, bool] = {}
+    start, end, words = 0, 0, []
+    for m in _WORD_OR_LINE_END.finditer(text):
+        word = m.group()
+        if word == "\n":
+            if words:
+                yield start, end, words
+                words = []
+            continue
+        word = word.lower()
+        if not words:
+            start = m.start()
+        words.append(word)
+        end = m.end()
+        cut = ends.get(word)
+        if cut is None:
+            cut = ends[word] = word[-1] in ".!?" or xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % CUT == 0
+        if cut:
+            yield start, end, words
+            words = []
+    if words:
+        yield start, end, words
+
+
+def units(text: str | None, kind: str = "piece") -> list[tuple[int, int, int, int]]:
     """(start, end, words, digest) of each unit; offsets count code points. Case and spacing do not change a digest."""
-    out = []
-    for m in UNITS[kind].finditer(text or ""):
-        ws = m.group().lower().split()
-        out.append((m.start(), m.end(), len(ws), xxhash.xxh64_intdigest(" ".join(ws).encode("utf-8", "surrogatepass")) - (1 << 63)))
-    return out
+    if kind == "piece":
+        return [(a, b, len(ws), _digest(ws)) for a, b, ws in pieces(text or "")]
+    found = ((m.start(), m.end(), m.group().lower().split()) for m in UNITS[kind].finditer(text or ""))
+    return [(a, b, len(ws), _digest(ws)) for a, b, ws in found]
 
 
 def removals(found: list[tuple[int, int, int, int]], repeated: set[int], least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
@@ -104,7 +137,7 @@ def _cut_batches(text_at: int, repeated_at: int, kind: str, least_words: int, na
     return run
 
 
-def clean(docs: DataFrame, kind: str = "sentence", least_words: int = LEAST_WORDS, prefix: str = "dedup_") -> DataFrame:
+def clean(docs: DataFrame, kind: str = "piece", least_words: int = LEAST_WORDS, prefix: str = "dedup_") -> DataFrame:
     """``docs`` with repeats cut from text, plus dedup_removed (spans of the original text) and dedup_units, or the like with another prefix.
 
     Earlier means a smaller doc_id; rows without one come after all others. Rows that share a doc_id rank alike: a unit

@@ -6,7 +6,7 @@ PASSAGE = " ".join(f"Here the sentence number {k} of the shared passage says wha
 
 
 def own(k):
-    return " ".join(f"Document {k} has its own sentence {j} about something else entirely." for j in range(6))
+    return " ".join(" ".join(f"own{k}x{j}x{i}" for i in range(9)) + "." for j in range(6))
 
 
 @pytest.fixture
@@ -46,11 +46,11 @@ def test_small_table_against_brute_force(small):
     assert {r.doc_id: [(x.start, x.end) for x in r.removed] for r in s.result(small).collect()} == brute(rows)
 
 
-@pytest.mark.parametrize(("kind", "n"), [("sentence", 4), ("line", 3), ("paragraph", 2)])
+@pytest.mark.parametrize(("kind", "n"), [("sentence", 4), ("line", 3), ("paragraph", 2), ("piece", None)])
 def test_units_keep_offsets(kind, n):
     text = "One two. Three!\n  four five \n\n six"
     found = s.units(text, kind)
-    assert len(found) == n and all(text[a:b].strip() for a, b, _, _ in found) and sum(w for _, _, w, _ in found) == 6
+    assert n in (None, len(found)) and all(text[a:b].strip() for a, b, _, _ in found) and sum(w for _, _, w, _ in found) == 6
 
 
 def test_odd_rows(odd, empty):
@@ -66,3 +66,35 @@ def test_stage(clashing, docs, empty):
     rows = out.collect()
     assert out.columns == clashing.columns and 6 not in {r.doc_id for r in rows} and len(rows) == clashing.count() - 1
     assert {r.doc_id for r in s.apply(docs).collect()} == {5, 10, 20, 40, 50, 60} and s.apply(empty).collect() == []
+
+
+def test_passages_inside_sentences(spark):
+    """Sixty words that begin and end inside sentences of both documents: all but a few at the ends go."""
+    rng = __import__("random").Random(2)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    rows, passages = [], []
+    for g in range(60):
+        passage = filler(60)
+        passages.append(passage)
+        rows += [(2 * g, " ".join([*filler(20), *passage, *filler(20)])), (2 * g + 1, " ".join([*filler(33), *passage, *filler(7)]))]
+    got = {r.doc_id: r for r in s.result(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    left = []
+    for g, passage in enumerate(passages):
+        assert got[2 * g].text == texts[2 * g] and not got[2 * g].removed
+        kept = set(got[2 * g + 1].text.split())
+        assert set(texts[2 * g + 1].split()) - set(passage) <= kept
+        left.append(len(set(passage) & kept))
+    assert sum(n <= 30 for n in left) >= 54 and sum(left) / len(left) < 20
+
+
+def test_all_repeated_lines_go_where_asked(spark):
+    rows = [(1, "first own line\nCookies: accept  all\nmore"), (2, "second own line\ncookies: ACCEPT all\nend"), (3, "cookies: accept all\ncookies: accept all\nthird")]
+    got = {r.doc_id: r.text for r in s.clean(spark.createDataFrame(rows, "doc_id long, text string"), "line", 1).collect()}
+    assert got == {1: rows[0][1], 2: "second own line\nend", 3: "third"}
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [("b", PASSAGE + " b"), ("a", PASSAGE + " a"), ("7", PASSAGE + " seven")]
+    got = {r.doc_id: r.n_removed for r in s.result(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got["7"] == 0 and sorted(got.values()) == [0, 1, 1]
