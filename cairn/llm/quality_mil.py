@@ -12,14 +12,16 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import remainder, stored
+from .mixing import size_of
 
 PASSAGE_WORDS = 64
-#: The classifier is fitted on this many labelled documents at most, those with the smallest hash.
-TRAIN_DOCS = 4096
+#: The classifier is fitted on this many labelled documents at most, those with the smallest hash, and of these on the first
+#: that have so many passages together. This bounds what the driver holds, whatever the length of the texts.
+TRAIN_DOCS, TRAIN_PASSAGES = 4096, 200_000
 HIDDEN, GATE, EPOCHS, RATE, DECAY = 32, 16, 250, 0.01, 1e-4
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -30,7 +32,7 @@ for _k, _chars in enumerate(_GROUPS):
     _CLASS[list(_chars.encode())] = _k
 CLASSES = len(_GROUPS) + 1
 BIGRAMS = 64
-FEATURES = CLASSES + BIGRAMS + 7
+FEATURES = CLASSES + BIGRAMS + 6
 
 
 def passages(text: str | None) -> np.ndarray:
@@ -49,20 +51,21 @@ def passages(text: str | None) -> np.ndarray:
     size = by_class.sum(axis=1, keepdims=True)
     pair = (b[:-1].astype(np.int64) * 31 + b[1:]) * 0x9E3779B1 >> 20 & (BIGRAMS - 1)
     bigram = np.bincount(of[1:] * BIGRAMS + pair, minlength=n * BIGRAMS).reshape(n, BIGRAMS)
-    rest = np.zeros((n, 7))
+    rest = np.zeros((n, 6))
     seen_lines: set[bytes] = set()
-    again = 0
+    at = 0
     for line in raw.split(b"\n"):
-        line = line.strip()
-        if line:
-            again += len(line) if line in seen_lines else 0
-            seen_lines.add(line)
+        bare = line.strip()
+        if bare in seen_lines:  # a line that stood before counts where it begins
+            rest[of[at + line.index(bare)], 5] += len(bare)
+        elif bare:
+            seen_lines.add(bare)
+        at += len(line) + 1
     for k in range(n):
         w = words[k * PASSAGE_WORDS : (k + 1) * PASSAGE_WORDS]
         rest[k, :4] = len(w) / PASSAGE_WORDS, len(set(w)) / len(w), sum(map(eq, w, w[1:])) / len(w), sum(map(len, w)) / len(w) / 10
     rest[:, 4] = by_class[:, 9] / PASSAGE_WORDS
-    rest[:, 5] = again / len(raw)
-    rest[:, 6] = np.log1p(len(words)) / 10
+    rest[:, 5] = np.minimum(rest[:, 5] / size[:, 0], 4)
     return np.concatenate([by_class / size, 8 * bigram / size, rest], axis=1).astype(np.float32)
 
 
@@ -131,18 +134,23 @@ def fit(bags: list[np.ndarray], y: np.ndarray) -> Model:
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        bags = [passages(t.as_py()).tobytes() for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([b.column("order"), b.column("quality"), pa.array(bags, pa.binary())], ["order", "quality", "bag"])
+        for at in range(0, len(b), 64):
+            part = b.slice(at, 64)
+            bags = [passages(t.as_py()).tobytes() for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("order"), part.column("quality"), pa.array(bags, pa.large_binary())], ["order", "quality", "bag"])
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
     """Fit on at most ``limit`` labelled documents that are not held out; which ones depends on their hash alone."""
     own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT))
     chosen = stored(own.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit), "mil-labels")
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
-    bags = rows.select(F.xxhash64("doc_id", "text").alias("order"), F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_feature_batches, "order long, quality int, bag binary")
-    # Repeated doc_ids could make the join larger than the sample.
-    got = bags.orderBy("order", "quality").limit(limit).toArrow()
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.xxhash64("doc_id", "text").alias("order"), F.col("quality").cast("int").alias("quality"), F.ceil(F.greatest(size_of(F.col("text")), F.lit(1)) / PASSAGE_WORDS).alias("n"), "text")
+    # Sizes first, texts after: repeated doc_ids could make the join larger than the sample, and long texts the passages. The running sum goes over ``limit`` rows at most.
+    sizes = stored(rows.select("order", "quality", "n").distinct().orderBy("order", "quality").limit(limit), "mil-sizes")
+    upto = F.sum("n").over(Window.orderBy("order", "quality").rowsBetween(Window.unboundedPreceding, 0))
+    fitted = stored(sizes.withColumn("upto", upto).where(F.col("upto") <= TRAIN_PASSAGES).drop("upto"), "mil-fit")
+    texts = rows.join(fitted, ["order", "quality", "n"]).dropDuplicates(["order", "quality"]).select("order", "quality", "text")
+    got = texts.mapInArrow(_feature_batches, "order long, quality int, bag binary").orderBy("order", "quality").toArrow()
     return fit([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in got.column("bag").to_pylist()], got.column("quality").to_numpy().astype(np.float64))
 
 

@@ -43,6 +43,53 @@ def test_labels_of_held_out_documents_are_not_read(docs, labels):
     assert sorted(map(tuple, quality_mil.score(some, flipped).collect())) == sorted(map(tuple, quality_mil.score(some, labels).collect()))
 
 
+def by_hand(model, text):
+    """Passages, encodings, gated attention and score of one text, in plain loops over the fitted weights."""
+    p = model.p
+    sig = lambda v: 1 / (1 + math.exp(-v))
+    dot = lambda v, w: sum(float(a) * float(b) for a, b in zip(v, w, strict=True))
+    hs, energy = [], []
+    for x in quality_mil.passages(text):
+        z = [min(8.0, max(-8.0, (float(v) - float(m)) / float(s))) for v, m, s in zip(x, model.mean, model.scale, strict=True)]
+        h = [math.tanh(dot(z, p["E"][:, j]) + float(p["e"][j])) for j in range(quality_mil.HIDDEN)]
+        gate = [math.tanh(dot(h, p["V"][:, j])) * sig(dot(h, p["U"][:, j])) for j in range(quality_mil.GATE)]
+        hs.append(h)
+        energy.append(dot(gate, p["w"]))
+    total = sum(math.exp(e - max(energy)) for e in energy)
+    mix = [sum(math.exp(e - max(energy)) / total * h[j] for e, h in zip(energy, hs, strict=True)) for j in range(quality_mil.HIDDEN)]
+    return sig(dot(mix, p["c"]) + float(p["b"][0]))
+
+
+def test_quality_scores_by_hand(spark, docs, labels):
+    some = docs.orderBy("doc_id").limit(60)
+    model = quality_mil.train(docs, labels)
+    got = {r.doc_id: r.score for r in quality_mil.score(docs, labels).where("doc_id < 60").collect()}
+    texts = {r.doc_id: r.text for r in some.collect()}
+    assert len(got) > 40 and all(abs(by_hand(model, texts[k]) - v) < 1e-4 for k, v in got.items())
+
+
+def test_passages_tell_of_themselves_alone():
+    """Features of a passage come from its own words, but for lines that stood before."""
+    ws = [f"Word{k % 50}," for k in range(200)]
+    found = quality_mil.passages(" ".join(ws))
+    assert len(found) == 4 and np.allclose(found[1], quality_mil.passages("x " * 64 + " ".join(ws[64:128]) + " y" * 10)[1], atol=0.02)
+    again = quality_mil.passages("a line of words\n" + " ".join(["other"] * 124) + "\na line of words")
+    assert again[0, -1] == 0 and again[-1, -1] > 0
+
+
+def test_quality_sample_is_bounded_by_passages(spark, docs, labels, monkeypatch):
+    long_text = " ".join(f"w{k % 99}" for k in range(150_000))
+    more = docs.unionByName(spark.createDataFrame([(10**6 + k, long_text + str(k), "en", "a", 1) for k in range(3)], docs.schema))
+    marked = labels.select("doc_id", "quality").unionByName(spark.createDataFrame([(10**6 + k, 1) for k in range(3)], "doc_id long, quality int"))
+    monkeypatch.setattr(quality_mil, "TRAIN_PASSAGES", 500)
+    sizes = []
+    monkeypatch.setattr(quality_mil, "fit", lambda bags, y: (sizes.append((sum(map(len, bags)), len(bags) == len(y))), quality_mil.Model(np.zeros(quality_mil.FEATURES), np.ones(quality_mil.FEATURES)))[1])
+    quality_mil.train(more, marked)
+    assert 0 < sizes[0][0] <= 500 and sizes[0][1]
+    scored = quality_mil.score(more.where("doc_id >= 1000000"), marked).collect()
+    assert len(scored) == 3 and all(0 <= r.score <= 1 for r in scored)
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     x, starts, y = rng.normal(size=(7, quality_mil.FEATURES)), np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0])
@@ -81,6 +128,31 @@ def test_language_counts_are_whole(spark):
         assert np.allclose(table[:, c], np.log(want / want.sum()), atol=1e-4) and math.isclose(np.exp(prior[c]), (seen[x] + 1) / (sum(seen.values()) + 2))
 
 
+def language_by_hand(texts, text):
+    """The posterior of each language by the definition: counts of hashed n-grams, smoothed, for one text."""
+    counts, seen = defaultdict(Counter), Counter()
+    for k, t, x in texts:
+        if x is not None and not held(k, 3, 1):
+            seen[x] += 1
+            counts[x].update(langid.features(t or "").tolist())
+    langs, logs = sorted(seen), []
+    for x in langs:
+        total = sum(counts[x].values()) + langid.ALPHA * langid.DIMS
+        logs.append(math.log((seen[x] + 1) / (sum(seen.values()) + len(langs))) + sum(math.log((counts[x][f] + langid.ALPHA) / total) for f in langid.features(text).tolist()))
+    best = max(range(len(langs)), key=lambda c: logs[c])
+    return langs[best], 1 / sum(math.exp(v - logs[best]) for v in logs)
+
+
+def test_language_predictions_by_hand(spark, docs):
+    some = docs.orderBy("doc_id").limit(120)
+    rows = [(r.doc_id, r.text, r.lang) for r in some.collect()]
+    got = {r.doc_id: r for r in langid.predict(some).collect()}
+    for k, t, _ in rows:
+        if t and langid.LETTER.search(t):
+            lang, score = language_by_hand(rows, t)
+            assert (got[k].lang_pred == lang and abs(got[k].score - score) < 1e-3) or min(got[k].score, score) < 0.51
+
+
 def ctw(text, training):
     """Context-tree weighting by its definition, over dictionaries: log10 probability of a text after training."""
     D = lm_ctw.DEPTH
