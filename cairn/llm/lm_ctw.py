@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import drop, remainder, stored, whole_groups
 
 DEPTH, SPLIT = 5, 3
-FREQUENT_GRAMS = 4_000_000  # 16 bytes each
+FREQUENT_GRAMS = 3_000_000  # 16 bytes each
 END = 0xFF  # no byte of UTF-8; ends each text
-PIECE = 1 << 21
+PIECE = 1 << 20
 FREQUENT_WORDS = 200_000
 MODULUS, HELD_OUT = 7, 2
 _LOG_PI = 1.1447298858494002
@@ -90,9 +90,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 pending += len(raw_keys[counted][-1])
             if pending > PIECE:
                 tally_pending()
-                if sum(len(k) for k, _ in held) > 2_000_000:
+                if sum(len(k) for k, _ in held) > 1_500_000:
                     held = _tally(held)
-                    if len(held[0][0]) > 1_000_000:
+                    if len(held[0][0]) > 800_000:
                         yield rows(None, *held[0])
                         held = []
             if len(words) > 400_000:
@@ -270,7 +270,9 @@ def cached(unique: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np
     """Values of the grams among the sorted ``keys`` (zero for others), and which those are."""
     if not len(keys):
         return np.zeros(len(unique)), np.zeros(len(unique), bool)
-    at = np.minimum(np.searchsorted(keys, unique), len(keys) - 1)
+    order = np.argsort(unique)  # in order, since neighbours are then found in the cache
+    at = np.empty(len(unique), np.int64)
+    at[order] = np.minimum(np.searchsorted(keys, unique[order]), len(keys) - 1)
     met = keys[at] == unique
     return np.where(met, values[at], 0.0), met
 
@@ -286,6 +288,7 @@ def _score_batches(model):
             held: list[np.ndarray] = []
             owner: list[int] = []
             seldom: list[list[np.ndarray]] = [[] for _ in range(n)]
+            pending = 0
 
             def flush(held=held, owner=owner, score=score, seldom=seldom) -> None:
                 codes, unique = pd.factorize(np.concatenate(held))
@@ -306,12 +309,14 @@ def _score_batches(model):
                 found = list(map(get, ws))
                 hit = [x for x in found if x is not None]
                 tokens[k], known[k], base[k] = len(ws) + 1, len(hit), sum(hit)
-                rare.append([x for x, y in zip(ws, found, strict=True) if y is None])
+                rare.append([x for x, y in zip(ws, found, strict=True) if y is None] if len(hit) < len(found) else [])
                 for piece in pieces(raw):
                     held.append(grams(piece))
                     owner.append(k)
-                    if sum(map(len, held)) > 2 * PIECE:
+                    pending += len(held[-1])
+                    if pending > PIECE:
                         flush()
+                        pending = 0
             if held:
                 flush()
             cols = [b.column("id"), b.column("doc_id"), b.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.binary())), pa.array([np.concatenate(x) if x else np.empty(0, np.int64) for x in seldom], pa.list_(pa.int64()))]
@@ -350,6 +355,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", (remainder(F.col("doc_id"), MODULUS) == HELD_OUT).alias("held_out"), "text")
     schema = f"id long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, seldom array<long>"
     scored = stored(rows.mapInArrow(_score_batches(model), schema), "lm-scored")
+    model.destroy()
     rest = words.where(bucket < least)
     loose = scored.select("id", F.explode("rare").alias("word")).join(rest, "word", "left")
     unseen = F.lit(float(np.log10(1 / share)))
