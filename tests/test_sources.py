@@ -134,16 +134,14 @@ def test_text_forms(spark, tmp_path):
     assert m.length == 3 and m.sha256 == __import__("hashlib").sha256(b"abc").hexdigest()
 
 
-def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
-    from cairn import session
-    from cairn.session import scratch_path
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from types import SimpleNamespace as N
 
-    assert "/cairn-" in scratch_path(spark, "x")
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"), raising=False)
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", "")
-    try:
+    from cairn.session import scratch_path, shared_folder
+
+    of = lambda master, folder: shared_folder(N(conf=N(get=lambda *_: folder), sparkContext=N(master=master, applicationId="a1")))
+    assert of("spark://host:7077", "hdfs://x/") == of("local[2]", "hdfs://x") == "hdfs://x/cairn-a1" and of("local[2]", None).startswith("file:")
+    for master in ("spark://host:7077", "local-cluster[3,2,1000]", "yarn"):
         with pytest.raises(ValueError, match="share"):
-            session.scratch_path(spark, "x")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+            of(master, None)
+    assert "/cairn-" in scratch_path(spark, "x")
