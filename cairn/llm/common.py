@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: A word is a run of anything but space and the controls 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -55,33 +56,11 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("\x00")), F.coalesce(text, F.lit("\x00")))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local master gets a folder of its own, and a cluster an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        import tempfile
-
-        base = f"file://{tempfile.gettempdir()}/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/cairn-{spark.sparkContext.applicationId}"
-
-
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder, deleted when the driver's JVM ends."""
-    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
-    target, files = _file_system(spark, path)
-    files.deleteOnExit(target)
-    return path
-
-
 def stored(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there, lost executors do not matter, and the planner knows its size."""
     spark = df.sparkSession
