@@ -1,11 +1,13 @@
 """The pipeline against a brute-force version of each stage, on that stage's own input."""
 
 import re
+from collections import Counter
+from difflib import SequenceMatcher
 
 import pytest
 
 import corpus_pipeline as cp
-from cairn.llm import decontaminate, quality_rules, substring_dedup
+from cairn.llm import quality_rules, substring_dedup
 from cairn.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
@@ -32,9 +34,25 @@ def test_columns(steps):
     assert all(s.columns == steps[0].columns for s in steps[:-1]) and steps[-1].columns == [*steps[0].columns, "mix_copy"]
 
 
+def good(text):
+    """The verdict of the quality rules from their table, in plain loops."""
+    body = text or ""
+    ws = re.findall(r"[^\x20\x09-\x0D]+", body)
+    wins = [tuple(ws[k : k + 8]) for k in range(len(ws) - 7)]
+    often = Counter(wins)
+    repeated = {i for k, w in enumerate(wins) if often[w] > 1 for i in range(k, k + 8)}
+    lines = [x for x in body.split("\n") if x.strip(" \t\x0b\x0c\r")]
+    seen = {
+        "n_words": len(ws), "word_chars": sum(map(len, ws)), "n_symbols": sum(c in "#*$%&|<>" for c in body), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)),
+        "n_stop_words": sum("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) in set(quality_rules.STOP_WORDS) for w in ws),
+    }
+    if len(ws) < 20 or 100 * len(repeated) > 30 * len(ws):
+        return False
+    return all((r.low is None or r.low * seen[r.per] <= 100 * seen[r.metric]) and (r.high is None or 100 * seen[r.metric] <= r.high * seen[r.per]) for r in quality_rules.RULES)
+
+
 def test_quality_stage(steps):
-    verdict = {r.doc_id: r.kept for r in quality_rules.score(steps[0]).collect()}
-    assert rows(steps[1]) == {k: r for k, r in rows(steps[0]).items() if verdict[k]} and len(rows(steps[1])) < len(rows(steps[0]))
+    assert rows(steps[1]) == {k: r for k, r in rows(steps[0]).items() if good(r.text)} and len(rows(steps[1])) < len(rows(steps[0]))
 
 
 def shingles(text):
@@ -48,7 +66,7 @@ def test_near_duplicate_stage(steps):
     likeness = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
     assert {k: before[k] for k in after} == after
     for k in before.keys() - after.keys():
-        assert any(likeness(k, m) > 0.4 for m in before if m < k)  # in a group with an earlier one
+        assert any(likeness(k, m) >= 0.8 for m in before if m != k)
     kept = sorted(after)
     assert not any(likeness(a, b) >= 0.8 for i, a in enumerate(kept) for b in kept[:i])
 
@@ -69,16 +87,17 @@ def test_substring_stage(steps):
 def test_decontamination_stage(spark, steps):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     before, after = rows(steps[3]), rows(steps[4])
-    hit = {r.doc_id for r in decontaminate.matches(steps[3], bench).collect()}
-    assert after == {k: r for k, r in before.items() if k not in hit}
-    items = [" ".join(r.text.lower().split()) for r in bench.collect()]
-    leaky = {k for k, r in before.items() if any(i in " ".join(r.text.lower().split()) for i in items)}
-    assert leaky and leaky <= hit
+    gone = before.keys() - after.keys()
+    assert {k: before[k] for k in after} == after
+    items = [r.text.lower().split() for r in bench.collect()]
+    texts = {k: r.text.lower().split() for k, r in before.items()}
+    for k in gone:  # some item's words stand in the text, in order, for the most part
+        assert any(sum(b.size for b in SequenceMatcher(None, texts[k], i, autojunk=False).get_matching_blocks()) >= 0.55 * len(i) for i in items if len(set(i) & set(texts[k])) >= 0.4 * len(set(i)))
+    leaky = {k for k, w in texts.items() if any(f" {' '.join(i)} " in f" {' '.join(w)} " for i in items if i)}
+    assert leaky and leaky <= gone
 
 
 def test_mixing_stage(steps):
-    from collections import Counter
-
     before, copies = rows(steps[4]), Counter(r.doc_id for r in steps[5].collect())
     assert set(copies) <= set(before) and max(copies.values()) <= 2 and copies
     size = {k: len(r.text.encode().split()) for k, r in before.items()}
