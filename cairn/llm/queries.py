@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
+from . import chat, decontaminate, divergence, hard_negatives, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
 from .common import table
 
 
@@ -50,6 +50,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_mil": op2_quality_mil,
@@ -61,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_ctw": op8_lm_ctw,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op5_warc": warc.ORACLE,
@@ -68,4 +78,6 @@ ORACLES: dict[str, str] = {
     "op7_chat": chat.ORACLE,
     "op9_quality_rules": quality_rules.oracle(),
     "op10_mixing": mixing.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
