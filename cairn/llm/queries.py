@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, divergence, hard_negatives, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, warc
+from . import chat, decontaminate, divergence, hard_negatives, langid, lm_ctw, mixing, quality_mil, quality_rules, simhash, substring_dedup, toxicity, warc
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_ctw": op8_lm_ctw,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_toxicity": op11_toxicity,
     "op12_source_divergence": op12_source_divergence,
     "op13_hard_negatives": op13_hard_negatives,
 }
