@@ -10,7 +10,7 @@ All arithmetic is in integers.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +23,8 @@ from .common import stored, whole_groups
 
 LEAST_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
-#: Leaves after which a task hands on its trie and starts another.
-LEAVES = 200_000
+#: Counters after which a task hands on its trie and starts another; bytes of an edge; bytes of text counted at once, or one text.
+LEAVES, STRIDE, SLICE_BYTES = 600_000, 6, 8 << 20
 #: Groups of a language and a source whose totals are broadcast at once, some 100 bytes each; languages beyond are taken in further passes.
 GROUPS = 200_000
 #: Cells of terms by sources that a task handles at once.
@@ -34,125 +34,136 @@ _TERM_BYTES = bytes(b if b > 127 or chr(b).islower() else b + 32 if chr(b).isupp
 _LISTS = "array<string>", "array<bigint>"
 
 
-def terms(text: bytes) -> list[bytes]:
-    """The terms of a text in UTF-8, repeats included."""
-    return text.translate(_TERM_BYTES).split()
+def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of texts in UTF-8, repeats included, and the number of the text that each is from."""
+    texts = texts.cast(pa.binary())
+    start, end = (texts.offset, texts.offset + len(texts))
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[start : end + 1]
+    plain = memoryview(texts.buffers()[2] or b"")[offsets[0] : offsets[-1]].tobytes().translate(_TERM_BYTES)
+    lists = pc.split_pattern(pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((offsets - offsets[0]).tobytes()), pa.py_buffer(plain)]), b" ")
+    found = lists.flatten()
+    filled = pc.greater(pc.binary_length(found), 0)
+    return found.filter(filled), np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[filled.to_numpy(zero_copy_only=False)]
 
 
 class Trie:
-    """A byte radix trie. A node is [leaf or None, {first byte: [rest of the edge, node]}]; a leaf lists (source, documents, occurrences)."""
+    """A radix trie over bytes; an edge carries STRIDE bytes, the last one of a key fewer. A node is [number of its leaf or None, {edge: node}]."""
 
     def __init__(self) -> None:
         self.root: list = [None, {}]
-        self.size = 0
 
-    def leaf(self, key: bytes) -> list:
-        node, at, end = self.root, 0, len(key)
-        while at < end:
-            edge = node[1].get(key[at])
-            if edge is None:
-                new: list = [None, {}]
-                node[1][key[at]] = [key[at:], new]
-                node = new
-                break
-            label = edge[0]
-            n = len(label)
-            if key[at : at + n] != label:  # the edge is split where they part
-                same = 1
-                while at + same < end and label[same] == key[at + same]:
-                    same += 1
-                n = same
-                edge[1] = [None, {label[n]: [label[n:], edge[1]]}]
-                edge[0] = label[:n]
-            node = edge[1]
-            at += n
-        if node[0] is None:
-            node[0] = []
-            self.size += 1
-        return node[0]
-
-    def leaves(self) -> Iterator[tuple[bytes, list]]:
-        """(key, leaf) in byte order."""
-        stack = [(b"", self.root)]
+    def put(self, key: bytes, leaf: int) -> None:
+        node = self.root
+        for at in range(0, len(key), STRIDE):
+            edges, part = node[1], key[at : at + STRIDE]
+            if edges is None:
+                edges = node[1] = {}
+            node = edges.get(part)
+            if node is None:
+                node = edges[part] = [None, None]
+        node[0] = leaf
+
+    def leaves(self) -> Iterator[int]:
+        """Leaves in byte order of their keys."""
+        stack = [self.root]
         while stack:
-            key, node = stack.pop()
-            if node[0] is not None:
-                yield key, node[0]
-            stack += [(key + node[1][b][0], node[1][b][1]) for b in sorted(node[1], reverse=True)]
-
-
-def _rows(leaves: Iterator[tuple[bytes, list]], least: int = 0, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Leaves as rows, counters of a source summed; those of fewer than ``least`` documents are left out."""
-
-    def batch() -> pa.RecordBatch:
-        at = pa.array(offsets, pa.int32())
-        lists = [pa.ListArray.from_arrays(at, pa.array(v, t)) for v, t in ((sources, pa.string()), (counts, pa.int64()))]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs, pa.int64()), *lists], ["key", "docs", "sources", "counts"])
-
-    keys, docs, sources, counts, offsets = [], [], [], [], [0]
-    for key, leaf in leaves:
-        if len(leaf) > 1:
-            by: dict = defaultdict(int)
-            for s, _, n in leaf:
-                by[s] += n
-            seen, items = sum(d for _, d, _ in leaf), by.items()
-        else:
-            seen, items = leaf[0][1], [(leaf[0][0], leaf[0][2])]
-        if seen < least:
-            continue
-        keys.append(key)
-        docs.append(seen)
-        for s, n in items:
-            sources.append(s)
-            counts.append(n)
-        offsets.append(len(sources))
-        if len(keys) >= rows:
-            yield batch()
-            keys, docs, sources, counts, offsets = [], [], [], [], [0]
-    if keys:
-        yield batch()
+            leaf, edges = stack.pop()
+            if leaf is not None:
+                yield leaf
+            if edges:
+                stack += [edges[part] for part in sorted(edges, reverse=True)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[tuple[bytes, str], tuple[Counter, Counter]] = {}
+class Counts:
+    """Occurrences and documents of terms by language and source, kept as columns until the trie is due."""
 
-    def trie() -> Trie:
-        out = Trie()
-        for (lang, source), (occurrences, documents) in found.items():
-            for term, n in occurrences.items():
-                out.leaf(term + b"\0" + lang).append((source, documents[term], n))
-        return out
+    def __init__(self) -> None:
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple] = []
+        self.size = 0
 
+    def add(self, b: pa.RecordBatch) -> None:
+        group = np.array([self.groups.setdefault(k, len(self.groups)) for k in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)])
+        found, doc = terms(b.column(0))
+        coded = found.dictionary_encode()
+        n = max(1, len(coded.dictionary))
+        of_doc, times = np.unique(doc * n + coded.indices.to_numpy(), return_counts=True)
+        of_group, back = np.unique(group[of_doc // n] * n + of_doc % n, return_inverse=True)
+        self._keep(coded.dictionary.take(pa.array(of_group % n)), of_group // n, np.bincount(back, minlength=len(of_group)), np.bincount(back, times, len(of_group)))
+
+    def _keep(self, term: pa.Array, group: np.ndarray, docs: np.ndarray, times: np.ndarray) -> None:
+        self.parts.append((term, group, docs.astype(np.int64), times.astype(np.int64)))
+        self.size += len(term)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """The trie's leaves in byte order: key, documents, and each source with its occurrences."""
+        if not self.size:
+            return
+        coded = pa.concat_arrays([x[0] for x in self.parts]).dictionary_encode()
+        group, docs, times = (np.concatenate([x[k] for x in self.parts]) for k in (1, 2, 3))
+        langs, lang_of = np.unique([lang for lang, _ in self.groups], return_inverse=True)
+        # A counter is a leaf (term and language) and a group.
+        leaf = coded.indices.to_numpy().astype(np.int64) * len(langs) + lang_of[group]
+        counters, back = np.unique(leaf * len(self.groups) + group, return_inverse=True)
+        docs, times = (np.bincount(back, x, len(counters)).astype(np.int64) for x in (docs, times))
+        leaf, group = np.divmod(counters, len(self.groups))
+        own, starts = np.unique(leaf, return_index=True)
+        keys = pc.binary_join_element_wise(coded.dictionary.take(pa.array(own // len(langs))), pa.array([x.encode() for x in langs], pa.binary()).take(pa.array(own % len(langs))), b"\0")
+        trie = Trie()
+        for k, key in enumerate(keys.to_pylist()):
+            trie.put(key, k)
+        order = np.fromiter(trie.leaves(), np.int64, len(own))
+        sizes = np.diff(np.append(starts, len(leaf)))
+        sources = pa.array([s for _, s in self.groups], pa.string())
+        for at in range(0, len(order), 50_000):
+            part = order[at : at + 50_000]
+            n = sizes[part]
+            ends = np.cumsum(n)
+            cells = np.repeat(starts[part] - ends + n, n) + np.arange(ends[-1])
+            offsets = pa.array(np.append(0, ends), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, v) for v in (sources.take(pa.array(group[cells])), pa.array(times[cells]))]
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(part)), pa.array(np.add.reduceat(docs[cells], ends - n)), *lists], ["key", "docs", "sources", "counts"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    gc.disable()  # a trie is many small lists without cycles, which the collector would walk again and again
+    counts = Counts()
     for b in batches:
-        for text, lang, source in zip(b.column(0).cast(pa.binary()), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            key = lang.encode(), source
-            if key not in found:
-                found[key] = Counter(), Counter()
-            own = terms(text.as_py())
-            occurrences, documents = found[key]
-            occurrences.update(own)
-            documents.update(set(own))
-        if sum(len(x) for x, _ in found.values()) > LEAVES:
-            yield from _rows(trie().leaves())
-            found.clear()
-    yield from _rows(trie().leaves())
+        at = 0
+        upto = np.cumsum(pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False))
+        while at < len(b):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SLICE_BYTES, "right")))
+            counts.add(b.slice(at, end - at))
+            at = end
+            if counts.size > LEAVES:
+                yield from counts.rows()
+                counts = Counts()
+    yield from counts.rows()
+    gc.enable()
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tries that reach into one range of keys arrive leaf by leaf in key order; leaves of one key become one, counters of a source are summed."""
     for t in whole_groups(batches, "key", 50_000):
         keys = t.column("key").combine_chunks()
-        starts = np.concatenate([[0], 1 + np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False))])
-        docs = t.column("docs").to_numpy()
-        kept = np.repeat(np.add.reduceat(docs, starts) >= LEAST_DOCS, np.diff(np.append(starts, len(keys))))
-        merged = Trie()
-        # Leaves keep the documents of a row with its first source: their sum over a leaf is what counts.
-        for row in t.filter(pa.array(kept)).to_pylist():
-            leaf = merged.leaf(row["key"])
-            leaf += [(s, row["docs"] if not k else 0, n) for k, (s, n) in enumerate(zip(row["sources"], row["counts"], strict=True))]
-        for b in _rows(merged.leaves(), LEAST_DOCS):
-            parts = [k.split(b"\0", 1) for k in b.column("key").to_pylist()]
-            columns = [pa.array([lang.decode() for _, lang in parts], pa.string()), pa.array([term.decode() for term, _ in parts], pa.string()), b.column("sources"), b.column("counts")]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "sources", "counts"])
+        new = np.concatenate([[True], pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)])
+        enough = np.add.reduceat(t.column("docs").to_numpy(), np.flatnonzero(new)) >= LEAST_DOCS
+        kept = enough[np.cumsum(new) - 1]
+        t = t.filter(pa.array(kept))
+        if not len(t):
+            continue
+        leaf = np.cumsum(new[kept]) - 1  # a kept leaf keeps its first row
+        sources, counts = t.column("sources").combine_chunks(), t.column("counts").combine_chunks()
+        names = sources.flatten().dictionary_encode()
+        cell = np.repeat(leaf, pc.list_value_length(sources).to_numpy(zero_copy_only=False)) * len(names.dictionary) + names.indices.to_numpy()
+        cells, back = np.unique(cell, return_inverse=True)
+        sums = np.zeros(len(cells), np.int64)
+        np.add.at(sums, back, counts.flatten().to_numpy())
+        owner, name = np.divmod(cells, len(names.dictionary))
+        at = pa.array(np.searchsorted(owner, np.arange(leaf[-1] + 2)), pa.int32())
+        parts = [k.split(b"\0", 1) for k in t.column("key").filter(pa.array(new[kept])).to_pylist()]
+        lists = [pa.ListArray.from_arrays(at, v) for v in (names.dictionary.take(pa.array(name)), pa.array(sums))]
+        yield pa.RecordBatch.from_arrays([pa.array([lang.decode() for _, lang in parts], pa.string()), pa.array([term.decode() for term, _ in parts], pa.string()), *lists], ["lang", "term", "sources", "counts"])
 
 
 def kept_terms(docs: DataFrame) -> DataFrame:
