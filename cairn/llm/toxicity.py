@@ -33,7 +33,7 @@ FOLDS, SHORTEST, LONGEST, LEVELS, SHINGLE = 5, 3, 8, 3, 3
 #: A mined cue is in so many toxic documents and such a share of them at least, is so many times likelier in them, and so unlikely by chance (G2 statistic).
 #: The share keeps out rare words of a toxic text with near copies; documents whose least shingle is the same count once.
 LEAST_TOXIC, LEAST_SHARE, LEAST_RATIO, LEAST_G2 = 3, 0.01, 16.0, 15.0
-ROUNDS, SMOOTH, PENALTY = 40, 0.5, 0.02
+ROUNDS, SMOOTH, PENALTY, FIXED_WEIGHT = 40, 0.5, 0.02, 4.0
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Words remembered by a task, with their cues.
@@ -52,6 +52,7 @@ _KNOWN = {w: k for k, ws in enumerate(LEXICONS.values()) for w in ws}
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SPELLED = re.compile(r"(?:[^\W\d_][.\-_*])+[^\W\d_]")
 _STRETCHED = re.compile(r"(.)\1{2,}")
+_SIGNS = ".,;:?#*%&\"'()[]{}<>|-_~`"
 _DISGUISE = str.maketrans("013457@$!", "oieastasi")
 _FIRST_MINED = len(LEXICONS) + len(PATTERNS)
 _SEVERAL = 1 << len(VOTERS) - 1
@@ -82,7 +83,7 @@ def shared(cue: str) -> bool:
 
 def patterns(token: str) -> list[int]:
     """Which of PATTERNS a token shows: a known word with other signs for letters, with stretched letters, or letter by letter."""
-    bare = token.strip(".,;:!?#*$%&\"'()[]{}<>|-_~`")
+    bare = token.rstrip(_SIGNS + "$!").lstrip(_SIGNS)
     if not bare or bare.isalpha() and not _STRETCHED.search(bare):
         return []
     undone = bare.translate(_DISGUISE)
@@ -99,6 +100,7 @@ class Cues:
         fixed = [(w + _WORD_END, 1 << k) for w, k in _KNOWN.items()]
         self.names = [*PATTERNS, *[w for w, _ in fixed]]
         self.of = {w: (len(PATTERNS) + k, bit) for k, (w, bit) in enumerate(fixed)}
+        self.fixed = len(self.names)
         for cue, bits in mined:
             number, had = self.of.get(cue, (len(self.names), 0))
             if number == len(self.names):
@@ -278,20 +280,25 @@ class LabelModel:
         return out
 
 
-def fit(found: list[list[int]], posterior: np.ndarray, cues: int) -> np.ndarray:
-    """Logistic regression on soft labels by Newton steps from a fixed start: a weight for each cue and, last, the bias, which is not penalised."""
+def fit(found: list[list[int]], posterior: np.ndarray, cues: int, fixed: int = 0) -> np.ndarray:
+    """Logistic regression on soft labels by Newton steps: a weight for each cue and, last, the bias, which is hardly penalised.
+
+    Weights are drawn to 0, those of the first ``fixed`` cues to FIXED_WEIGHT: a fixed cue that no text of the sample shows keeps that.
+    """
     x = np.zeros((len(found), cues + 1), np.float32)
     x[:, -1] = 1
     for k, f in enumerate(found):
         x[k, f] = 1
     seen = np.flatnonzero(x.any(axis=0))
-    x, w = x[:, seen], np.zeros(cues + 1)
+    w = np.zeros(cues + 1)
+    w[:fixed] = FIXED_WEIGHT
     if not len(found):
         return w
-    v, penalty = np.zeros(len(seen)), np.where(seen == cues, 1e-3, PENALTY)
-    for _ in range(12):
+    x, drawn, penalty = x[:, seen], w[seen], np.where(seen == cues, 1e-3, PENALTY)
+    v = drawn.copy()
+    for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        slope = x.T @ (p - posterior) + penalty * v
+        slope = x.T @ (p - posterior) + penalty * (v - drawn)
         curve = (x * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curve.astype(np.float64), slope)
         v -= np.clip(step, -4, 4)
@@ -342,7 +349,7 @@ def train(voted: DataFrame, cues: Cues) -> tuple[LabelModel, np.ndarray]:
     model = LabelModel(*columns)
     by_mask = dict(zip(model.masks.tolist(), model.posterior.tolist(), strict=True))
     sample = own.orderBy(F.xxhash64("doc_id", "mask", "cues"), "doc_id").limit(FIT_DOCS).select("mask", "cues").collect()
-    return model, fit([r.cues for r in sample], np.array([by_mask[r.mask] for r in sample]), len(cues.names))
+    return model, fit([r.cues for r in sample], np.array([by_mask[r.mask] for r in sample]), len(cues.names), cues.fixed)
 
 
 def label_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
