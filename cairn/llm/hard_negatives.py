@@ -29,7 +29,7 @@ PIVOTS, PIVOT_SAMPLE = 12, 1024
 #: Bytes of anchors that are broadcast at once, and rows that share one bracket.
 BLOCK_BYTES, RUN = 64 << 20, 512
 EXACT = 1 << 53
-_LAST_ID = (1 << 63) - 1
+_LAST = (1 << 63) - 1
 
 
 def valid(rows: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def matrix(vectors: pa.Array, width: int) -> np.ndarray:
     sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
     flat = np.floor(vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     if len(sizes) and (sizes == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width))
     rows = np.repeat(np.arange(len(sizes)), sizes)
     out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
@@ -82,11 +82,12 @@ class Frame:
         self.slack = 1e-6 * max(m2, 1.0)
 
     def scores(self, x: np.ndarray, a: np.ndarray) -> np.ndarray:
-        """Inner products, exact: as 64-bit numbers, or as Python's where those might not do."""
+        """Inner products, exact; where doubles might round, by Python's numbers. Those beyond 64 bits are the end of the range."""
         if self.exact:
             return (x @ a).astype(np.int64)
         whole = [int(v) for v in a]
-        return np.array([sum(int(v) * w for v, w in zip(row, whole, strict=True)) for row in x], object)
+        exact = (sum(int(v) * w for v, w in zip(row, whole, strict=True)) for row in x)
+        return np.array([max(-_LAST, min(_LAST, v)) for v in exact], np.int64)
 
     def brackets(self, a2: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest score of rows whose distance to the anchor lies between ``low`` and ``high``."""
@@ -125,7 +126,7 @@ def _runs(b: pa.RecordBatch, f: Frame) -> Iterator[tuple]:
     """Runs of a batch: row numbers, ids (null: last), labels, vectors, pivot distances."""
     for at in range(0, len(b), RUN):
         part = b.slice(at, RUN)
-        ids = pc.fill_null(part.column("vec_id"), _LAST_ID).to_numpy()
+        ids = pc.fill_null(part.column("vec_id"), _LAST).to_numpy()
         yield part.column("row").to_numpy(), ids, part.column("label").to_numpy(), matrix(part.column("vector"), f.width), matrix_of(part.column("pivots"), len(f.pivots))
 
 
@@ -156,7 +157,7 @@ class _Best:
 
     def add(self, score: np.ndarray, ids: np.ndarray) -> None:
         if len(score):
-            score, ids = np.concatenate([self.score.astype(score.dtype), score]), np.concatenate([self.ids, ids])
+            score, ids = np.concatenate([self.score, score]), np.concatenate([self.ids, ids])
             keep = _ahead(score, ids, self.most)
             self.score, self.ids = score[keep], ids[keep]
 
@@ -176,12 +177,11 @@ def _row_reach(frame: Frame, a: dict, k: int, d: np.ndarray) -> tuple[np.ndarray
     return frame.brackets(a["sq"][k], np.abs(d - a["d"][k]).max(axis=1), (d + a["d"][k]).min(axis=1))
 
 
-def _emit(lists: Iterator[tuple[int, object, _Best]]) -> Iterator[pa.RecordBatch]:
-    """(anchor's row, band, list) as rows; scores beyond 64 bits stop at the ends of the range."""
-    narrow = lambda v: max(-_LAST_ID - 1, min(_LAST_ID, int(v)))
+def _emit(lists: Iterator[tuple[int, int, _Best]]) -> Iterator[pa.RecordBatch]:
+    """(anchor's row, band, list) as rows."""
     out: list[tuple] = []
     for anchor, band, best in lists:
-        out += [(anchor, narrow(band), None if i == _LAST_ID else int(i), narrow(s)) for i, s in zip(best.ids, best.score, strict=True)]
+        out += [(anchor, band, None if i == _LAST else int(i), int(s)) for i, s in zip(best.ids, best.score, strict=True)]
         if len(out) > 50_000:
             yield _found(out)
             out = []
@@ -234,7 +234,7 @@ def _negative_batches(shared):
                     score = f.scores(x[left], a["x"][k])
                     for j in mine:
                         _, p, own = bands[j]
-                        inside = np.flatnonzero((100 * score >= LOW * p) & (100 * score <= HIGH * p))
+                        inside = np.flatnonzero((score >= -(-LOW * p // 100)) & (score <= HIGH * p // 100))
                         own.add(score[inside], ids[left][inside])
                         floor[j] = max(least[j], own.least())
         yield from _emit((int(a["row"][k]), p, own) for k, p, own in bands)
@@ -253,8 +253,8 @@ def mine(rows: DataFrame) -> DataFrame:
 
     Rows with a null label or vector, or a component that is null or not finite, take no part; vectors of several
     lengths are filled up with zeros. A null vec_id is no anchor, and comes last among ties. Rows that share a vec_id are
-    rows of their own, also as anchors. Equal scores rank by vec_id. Scores are exact; those beyond 64 bits are told by
-    the end of the range. An anchor without positives, or a positive without negatives, gives no row; an empty table an
+    rows of their own, also as anchors. Equal scores rank by vec_id. Scores are exact; one beyond 64 bits counts as the end
+    of the range. An anchor without positives, or a positive without negatives, gives no row; an empty table an
     empty result. A label that a third of all rows bear, or a vector that thousands share, is cut into runs like any other.
     """
     spark = rows.sparkSession
