@@ -72,16 +72,26 @@ def test_near_duplicate_stage(steps):
 
 
 def test_substring_stage(steps):
+    """Lines that stood before go, and thirty words or more that an earlier text has in that order; all else stays."""
     before, after = rows(steps[2]), rows(steps[3])
-    first = {}
+    lines, held = set(), set()
     for k in sorted(before):
-        for u in substring_dedup.units(before[k].text):
-            first.setdefault(u[3], k)
-    for k, r in before.items():
-        found = substring_dedup.units(r.text)
-        gone = substring_dedup.removals(found, {u[3] for u in found if first[u[3]] < k})
-        text = substring_dedup.cut(r.text, gone) if gone else r.text
-        assert (after[k].text == text and after[k].n_chars == (len(text) if gone else r.n_chars)) if k in after else not text.strip()
+        text, left = before[k].text, after[k].text if k in after else ""
+        words = text.lower().split()
+        new = [line for line in (" ".join(x.lower().split()) for x in text.split("\n")) if line and line not in lines]
+        free = [w for line in new for w in line.split()]
+        passages = [tuple(words[j : j + 30]) for j in range(len(words) - 29)]
+        if not any(p in held for p in passages) and len(new) == len(set(new)) == len([x for x in text.split("\n") if x.strip()]) and len(set(passages)) == len(passages):
+            assert left == text and after[k].n_chars == before[k].n_chars
+        assert Counter(left.lower().split()) <= Counter(words) and (k not in after or after[k].n_chars == len(left) or left == text)
+        covered = {w for p in passages if p in held for w in p}
+        repeated = {w for p, n in Counter(passages).items() if n > 1 for w in p}
+        gone = Counter(free) - Counter(left.lower().split())
+        twice = {w for x, n in Counter(new).items() if n > 1 for w in x.split()}
+        assert set(gone) <= covered | repeated | twice, k
+        assert not any(" ".join(x.lower().split()) in lines for x in left.split("\n") if x.strip() and x in text.split("\n"))
+        lines.update(new)
+        held.update(passages)
 
 
 def test_decontamination_stage(spark, steps):
