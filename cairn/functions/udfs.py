@@ -15,8 +15,9 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 SKIPPED = {"script", "style", "noscript", "svg"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-# Corporate suffixes, as they read in a slug; one is dropped.
-SUFFIXES = "inc|incorporated|llc|l-l-c|ltd|limited|corp|corporation|co|company|gmbh|sa|s-a|plc|ag|bv|b-v"
+# Corporate suffixes, in any case and with or without a final dot; one is dropped.
+SUFFIXES = "inc incorporated llc l.l.c. ltd limited corp corporation co company gmbh sa s.a. plc ag bv b.v.".split()
+_SUFFIX = re.compile(rf"\b(?:{'|'.join(map(re.escape, SUFFIXES))})\.?$", re.IGNORECASE)
 
 
 class _Text(HTMLParser):
@@ -69,11 +70,10 @@ def urljoin_column(href: pd.Series, base: pd.Series) -> pd.Series:
 
 
 def slug_of(name: str | None) -> str:
-    bare = re.sub(r"\s*\([^)]*\)\s*$", "", name or "")
-    ascii_only = unicodedata.normalize("NFKD", bare).encode("ascii", "ignore").decode()
-    slug = re.sub(r"[^a-z0-9]+", "-", ascii_only.lower()).strip("-")
-    slug = re.sub(rf"(?:^|-)(?:{SUFFIXES})$", "", slug)
-    return slug[:60].strip("-") or "unnamed"
+    """The suffix is one of the name as written, so ``Foo S.A`` and ``Foo Inc!`` keep theirs."""
+    bare = re.sub(r"\s*\([^)]*\)\s*$", "", (name or "").strip()).strip()
+    folded = _SUFFIX.sub("", unicodedata.normalize("NFKD", bare).encode("ascii", "ignore").decode())
+    return re.sub(r"[^a-z0-9]+", "-", folded.lower()).strip("-")[:60].rstrip("-") or "unnamed"
 
 
 @F.pandas_udf(StringType())

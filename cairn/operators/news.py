@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as d
 from ..functions import url as u
 from ..functions.trims import strip
-from ..sources.readers import json_depth
+from .walk import walk
 
 PRIMARY_MIN = 3
 
@@ -84,11 +84,9 @@ def jsonld_dates(pages: DataFrame, as_of: Column, html: str = "html", key: list[
     key = key or []
     blocks = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"), F.lit(1))
     b = pages.select(*key, (F.lit(0) if order is None else order).alias("_page"), F.posexplode(blocks).alias("_block", "_json")).withColumn("_v", F.expr("try_parse_json(_json)")).where("_v IS NOT NULL")
-    rows = b.select(*key, "_page", F.array("_block").alias("_at"), "_v", F.lit(True).alias("_open"))
-    for _ in range(json_depth(b, "_json")):
-        items = "coalesce(try_variant_get(_v, '$', 'array<variant>'), try_variant_get(_v, '$[\"@graph\"]', 'array<variant>'))"
-        kids = f"CASE WHEN _open THEN transform({items}, (x, i) -> struct(concat(_at, array(i)) AS at, x AS v, true AS open)) END"
-        rows = rows.select(*key, "_page", F.explode(F.expr(f"concat(array(struct(_at AS at, _v AS v, false AS open)), coalesce({kids}, array()))")).alias("_x")).select(*key, "_page", F.col("_x.at").alias("_at"), F.col("_x.v").alias("_v"), F.col("_x.open").alias("_open"))
+    items = "coalesce(try_variant_get(v, '$', 'array<variant>'), try_variant_get(v, '$[\"@graph\"]', 'array<variant>'))"
+    kids = f"transform({items}, (x, i) -> struct(concat(at, array(i)) AS at, x AS v))"
+    rows = walk(b.select(*key, "_page", F.array("_block").alias("at"), F.col("_v").alias("v")), [*key, "_page"], kids).withColumnsRenamed({"at": "_at", "v": "_v"})
     kind = lambda p: F.expr(f"schema_of_variant(try_variant_get(_v, '{p}', 'variant'))")
     text = lambda p: F.when(kind(p) == "STRING", F.nullif(F.expr(f"try_variant_get(_v, '{p}', 'string')"), F.lit("")))
     odd = F.coalesce(~kind("$.url").isin("STRING", "VOID"), F.lit(False))

@@ -133,10 +133,15 @@ def final_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("target_id", "run_id", "display_name", "homepage_url", "corpus_root", F.concat_ws(",", F.transform("products", lambda x: x.cast("string"))).alias("products"), "agent_listed", "max_products", "status", "notes", F.col("meta.turns").alias("turns"))
 
 
+def _depth():
+    """0 to 10 levels; one event in 500 has up to 490."""
+    return (F.when(F.col("event_id") % 500 == 0, F.floor(F.col("value") * 100) % 491).otherwise(F.floor("value") % 11)).cast("int")
+
+
 def citations_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations up to 23 brackets deep."""
+    """Citations as deep as an event's value says: most shallow, those of the greatest values hundreds of levels."""
     k = F.col("event_id")
-    n = (k % 11).cast("int")
+    n = _depth()
     raw = F.concat(F.repeat(F.lit('{"x":"]}","a":['), n), _text('{"b":{"resource_id":"resource-', k, '","line_start":', k % 7, "}}"), F.repeat(F.lit("]}"), n))
     return readers.citations(table(spark, sf_dir, "events").select("event_id", raw.alias("raw")), "raw", ["event_id"]).select("event_id", "at", "resource_id", "line_start")
 
@@ -256,7 +261,7 @@ SELECT p_size, string_agg('  - n' || k || ' (' || p_brand || '/' || CASE WHEN k
     "final_documents": """WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
 g AS (SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY n) FILTER (n <= 3) AS products, count(*)::INTEGER AS agent_listed, max(o_orderpriority) AS notes FROM o GROUP BY 1)
 SELECT o_custkey AS target_id, 'r' AS run_id, c_name AS display_name, 'h' AS homepage_url, '/c' AS corpus_root, products, agent_listed, 3::INTEGER AS max_products, 'complete' AS status, notes, c_nationkey AS turns FROM g JOIN customer ON c_custkey = o_custkey""",
-    "citations_walk": "SELECT event_id, '$' || repeat('.a[0]', (event_id % 11)::INTEGER) || '.b' AS at, 'resource-' || event_id AS resource_id, (event_id % 7)::INTEGER AS line_start FROM events",
+    "citations_walk": "SELECT event_id, '$' || repeat('.a[0]', (CASE WHEN event_id % 500 = 0 THEN floor(value * 100) % 491 ELSE floor(value) % 11 END)::INTEGER) || '.b' AS at, 'resource-' || event_id AS resource_id, (event_id % 7)::INTEGER AS line_start FROM events",
     "scrapes": """SELECT page_id, page_id % 5 > 1 AND page_id % 2 = 0 AS ok, CASE WHEN page_id % 5 > 1 THEN (page_id % 600)::INTEGER END AS status_code, CASE WHEN page_id % 5 > 1 THEN 'c' || page_id END AS content,
   CASE WHEN page_id % 5 <= 1 THEN 'Browserless returned a non-object response' END AS message, CASE WHEN page_id % 5 > 1 THEN 'https://a/' || page_id || ' x' END AS links FROM pages""",
     "site_maps": "SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'https://a/' || page_id || ' http://b/' || page_id END AS urls FROM pages",

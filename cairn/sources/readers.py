@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.walk import walk
 
 CORRUPT = "_corrupt_record"
 
@@ -121,26 +122,17 @@ def link_edges(resources: DataFrame, key: list[str], links: str = "links") -> Da
     return resources.select(*key, F.explode(F.filter(links, lambda x: x.isNotNull())).alias("target_url"))
 
 
-def json_depth(df: DataFrame, raw: str) -> int:
-    """How deep brackets nest in JSON texts at most; texts aside. One pass, one number."""
-    brackets = F.regexp_replace(F.regexp_replace(raw, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
-    step = F.transform(F.filter(F.split(brackets, ""), lambda c: c != ""), lambda c: F.when(c.isin("[", "{"), 1).otherwise(-1))
-    deepest = F.aggregate(step, F.struct(F.lit(0).alias("n"), F.lit(0).alias("top")), lambda a, x: F.struct((a["n"] + x).alias("n"), F.greatest(a["top"], a["n"] + x).alias("top")), lambda a: a["top"])
-    return df.agg(F.max(deepest)).first()[0] or 0
-
-
 def citations(df: DataFrame, raw: str, key: list[str], loose: bool = False) -> DataFrame:
-    """Citation-shaped objects anywhere in JSON documents, however deep, with their path: objects that have resource_id and line_start.
+    """Citation-shaped objects anywhere in JSON documents, with their path: objects that have resource_id and line_start.
 
     With ``loose`` the canonical merge's rule holds: a resource_id that begins with resource-, and line_start or snippet.
-    The walk goes down one level at a time, as many as the deepest document has.
+    Depth costs passes, not plan; a text that does not parse, as any of more than 1,000 levels, has no citations.
     """
-    rows = df.select(*key, F.lit("$").alias("at"), F.expr(f"try_parse_json({raw})").alias("v"), F.lit(True).alias("open")).where("v IS NOT NULL")
-    for _ in range(json_depth(df, raw)):
-        listed = "transform(try_variant_get(v, '$', 'array<variant>'), (x, i) -> struct(concat(at, '[', i, ']') AS at, x AS v, true AS open))"
-        named = "transform(map_entries(try_variant_get(v, '$', 'map<string,variant>')), e -> struct(concat(at, '.', e.key) AS at, e.value AS v, true AS open))"
-        kids = f"filter(CASE WHEN open THEN coalesce({listed}, {named}) END, x -> schema_of_variant(x.v) LIKE 'OBJECT%' OR schema_of_variant(x.v) LIKE 'ARRAY%')"
-        rows = rows.select(*key, F.explode(F.expr(f"concat(array(struct(at, v, false AS open)), coalesce({kids}, array()))")).alias("_x")).select(*key, "_x.*")
+    listed = "transform(try_variant_get(v, '$', 'array<variant>'), (x, i) -> struct(concat(at, '[', i, ']') AS at, x AS v))"
+    named = "transform(map_entries(try_variant_get(v, '$', 'map<string,variant>')), e -> struct(concat(at, '.', e.key) AS at, e.value AS v))"
+    kids = f"filter(coalesce({listed}, {named}), x -> schema_of_variant(x.v) LIKE 'OBJECT%' OR schema_of_variant(x.v) LIKE 'ARRAY%')"
+    roots = df.select(*key, F.lit("$").alias("at"), F.expr(f"try_parse_json({raw})").alias("v")).where("v IS NOT NULL")
+    rows = walk(roots, key, kids)
     get = lambda p, t: F.expr(f"try_variant_get(v, '$.{p}', '{t}')").alias(p)
     found = rows.where("schema_of_variant(v) LIKE 'OBJECT%'").select(*key, "at", get("resource_id", "string"), get("line_start", "int"), get("line_end", "int"), get("snippet", "string"))
     if loose:

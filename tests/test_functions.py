@@ -110,6 +110,7 @@ def test_text(spark):
     html = "<p>a &amp; b</p><script>var x='</p>'</script><svg><text>no</text></svg><b>c"
     assert column(spark, [html], text.html_to_text) == ["a & b\nc"] == column(spark, [html], lambda c: udfs.html_to_text(c))
     assert column(spark, ["Foo Bar, Inc.", "Größe GmbH (test)", "", "Acme Co"], lambda c: udfs.ascii_slug(c)) == ["foo-bar", "groe", "unnamed", "acme"]
+    assert column(spark, ["Foo S.A", "Foo Inc!", "Foo L L C", "Foo L.L.C.", "Foo s.a.", "FOO B.V.", "Inc.", "Cisco", "Foo LTD.", "x" * 70], lambda c: udfs.ascii_slug(c)) == ["foo-s-a", "foo-inc", "foo-l-l-c", "foo", "foo", "foo", "unnamed", "cisco", "foo", "x" * 60]
 
 
 DATES = {

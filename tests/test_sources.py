@@ -106,12 +106,38 @@ def test_citations_at_any_depth(spark):
     doc = json.dumps({"x": "]]}}{{[", "e": [{"resource_id": "resource-0001", "line_start": 3}]})
     nested = '{"k":' * 25 + '{"resource_id":"resource-0002","snippet":"s"}' + "}" * 25
     df = spark.createDataFrame([(1, doc), (2, nested), (3, deep), (4, "{broken"), (5, None)], "k int, doc string")
-    assert readers.json_depth(df, "doc") == 60
     assert [(r.k, r.at, r.resource_id) for r in readers.citations(df, "doc", ["k"]).collect()] == [(1, "$.e[0]", "resource-0001")]
     assert sorted((r.k, r.resource_id, r.line_start) for r in readers.citations(df, "doc", ["k"], loose=True).collect()) == [(1, "resource-0001", 3), (2, "resource-0002", None)]
     assert readers.citations(df.limit(0), "doc", ["k"]).collect() == []
 
 
+def test_citations_below_many_levels(spark):
+    """Depth costs passes, not plan; texts that do not parse stop nothing."""
+    nest = lambda n: '{"a":[' * n + '{"resource_id":"resource-1","line_start":%d}' % n + "]}" * n
+    df = spark.createDataFrame([*[(n, nest(n)) for n in (0, 5, 6, 40, 100, 480)], (7, "[" * 100_000), (8, "{" * 100_000 + "}" * 100_000), (9, nest(600))], "k int, doc string")
+    got = readers.citations(df, "doc", ["k"])
+    assert sorted((r.k, r.at) for r in got.collect()) == [(n, "$" + ".a[0]" * n) for n in (0, 5, 6, 40, 100, 480)]
+    assert len(got._jdf.queryExecution().analyzed().toString()) < 20_000
+
+
+def test_walk_gives_every_node(spark):
+    from cairn.operators.walk import walk
+
+    rng = __import__("random").Random(3)
+    parent = {k: rng.randrange(max(0, k - 3), k) for k in range(1, 200)}
+    below = {k: [c for c, p in parent.items() if p == k] for k in range(200)}
+    roots = spark.createDataFrame([(1, "0", 0), (2, "0", 150)], "tree int, at string, v int")
+    kids = "transform(filter(array(" + ",".join(f"named_struct('p', {p}, 'c', {c})" for c, p in parent.items()) + "), e -> e.p = v), e -> struct(concat(at, '/', e.c) AS at, e.c AS v))"
+    got = {(r.tree, r.at, r.v) for r in walk(roots, ["tree"], kids, 2, 3).collect()}
+
+    def down(k, at):
+        yield at, k
+        for c in below[k]:
+            yield from down(c, f"{at}/{c}")
+
+    assert got == {(t, at, v) for t, root in ((1, 0), (2, 150)) for at, v in down(root, "0")}
+
+
 def test_documents_and_path_parts(spark, tmp_path):
     (tmp_path / "vendors" / "acme").mkdir(parents=True)
     (tmp_path / "vendors" / "acme" / "state.json").write_text('{"slug": "acme", "polls_completed": 2}')
