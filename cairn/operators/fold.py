@@ -77,9 +77,8 @@ def urls(entries: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
 
 def products(rows: DataFrame, keys: list[str], name: str, content: list[str], seq: str = "seq", pos: str = "pos") -> DataFrame:
     """Union of the products of all runs: newest content, first-seen place; one run alone passes through with its repeats."""
-    runs = rows.groupBy(*keys).agg(F.count_distinct(seq).alias("_runs"))
-    at = F.struct(seq, pos)
-    marked = rows.join(runs, keys).withColumn("_own", F.when(F.col("_runs") == 1, F.col(pos)))
+    at, all_runs = F.struct(seq, pos), Window.partitionBy(*keys)
+    marked = rows.withColumn("_own", F.when(F.min(seq).over(all_runs) == F.max(seq).over(all_runs), F.col(pos)))  # grouped by the same keys below: one shuffle
     body = F.struct(*content)
     out = marked.groupBy(*keys, name, "_own").agg(F.max_by(body, at).alias("b"), F.min(at).alias("_first"))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_first"))

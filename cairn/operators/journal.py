@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running
+
 
 def failure_window(rows: DataFrame, key: list[str], order: list[Column], failed: Column, n: int = 5) -> DataFrame:
     """``rows`` with stop: this and the n - 1 before it all failed."""
@@ -13,9 +15,8 @@ def failure_window(rows: DataFrame, key: list[str], order: list[Column], failed:
 
 
 def cumulative(rows: DataFrame, key: list[str], order: list[Column], cost: Column, cap: Column) -> DataFrame:
-    """``rows`` with running (cost so far) and capped (the cap is reached here or before)."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("running", F.sum(cost).over(w)).withColumn("capped", F.col("running") >= cap)
+    """``rows`` with running (cost so far) and capped (the cap is reached here or before); ``order`` must not tie."""
+    return running(rows, key, order, {"running": cost}).withColumn("capped", F.col("running") >= cap)
 
 
 def remaining_time(passes: DataFrame, key: list[str], order: list[Column], seconds: str, budget: float) -> DataFrame:
@@ -78,3 +79,8 @@ def error_class(message: Column) -> Column:
     low = F.lower(message)
     has = lambda texts: low.rlike("|".join(texts))
     return F.when(has(BALANCE_ERRORS), "balance").when(has(AUTH_ERRORS), "auth").otherwise("transient")
+
+
+def stored_message(message: Column, known: Column) -> Column:
+    """An error's text as the journal keeps it: the first 2,000 characters of a known kind, 500 of any other."""
+    return F.left(message, F.when(F.coalesce(known, F.lit(False)), 2000).otherwise(500))

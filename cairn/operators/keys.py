@@ -5,31 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import rank, running
+
 
 def stable_ids(existing: DataFrame, current: DataFrame, group: list[str], key: str, order: list[Column], first: int = 1) -> DataFrame:
     """``current`` with id: kept where the key had one, else numbered on from the group's highest kept id.
 
-    ``existing`` has group, key and id; keys no longer current lose theirs. Ranks run inside a group.
+    ``existing`` has group, key and id; keys no longer current lose theirs. New keys are ranked over range partitions,
+    so a group may hold any share of the rows; ``order`` must not tie.
     """
-    kept = current.join(existing.select(*group, key, "id"), [*group, key], "left")
-    w = Window.partitionBy(*group)
-    top = F.coalesce(F.max("id").over(w), F.lit(first - 1))
-    new = F.row_number().over(Window.partitionBy(*group, F.col("id").isNull()).orderBy(*order))
-    return kept.withColumn("_id", F.when(F.col("id").isNull(), top + new).otherwise(F.col("id"))).drop("id").withColumnRenamed("_id", "id")
+    joined = current.join(existing.select(*group, key, "id"), [*group, key], "left")
+    top = joined.groupBy(*group).agg(F.max("id").alias("_top")).where("_top IS NOT NULL")
+    new = rank(joined.where("id IS NULL"), group, order, "_rank").join(top, group, "left")
+    new = new.withColumn("id", F.coalesce("_top", F.lit(first - 1)) + F.col("_rank")).select(*joined.columns)
+    return joined.where("id IS NOT NULL").unionByName(new)
 
 
 def gap_serials(used: DataFrame, new: DataFrame, group: str, order: list[Column]) -> DataFrame:
     """``new`` with serial: the n-th new row of a group gets its n-th smallest unused positive integer.
 
     Below the i-th used serial u lie u - i free ones, so the n-th free one is n and the number of used serials with
-    u - i < n: a running count over both in one order. No candidates are made.
+    u - i < n: a running count over both in one order. No candidates are made, and ranks run over range partitions.
+    ``order`` must not tie.
     """
     once = used.select(group, F.col("serial").cast("long").alias("_u")).where("_u > 0").distinct()
-    taken = once.withColumn("_at", F.col("_u") - F.row_number().over(Window.partitionBy(group).orderBy("_u")))
-    nth = new.withColumn("_at", F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
-    both = nth.withColumn("_taken", F.lit(0)).unionByName(taken.select(group, "_at", F.lit(1).alias("_taken")), allowMissingColumns=True)
-    before = F.sum("_taken").over(Window.partitionBy(group).orderBy("_at", "_taken").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn("serial", F.col("_at") + before).where("_taken = 0").drop("_at", "_taken")
+    taken = rank(once, [group], [F.col("_u")], "_i").select(group, (F.col("_u") - F.col("_i")).alias("_at"), F.lit(1).alias("_taken"), F.col("_u").alias("_nr"))
+    nth = rank(new, [group], order, "_at").withColumn("_taken", F.lit(0)).withColumn("_nr", F.lit(0).cast("long"))
+    both = nth.unionByName(taken, allowMissingColumns=True)
+    counted = running(both, [group], [F.col("_at"), F.col("_taken"), F.col("_nr")], {"_before": F.col("_taken").cast("long")})
+    return counted.where("_taken = 0").withColumn("serial", F.col("_at") + F.col("_before")).select(*new.columns, "serial")
 
 
 def designation(letter: Column, serial: Column) -> Column:

@@ -76,3 +76,13 @@ def url_totals(rows: DataFrame, urls: str, *keys: str) -> DataFrame:
     """The most URLs that one row has, and all of theirs together; by ``keys``, or over the whole table."""
     n = F.coalesce(F.size(urls), F.lit(0))
     return rows.groupBy(*keys).agg(F.max(n).alias("most"), F.sum(n).alias("total"))
+
+
+def sketches(rows: DataFrame, key: list[str], value: str, precision: int = 14) -> DataFrame:
+    """A HyperLogLog sketch of ``value`` for each key, some kilobytes: runs are counted once and merged later without a rescan."""
+    return rows.groupBy(*key).agg(F.hll_sketch_agg(value, precision).alias("sketch"))
+
+
+def distinct_of(sketched: DataFrame, key: list[str]) -> DataFrame:
+    """The distinct values that the sketches of a key have together, within one or two per cent."""
+    return sketched.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))

@@ -16,7 +16,7 @@ def _citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def citation_hydrate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cite.hydrate(_citations(spark, sf_dir), table(spark, sf_dir, "documents").where("doc_id % 11 <> 0").select("doc_id", "text"), ["doc_id"])
+    return cite.hydrate(_citations(spark, sf_dir), table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("text")).alias("text")), ["doc_id"])
 
 
 def citation_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +28,10 @@ def citation_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def citation_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 3).alias("run_id"), F.lit(1).alias("target_id"), t.resource_id(F.col("o_custkey")).alias("resource_id"))
-    c = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0")
-    id_to_url = c.select(F.explode(F.array(*[F.lit(k).cast("long") for k in range(3)])).alias("run_id"), t.resource_id(F.col("c_custkey")).alias("resource_id"), F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
-    url_to_id = c.where("c_custkey % 5 <> 0").select(F.lit(1).alias("target_id"), F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).otherwise(F.col("c_custkey") + 1).alias("canonical_id"))
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    url = F.when(k % 7 != 0, F.concat(F.lit("u"), k.cast("string")))
+    id_to_url = c.select(F.explode(F.array(*[F.lit(k).cast("long") for k in range(3)])).alias("run_id"), t.resource_id(k).alias("resource_id"), url.alias("url"))
+    url_to_id = c.select(F.lit(1).alias("target_id"), url.alias("url"), F.when(k % 5 != 0, k + k % 2).alias("canonical_id"))
     return cite.remap(o, id_to_url, url_to_id, ["run_id"], ["target_id"]).select("o_orderkey", "resource_id", "url", "new_id", "outcome")
 
 
@@ -40,7 +41,7 @@ def remap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("url"), (F.col("o_orderkey") % 2 == 0).alias("in_corpus_index"))
-    i = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("url"), F.when(F.col("c_nationkey") < 10, "fetched").otherwise("skipped_budget").alias("status"))
+    i = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("url"), F.when(F.col("c_nationkey") < 10, "fetched").otherwise("skipped_budget").alias("status"))
     return cite.request_violations(r, i, []).select("o_orderkey", "violation")
 
 

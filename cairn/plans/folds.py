@@ -66,7 +66,7 @@ def provenance_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    old = c.where("c_custkey % 3 = 0").select("c_nationkey", "c_custkey", (F.col("c_custkey") / 3).cast("int").alias("id"))
+    old = c.select("c_nationkey", "c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") / 3).cast("int").alias("id"))
     now = c.where("c_custkey % 5 <> 0").select("c_nationkey", "c_custkey", "c_acctbal")
     return keys.stable_ids(old, now, ["c_nationkey"], "c_custkey", [F.col("c_acctbal").desc(), F.col("c_custkey")]).select("c_nationkey", "c_custkey", F.col("id").cast("int").alias("id"))
 

@@ -37,7 +37,7 @@ def seen_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("event_type <> 'view'").withColumn("date", F.when(F.col("event_id") % 13 != 0, F.to_date("ts")))
+    e = table(spark, sf_dir, "events").withColumn("date", F.when(F.col("event_id") % 13 != 0, F.to_date("ts")))
     return news.recent(e, _as_of(), 10).groupBy("date", "event_type").agg(F.count("*").alias("items"), F.count_distinct("user_id").alias("users"), F.max("event_id").alias("last")).orderBy(F.desc("date"), F.desc("event_type"))
 
 
@@ -105,7 +105,7 @@ u AS (SELECT k, coalesce({', '.join(_form_sql(k) for k in range(4))}) AS date, r
 SELECT event_id, date, title FROM events JOIN u ON k = event_id % {len(TEXTS)}""",
     "news_delta": "SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1 AS is_new FROM events",
     "seen_set": "SELECT event_id, NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = e.user_id AND s.event_type = e.event_type AND s.ts < TIMESTAMP '2024-01-03') AS is_new FROM events e WHERE ts >= TIMESTAMP '2024-01-03'",
-    "news_digest": f"SELECT ts::DATE AS date, event_type, count(*) AS items, count(DISTINCT user_id) AS users, max(event_id) AS last FROM events WHERE event_type <> 'view' AND event_id % 13 <> 0 AND ts::DATE >= DATE '{AS_OF}' - 10 GROUP BY 1, 2",
+    "news_digest": f"SELECT ts::DATE AS date, event_type, count(*) AS items, count(DISTINCT user_id) AS users, max(event_id) AS last FROM events WHERE event_id % 13 <> 0 AND ts::DATE >= DATE '{AS_OF}' - 10 GROUP BY 1, 2",
     "news_bundle": """WITH r AS (SELECT u, arg_max(o_orderpriority, o_orderkey) AS x FROM (SELECT 'https://n/' || (o_custkey - o_custkey % 3) AS u, o_orderkey, o_orderpriority FROM orders
   UNION ALL SELECT 'https://n/' || (o_custkey - o_custkey % 3 + 1), o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0) GROUP BY u)
 SELECT o_orderkey, 'https://n/' || o_custkey || '/' AS url, '==== https://n/' || o_custkey || '/ ====' || chr(10) || coalesce(x, 'NOT MIRRORED') AS section FROM orders LEFT JOIN r ON u = 'https://n/' || o_custkey""",

@@ -52,7 +52,9 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.element_at(F.array(*[F.lit(x) for x in ("Your credit balance is too low", "HTTP 401 Unauthorized", "timeout", "BILLING issue: 403 forbidden", "invalid API key")]), (F.col("event_id") % 5 + 1).cast("int"))
-    return table(spark, sf_dir, "events").where("event_type = 'error'").groupBy(journal.error_class(m).alias("error_class")).agg(F.count("*").alias("n"))
+    e = table(spark, sf_dir, "events").select(journal.error_class(m).alias("error_class"), F.repeat(m, (F.col("event_id") % 97).cast("int")).alias("message"))
+    kept = F.length(journal.stored_message(F.col("message"), F.col("error_class") != "transient"))
+    return e.groupBy("error_class").agg(F.count("*").alias("n"), F.sum(kept).alias("chars"), F.max(kept).cast("long").alias("most"))
 
 
 def state_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +118,9 @@ ORACLES = {
     "remaining_work": """SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0 GROUP BY o_custkey
   HAVING max(CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'queued' END) IN ('done', 'failed'))""",
     "submissions": "SELECT user_id, arg_max(event_id, (ts, event_id)) FILTER (event_type <> 'error') AS submission, CASE WHEN bool_or(event_id % 97 = 0) THEN 'partial' WHEN bool_or(event_type <> 'error') THEN 'complete' END AS status FROM events GROUP BY user_id",
-    "error_classes": "SELECT CASE event_id % 5 WHEN 0 THEN 'balance' WHEN 1 THEN 'auth' WHEN 2 THEN 'transient' WHEN 3 THEN 'balance' ELSE 'auth' END AS error_class, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1",
+    "error_classes": """WITH m AS (SELECT CASE event_id % 5 WHEN 0 THEN 'balance' WHEN 1 THEN 'auth' WHEN 2 THEN 'transient' WHEN 3 THEN 'balance' ELSE 'auth' END AS error_class,
+  len(['Your credit balance is too low', 'HTTP 401 Unauthorized', 'timeout', 'BILLING issue: 403 forbidden', 'invalid API key'][event_id % 5 + 1]) * (event_id % 97) AS n FROM events),
+k AS (SELECT error_class, least(n, CASE error_class WHEN 'transient' THEN 500 ELSE 2000 END) AS c FROM m) SELECT error_class, count(*) AS n, sum(c)::BIGINT AS chars, max(c) AS most FROM k GROUP BY 1""",
     "state_summary": "SELECT CASE WHEN grouping(o_orderstatus) = 0 THEN 'o_orderstatus' WHEN grouping(o_orderpriority) = 0 THEN 'o_orderpriority' ELSE 'all' END AS dimension, coalesce(o_orderstatus, o_orderpriority) AS value, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())",
     "canonical_quality": """WITH r AS (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'fetched' WHEN starts_with(o_orderpriority, '1') THEN 'failed' WHEN o_orderstatus = 'O' THEN 'queued' ELSE 'skipped_budget' END AS s, o_orderkey % 4 <> 0 AS h FROM orders),
 g AS (SELECT o_custkey, count(*) FILTER (s = 'fetched' AND h) AS html, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'skipped_budget') AS skipped FROM r GROUP BY 1)

@@ -51,3 +51,10 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return path
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: what follows does not compute it again, and lost executors do not matter."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -173,3 +173,23 @@ def pdf_texts(files: DataFrame) -> DataFrame:
     from ..functions.udfs import pdf_text
 
     return files.select("path", pdf_text(F.col("content")).alias("text"))
+
+
+def front_matter(df: DataFrame, ddl: str, text: str = "value") -> DataFrame:
+    """Markdown with front matter as typed columns, body and problem; the form is that of ``writers.front_matter``: one JSON value a line.
+
+    Keys that ``ddl`` has and a document has not are null. A document without front matter, with a line that is no
+    ``key: value``, with a value that is no JSON or one of another type than its column's, is set aside: problem says why,
+    its columns are null, and the text stays as body.
+    """
+    head, body = (F.regexp_extract(text, r"(?s)\A---\r?\n(.*?)\r?\n?---\r?\n(.*)\z", k) for k in (1, 2))
+    fenced = F.col(text).rlike(r"(?s)\A---\r?\n(?:.*?\r?\n)?---\r?\n")
+    lines = F.filter(F.split(head, r"\r?\n"), lambda x: F.trim(x) != "")
+    odd = F.filter(lines, lambda x: ~x.rlike(r"^[A-Za-z_]\w*:\s*\S"))
+    pairs = F.transform(lines, lambda x: F.concat(F.lit('"'), F.regexp_extract(x, r"^(\w+):", 1), F.lit('":'), F.regexp_replace(x, r"^\w+:", "")))
+    parsed = df.withColumn("_json", F.when(fenced & (F.size(odd) == 0), F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")))).withColumn("_odd", F.get(odd, F.lit(0)))
+    parsed = parsed.withColumn("_v", F.expr("try_parse_json(_json)")).withColumn("_row", F.from_json("_json", f"{ddl}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    problem = F.when(F.col(text).isNull() | ~fenced, "no front matter").when(F.col("_odd").isNotNull(), F.concat(F.lit("not key: value: "), F.col("_odd"))).when(F.col("_v").isNull(), "not JSON").when(F.col(f"_row.{CORRUPT}").isNotNull(), "wrong type")
+    names = [f.name for f in parsed.schema["_row"].dataType.fields if f.name != CORRUPT]
+    parsed = parsed.withColumn("problem", problem)
+    return parsed.select(*[c for c in df.columns if c != text], *[F.when(F.col("problem").isNull(), F.col("_row")[n]).alias(n) for n in names], F.when(F.col("problem").isNull(), body).otherwise(F.col(text)).alias("body"), "problem")

@@ -345,3 +345,43 @@ def test_priorities_and_profiles(spark):
     full = subs.select("target_id", *[F.lit(x).alias(x) for x in documents.PROFILE_FIELDS])
     assert documents.profiles(full, about).columns == ["target_id", "run_id", "display_name", "homepage_url", "corpus_root", *documents.PROFILE_FIELDS, "meta"]
     assert documents.catalogs(full, about).first().status == "status"
+
+
+def test_running_sums_over_ranges(spark):
+    """One group holds most rows, in many ranges; null groups, null values and ties in all but the last order column."""
+    from pyspark.sql import Window
+
+    from cairn.operators import ordered
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["hot"] * 8 + ["b", None]), rng.randrange(50), k, rng.choice([1, 2, 5, None])) for k in range(5000)]
+    df = spark.createDataFrame(rows, "g string, a int, nr int, v long").repartition(7)
+    order = [F.desc("a"), F.col("nr")]
+    got = ordered.running(df, ["g"], order, {"total": F.col("v"), "n": F.lit(1).cast("long")})
+    w = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("total", F.coalesce(F.sum("v").over(w), F.lit(0))).withColumn("n", F.count("*").over(w))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert ordered.rank(df.limit(0), ["g"], order).collect() == [] and ordered.rank(df, ["g", "a"], [F.col("nr")]).where("rank = 1").count() == df.select("g", "a").distinct().count()
+
+
+def test_hot_letter_is_many_ranges(spark):
+    from cairn.operators import ordered
+
+    df = spark.range(20_000).select(F.lit("A").alias("letter"), F.col("id"))
+    got = ordered.rank(df, ["letter"], [F.desc("id")])
+    assert got.where("rank + id <> 20000").count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan and got.select("letter").distinct().count() == 1
+
+
+def test_stored_messages(spark):
+    df = spark.createDataFrame([("x" * 3000, True), ("x" * 3000, False), ("é" * 600, None), ("short", True), (None, False)], "m string, known boolean")
+    assert [r.n for r in df.select(F.length(journal.stored_message(F.col("m"), F.col("known"))).alias("n")).collect()] == [2000, 500, 500, 5, None]
+
+
+def test_sketches_merge(spark):
+    df = spark.range(60_000).select((F.col("id") % 6).alias("run"), (F.col("id") * 7 % 40_000).alias("v"))
+    by_run = quality.sketches(df, ["run"], "v")
+    got = quality.distinct_of(by_run.withColumn("all", F.lit(1)), ["all"]).first().distinct
+    exact = df.select("v").distinct().count()
+    assert abs(got - exact) <= 0.02 * exact and by_run.count() == 6

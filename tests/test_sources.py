@@ -171,3 +171,22 @@ def test_shared_folder_is_asked_for_on_a_cluster(spark):
         with pytest.raises(ValueError, match="share"):
             of(master, None)
     assert "/cairn-" in scratch_path(spark, "x")
+
+
+def test_front_matter_comes_back(spark):
+    ddl = "designation string, names array<string>, year int, product struct<name:string,n:int>, ok boolean"
+    rows = [("A.0042", ['say "hi"', "a: b", "line\nbreak", "é – ü"], 1999, ("x: y", 2), True), ("B", [], None, None, False), ("---", ["---"], 0, (None, None), None)]
+    df = spark.createDataFrame(rows, ddl)
+    text = df.select(writers.front_matter(df, F.concat(F.lit("# Head\n---\nbody of "), "designation")).alias("value"))
+    got = readers.front_matter(text, ddl).collect()
+    plain = lambda r: (r.designation, list(r.names or []), r.year, r.product and (r.product.name, r.product.n), r.ok)
+    want = [(d, n, y, p if p != (None, None) else r.product and (None, None), o) for (d, n, y, p, o), r in zip(rows, got, strict=True)]
+    assert [plain(r) for r in got] == want
+    assert [r.body for r in got] == [f"# Head\n---\nbody of {r[0]}" for r in rows] and all(r.problem is None for r in got)
+
+
+def test_broken_front_matter_is_set_aside(spark):
+    texts = ["no fence", "---\nyear: 1\nstray line\n---\nx", "---\nyear: {1\n---\nx", '---\nyear: "a"\n---\nx', "---\nyear: 7\nmore: 1\n---\nbody", "---\n---\nempty", None, '---\r\nyear: 8\r\n---\r\nwin']
+    got = readers.front_matter(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, value string"), "year int, name string").orderBy("k").collect()
+    assert [r.problem for r in got] == ["no front matter", "not key: value: stray line", "not JSON", "wrong type", None, None, "no front matter", None]
+    assert [r.year for r in got] == [None, None, None, None, 7, None, None, 8] and got[4].body == "body" and got[5].body == "empty" and got[0].body == "no fence" and got[7].body == "win"

@@ -208,3 +208,46 @@ def test_windows_close_and_late_rows_are_dropped(spark, tmp_path):
     q = g.writeStream.outputMode("append").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).foreachBatch(lambda b, _: got.extend(b.collect())).start()
     q.awaitTermination()
     assert sorted((r.window.start.hour, r.n) for r in got) == [(0, 2), (2, 3)] and runs.late_rows(q) == 1
+
+
+def test_polls_commit_as_one(spark, tmp_path):
+    from cairn.streaming import poll
+
+    path, ddl = f"{tmp_path}/news", "slug string, url string, date date"
+    rows = lambda xs: spark.createDataFrame([(s, u, __import__("datetime").date(2024, 1, d)) for s, u, d in xs], ddl)
+    run = poll.sink(path, lambda k: f"2024-02-0{k + 1}")
+    tables = lambda: {n: sorted(map(str, poll.read(spark, path, n).collect())) for n in poll.TABLES}
+    assert poll.committed(spark, path) == [] and all(not v for v in tables().values())
+    run(rows([("a", "u1", 1), ("a", "u2", 2), ("a", "u1", 3), ("b", "u1", 1)]), 0)
+    run(rows([("a", "u2", 2), ("a", "u3", 9), (None, "x", 1)]), 1)
+    before = tables()
+    assert [(r.slug, r.url, r.is_new, r.place, str(r.first_seen_at)[:10]) for r in poll.read(spark, path, "items").where("poll = 1").orderBy("place").collect()] == [("a", "u3", True, 1, "2024-02-02"), ("a", "u2", False, 2, "2024-02-01")]
+    assert {(r.slug, r.seen, r.polls_completed) for r in poll.state(spark, path).collect()} == {("a", 3, 2), ("b", 1, 1)}
+    for k, batch in ((1, [("a", "u2", 2), ("a", "u3", 9)]), (0, [("a", "u1", 1), ("a", "u2", 2), ("a", "u1", 3), ("b", "u1", 1)])):
+        run(rows(batch), k)  # a poll that runs again changes nothing
+        assert tables() == before
+
+    class Dies(Exception):
+        pass
+
+    def dead(k):
+        raise Dies
+
+    with pytest.raises(Dies):
+        poll.sink(path, dead)(rows([("a", "u9", 9)]), 2)
+    rows([("a", "u9", 9)]).selectExpr("slug", "url", "timestamp'2024-03-01' AS first_seen_at").write.parquet(f"{path}/seen/poll=2")  # a poll that died half way
+    assert tables() == before
+    run(rows([("a", "u9", 9)]), 2)
+    assert poll.read(spark, path, "items").where("poll = 2").first().is_new and poll.committed(spark, path) == [0, 1, 2]
+
+
+def test_polls_as_a_stream(spark, tmp_path):
+    from cairn.streaming import poll
+
+    src = f"{tmp_path}/in"
+    for k in range(3):
+        spark.range(40).selectExpr("concat('v', id % 4) AS slug", f"concat('u', id % {10 + 5 * k}) AS url", "date'2024-01-01' AS date").coalesce(1).write.parquet(f"{src}/p{k}")
+    s = spark.readStream.schema("slug string, url string, date date").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src)
+    delta.run_available(s, f"{tmp_path}/cp", poll.sink(f"{tmp_path}/news", lambda k: f"2024-02-{k + 1:02d}"))
+    seen = poll.read(spark, f"{tmp_path}/news", "seen")
+    assert seen.count() == seen.select("slug", "url").distinct().count() == spark.read.option("recursiveFileLookup", True).parquet(src).select("slug", "url").distinct().count()
