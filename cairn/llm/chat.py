@@ -51,9 +51,10 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     empty result. However many turns there are, a part holds only those that share its numbers.
     """
     t = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), F.floor(F.col("turn") / part_turns).cast("long").alias("part"))
-    views = t.join(_views(t), F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("part").eqNullSafe(F.col("_t")))
     order = F.struct(F.col("turn").isNull().alias("late"), "turn", F.col("role").isNull().alias("anon"), "role", F.col("text").isNull().alias("mute"), "text")
-    one = views.groupBy("conv_id", "perspective", "part", "char_offset").agg(F.sort_array(F.collect_list(order)).alias("turns"))
+    # Turns are gathered once; each perspective then takes them where they are.
+    gathered = t.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(order)).alias("turns"))
+    one = gathered.join(_views(t), F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("part").eqNullSafe(F.col("_t"))).drop("_c", "_t")
 
     def line(x: Column) -> Column:
         own = x["role"].eqNullSafe(F.col("perspective"))

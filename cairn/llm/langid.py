@@ -20,6 +20,8 @@ DIMS_LOG2 = 15
 DIMS = 1 << DIMS_LOG2
 ORDERS = (1, 2, 3)
 ALPHA = 0.1
+#: Languages that are learned, 200 kB each where broadcast, and that a task counts at once.
+MOST_LANGS, TASK_LANGS = 512, 64
 MODULUS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -46,29 +48,41 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """(lang, feature, n) of the task's texts; feature -1 counts documents."""
     counts: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, row in counts.items():
+            at = np.flatnonzero(row)
+            cols = [pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(row[at], docs[lang]), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["lang", "feature", "n"])
+        counts.clear()
+        docs.clear()
+
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            docs[lang] = docs.get(lang, 0) + 1
             if lang not in counts:
-                counts[lang] = np.zeros(DIMS, np.int64)
+                if len(counts) >= TASK_LANGS:
+                    yield from rows()
+                counts[lang], docs[lang] = np.zeros(DIMS, np.int64), 0
+            docs[lang] += 1
             counts[lang] += np.bincount(features(text.as_py() or ""), minlength=DIMS)
-    for lang, row in counts.items():
-        at = np.flatnonzero(row)
-        cols = [pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(row[at], docs[lang]), pa.int64())]
-        yield pa.RecordBatch.from_arrays(cols, ["lang", "feature", "n"])
+    yield from rows()
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages in order, log priors, and the (DIMS, languages) log probabilities, from all documents that are not held out and have a lang."""
+    """Languages in order, log priors, and the (DIMS, languages) log probabilities, from all documents that are not held out and have a lang.
+
+    The MOST_LANGS values of most documents are learned, ties by name; this bounds the matrix where lang is dirty.
+    """
     rows = docs.where(F.col("lang").isNotNull() & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT)).select("lang", "text")
     sums = stored(rows.mapInArrow(_count_batches, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")), "lang-counts")
-    langs = sorted(r[0] for r in sums.select("lang").distinct().collect())
+    langs = sorted(r.lang for r in sums.where("feature = -1").orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect())
+    place = {lang: k for k, lang in enumerate(langs)}
     table = np.full((DIMS, len(langs)), ALPHA)
     prior = np.ones(len(langs))
     # At most languages x (DIMS + 1) rows.
-    for batch in sums.toArrow().to_batches():
+    for batch in sums.where(F.col("lang").isin(langs)).toArrow().to_batches():
         lang, feature, n = (batch.column(k) for k in range(3))
-        col = np.array([langs.index(x) for x in lang.to_pylist()], np.int64)
+        col = np.array([place[x] for x in lang.to_pylist()], np.int64)
         f, n = feature.to_numpy(), n.to_numpy()
         real = f >= 0
         table[f[real], col[real]] += n[real]
@@ -102,8 +116,8 @@ def _score_batches(model):
 def predict(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score (posterior of lang_pred) for every row of ``docs``.
 
-    Only doc_id's checksum decides who is held out; lang, source and doc_id are never inputs of a prediction. Null
-    texts, texts without a letter, and all texts where nothing was learned get ``und`` and 0. A null doc_id is not held
+    Only doc_id's checksum decides who is held out; lang, source and doc_id are never inputs of a prediction. Of more than
+    MOST_LANGS values of lang the rarest are not learned. Null texts, texts without a letter, and all texts where nothing was learned get ``und`` and 0. A null doc_id is not held
     out. Ties go to the language first in order; repeated rows get equal predictions.
     """
     spark = docs.sparkSession

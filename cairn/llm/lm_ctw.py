@@ -284,7 +284,7 @@ def _score_batches(model):
         for b in batches:
             n = len(b)
             score, base = np.zeros(n), np.zeros(n)
-            tokens, known, rare = np.zeros(n, np.int64), np.zeros(n, np.int64), []
+            tokens, known, sizes, rare = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), []
             held: list[np.ndarray] = []
             owner: list[int] = []
             seldom: list[list[np.ndarray]] = [[] for _ in range(n)]
@@ -308,7 +308,7 @@ def _score_batches(model):
                 ws = raw.lower().split()
                 found = list(map(get, ws))
                 hit = [x for x in found if x is not None]
-                tokens[k], known[k], base[k] = len(ws) + 1, len(hit), sum(hit)
+                tokens[k], known[k], base[k], sizes[k] = len(ws) + 1, len(hit), sum(hit), len(raw) + 1
                 rare.append([x for x, y in zip(ws, found, strict=True) if y is None] if len(hit) < len(found) else [])
                 for piece in pieces(raw):
                     held.append(grams(piece))
@@ -319,14 +319,16 @@ def _score_batches(model):
                         pending = 0
             if held:
                 flush()
-            cols = [b.column("id"), b.column("doc_id"), b.column("held_out"), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.binary())), pa.array([np.concatenate(x) if x else np.empty(0, np.int64) for x in seldom], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "seldom"])
+            cols = [b.column("id"), b.column("doc_id"), b.column("held_out"), pa.array(tokens), pa.array(known), pa.array(sizes), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.binary())), pa.array([np.concatenate(x) if x else np.empty(0, np.int64) for x in seldom], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "doc_id", "held_out", "n_tokens", "known", "n_bytes", "base", "score", "rare", "seldom"])
 
     return run
 
 
 def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for every row of ``docs``.
+
+    bits_per_byte is the code length of a text under the model, by its bytes and its end.
 
     A null text is empty: one token, the end. A null doc_id is not held out. Repeated rows count as often as they
     occur in training and get equal scores. Without training texts every token is unknown and every bit costs one bit.
@@ -353,7 +355,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", (remainder(F.col("doc_id"), MODULUS) == HELD_OUT).alias("held_out"), "text")
-    schema = f"id long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, seldom array<long>"
+    schema = f"id long, doc_id {kind}, held_out boolean, n_tokens long, known long, n_bytes long, base double, score double, rare array<binary>, seldom array<long>"
     scored = stored(rows.mapInArrow(_score_batches(model), schema), "lm-scored")
     model.destroy()
     rest = words.where(bucket < least)
@@ -364,7 +366,8 @@ def score(docs: DataFrame) -> DataFrame:
     grams_of = scored.select("id", F.explode("seldom").alias("gram"))
     rest_of = seen.where((F.col("n") == 0) | (bucket < bound)).select("gram", "s")
     per_gram = grams_of.join(rest_of, "gram").groupBy("id").agg(F.sum("s").alias("seldom_score"))
+    log_probability = F.col("score") + F.coalesce("seldom_score", F.lit(0.0))
     return scored.drop("rare", "seldom").join(per, "id", "left").join(per_gram, "id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(end)).alias("base_score"), (F.col("score") + F.coalesce("seldom_score", F.lit(0.0))).alias("score"),
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(end)).alias("base_score"), log_probability.alias("score"), (-log_probability * float(np.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

@@ -12,15 +12,15 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remainder, stored
 from .mixing import size_of
 
 PASSAGE_WORDS = 64
-#: The classifier is fitted on this many labelled documents at most, those with the smallest hash, and of these on the first
-#: that have so many passages together. This bounds what the driver holds, whatever the length of the texts.
+#: The classifier is fitted on this many labelled documents at most, those with the smallest hash, and of these on those
+#: that fit, in that order, into so many passages together. This bounds what the driver holds, whatever the length of the texts.
 TRAIN_DOCS, TRAIN_PASSAGES = 4096, 200_000
 HIDDEN, GATE, EPOCHS, RATE, DECAY = 32, 16, 250, 0.01, 1e-4
 MODULUS, HELD_OUT = 4, 2
@@ -133,24 +133,36 @@ def fit(bags: list[np.ndarray], y: np.ndarray) -> Model:
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of each text, and how many; a text of more passages than the sample may have leaves none."""
     for b in batches:
         for at in range(0, len(b), 64):
             part = b.slice(at, 64)
-            bags = [passages(t.as_py()).tobytes() for t in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("order"), part.column("quality"), pa.array(bags, pa.large_binary())], ["order", "quality", "bag"])
+            n = [max(1, -(-k // PASSAGE_WORDS)) for k in part.column("words").to_pylist()]
+            bags = [passages(t.as_py()).tobytes() if k <= TRAIN_PASSAGES else None for t, k in zip(part.column("text"), n, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("order"), part.column("quality"), pa.array(n, pa.int64()), pa.array(bags, pa.large_binary())], ["order", "quality", "n", "bag"])
+
+
+def fitting(sizes: list[int], most: int) -> list[int]:
+    """Which of the sizes are taken, in order, while they fit: one that does not is passed over, and those after it may still fit."""
+    taken, left = [], most
+    for k, n in enumerate(sizes):
+        if n <= left:
+            taken.append(k)
+            left -= n
+    return taken
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
-    """Fit on at most ``limit`` labelled documents that are not held out; which ones depends on their hash alone."""
+    """Fit on at most ``limit`` labelled documents that are not held out; which ones depends on their hash alone, and on whether they fit."""
     own = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT))
-    chosen = stored(own.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit), "mil-labels")
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.xxhash64("doc_id", "text").alias("order"), F.col("quality").cast("int").alias("quality"), F.ceil(F.greatest(size_of(F.col("text")), F.lit(1)) / PASSAGE_WORDS).alias("n"), "text")
-    # Sizes first, texts after: repeated doc_ids could make the join larger than the sample, and long texts the passages. The running sum goes over ``limit`` rows at most.
-    sizes = stored(rows.select("order", "quality", "n").distinct().orderBy("order", "quality").limit(limit), "mil-sizes")
-    upto = F.sum("n").over(Window.orderBy("order", "quality").rowsBetween(Window.unboundedPreceding, 0))
-    fitted = stored(sizes.withColumn("upto", upto).where(F.col("upto") <= TRAIN_PASSAGES).drop("upto"), "mil-fit")
-    texts = rows.join(fitted, ["order", "quality", "n"]).dropDuplicates(["order", "quality"]).select("order", "quality", "text")
-    got = texts.mapInArrow(_feature_batches, "order long, quality int, bag binary").orderBy("order", "quality").toArrow()
+    chosen = F.broadcast(stored(own.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit), "mil-labels"))  # ``limit`` rows at most
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.xxhash64("doc_id", "text").alias("order"), F.col("quality").cast("int").alias("quality"), size_of(F.col("text")).alias("words"), "text")
+    bags = stored(rows.mapInArrow(_feature_batches, "order long, quality int, n long, bag binary"), "mil-bags")
+    # Repeated doc_ids could make the join larger than the sample, and long texts the passages: sizes first, ``limit`` rows at most.
+    sizes = bags.select("order", "quality", "n").distinct().orderBy("order", "quality").limit(limit).collect()
+    taken = [tuple(sizes[k]) for k in fitting([r.n for r in sizes], TRAIN_PASSAGES)]
+    picked = F.broadcast(docs.sparkSession.createDataFrame(taken, "order long, quality int, n long"))
+    got = bags.join(picked, ["order", "quality", "n"]).dropDuplicates(["order", "quality"]).select("order", "quality", "bag").orderBy("order", "quality").toArrow()
     return fit([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in got.column("bag").to_pylist()], got.column("quality").to_numpy().astype(np.float64))
 
 

@@ -90,6 +90,16 @@ def test_quality_sample_is_bounded_by_passages(spark, docs, labels, monkeypatch)
     assert len(scored) == 3 and all(0 <= r.score <= 1 for r in scored)
 
 
+def test_long_texts_do_not_end_the_sample(spark, docs, labels, monkeypatch):
+    """With a bound of forty passages all labelled texts that fit are used, wherever a long one stands among them."""
+    assert quality_mil.fitting([3, 50, 4, 40, 1, 30], 40) == [0, 2, 4, 5] and quality_mil.fitting([], 5) == quality_mil.fitting([6, 7], 5) == []
+    monkeypatch.setattr(quality_mil, "TRAIN_PASSAGES", 40)
+    sizes = []
+    monkeypatch.setattr(quality_mil, "fit", lambda bags, y: (sizes.extend(map(len, bags)), quality_mil.Model(np.zeros(quality_mil.FEATURES), np.ones(quality_mil.FEATURES)))[1])
+    quality_mil.train(docs, labels)
+    assert 30 < sum(sizes) <= 40 and len(sizes) > 5
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     x, starts, y = rng.normal(size=(7, quality_mil.FEATURES)), np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0])
@@ -128,6 +138,20 @@ def test_language_counts_are_whole(spark):
         assert np.allclose(table[:, c], np.log(want / want.sum()), atol=1e-4) and math.isclose(np.exp(prior[c]), (seen[x] + 1) / (sum(seen.values()) + 2))
 
 
+def test_many_languages(spark, monkeypatch):
+    """Dirty values of lang: the most frequent are learned, whatever a task counts at once."""
+    rows = [(k, f"text of words {k % 7}", f"l{k % 40:02d}" if k % 3 else "en") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = langid.train(df)
+    monkeypatch.setattr(langid, "TASK_LANGS", 2)
+    parts = langid.train(df)
+    assert whole[0] == parts[0] and np.array_equal(whole[2], parts[2]) and len(whole[0]) > 30
+    monkeypatch.setattr(langid, "MOST_LANGS", 3)
+    few = langid.train(df)
+    assert len(few[0]) == 3 and "en" in few[0] and few[2].shape == (langid.DIMS, 3)
+    assert {r.lang_pred for r in langid.predict(df).collect()} <= set(few[0])
+
+
 def language_by_hand(texts, text):
     """The posterior of each language by the definition: counts of hashed n-grams, smoothed, for one text."""
     counts, seen = defaultdict(Counter), Counter()
@@ -205,6 +229,7 @@ def test_lm_against_its_definition(spark):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(k, 7, 2), len(ws) + 1, sum(count[w] > 0 for w in ws) + 1, total)
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
         assert math.isclose(r.score, ctw(t or "", train), rel_tol=1e-8)
+        assert math.isclose(r.bits_per_byte * (len((t or "").encode()) + 1), -r.score / math.log10(2), rel_tol=1e-9)
 
 
 def test_lm_probabilities_sum_to_one(spark):
