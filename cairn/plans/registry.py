@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalog, documents, evidence, extras, folds, news, runs, streams, urls
+from . import catalog, documents, evidence, extras, folds, news, records, runs, streams, urls
 
-_PLANS = (urls, folds, evidence, catalog, news, runs, documents, streams, extras)
+_PLANS = (urls, folds, evidence, catalog, news, runs, documents, streams, records, extras)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

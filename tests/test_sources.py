@@ -190,3 +190,40 @@ def test_broken_front_matter_is_set_aside(spark):
     got = readers.front_matter(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, value string"), "year int, name string").orderBy("k").collect()
     assert [r.problem for r in got] == ["no front matter", "not key: value: stray line", "not JSON", "wrong type", None, None, "no front matter", None]
     assert [r.year for r in got] == [None, None, None, None, 7, None, None, 8] and got[4].body == "body" and got[5].body == "empty" and got[0].body == "no fence" and got[7].body == "win"
+
+
+def test_archive_snapshots(spark, tmp_path):
+    import hashlib
+    import os
+    import subprocess
+
+    from cairn.sources import archive
+
+    spark.dataSource.register(archive.TarArchive)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    path = str(tmp_path / "snapshots")
+    df = spark.range(100).select(F.concat(F.lit("runs/r"), F.col("id") % 3, F.lit("/f"), F.col("id")).alias("path"), F.encode(F.repeat(F.lit("é"), F.col("id").cast("int")), "utf-8").alias("content")).repartition(3)
+    write = lambda d, name: d.write.format("tar_archive").option("path", path).option("snapshot", name).mode("append").save()
+    assert archive.latest(path) is None
+    for name in ("s1", "s2"):
+        write(df, name)
+        manifest = json.load(open(f"{path}/{name}/manifest.json"))
+        assert archive.latest(path) == name and manifest["file_count"] == 100 and len(manifest["shards"]) == 3
+    for s in manifest["shards"]:  # plain tar opens a shard, and its digest is that of the manifest
+        raw = open(f"{path}/s2/{s['filename']}", "rb").read()
+        assert hashlib.sha256(raw).hexdigest() == s["sha256"] and len(raw) == s["bytes"]
+        assert subprocess.run(["tar", "tzf", f"{path}/s2/{s['filename']}"], capture_output=True, text=True, check=True).stdout.count("\n") == s["file_count"]
+    r = lambda: spark.read.format("tar_archive").option("path", path).load()
+    plain = lambda d: sorted((x.path, bytes(x.content)) for x in d.select("path", "content").collect())
+    assert plain(r().where("snapshot = 's1'")) == plain(df) and r().count() == 200 and r().where("snapshot = 'none'").count() == 0
+    assert plain(r().where("snapshot IN ('s2', 'x') AND path LIKE 'runs/r1/%'")) == plain(df.where("path LIKE 'runs/r1/%'"))
+    reader = archive.ArchiveReader(path)
+    from pyspark.sql.datasource import EqualTo
+
+    assert list(reader.pushFilters([EqualTo(("snapshot",), "s2"), EqualTo(("shard",), "x")])) == [EqualTo(("shard",), "x")] and {p.snapshot for p in reader.partitions()} == {"s2"}
+    with pytest.raises(Exception, match="there already"):
+        write(df, "s1")
+    bad = df.withColumn("path", F.when(F.col("path").endswith("7"), F.raise_error(F.lit("a task dies"))).otherwise(F.col("path")))
+    with pytest.raises(Exception, match="a task dies"):
+        write(bad, "s3")
+    assert sorted(os.listdir(path)) == ["latest.json", "s1", "s2"] and archive.latest(path) == "s2" and plain(r().where("snapshot = 's1'")) == plain(df)
