@@ -32,7 +32,7 @@ def brute(docs, items):
                         if p == 0 and w[i : i + len(iw)] == iw:
                             hits.add(i)
                         continue
-                    for m in d.MASKS if len(iw) >= 60 else d.LIGHT:
+                    for m in d.MASKS if len(iw) >= 60 else d.LIGHT if len(iw) >= 15 else d.SHORT if len(iw) >= 7 else ['1' * len(iw)]:
                         if i + len(m) <= len(w) and p + len(m) <= len(iw) and all(c == "0" or w[i + k] == iw[p + k] for k, c in enumerate(m)):
                             hits.add(i - p)
             same = {k for at in hits for k in range(len(iw)) if 0 <= at + k < len(w) and w[at + k] == iw[k]}
@@ -117,3 +117,23 @@ def test_light_masks_find_short_items(spark):
         rows.append((k, "before " + " ".join(words_) + " after"))
     got = d.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert len(got) >= 194 and all(r.doc_id == r.item_id and r.matched_words == 12 for r in got)
+
+
+def test_short_items_are_found_at_every_length(spark):
+    """Items of 7 to 15 words with just 60 % of them left, in random places: nine in ten and more at each length; below 7 whole items alone."""
+    import math
+    import random
+
+    rng = random.Random(9)
+    items, rows = [], []
+    for n in range(3, 16):
+        for k in range(40):
+            words_ = [f"i{n}x{k}x{j}" for j in range(n)]
+            items.append((100 * n + k, " ".join(words_)))
+            if n >= 7 or k % 2:
+                for j in rng.sample(range(n), n - math.ceil(0.6 * n)):
+                    words_[j] = f"c{n}x{k}x{j}"
+            rows.append((100 * n + k, "words before it " + " ".join(words_) + " and after"))
+    got = d.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {n: sum(r.doc_id == r.item_id and r.doc_id // 100 == n for r in got) for n in range(3, 16)}
+    assert all(found[n] >= 36 for n in range(7, 16)) and all(found[n] == 20 for n in range(3, 7))
