@@ -43,6 +43,15 @@ def plan(pages: DataFrame) -> DataFrame:
     )
 
 
+def _name(page_id: Column) -> Column:
+    """An identifier that any text survives as: percent signs and pluses for what a header line could not hold; null is told from the text ``null``."""
+    return F.when(page_id.isNull(), F.lit("null")).otherwise(F.concat(F.lit("id:"), F.url_encode(page_id.cast("string"))))
+
+
+def _id_of(name: Column) -> Column:
+    return F.when(name.startswith("id:"), F.try_url_decode(F.substring(name, 4, F.length(name))))
+
+
 def _line(name: str, value: Column) -> Column:
     """One header line; control characters in the value become spaces."""
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), F.regexp_replace(value.cast("string"), r"[\x00-\x1F\x7F]", " "), F.lit("\r\n"))).otherwise(F.lit(""))
@@ -60,8 +69,8 @@ def records(planned: DataFrame, date: str, chunk_bytes: int = CHUNK_BYTES) -> Da
     data = F.substring(F.col("block"), (F.col("k") - 1) * chunk_bytes + 1, F.lit(chunk_bytes))
     rows = rows.withColumn("data", data)
     first, many = F.col("k") == 1, F.col("n_chunks") > 1
-    urn = F.concat(F.lit(f"<{URN}"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(">"))
-    own = F.when(first, urn).otherwise(F.concat(F.lit(f"<{URN}"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit("#"), F.col("k").cast("string"), F.lit(">")))
+    urn = F.concat(F.lit(f"<{URN}"), _name(F.col("page_id")), F.lit(">"))
+    own = F.when(first, urn).otherwise(F.concat(F.lit(f"<{URN}"), _name(F.col("page_id")), F.lit("#"), F.col("k").cast("string"), F.lit(">")))
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         _line("WARC-Type", F.when(first, F.col("record_type")).otherwise(F.lit("continuation"))),
@@ -72,7 +81,7 @@ def records(planned: DataFrame, date: str, chunk_bytes: int = CHUNK_BYTES) -> Da
         _line("WARC-Payload-Length", F.when(first, F.col("payload_bytes"))),
         _line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.sha1("data"))),
         _line("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit(f"<{URN}"), F.col("refers_to").cast("string"), F.lit(">")))),
+        _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit(f"<{URN}"), _name(F.col("refers_to")), F.lit(">")))),
         _line("WARC-Segment-Number", F.when(many, F.col("k"))),
         _line("WARC-Segment-Origin-ID", F.when(~first, urn)),
         _line("WARC-Segment-Total-Length", F.when(many & (F.col("k") == F.col("n_chunks")), F.col("payload_bytes"))),
@@ -203,7 +212,7 @@ def round_trip(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Write all pages to archives in the shared folder, read them back, and return one row per record.
 
     payload_bytes and payload_digest of a response come from the bytes read; those of a revisit, which has no block,
-    from its header. An empty table gives an empty result; a null page_id comes back as null.
+    from its header. An empty table gives an empty result; a null page_id comes back as null, any other as it was.
     """
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
@@ -212,10 +221,10 @@ def round_trip(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     revisit = F.col("record_type") == "revisit"
     kind = pages.schema["page_id"].dataType
     return got.select(
-        F.expr("nullif(record_id, 'null')").cast(kind).alias("page_id"),
+        _id_of(F.col("record_id")).cast(kind).alias("page_id"),
         F.when(revisit, F.col("payload_bytes")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
         F.when(revisit, F.col("payload_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"),
-        "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
+        "record_type", _id_of(F.col("refers_to")).cast(kind).alias("refers_to"),
         (F.col("chunk_no") + 1).alias("n_chunks"),
         (revisit | (F.col("digest_so_far") == F.col("payload_digest"))).alias("intact"),
     )

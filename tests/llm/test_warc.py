@@ -41,7 +41,7 @@ def test_chunks_give_payloads_back(spark, pages, tmp_path):
         assert len(r.data) <= 100
         whole[r.record_id] = whole.get(r.record_id, b"") + bytes(r.data)
         assert r.digest_so_far == hashlib.sha1(whole[r.record_id]).hexdigest() and r.bytes_so_far == len(whole[r.record_id])
-    assert whole["8"] == ("WARC/1.1\r\nWARC-Type: x\r\n\r\n" * 80).encode() and whole["1"] == b""
+    assert whole["id:8"] == ("WARC/1.1\r\nWARC-Type: x\r\n\r\n" * 80).encode() and whole["id:1"] == b""
 
 
 def test_files_are_plain_warc(pages, tmp_path):
@@ -107,3 +107,13 @@ def test_clashing_columns(spark, pages):
 
     more = pages.select("*", *[F.lit(k).alias(n) for k, n in enumerate("payload payload_bytes payload_digest winner n record_type refers_to block n_chunks k data".split())])
     assert sorted(map(str, warc.round_trip(more).collect())) == sorted(map(str, warc.round_trip(pages).collect()))
+
+
+def test_any_identifier_comes_back(spark):
+    ids = ["null", " blank ", "<a>", "id:1", "a#2", "é 100%+", "", None, "line\r\nbreak"]
+    same = "x" * 2000
+    df = spark.createDataFrame([(i, "u", f"page {k}" if k % 2 else same) for k, i in enumerate(ids)], "page_id string, url string, html string")
+    got = {r.page_id: r for r in warc.round_trip(df).collect()}
+    assert set(got) == set(ids) and all(r.intact for r in got.values())
+    winner = max(i for k, i in enumerate(ids) if k % 2 == 0 and i is not None)
+    assert all((r.record_type, r.refers_to) == (("response", None) if ids.index(i) % 2 or i == winner else ("revisit", winner)) for i, r in got.items())
