@@ -75,6 +75,13 @@ def urls(entries: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     )
 
 
+def with_resources(entries: DataFrame, resources: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """Crawl entries with resource, a struct of the resource of the same corpus that their resource_id names; of several with one id the last by ``pos``, null where there is none or the entry names none."""
+    body = [c for c in resources.columns if c not in (*keys, "resource_id", pos)]
+    last = resources.where("resource_id IS NOT NULL").groupBy(*keys, "resource_id").agg(F.max_by(F.struct(*body), pos).alias("resource"))
+    return entries.join(last, [*keys, "resource_id"], "left").select(*entries.columns, "resource")
+
+
 def products(rows: DataFrame, keys: list[str], name: str, content: list[str], seq: str = "seq", pos: str = "pos") -> DataFrame:
     """Union of the products of all runs: newest content, first-seen place; one run alone passes through with its repeats."""
     at, all_runs = F.struct(seq, pos), Window.partitionBy(*keys)

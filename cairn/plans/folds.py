@@ -90,7 +90,18 @@ def link_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.links(li.where("l_linenumber <= 2").unionByName(li), ["l_suppkey", "l_returnflag", "l_linestatus"])
 
 
-QUERIES = {f.__name__: f for f in (url_fold, answer_fold, best_status, product_union, request_dedupe, provenance_union, stable_ids, gap_serials, slug_collisions, link_union)}
+def entry_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as crawl entries of a customer's run of a year, and as the resources there, some ids twice; some entries name none."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    corpus = [F.col("o_custkey").alias("target_id"), F.year("o_orderdate").alias("run_id")]
+    rid = lambda n: F.concat(F.lit("resource-000"), (k % n).cast("string")).alias("resource_id")
+    entries = o.select(*corpus, k.alias("url"), F.when(k % 4 != 0, F.concat(F.lit("resource-000"), F.floor(k / 8 % 3).cast("string"))).alias("resource_id"))
+    resources = o.select(*corpus, rid(3), k.alias("pos"), F.col("o_totalprice").alias("chars"), F.col("o_orderstatus").alias("status"))
+    out = fold.with_resources(entries, resources, ["target_id", "run_id"])
+    return out.select("target_id", "run_id", "url", "resource_id", "resource.chars", "resource.status")
+
+
+QUERIES = {f.__name__: f for f in (url_fold, answer_fold, best_status, product_union, request_dedupe, provenance_union, stable_ids, gap_serials, slug_collisions, link_union, entry_resources)}
 
 _EVENTS = "e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events)"
 _LINES = "li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS pos FROM lineitem)"
@@ -128,5 +139,9 @@ f AS (SELECT l, s, row_number() OVER (PARTITION BY l ORDER BY s) AS k FROM (SELE
 SELECT c_custkey, n.l || '.' || lpad(s::VARCHAR, greatest(4, len(s::VARCHAR))::INTEGER, '0') AS designation FROM n JOIN f USING (l, k)""",
     "slug_collisions": """SELECT p_partkey, CASE WHEN rn > 1 THEN slug || '-' || lower(p_type) ELSE slug END AS slug FROM (
   SELECT p_partkey, p_type, lower(p_brand || '-' || p_size) AS slug, row_number() OVER (PARTITION BY lower(p_brand || '-' || p_size) ORDER BY p_partkey) AS rn FROM part)""",
+    "entry_resources": """WITH o AS (SELECT o_custkey AS target_id, year(o_orderdate)::INTEGER AS run_id, o_orderkey AS url, CASE WHEN o_orderkey % 4 <> 0 THEN 'resource-000' || floor(o_orderkey / 8.0 % 3)::INTEGER END AS resource_id,
+  'resource-000' || (o_orderkey % 3) AS own, o_totalprice AS chars, o_orderstatus AS status FROM orders),
+r AS (SELECT target_id, run_id, own AS resource_id, arg_max(chars, url) AS chars, arg_max(status, url) AS status FROM o GROUP BY ALL)
+SELECT o.target_id, o.run_id, o.url, o.resource_id, r.chars, r.status FROM o LEFT JOIN r ON r.target_id = o.target_id AND r.run_id = o.run_id AND r.resource_id = o.resource_id""",
     "link_union": "SELECT l_suppkey, l_returnflag, l_linestatus, min(l_orderkey) AS pos FROM lineitem GROUP BY ALL",
 }

@@ -119,6 +119,25 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.where("target_url IS NOT NULL").groupBy("page_id", "target_url").agg(F.count("*").alias("n"), F.bool_or(u.in_scope(F.col("target_url"), F.col("url"))).alias("in_scope"))
 
 
+#: What follows the addresses that pages link to, by a hash of the address itself: telling words in all places.
+TAILS = ("", "/products", "/product-page", "-news-2026-04-15", "/2025/13/1", "/2024/2/29/x", "/careers", "/contact", "/about-us", ".pdf", ".png", "/blog/page/2", "/privacy_policy", "/press-releases/", "/a-b-c-d-e-f", "/itar_compliance", "?y=1#news", "/resources/x", "/Category/News/y.html", "/news_bc_7", "//x//", "/de/")
+
+
+def links_told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All addresses that pages link to or have themselves, joined as they come from the tables, under every URL rule."""
+    p = table(spark, sf_dir, "pages")
+    hrefs = p.select("url", F.explode(F.regexp_extract_all("html", F.lit(r"href\s*=\s*\"([^\"]*)\""), F.lit(1))).alias("href"))
+    found = hrefs.select(F.concat(F.regexp_replace("url", r"[?#].*$", ""), "href").alias("url"), F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("root")).unionByName(p.select("url", F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("root")))
+    tail = F.element_at(F.array(*[F.lit(t) for t in TAILS]), (F.conv(F.left(F.md5("url"), F.lit(6)), 16, 10).cast("int") % len(TAILS) + 1).cast("int"))
+    a = found.distinct().select(F.concat("url", tail).alias("url"), F.concat("root", F.lit("/")).alias("home")).distinct()
+    p = u.path(F.col("url"))
+    f = u.classify_path(p)
+    return a.select(
+        "url", "home", u.classify_page(F.col("url"), F.col("home")).alias("page_class"), u.page_score(F.col("url")).cast("int").alias("score"), u.resource_kind(F.col("url")).alias("kind"), u.rejected_path(p).alias("rejected"),
+        u.normalize_path(p).alias("normalized"), f.alias("family"), F.coalesce(u.bare_index(p, f), F.lit(False)).alias("bare"), dates.from_url(p, F.lit("2026-05-01").cast("date")).alias("date"),
+    )
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
@@ -210,7 +229,7 @@ _PREFIX_GROUP = "(page_id % 3) * 1000 + CASE WHEN contains(crawl_url, 'news') TH
 QUERIES = {
     "url_normalize": url_normalize, "url_canonical_dedupe": url_canonical_dedupe, "site_scope": site_scope, "page_classify": page_classify, "path_family": path_family, "selected_pages": selected_pages,
     "site_quality": site_quality, "budgeted_selection": budgeted_selection, "document_topk": document_topk, "html_links": html_links, "html_text": html_text, "html_text_parsed": html_text_parsed,
-    "common_prefix": common_prefix, "path_prefix": path_prefix, "url_dates": url_dates, "news_sources": news_sources,
+    "common_prefix": common_prefix, "path_prefix": path_prefix, "url_dates": url_dates, "news_sources": news_sources, "links_told": links_told,
 }
 
 ORACLES = {
@@ -272,4 +291,14 @@ i AS (SELECT h.*, coalesce(prefix, '') AS pre, regexp_replace(short, '/[^/]*$',
 j AS (SELECT slug, family, items, bp IS NOT NULL AS bare_index_seen, family_rank, CASE WHEN bp IS NOT NULL THEN bp WHEN {_BARE_SQL.replace('@', 'i.pre')} THEN i.pre WHEN {_BARE_SQL.replace('@', 'parent')} THEN parent ELSE '/' || family END AS index_path,
   coalesce(min(family_rank) FILTER (items >= 3) OVER (PARTITION BY slug), min(family_rank) OVER (PARTITION BY slug)) AS best FROM i)
 SELECT slug, family, items, row_number() OVER (PARTITION BY slug ORDER BY (family_rank = best) DESC, family_rank)::INTEGER AS rank, bare_index_seen, index_path, family_rank FROM j""",
+    "links_told": rf"""WITH h AS (SELECT regexp_replace(url, '[?#].*$', '') || unnest(regexp_extract_all(html, 'href\s*=\s*"([^"]*)"', 1)) AS url, regexp_extract(url, '^(https?://[^/]+)', 1) AS root FROM pages
+  UNION SELECT url, regexp_extract(url, '^(https?://[^/]+)', 1) FROM pages),
+cu AS (SELECT DISTINCT url || ([{", ".join("'" + t + "'" for t in TAILS)}])[('0x' || left(md5(url), 6))::INTEGER % {len(TAILS)} + 1] AS url, root || '/' AS home FROM h),
+{_class_ctes('cu')},
+pp AS (SELECT cl.*, {_path_sql('url')} AS rp FROM cl), pq AS (SELECT url, home, page_class, score, kind, rp AS p FROM pp),
+n AS (SELECT *, {_NORM_PATH_SQL} AS np, {_REJECT_SQL} AS rejected FROM pq),
+f AS (SELECT *, CASE WHEN NOT rejected THEN {_FAMILY_SQL} END AS family FROM n),
+x AS (SELECT *, regexp_extract(p, '/(20\d\d)/(\d{{1,2}})(?:/(\d{{1,2}}))?(?:/|$)', ['y', 'm', 'd']) AS x FROM f),
+y AS (SELECT *, CASE WHEN x.y <> '' THEN try_cast(x.y || '-' || lpad(x.m, 2, '0') || '-' || lpad(CASE WHEN x.d = '' THEN '1' ELSE x.d END, 2, '0') AS DATE) END AS d FROM x)
+SELECT url, home, page_class, score, kind, rejected, np AS normalized, family, coalesce({_BARE_SQL.replace('@', 'np')}, false) AS bare, CASE WHEN d BETWEEN DATE '2010-01-01' AND DATE '2026-05-03' THEN d END AS date FROM y""",
 }

@@ -385,3 +385,10 @@ def test_sketches_merge(spark):
     got = quality.distinct_of(by_run.withColumn("all", F.lit(1)), ["all"]).first().distinct
     exact = df.select("v").distinct().count()
     assert abs(got - exact) <= 0.02 * exact and by_run.count() == 6
+
+
+def test_entries_take_the_last_resource_of_their_corpus(spark):
+    e = spark.createDataFrame([("t", "r1", "u1", "resource-0001"), ("t", "r1", "u2", "resource-0009"), ("t", "r2", "u1", "resource-0001"), ("t", "r1", "u3", None)], "target_id string, run_id string, url string, resource_id string")
+    r = spark.createDataFrame([("t", "r1", "resource-0001", 1, "old"), ("t", "r1", "resource-0001", 2, "new"), ("t", "r3", "resource-0001", 3, "other"), ("t", "r1", None, 4, "none")], "target_id string, run_id string, resource_id string, pos int, text_path string")
+    got = fold.with_resources(e, r, ["target_id", "run_id"]).collect()
+    assert {(x.run_id, x.url): x.resource and x.resource.text_path for x in got} == {("r1", "u1"): "new", ("r1", "u2"): None, ("r2", "u1"): None, ("r1", "u3"): None}
