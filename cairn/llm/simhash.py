@@ -162,17 +162,13 @@ def shared(shard: np.ndarray) -> np.ndarray:
     return np.append(same, False) | np.append(False, same)
 
 
-def cut_large(shard: np.ndarray, ident: np.ndarray, sizes: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def cut_large(shard: np.ndarray, ident: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, shard): rows of a large shard go to one of its chunks, and there to a shard for each other chunk; all others stay.
 
-    ``sizes`` has the members of the large shards, about. Two rows of a shard meet in one of the new shards at least.
+    ``members`` has for each row how many its shard has, about, or 0 where it is not large. Two rows of a shard meet in
+    one of the new shards at least.
     """
-    if not sizes:
-        return np.arange(len(shard)), shard
-    known = np.array(sorted(sizes))
-    at = np.minimum(np.searchsorted(known, shard), len(known) - 1)
-    large = known[at] == shard
-    chunks = np.where(large, np.array([-(-2 * sizes[k] // LARGE) for k in known.tolist()])[at], 1)
+    chunks = np.where(members > 0, -(-2 * members // LARGE), 1)
     rows = np.repeat(np.arange(len(shard)), np.where(chunks > 1, chunks - 1, 1))
     n = chunks[rows]
     step = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -214,7 +210,34 @@ def fingerprints(docs: DataFrame, width: int = 4, bits: int = 64) -> DataFrame:
     return picked.mapInArrow(_print_batches(width, bits), f"doc_id {kind}, key long, fp binary")
 
 
-def _shard_batches(masks: list[np.ndarray], bits: int, large):
+def _cut_batches(ident_of: Callable[[pa.RecordBatch], np.ndarray], columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, shard = cut_large(b.column("shard").to_numpy(), ident_of(b), b.column("members").to_numpy())
+            taken = b.select(columns).take(pa.array(rows))
+            yield taken.set_column(columns.index("shard"), "shard", pa.array(shard))
+
+    return run
+
+
+def cut(rows: DataFrame, sample: DataFrame, ident_of: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """``rows`` (shard and more) with the shards of more than LARGE members cut, as ``sample``, the same for one in SAMPLE fingerprints, tells them.
+
+    The sample decides how shards are cut, never what is found in them. Large shards are a table, of any number; Spark
+    broadcasts it where it is small and joins it by shard where it is not.
+    """
+    large = stored(sample.groupBy("shard").agg((F.count("*") * SAMPLE).alias("members")).where(F.col("members") > LARGE), "sim-large")
+    if large.isEmpty():
+        return rows
+    marked = rows.join(large, "shard", "left").withColumn("members", F.coalesce("members", F.lit(0).cast("long")))
+    return marked.select(*rows.columns, "members").mapInArrow(_cut_batches(ident_of, rows.columns), rows.schema)
+
+
+def _first_bytes(b: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(x[:8] for x in b.column("fp").to_pylist()), np.int64)
+
+
+def _shard_batches(masks: list[np.ndarray], bits: int):
     masks = [np.asarray(m) for m in masks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,13 +247,11 @@ def _shard_batches(masks: list[np.ndarray], bits: int, large):
                 continue
             raw = np.frombuffer(b"".join(fps.to_pylist()), np.uint8).reshape(len(fps), bits // 8)
             flat = np.unpackbits(raw, axis=1)
-            ident = np.ascontiguousarray(raw[:, :8]).view(np.int64).ravel()
             for k, mask in enumerate(masks):
                 packed = np.zeros((len(fps), 8), np.uint8)
                 cut = np.packbits(flat[:, mask], axis=1)
                 packed[:, 8 - cut.shape[1] :] = cut
-                rows, shard = cut_large(packed.view(">u8").ravel().astype(np.int64) | (k << 48), ident, large.value if large else {})
-                yield pa.RecordBatch.from_arrays([pa.array(shard), fps.take(pa.array(rows))], ["shard", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(packed.view(">u8").ravel().astype(np.int64) | (k << 48)), fps], ["shard", "fp"])
 
     return run
 
@@ -253,14 +274,10 @@ def _edge_batches(radius: int):
 
 def edges(nodes: DataFrame, masks: list[np.ndarray], bits: int, radius: int, n: int = 0) -> DataFrame:
     """a, b: spanning links of all shards of the distinct fingerprints ``nodes`` (column fp), some ``n`` in number."""
-    spark, schema = nodes.sparkSession, "shard long, fp binary"
-    large = None
+    shards = lambda df: df.select("fp").mapInArrow(_shard_batches(masks, bits), "shard long, fp binary")
+    sharded = shards(nodes)
     if n > LARGE:
-        # Large shards are known by a sample. It decides how they are cut, never what is found in them.
-        some = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0).select("fp").mapInArrow(_shard_batches(masks, bits, None), schema)
-        counted = some.groupBy("shard").count().where(F.col("count") * SAMPLE > LARGE).collect()
-        large = spark.sparkContext.broadcast({r["shard"]: r["count"] * SAMPLE for r in counted})
-    sharded = nodes.select("fp").mapInArrow(_shard_batches(masks, bits, large), schema)
+        sharded = cut(sharded, shards(nodes.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)), _first_bytes)
     dealt = sharded.repartition("shard").sortWithinPartitions("shard", "fp")
     return dealt.mapInArrow(_edge_batches(radius), "a binary, b binary").distinct()
 
@@ -323,7 +340,7 @@ def _shingle_batches(width: int):
 
 
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles, sorted, and their counts, by a sixteenth of the documents. They only set an order, in which they come last, and say what is cut; any order finds all pairs."""
+    """Common shingles, sorted, and their counts, by a sixteenth of the documents. They only set an order, in which they come last; any order finds all pairs."""
     some = docs.where(F.pmod(row_key(docs["doc_id"], docs["text"]), F.lit(SAMPLE)) == 0).select("text")
     counted = some.mapInArrow(_shingle_batches(width), "shingle long").groupBy("shingle").count().where("count > 2")
     top = counted.orderBy(F.desc("count"), "shingle").limit(COMMON).toArrow()
@@ -352,25 +369,19 @@ def _set_batches(width: int, common):
     return run
 
 
-def _head_batches(large):
+def _head_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each shingle in a set's head: its shard, and the place of the shingle in the set's order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.slice(at, 500)
-                heads = [np.frombuffer(h, np.int64) for h in part.column("head").to_pylist()]
-                lengths = [len(h) for h in heads]
-                which = np.repeat(np.arange(len(heads)), lengths)
-                if not len(which):
-                    continue
-                place = np.concatenate([np.arange(n, dtype=np.int64) for n in lengths])
-                id_, size, s0, s1 = (part.column(c).to_numpy() for c in ("id", "size", "s0", "s1"))
-                rows, shard = cut_large(np.concatenate(heads), id_[which], large.value)
-                which, place = which[rows], place[rows]
-                yield pa.RecordBatch.from_arrays([pa.array(shard), *map(pa.array, (id_[which], size[which].astype(np.int64) << 32 | place, s0[which], s1[which]))], ["shard", "id", "at", "s0", "s1"])
-
-    return run
+    for b in batches:
+        for at in range(0, len(b), 500):
+            part = b.slice(at, 500)
+            heads = [np.frombuffer(h, np.int64) for h in part.column("head").to_pylist()]
+            lengths = [len(h) for h in heads]
+            which = np.repeat(np.arange(len(heads)), lengths)
+            if not len(which):
+                continue
+            place = np.concatenate([np.arange(n, dtype=np.int64) for n in lengths])
+            id_, size, s0, s1 = (part.column(c).to_numpy() for c in ("id", "size", "s0", "s1"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads)), *map(pa.array, (id_[which], size[which].astype(np.int64) << 32 | place, s0[which], s1[which]))], ["shard", "id", "at", "s0", "s1"])
 
 
 def _may_reach(at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -455,16 +466,20 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return stored(both.select("a", "b", "x", "y").mapInArrow(_verify_batches(width), "a long, b long"), "sim-links")
 
 
-def similar(nodes: DataFrame, docs: DataFrame, width: int, large: dict[int, int]) -> DataFrame:
-    """a, b: links that connect all sets of Jaccard similarity 0.8 or more (up to the radius), and none below it. ``nodes`` has id, size, s0, s1, head.
+def _ids(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("id").to_numpy()
+
+
+def similar(nodes: DataFrame, sample: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """a, b: links that connect all sets of Jaccard similarity 0.8 or more (up to the radius), and none below it. ``nodes`` has id, size, s0, s1, head,
+    and so has ``sample``, one in SAMPLE of them.
 
     Of two such sets, ordered alike, the first fifth (and one) of each share a shingle, so shards by these shingles
     lose no pair. Each shard has a tree of the members' fingerprints. What spans its links is verified and grouped;
     then all links between members of different groups are, so a large group of near copies is not compared pair by pair.
     """
-    cuts = nodes.sparkSession.sparkContext.broadcast(large)
-    heads = nodes.mapInArrow(_head_batches(cuts), "shard long, id long, at long, s0 long, s1 long")
-    dealt = heads.repartition("shard").sortWithinPartitions("shard", "id")
+    heads = lambda df: df.mapInArrow(_head_batches, "shard long, id long, at long, s0 long, s1 long")
+    dealt = cut(heads(nodes), heads(sample), _ids).repartition("shard").sortWithinPartitions("shard", "id")
     met = stored(dealt.mapInArrow(_candidate_batches, "shard long, id long, at long, s0 long, s1 long, a long, b long"), "sim-shards")
     pairs = stored(met.where("a IS NOT NULL").select("a", "b").distinct(), "sim-pairs")
     ids = stored(met.where("id IS NOT NULL").select("id").distinct(), "sim-ids")
@@ -504,9 +519,8 @@ def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
     known = common_shingles(docs, width)
     common = docs.sparkSession.sparkContext.broadcast(known)
     prints = stored(picked.mapInArrow(_set_batches(width, common), f"doc_id {kind}, key long, fp binary, size int, s0 long, s1 long, head binary"), "sim-prints")
-    whole = prints.groupBy("fp").agg(F.min("key").alias("id"), *[F.first(c).alias(c) for c in ("size", "s0", "s1", "head")]).drop("fp")
-    large = {int(h): int(n) * SAMPLE for h, n in zip(known[0].view(np.int64), known[1], strict=True) if n * SAMPLE > LARGE}
-    links = similar(whole, docs, width, large)
+    sets = lambda df: df.groupBy("fp").agg(F.min("key").alias("id"), *[F.first(c).alias(c) for c in ("size", "s0", "s1", "head")]).drop("fp")
+    links = similar(sets(prints), sets(prints.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)), docs, width)
     prints = prints.select("doc_id", "key", "fp")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("key").alias("id")), "sim-nodes")
     # joined() names nodes by what links name: here the row key of one row of each set.

@@ -87,7 +87,7 @@ def test_large_shards_are_cut_without_loss(monkeypatch, least):
     monkeypatch.setattr(s, "LARGE", least)
     rng = np.random.default_rng(1)
     shard, ident = np.repeat([5, 9, 11], [300, 3, 40]), rng.integers(-(2**60), 2**60, 343)
-    rows, new = s.cut_large(shard, ident, {k: n for k, n in ((5, 300), (11, 40)) if n > least})
+    rows, new = s.cut_large(shard, ident, np.select([shard == 5, shard == 11], [300 * (300 > least), 40 * (40 > least)], 0))
     meet = {}
     for r, k in zip(rows.tolist(), new.tolist(), strict=True):
         meet.setdefault(k, set()).add(r)
@@ -102,7 +102,7 @@ def test_a_shard_of_half_a_million_equal_blocks():
 
     rng = np.random.default_rng(3)
     fps = np.unique(rng.integers(0, 1 << 50, 500_000).astype(np.uint64))
-    rows, shard = s.cut_large(np.zeros(len(fps), np.int64), fps.view(np.int64), {0: len(fps)})
+    rows, shard = s.cut_large(np.zeros(len(fps), np.int64), fps.view(np.int64), np.full(len(fps), len(fps)))
     assert np.bincount(np.unique(shard, return_inverse=True)[1]).max() < 1.2 * s.LARGE
     one = fps[rows[shard == shard[0]]][:20_000].reshape(-1, 1)
     tracemalloc.start()
@@ -137,6 +137,20 @@ def test_links_come_from_trees(small, monkeypatch):
     assert len(set(distinct.values())) == len(distinct)
 
 
+def test_large_shards_are_a_table(spark, monkeypatch):
+    """However many shards are large, each is cut by the size that the sample tells; nothing of them passes through the driver."""
+    monkeypatch.setattr(s, "LARGE", 100)
+    rows = spark.createDataFrame([(k % 10, k) for k in range(5000)] + [(1000 + k, k) for k in range(40)], "shard long, id long")
+    out = s.cut(rows, rows.where("pmod(xxhash64(id), 16) = 0"), s._ids)
+    assert out.columns == rows.columns
+    meet = {}
+    for r in out.collect():
+        meet.setdefault(r.shard, set()).add(r.id)
+    pairs = {(a, b) for v in meet.values() for a in v for b in v if a < b}
+    assert len(pairs) == 10 * 500 * 499 / 2 and all(a % 10 == b % 10 for a, b in pairs)
+    assert len(meet) > 200 and max(map(len, meet.values())) <= 200 and s.cut(rows, rows.limit(0), s._ids) is rows
+
+
 def test_cut_shards_give_the_same_groups(small, monkeypatch):
     whole = sorted(map(tuple, s.near_duplicates(small).collect()))
     kept = sorted(map(tuple, s.keep_one(small).collect()))
