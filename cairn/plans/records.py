@@ -44,6 +44,30 @@ def archive_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(kept)
 
 
+def archived_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a page renderer and of a site map, archived by run; those of three runs are read, a fourth is not opened."""
+    path = scratch_path(spark, "answers")
+    spark.dataSource.register(archive.TarArchive)
+    k = F.col("page_id")
+    links = F.to_json(F.struct(F.array(F.col("url"), F.concat("url", F.lit("x")), F.lit("ftp://no"), F.col("url")).alias("links")))
+    scrape = F.when(k % 5 == 0, "[1]").otherwise(F.to_json(F.struct((k % 2 == 0).alias("ok"), (k % 600).cast("int").alias("statusCode"), F.col("html").alias("content"))))
+    p = table(spark, sf_dir, "pages").select(k.cast("string").alias("id"), (k % 3).alias("run"), F.array(F.struct(F.lit("map").alias("kind"), links.alias("raw")), F.struct(F.lit("scrape").alias("kind"), scrape.alias("raw"))).alias("answers"))
+    members = p.select("run", F.explode("answers").alias("a"), "id").select("run", F.concat("a.kind", F.lit("/"), "id", F.lit(".json")).alias("path"), F.encode("a.raw", "utf-8").alias("content"))
+    for run in range(4):
+        members.where(F.col("run") == run % 3).drop("run").write.format("tar_archive").option("path", path).option("snapshot", f"r{run}").mode("append").save()
+    pushed, kept = "spark.sql.python.filterPushdown.enabled", scratch_path(spark, "answers-read")
+    before = spark.conf.get(pushed)
+    spark.conf.set(pushed, "true")
+    try:
+        spark.read.format("tar_archive").option("path", path).load().where("snapshot IN ('r0', 'r1', 'r2')").select("snapshot", "path", F.decode("content", "utf-8").alias("raw")).write.parquet(kept)
+    finally:
+        spark.conf.set(pushed, before)
+    read = spark.read.parquet(kept).withColumn("page_id", F.regexp_extract("path", r"/(\d+)\.json$", 1).cast("long"))
+    maps = readers.site_map(read.where("path LIKE 'map/%'")).select("page_id", "snapshot", F.array_join("urls", " ").alias("urls"))
+    scrapes = readers.scrapes(read.where("path LIKE 'scrape/%'")).select("page_id", "ok", "status_code", F.length("content").alias("chars"), "message")
+    return maps.join(scrapes, "page_id")
+
+
 def front_matter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as markdown with front matter, and read from it again."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit('"'), "c_name", F.lit('": '), "c_mktsegment").alias("name"), F.array("c_mktsegment", F.lit("a: b\n---")).alias("tags"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey")).alias("nation"))
@@ -70,7 +94,7 @@ def name_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", udfs.ascii_slug(F.concat("p_name", ending)).alias("slug"))
 
 
-QUERIES = {f.__name__: f for f in (newsletter_commits, archive_round_trip, front_matter_rows, distinct_sketches, name_slugs)}
+QUERIES = {f.__name__: f for f in (newsletter_commits, archive_round_trip, archived_answers, front_matter_rows, distinct_sketches, name_slugs)}
 
 _ENDINGS = "[" + ", ".join("'" + x + "'" for x in ENDINGS) + "]"
 ORACLES = {
@@ -78,6 +102,8 @@ ORACLES = {
 i AS (SELECT poll, slug, url, max(date) AS date FROM e GROUP BY ALL), f AS (SELECT *, min(poll) OVER (PARTITION BY slug, url) AS first FROM i)
 SELECT poll, slug, url, date, poll = first AS is_new, (['{POLLS[0]}', '{POLLS[1]}', '{POLLS[2]}'][first + 1])::DATE AS first_seen, row_number() OVER (PARTITION BY poll, slug ORDER BY date DESC, url DESC) AS place FROM f""",
     "archive_round_trip": "SELECT 'pages/p' || page_id || '.html' AS path, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS sha256, 'addresses' AS latest FROM pages",
+    "archived_answers": """SELECT page_id, 'r' || (page_id % 3) AS snapshot, url || ' ' || url || 'x' AS urls, page_id % 5 <> 0 AND page_id % 2 = 0 AS ok, CASE WHEN page_id % 5 <> 0 THEN (page_id % 600)::INTEGER END AS status_code,
+  CASE WHEN page_id % 5 <> 0 THEN length(html)::INTEGER END AS chars, CASE WHEN page_id % 5 = 0 THEN 'Browserless returned a non-object response' END AS message FROM pages""",
     "front_matter_rows": """SELECT c_custkey, '"' || c_name || '": ' || c_mktsegment AS name, c_mktsegment || '|a: b' || chr(10) || '---' AS tags, CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS nation, '---' || chr(10) || 'body ' || c_custkey AS body, NULL::VARCHAR AS problem FROM customer""",
     "distinct_sketches": "SELECT l_suppkey % 5 AS suppliers, count(DISTINCT l_orderkey) AS exact, true AS close FROM lineitem GROUP BY 1",
     "name_slugs": rf"""WITH n AS (SELECT p_partkey, trim(regexp_replace(trim(p_name || {_ENDINGS}[p_partkey % {len(ENDINGS)} + 1]), '\s*\([^)]*\)\s*$', '')) AS x FROM part),
