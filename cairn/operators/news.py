@@ -114,13 +114,17 @@ def merge_state(state: DataFrame, items: DataFrame, now: Column, strict: bool =
     ``state`` has slug, seen_urls, last_polled_at, polls_completed and, if ``strict``, first_seen (url to time);
     ``items`` has slug, url, date, one row a URL. Every item is stamped with the time of this poll, as the
     reference does; with ``strict`` one seen before keeps the time at which it was first seen. A vendor without a
-    state starts from an empty one; one without items in this poll keeps its own.
+    state starts from an empty one; one without items in this poll keeps its own. The state is a row a vendor, as its
+    file is; ``streaming.poll`` keeps it as rows, where vendors list URLs by the million.
     """
-    j = items.join(state.select("slug", "seen_urls", *(["first_seen"] if strict else [])), "slug", "left")
-    new = ~F.coalesce(F.array_contains("seen_urls", F.col("url")), F.lit(False))
-    first = F.coalesce(F.when(~new, F.col("first_seen")[F.col("url")]), now) if strict else now
+    # What was seen meets the items URL by URL, as rows: no list is searched for each item.
+    before = F.col("first_seen")[F.col("url")] if strict else F.lit(None)
+    seen = state.select("slug", F.explode(F.array_distinct("seen_urls")).alias("url"), *(["first_seen"] if strict else [])).select("slug", "url", F.lit(True).alias("_seen"), before.alias("_before"))
+    j = items.join(seen, ["slug", "url"], "left")
+    new = F.col("_seen").isNull()
+    first = F.coalesce("_before", now) if strict else now
     place = F.row_number().over(Window.partitionBy("slug").orderBy(F.desc("date"), F.desc("url")))
-    rendered = j.withColumns({"is_new": new, "first_seen_at": first, "place": place}).drop("seen_urls", "first_seen")
+    rendered = j.withColumns({"is_new": new, "first_seen_at": first, "place": place}).drop("_seen", "_before")
     polled = rendered.groupBy("slug").agg(F.collect_set("url").alias("_urls"), F.map_from_entries(F.collect_list(F.struct("url", "first_seen_at"))).alias("_first"))
     m = state.join(polled, "slug", "full_outer")
     none = F.array().cast("array<string>")
