@@ -188,7 +188,7 @@ _BITS = [f"q{j}" for j in range(8)]
 def _tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of grams with their eight chances, and rows of nodes at SPLIT, with the columns of the others null."""
     names = ["gram", "n", *_BITS, "context", "prefix", "n0", "n1", "log_pw"]
-    for t in whole_groups(batches, "part", 400_000):
+    for t in whole_groups(batches, "part", 150_000):
         key, n = t.column("gram").to_numpy(), t.column("n").to_numpy()
         order = np.argsort(key)
         key, n = key[order], n[order]
