@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -38,3 +38,16 @@ def walk(roots: DataFrame, keys: list[str], kids: str, levels: int = LEVELS, dee
         open_nodes = written.where("open")
         n += 1
     return spark.read.schema(schema).option("basePath", path).parquet(path).where("NOT open").select(*keys, "at", "v")
+
+
+def gather(root: str, kids: str, where: str, take: str, fields: str, levels: str) -> Column:
+    """What ``take`` gives of each node of a row's tree for which ``where`` holds, as an array of structs of ``fields``.
+
+    All arguments are SQL. ``root`` is a struct of at and v, ``kids`` an array of such structs or null; it, ``where`` and
+    ``take`` read a node as x.at and x.v. The row's tree is walked inside the row, and only one level of it and what was
+    taken are held. ``levels`` is how many levels to visit, the root's included, in this row; more than there are do no harm.
+    """
+    found = f"concat(s.found, transform(filter(s.open, x -> {where}), x -> {take}))"
+    step = f"(s, i) -> struct(flatten(transform(s.open, x -> coalesce({kids}, array()))) AS open, {found} AS found)"
+    start = f"struct(array({root}) AS open, cast(array() AS array<struct<{fields}>>) AS found)"
+    return F.expr(f"aggregate(sequence(1, greatest(1, {levels})), {start}, {step}, s -> s.found)")

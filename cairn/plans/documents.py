@@ -143,7 +143,9 @@ def citations_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id")
     n = _depth()
     raw = F.concat(F.repeat(F.lit('{"x":"]}","a":['), n), _text('{"b":{"resource_id":"resource-', k, '","line_start":', k % 7, "}}"), F.repeat(F.lit("]}"), n))
-    return readers.citations(table(spark, sf_dir, "events").select("event_id", raw.alias("raw")), "raw", ["event_id"]).select("event_id", "at", "resource_id", "line_start")
+    # The small rows of a few files become large documents here, so they are dealt over all cores first.
+    events = table(spark, sf_dir, "events").select("event_id", "value").repartition(4 * spark.sparkContext.defaultParallelism)
+    return readers.citations(events.select("event_id", raw.alias("raw")), "raw", ["event_id"]).select("event_id", "at", "resource_id", "line_start")
 
 
 def scrapes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.walk import walk
+from ..operators.walk import gather
 
 CORRUPT = "_corrupt_record"
 
@@ -122,19 +122,24 @@ def link_edges(resources: DataFrame, key: list[str], links: str = "links") -> Da
     return resources.select(*key, F.explode(F.filter(links, lambda x: x.isNotNull())).alias("target_url"))
 
 
+#: Levels that Spark's JSON parser goes down; a deeper text is none to it.
+MOST_LEVELS = 1000
+
+
 def citations(df: DataFrame, raw: str, key: list[str], loose: bool = False) -> DataFrame:
     """Citation-shaped objects anywhere in JSON documents, with their path: objects that have resource_id and line_start.
 
     With ``loose`` the canonical merge's rule holds: a resource_id that begins with resource-, and line_start or snippet.
-    Depth costs passes, not plan; a text that does not parse, as any of more than 1,000 levels, has no citations.
+    Depth is in the data, not in the plan; a text that does not parse, as any of more than MOST_LEVELS levels, has no citations.
     """
-    listed = "transform(try_variant_get(v, '$', 'array<variant>'), (x, i) -> struct(concat(at, '[', i, ']') AS at, x AS v))"
-    named = "transform(map_entries(try_variant_get(v, '$', 'map<string,variant>')), e -> struct(concat(at, '.', e.key) AS at, e.value AS v))"
-    kids = f"filter(coalesce({listed}, {named}), x -> schema_of_variant(x.v) LIKE 'OBJECT%' OR schema_of_variant(x.v) LIKE 'ARRAY%')"
-    roots = df.select(*key, F.lit("$").alias("at"), F.expr(f"try_parse_json({raw})").alias("v")).where("v IS NOT NULL")
-    rows = walk(roots, key, kids)
-    get = lambda p, t: F.expr(f"try_variant_get(v, '$.{p}', '{t}')").alias(p)
-    found = rows.where("schema_of_variant(v) LIKE 'OBJECT%'").select(*key, "at", get("resource_id", "string"), get("line_start", "int"), get("line_end", "int"), get("snippet", "string"))
+    listed = "transform(try_variant_get(x.v, '$', 'array<variant>'), (y, i) -> struct(concat(x.at, '[', i, ']') AS at, y AS v))"
+    named = "transform(map_entries(try_variant_get(x.v, '$', 'map<string,variant>')), e -> struct(concat(x.at, '.', e.key) AS at, e.value AS v))"
+    get = lambda p, t: f"try_variant_get(x.v, '$.{p}', '{t}')"
+    fields = {"resource_id": "string", "line_start": "int", "line_end": "int", "snippet": "string"}
+    take = f"struct(x.at AS at, {', '.join(f'{get(p, t)} AS {p}' for p, t in fields.items())})"
+    opened = f"length({raw}) - length(translate({raw}, '[{{', ''))"  # no text is nested deeper than it has opening brackets
+    cites = gather(f"struct('$' AS at, try_parse_json({raw}) AS v)", f"coalesce({listed}, {named})", f"{get('resource_id', 'string')} IS NOT NULL", take, "at: string, " + ", ".join(f"{p}: {t}" for p, t in fields.items()), f"least({opened}, {MOST_LEVELS})")
+    found = df.select(*key, F.inline(cites))
     if loose:
         return found.where("startswith(resource_id, 'resource-') AND (line_start IS NOT NULL OR snippet IS NOT NULL)")
     return found.where("resource_id IS NOT NULL AND line_start IS NOT NULL")

@@ -120,6 +120,21 @@ def test_citations_below_many_levels(spark):
     assert len(got._jdf.queryExecution().analyzed().toString()) < 20_000
 
 
+def test_citations_cost_no_pass_for_depth(spark):
+    """The deepest text that parses is walked within its row: no job runs and nothing is written before the result is asked for."""
+    nest = lambda n: '[' * (n - 1) + '{"resource_id":7,"line_start":"3"}' + "]" * (n - 1)
+    odd = '{"resource_id":"r","line_start":1,"b":[{"resource_id":"s","line_start":2,"[{":[[],[{"resource_id":"t","line_start":3}]]},4,null],"c":{"resource_id":null,"line_start":5}}'
+    df = spark.createDataFrame([(1, nest(1000)), (2, nest(1001)), (3, odd), (4, "7"), (5, "[]")], "k int, doc string")
+    spark.sparkContext.setJobGroup("deep-citations", "")
+    try:
+        got = readers.citations(df, "doc", ["k"])
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("deep-citations")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = [(1, "$" + "[0]" * 999, "7", 3), (3, "$", "r", 1), (3, "$.b[0]", "s", 2), (3, "$.b[0].[{[1][0]", "t", 3)]
+    assert sorted((r.k, r.at, r.resource_id, r.line_start) for r in got.collect()) == want
+
+
 def test_walk_gives_every_node(spark):
     from cairn.operators.walk import walk
 
