@@ -26,6 +26,8 @@ COMMON = 200_000
 LARGE = 1 << 16
 SAMPLE = 16
 FRONTIER = 2_000_000
+#: Bits of a set's sketch; few of a set's differences fall together up to some 1,000 of them.
+SKETCH = 1024
 #: Odd multipliers that turn one shingle hash into further ones, for fingerprints of more than 64 bits.
 MIXERS = tuple(np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1)) for k in range(16))
 
@@ -407,23 +409,68 @@ def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[new], high[new]
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """SKETCH bits, each the parity of a set's hashes in one bucket: two sets differ in as many members at least as their sketches do in bits."""
+    return np.packbits((np.bincount((h >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64), minlength=SKETCH) & 1).astype(np.uint8))
+
+
+def _sketch_batches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bits = [sketch(np.unique(shingle_hashes(t.as_py(), width))).tobytes() for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(bits, pa.binary())], ["id", "sketch"])
+
+    return run
+
+
+def _reach(t: pa.Table, some: np.ndarray, at: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether rows can have a similarity of 0.8, by their places and, where ``t`` has them, their sketches: at 0.8 sets differ in a ninth of both sizes at most."""
+    if "sketch" not in t.column_names:
+        return lambda a, b: _may_reach(at, a, b)
+    bits = np.frombuffer(b"".join(t.column("sketch").filter(pa.array(some)).to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+
+    def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = _may_reach(at, a, b)
+        left = np.flatnonzero(out)
+        for k in range(0, len(left), 1 << 16):
+            part = left[k : k + (1 << 16)]
+            x, y = a[part], b[part]
+            out[part] = 9 * distances(bits[x], bits[y]) <= (at[x] >> 32) + (at[y] >> 32)
+        return out
+
+    return reach
+
+
+def _groups(t: pa.Table, some: np.ndarray) -> np.ndarray:
+    """A label for each row: the first row with its root, or the row itself where ``t`` has no roots."""
+    if "root" not in t.column_names:
+        return np.arange(int(some.sum()))
+    _, first, back = np.unique(t.column("root").to_numpy()[some], return_index=True, return_inverse=True)
+    return first[back]
+
+
 def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) that span what the trees link, and the rows of shards (a, b null) that have any link there."""
-    names = ["shard", "id", "at", "s0", "s1", "a", "b"]
+    """Pairs (a, b) that span what the trees link between groups, and the rows of shards (a, b null) that have any link there."""
     for t in whole_groups(batches, "shard", 200_000):
-        shard, id_, at, fps = _columns(t, shared(t.column("shard").to_numpy()))
+        some = shared(t.column("shard").to_numpy())
+        shard, id_, at, fps = _columns(t, some)
         if not len(id_):
             continue
-        label = np.arange(len(id_))
-        found = list(Forest(fps, shard).links(RADIUS, label, True, lambda x, y, at=at: _may_reach(at, x, y)))
+        start = _groups(t, some)
+        label = start.copy()
+        found = list(Forest(fps, shard).links(RADIUS, label, True, _reach(t, some, at)))
         if not found:
             continue
         a, b = _once(id_[np.concatenate([x for x, _ in found])], id_[np.concatenate([y for _, y in found])])
-        linked = np.bincount(label, minlength=len(label))[label] > 1
-        none = pa.nulls(int(linked.sum()), pa.int64())
-        yield pa.RecordBatch.from_arrays([*map(pa.array, (shard[linked], id_[linked], at[linked])), *map(pa.array, fps[linked].view(np.int64).T.copy()), none, none], names)
-        none = pa.nulls(len(a), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(a), pa.array(b)], names)
+        grown = np.zeros(len(label), bool)
+        grown[label[label != start]] = True
+        rows = t.filter(pa.array(some)).filter(pa.array(grown[label]))
+        rows = rows.drop_columns(["root"]) if "root" in t.column_names else rows
+        none = pa.nulls(len(rows), pa.int64())
+        rows = rows.append_column("a", none).append_column("b", none)
+        yield from rows.to_batches()
+        blank = {f.name: pa.nulls(len(a), f.type) for f in rows.schema} | {"a": pa.array(a), "b": pa.array(b)}
+        yield pa.RecordBatch.from_arrays(list(blank.values()), list(blank))
 
 
 def _between_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,8 +480,7 @@ def _between_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         shard, id_, at, fps = _columns(t, some)
         if not len(id_):
             continue
-        _, first, back = np.unique(t.column("root").to_numpy()[some], return_index=True, return_inverse=True)
-        for x, y in Forest(fps, shard).links(RADIUS, first[back], False, lambda x, y, at=at: _may_reach(at, x, y)):
+        for x, y in Forest(fps, shard).links(RADIUS, _groups(t, some), False, _reach(t, some, at)):
             a, b = _once(id_[x], id_[y])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -475,20 +521,29 @@ def similar(nodes: DataFrame, sample: DataFrame, docs: DataFrame, width: int) ->
     and so has ``sample``, one in SAMPLE of them.
 
     Of two such sets, ordered alike, the first fifth (and one) of each share a shingle, so shards by these shingles
-    lose no pair. Each shard has a tree of the members' fingerprints. What spans its links is verified and grouped;
-    then all links between members of different groups are, so a large group of near copies is not compared pair by pair.
+    lose no pair. Each shard has a tree of the members' fingerprints. What spans its links is verified and grouped. The trees
+    then link members of different groups whose sketches may differ so little: first what spans those links is verified and
+    grouped, then all of them that still lie between groups are. So neither a large group of near copies nor many texts that
+    are alike below 0.8 are compared pair by pair.
     """
-    heads = lambda df: df.mapInArrow(_head_batches, "shard long, id long, at long, s0 long, s1 long")
-    dealt = cut(heads(nodes), heads(sample), _ids).repartition("shard").sortWithinPartitions("shard", "id")
-    met = stored(dealt.mapInArrow(_candidate_batches, "shard long, id long, at long, s0 long, s1 long, a long, b long"), "sim-shards")
+    columns = "shard long, id long, at long, s0 long, s1 long"
+    in_shards = lambda df: df.repartition("shard").sortWithinPartitions("shard", "id")
+    named = lambda df, group: df.join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    grouping = lambda links, tag: stored(components(links).select(F.col("node").alias("id"), "root"), tag)
+    heads = lambda df: df.mapInArrow(_head_batches, columns)
+    met = stored(in_shards(cut(heads(nodes), heads(sample), _ids)).mapInArrow(_candidate_batches, f"{columns}, a long, b long"), "sim-shards")
     pairs = stored(met.where("a IS NOT NULL").select("a", "b").distinct(), "sim-pairs")
     ids = stored(met.where("id IS NOT NULL").select("id").distinct(), "sim-ids")
     texts = stored(docs.select(row_key(docs["doc_id"], docs["text"]).alias("id"), "text").join(ids, "id").dropDuplicates(["id"]), "sim-texts")
     near = verified(pairs, texts, width)
-    group = stored(components(near).select(F.col("node").alias("id"), "root"), "sim-roots")
-    rooted = met.where("id IS NOT NULL").drop("a", "b").join(group, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    between = rooted.repartition("shard").sortWithinPartitions("shard", "id").mapInArrow(_between_batches, "a long, b long").distinct()
-    between = stored(between.join(pairs, ["a", "b"], "left_anti"), "sim-between")
+    known = stored(named(texts.mapInArrow(_sketch_batches(width), "id long, sketch binary"), grouping(near, "sim-roots")), "sim-sketches")
+    rooted = met.where("id IS NOT NULL").drop("a", "b").join(known, "id").select("shard", "id", "at", "s0", "s1", "sketch", "root")
+    still = stored(in_shards(rooted).mapInArrow(_candidate_batches, f"{columns}, sketch binary, a long, b long"), "sim-still")
+    more = stored(still.where("a IS NOT NULL").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "sim-more")
+    near = near.unionByName(verified(more, texts, width))
+    rooted = named(still.where("id IS NOT NULL").drop("a", "b"), grouping(near, "sim-groups"))
+    between = in_shards(rooted).mapInArrow(_between_batches, "a long, b long").distinct()
+    between = stored(between.join(pairs.unionByName(more), ["a", "b"], "left_anti"), "sim-between")
     return near.unionByName(verified(between, texts, width))
 
 

@@ -221,3 +221,43 @@ def test_stage_loses_no_isolated_pair_at_the_threshold(spark):
         rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join(copy))]
     kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == set(range(0, 600, 2))
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 30, 500, 3000):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        y = np.union1d(x[n // 4 :], rng.integers(0, 1 << 63, n // 5, dtype=np.uint64))
+        apart = len(np.setxor1d(x, y))
+        differ = int(s.distances(s.sketch(x).view(np.uint64), s.sketch(y).view(np.uint64)))
+        assert differ <= apart and (n > 100 or differ >= 0.8 * apart)
+
+
+def test_texts_alike_below_the_threshold_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies with three changes each of a text: those that were not made from it by few changes are no near duplicates of each other."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for k in range(500):
+        text = list(base)
+        for at in rng.sample(range(5, 145), 1 if k % 10 == 0 else 3):
+            text[at] = f"v{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(146)} for _, t in rows]
+    up = list(range(500))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(500):
+        for j in range(i):
+            if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+                a, b = find(i), find(j)
+                up[max(a, b)] = min(a, b)
+    asked, plain = [], s.verified
+    monkeypatch.setattr(s, "verified", lambda pairs, texts, width: (asked.append(pairs.count()), plain(pairs, texts, width))[1])
+    kept = {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {k for k in range(500) if find(k) == k} and 1 < len(kept) < 450
+    assert sum(asked) < 20_000, asked
